@@ -14,7 +14,7 @@ def _c(col: str | Column) -> Column:
 
 def parse_date(raw: str | Column, fmt: str = RAW_DATE_FORMAT) -> Column:
     """``try_to_date`` with an explicit pattern; unparsable -> NULL."""
-    return F.try_to_date(_c(raw), F.lit(fmt))
+    return F.try_to_date(_c(raw), fmt)
 
 
 def parse_decimal(raw: str | Column, type_: str = VALUE_TYPE) -> Column:

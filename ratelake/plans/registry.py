@@ -314,3 +314,335 @@ def q_rolling12_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "months_in_window",
         F.col("price_12m").cast("decimal(18,8)").alias("price_12m"),
     )
+
+
+# --------------------------------------------------------------------------
+# Latest-wins dedup (W1) on real duplicates: lineitem (orderkey, linenumber)
+# --------------------------------------------------------------------------
+@register(
+    "latest_wins_dedup",
+    """
+SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity
+FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST) AS rn
+  FROM lineitem) x
+WHERE rn = 1""",
+)
+def q_latest_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.operators.dedup import latest_wins
+
+    li = standins.table(spark, sf_dir, "lineitem")
+    order = [F.col(c).desc_nulls_last() for c in ("l_shipdate", "l_partkey", "l_suppkey")]
+    return latest_wins(li, ["l_orderkey", "l_linenumber"], order).select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity"
+    )
+
+
+# --------------------------------------------------------------------------
+# Tolerant typing (F1, F2, P3, P17) over raw text rendered from orders, with
+# two realistic contract drifts: ISO dates for one priority class and a comma
+# decimal separator for partially filled orders.
+# --------------------------------------------------------------------------
+RAW_ORDERS_CTE = f"""
+raw AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderpriority = '5-LOW' THEN strftime(o_orderdate, '%Y-%m-%d')
+              ELSE strftime(o_orderdate, '%d/%m/%Y') END AS date_raw,
+         CASE WHEN o_orderstatus = 'P'
+              THEN replace(CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 1000000 AS {DEC}) AS VARCHAR), '.', ',')
+              ELSE CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) / 1000000 AS {DEC}) AS VARCHAR) END AS value_raw
+  FROM orders
+),
+typed AS (
+  SELECT o_orderkey, date_raw, value_raw,
+         CASE WHEN regexp_full_match(date_raw, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')
+              THEN CAST(try_strptime(date_raw, '%d/%m/%Y') AS DATE) END AS ref_date,
+         TRY_CAST(value_raw AS {DEC}) AS value
+  FROM raw
+)"""
+
+
+def _raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = standins.table(spark, sf_dir, "orders")
+    v = (F.col("o_totalprice").cast("decimal(18,2)") / F.lit(1000000)).cast("decimal(18,8)").cast("string")
+    return o.select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority") == "5-LOW", F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .alias("date_raw"),
+        F.when(F.col("o_orderstatus") == "P", F.replace(v, F.lit("."), F.lit(",")))
+        .otherwise(v)
+        .alias("value_raw"),
+    )
+
+
+@register(
+    "tolerant_typing",
+    _with(RAW_ORDERS_CTE)
+    + """
+SELECT o_orderkey, date_raw, value_raw, ref_date, value,
+       (ref_date IS NULL OR value IS NULL) AS rejected
+FROM typed""",
+)
+def q_tolerant_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.functions.parsing import parse_date, parse_decimal
+
+    raw = _raw_orders(spark, sf_dir)
+    return raw.select(
+        "o_orderkey",
+        "date_raw",
+        "value_raw",
+        parse_date("date_raw").alias("ref_date"),
+        parse_decimal("value_raw").alias("value"),
+    ).withColumn("rejected", F.col("ref_date").isNull() | F.col("value").isNull())
+
+
+@register(
+    "rejected_count",
+    _with(RAW_ORDERS_CTE)
+    + """
+SELECT CAST(COUNT(*) AS BIGINT) AS raw_rows,
+       CAST(COUNT(*) FILTER (WHERE ref_date IS NULL OR value IS NULL) AS BIGINT) AS rejected_rows,
+       CAST(COUNT(*) FILTER (WHERE ref_date IS NULL) AS BIGINT) AS bad_date_rows,
+       CAST(COUNT(*) FILTER (WHERE value IS NULL) AS BIGINT) AS bad_value_rows
+FROM typed""",
+)
+def q_rejected_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.functions.parsing import parse_date, parse_decimal
+    from ratelake.operators.conform import rejected_predicate
+
+    raw = _raw_orders(spark, sf_dir)
+    return raw.agg(
+        F.count(F.lit(1)).cast("bigint").alias("raw_rows"),
+        F.count_if(rejected_predicate()).cast("bigint").alias("rejected_rows"),
+        F.count_if(parse_date("date_raw").isNull()).cast("bigint").alias("bad_date_rows"),
+        F.count_if(parse_decimal("value_raw").isNull()).cast("bigint").alias("bad_value_rows"),
+    )
+
+
+# --------------------------------------------------------------------------
+# File -> series mapping (P2) and unmapped files (D7) over event "files"
+# --------------------------------------------------------------------------
+# Fixed values for this query: a dimension over event feeds; 'error' feeds
+# are deliberately absent so that they surface as unmapped.
+EVENT_FEEDS = (
+    ("click", 1, "clicks", "diaria"),
+    ("view", 2, "views", "diaria"),
+    ("signup", 3, "signups", "mensal"),
+    ("purchase", 4, "purchases", "mensal"),
+)
+
+
+def _event_series():
+    from ratelake.settings import SeriesSpec
+
+    return [
+        SeriesSpec(sid, name, gran, "count", rf"(^|/){feed}[^/]*\.json$", (0.0, 1e12))
+        for feed, sid, name, gran in EVENT_FEEDS
+    ]
+
+
+def _event_case_sql(attr_index: int) -> str:
+    whens = " ".join(
+        f"WHEN regexp_matches(source_file, '(^|/){feed}[^/]*\\.json$') THEN {repr(vals[attr_index]) if isinstance(vals[attr_index], str) else vals[attr_index]}"
+        for feed, *vals in EVENT_FEEDS
+    )
+    return f"CASE {whens} END"
+
+
+EVENT_FILES_CTE = """
+ev AS (
+  SELECT event_id,
+         'landing/' || event_type || '_' || strftime(ts, '%Y%m%d') || '.json' AS source_file
+  FROM events
+)"""
+
+
+def _event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = standins.table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        F.concat(F.lit("landing/"), "event_type", F.lit("_"), F.date_format("ts", "yyyyMMdd"), F.lit(".json")).alias(
+            "source_file"
+        ),
+    )
+
+
+@register(
+    "map_source_to_series",
+    _with(EVENT_FILES_CTE)
+    + f"""
+SELECT event_id, source_file,
+       CAST({_event_case_sql(0)} AS INTEGER) AS series_id,
+       {_event_case_sql(1)} AS series_name,
+       {_event_case_sql(2)} AS granularity
+FROM ev""",
+)
+def q_map_source_to_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.functions.series import series_attribute
+
+    s = _event_series()
+    ev = _event_files(spark, sf_dir)
+    return ev.select(
+        "event_id",
+        "source_file",
+        series_attribute("source_file", s, "series_id").cast("int").alias("series_id"),
+        series_attribute("source_file", s, "name").alias("series_name"),
+        series_attribute("source_file", s, "granularity").alias("granularity"),
+    )
+
+
+@register(
+    "unmapped_count",
+    _with(EVENT_FILES_CTE)
+    + f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS rows_total,
+       CAST(COUNT(*) FILTER (WHERE ({_event_case_sql(0)}) IS NULL) AS BIGINT) AS unmapped_rows,
+       CAST(COUNT(DISTINCT CASE WHEN ({_event_case_sql(0)}) IS NULL THEN source_file END) AS BIGINT) AS unmapped_files
+FROM ev""",
+)
+def q_unmapped_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.functions.series import series_attribute
+
+    sid = series_attribute("source_file", _event_series(), "series_id")
+    ev = _event_files(spark, sf_dir)
+    return ev.agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_total"),
+        F.count_if(sid.isNull()).cast("bigint").alias("unmapped_rows"),
+        F.count_distinct(F.when(sid.isNull(), F.col("source_file"))).cast("bigint").alias("unmapped_files"),
+    )
+
+
+# --------------------------------------------------------------------------
+# Keyed upsert (S12, S13, J3, T4, S17, P16) over two event feeds, keyed by
+# (user, day): the target holds the latest web event (view/click/signup) of
+# each user-day, the source the latest app event (click/purchase/error).
+# Shared clicks give equal timestamps (no-op), user-days seen by one feed
+# only give inserts and untouched rows, so every MERGE branch occurs.
+# --------------------------------------------------------------------------
+UPSERT_KEYS = ("user_id", "event_day")
+UPSERT_COLS = ("user_id", "event_day", "event_id", "event_type", "ts", "value")
+TARGET_TYPES = ("view", "click", "signup")
+SOURCE_TYPES = ("click", "purchase", "error")
+
+
+def _latest_per_user_sql(types: tuple[str, ...]) -> str:
+    inlist = ", ".join(f"'{t}'" for t in types)
+    return f"""(
+  SELECT user_id, event_day, event_id, event_type, ts, value FROM (
+    SELECT *, CAST(ts AS DATE) AS event_day,
+           row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
+                              ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
+    FROM events WHERE event_type IN ({inlist})) x
+  WHERE rn = 1)"""
+
+
+def _merge_sql(target: str, source: str) -> str:
+    pick = ", ".join(f"CASE WHEN take_s THEN s_{c} ELSE t_{c} END AS {c}" for c in UPSERT_COLS[2:])
+    tcols = ", ".join(f"t.{c} AS t_{c}" for c in UPSERT_COLS)
+    scols = ", ".join(f"s.{c} AS s_{c}" for c in UPSERT_COLS)
+    return f"""(
+  SELECT COALESCE(t_user_id, s_user_id) AS user_id, COALESCE(t_event_day, s_event_day) AS event_day, {pick},
+         CASE WHEN t_p IS NULL THEN 'inserted' WHEN s_p IS NULL THEN 'untouched'
+              WHEN s_ts > t_ts THEN 'updated' ELSE 'matched_noop' END AS _change
+  FROM (
+    SELECT *, (t_p IS NULL OR (s_p IS NOT NULL AND COALESCE(s_ts > t_ts, FALSE))) AS take_s
+    FROM (SELECT 1 AS t_p, {tcols} FROM {target} t) tt
+    FULL OUTER JOIN (SELECT 1 AS s_p, {scols} FROM {source} s) ss
+      ON tt.t_user_id = ss.s_user_id AND tt.t_event_day = ss.s_event_day
+  ) j)"""
+
+
+UPSERT_CTE = f"""
+tgt AS {_latest_per_user_sql(TARGET_TYPES)},
+src AS {_latest_per_user_sql(SOURCE_TYPES)},
+run1 AS {_merge_sql('tgt', 'src')},
+run2 AS {_merge_sql('(SELECT user_id, event_day, event_id, event_type, ts, value FROM run1)', 'src')}"""
+
+COUNTS_SELECT = """
+SELECT CAST(COUNT(*) FILTER (WHERE _change = 'inserted') AS BIGINT) AS rows_inserted,
+       CAST(COUNT(*) FILTER (WHERE _change = 'updated') AS BIGINT) AS rows_updated,
+       CAST(COUNT(*) FILTER (WHERE _change = 'matched_noop') AS BIGINT) AS rows_matched_noop,
+       CAST(COUNT(*) FILTER (WHERE _change = 'untouched') AS BIGINT) AS rows_untouched,
+       CAST(0 AS BIGINT) AS rows_deleted,
+       CAST(COUNT(*) AS BIGINT) AS rows_total
+FROM {rel}"""
+
+
+def _latest_per_user(ev: DataFrame, types: tuple[str, ...]) -> DataFrame:
+    from ratelake.operators.dedup import latest_wins
+
+    feed = ev.filter(F.col("event_type").isin(*types)).withColumn("event_day", F.to_date("ts")).select(*UPSERT_COLS)
+    return latest_wins(feed, UPSERT_KEYS, [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()])
+
+
+def _upsert_runs(spark: SparkSession, sf_dir: str):
+    from ratelake.operators.upsert import merge_changes
+
+    ev = standins.table(spark, sf_dir, "events")
+    tgt, src = _latest_per_user(ev, TARGET_TYPES), _latest_per_user(ev, SOURCE_TYPES)
+    run1 = merge_changes(tgt, src, UPSERT_KEYS, "ts")
+    run2 = merge_changes(run1.drop("_change"), src, UPSERT_KEYS, "ts")
+    return run1, run2
+
+
+@register("upsert_result", _with(UPSERT_CTE) + "\nSELECT * FROM run1")
+def q_upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upsert_runs(spark, sf_dir)[0]
+
+
+@register("upsert_metrics", _with(UPSERT_CTE) + COUNTS_SELECT.format(rel="run1"))
+def q_upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.operators.upsert import change_counts
+
+    return change_counts(_upsert_runs(spark, sf_dir)[0])
+
+
+@register("upsert_twice_noop", _with(UPSERT_CTE) + COUNTS_SELECT.format(rel="run2"))
+def q_upsert_twice_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.operators.upsert import change_counts
+
+    return change_counts(_upsert_runs(spark, sf_dir)[1])
+
+
+@register(
+    "upsert_history",
+    _with(UPSERT_CTE)
+    + """
+SELECT CAST(v AS BIGINT) AS version, 'MERGE' AS operation,
+       rows_inserted, rows_updated, rows_deleted
+FROM (
+  SELECT 1 AS v, COUNT(*) FILTER (WHERE _change = 'inserted') AS rows_inserted,
+         COUNT(*) FILTER (WHERE _change = 'updated') AS rows_updated, 0 AS rows_deleted FROM run1
+  UNION ALL
+  SELECT 2, COUNT(*) FILTER (WHERE _change = 'inserted'),
+         COUNT(*) FILTER (WHERE _change = 'updated'), 0 FROM run2
+) h""",
+)
+def q_upsert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History rows with a metrics MAP, read back by key (as a history scan)."""
+    from ratelake.operators.upsert import change_counts
+
+    runs = _upsert_runs(spark, sf_dir)
+    hist = None
+    for version, run in enumerate(runs, start=1):
+        c = change_counts(run)
+        row = c.select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit("MERGE").alias("operation"),
+            F.create_map(
+                F.lit("rows_inserted"), F.col("rows_inserted").cast("string"),
+                F.lit("rows_updated"), F.col("rows_updated").cast("string"),
+                F.lit("rows_deleted"), F.col("rows_deleted").cast("string"),
+            ).alias("operation_metrics"),
+        )
+        hist = row if hist is None else hist.unionByName(row)
+    return hist.selectExpr(
+        "version",
+        "operation",
+        "CAST(operation_metrics['rows_inserted'] AS BIGINT) AS rows_inserted",
+        "CAST(operation_metrics['rows_updated'] AS BIGINT) AS rows_updated",
+        "CAST(operation_metrics['rows_deleted'] AS BIGINT) AS rows_deleted",
+    ).orderBy("version")
