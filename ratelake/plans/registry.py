@@ -69,23 +69,30 @@ obs AS (
   FROM (SELECT * FROM policy_obs UNION ALL SELECT * FROM price_obs) u
 )"""
 
-POLICY_M_CTE = f"""
+def _policy_m(src: str = "obs") -> str:
+    return f"""
 policy_m AS (
   SELECT year_month,
          CAST(AVG(value) AS {DEC}) AS policy_mean_day,
          CAST(COUNT(*) AS INTEGER) AS policy_days,
          EXP(SUM(LN(1 + value / 100))) AS policy_factor
-  FROM obs WHERE series_name = '{P}' GROUP BY year_month
+  FROM {src} WHERE series_name = '{P}' GROUP BY year_month
 )"""
 
-PRICE_M_CTE = f"""
+
+def _price_m(src: str = "obs") -> str:
+    return f"""
 price_m AS (
   SELECT year_month,
          CAST(SUM(value) AS {DEC}) AS inflation_month,
          EXP(SUM(LN(1 + value / 100))) AS inflation_factor
-  FROM obs WHERE series_name = '{I}' GROUP BY year_month
+  FROM {src} WHERE series_name = '{I}' GROUP BY year_month
 )"""
 
+
+POLICY_M_CTE = _policy_m()
+PRICE_M_CTE = _price_m()
+
 MONTHLY_CTE = f"""
 monthly AS (
   SELECT year_month,
@@ -646,3 +653,382 @@ def q_upsert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(operation_metrics['rows_updated'] AS BIGINT) AS rows_updated",
         "CAST(operation_metrics['rows_deleted'] AS BIGINT) AS rows_deleted",
     ).orderBy("version")
+
+
+# --------------------------------------------------------------------------
+# Stand-in layers: Bronze rows rendered from the observations, conformed to
+# Silver, consolidated to Gold (no files; SQL re-derives every layer).
+# --------------------------------------------------------------------------
+def _standin_layers(spark: SparkSession, sf_dir: str):
+    from ratelake.operators.conform import conform
+
+    st = _settings(spark)
+    bronze = standins.bronze_standin(_obs(spark, sf_dir))
+    silver = conform(bronze, st.series, with_processed_at=False)
+    gold = build_gold(silver, st, with_processed_at=False)
+    return st, bronze, silver, gold
+
+
+def _case_sql(series, attr: str, col: str = "source_file") -> str:
+    parts = []
+    for sp in series:
+        v = getattr(sp, attr)
+        lit = f"'{v}'" if isinstance(v, str) else str(v)
+        parts.append(f"WHEN regexp_matches({col}, '{sp.file_pattern}') THEN {lit}")
+    return "CASE " + " ".join(parts) + " END"
+
+
+_SS = standins.STANDIN_SERIES
+LAYERS_CTE = f"""
+bronze AS (
+  SELECT strftime(ref_date, '%d/%m/%Y') AS date_raw,
+         CAST(value AS VARCHAR) AS value_raw,
+         'landing/feed=' || series_name || '_' || CAST(year(ref_date) AS VARCHAR) || '/part-00000.json' AS source_file,
+         make_timestamp(year(ref_date) + 1, 1, 1, 0, 0, 0) AS file_modified_at,
+         make_timestamp(year(ref_date) + 1, 1, 1, 1, 0, 0) AS ingested_at
+  FROM obs
+),
+typed AS (
+  SELECT CAST({_case_sql(_SS, 'series_id')} AS INTEGER) AS series_id,
+         {_case_sql(_SS, 'name')} AS series_name,
+         {_case_sql(_SS, 'granularity')} AS granularity,
+         CASE WHEN regexp_full_match(date_raw, '[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}')
+              THEN CAST(try_strptime(date_raw, '%d/%m/%Y') AS DATE) END AS ref_date,
+         TRY_CAST(value_raw AS {DEC}) AS value,
+         source_file, file_modified_at, ingested_at, date_raw, value_raw
+  FROM bronze
+),
+silver AS (
+  SELECT series_id, series_name, granularity, ref_date, strftime(ref_date, '%Y-%m') AS year_month,
+         value, source_file, ingested_at
+  FROM (SELECT *, row_number() OVER (
+          PARTITION BY series_id, ref_date
+          ORDER BY ingested_at DESC NULLS LAST, file_modified_at DESC NULLS LAST,
+                   source_file DESC NULLS LAST, value DESC NULLS LAST) AS rn
+        FROM typed
+        WHERE series_id IS NOT NULL AND ref_date IS NOT NULL AND value IS NOT NULL) x
+  WHERE rn = 1
+),
+{_policy_m('silver')},
+{_price_m('silver')},
+{MONTHLY_CTE},
+{_rolled_cte()},
+gold AS ({GOLD_SELECT})"""
+
+STANDIN_FIRST, STANDIN_LAST, STANDIN_LAST_DATE = "1995-01-01", "2001-11", "2001-11-30"
+STANDIN_MONTHS = 83
+
+BRONZE_METRICS_SQL = f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS bronze_rows,
+       CAST(COUNT(*) FILTER (WHERE source_file IS NULL OR ingested_at IS NULL) AS BIGINT) AS missing_provenance,
+       CAST(COUNT(DISTINCT source_file) AS BIGINT) AS distinct_files,
+       CAST(COUNT(DISTINCT {_case_sql(_SS, 'name')}) AS BIGINT) AS distinct_series,
+       CAST(COUNT(*) FILTER (WHERE date_raw IS NULL AND value_raw IS NULL) AS BIGINT) AS empty_rows,
+       CAST(COUNT(DISTINCT source_file) AS BIGINT) AS landing_files
+FROM bronze"""
+
+_DOMAIN_SQL = " OR ".join(
+    f"(series_name = '{sp.name}' AND (value < {sp.domain[0]} OR value > {sp.domain[1]}))" for sp in _SS
+)
+SILVER_METRICS_SQL = f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS silver_rows,
+       CAST((SELECT COUNT(*) FROM (SELECT DISTINCT series_id, ref_date FROM silver) d) AS BIGINT) AS distinct_keys,
+       CAST(COUNT(*) FILTER (WHERE {_DOMAIN_SQL}) AS BIGINT) AS out_of_domain,
+       CAST(COUNT(*) FILTER (WHERE ref_date < DATE '{STANDIN_FIRST}' OR ref_date > DATE '{STANDIN_LAST_DATE}') AS BIGINT) AS out_of_window,
+       CAST(COUNT(DISTINCT year_month) FILTER (WHERE series_name = '{I}') AS BIGINT) AS inflation_months,
+       CAST(COUNT(*) FILTER (WHERE series_name = '{I}' AND day(ref_date) <> 1) AS BIGINT) AS inflation_not_day1,
+       CAST((SELECT COUNT(*) FROM (SELECT year_month FROM silver WHERE series_name = '{P}'
+                                   GROUP BY year_month HAVING COUNT(*) < 15) t) AS BIGINT) AS thin_policy_months,
+       CAST(COUNT(*) FILTER (WHERE value <= -100) AS BIGINT) AS nonpositive_factors,
+       CAST(COUNT(*) FILTER (WHERE series_id IS NULL OR series_name IS NULL OR granularity IS NULL
+                               OR ref_date IS NULL OR year_month IS NULL OR value IS NULL) AS BIGINT) AS null_required,
+       CAST((SELECT COUNT(*) FROM typed WHERE ref_date IS NULL OR value IS NULL) AS BIGINT) AS rejected_rows,
+       CAST((SELECT COUNT(*) FROM typed WHERE series_id IS NULL) AS BIGINT) AS unmapped_rows
+FROM silver"""
+
+GOLD_METRICS_SQL = """
+SELECT CAST(COUNT(*) AS BIGINT) AS gold_rows,
+       CAST(COUNT(DISTINCT year_month) AS BIGINT) AS distinct_months,
+       CAST(COUNT(*) FILTER (WHERE policy_mean_day IS NULL OR policy_month IS NULL
+                               OR inflation_month IS NULL OR real_month IS NULL) AS BIGINT) AS missing_metrics,
+       CAST(COUNT(real_12m) AS BIGINT) AS filled_rolling,
+       CAST(COUNT(*) FILTER (WHERE ABS((1 + real_month / 100) * (1 + inflation_month / 100)
+                                       - (1 + policy_month / 100)) > 0.000001) AS BIGINT) AS fisher_violations,
+       CAST(COUNT(*) FILTER (WHERE policy_days < 15) AS BIGINT) AS thin_policy_months
+FROM gold"""
+
+
+def _standin_landing_files(bronze: DataFrame):
+    return bronze.agg(F.count_distinct("source_file")).scalar()
+
+
+@register("bronze_metrics", _with(OBS_CTE, LAYERS_CTE) + BRONZE_METRICS_SQL)
+def q_bronze_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.checks import bronze_metrics
+
+    st, bronze, _, _ = _standin_layers(spark, sf_dir)
+    return bronze_metrics(bronze, st, _standin_landing_files(bronze))
+
+
+@register("silver_metrics", _with(OBS_CTE, LAYERS_CTE) + SILVER_METRICS_SQL)
+def q_silver_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.checks import silver_metrics
+
+    st, bronze, silver, _ = _standin_layers(spark, sf_dir)
+    return silver_metrics(silver, st, bronze)
+
+
+@register("gold_metrics", _with(OBS_CTE, LAYERS_CTE) + GOLD_METRICS_SQL)
+def q_gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.checks import gold_metrics
+
+    st, _, _, gold = _standin_layers(spark, sf_dir)
+    return gold_metrics(gold, st)
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _checks_sql() -> str:
+    from ratelake.plans.checks import bronze_checks, gold_checks, silver_checks
+
+    st = standins.standin_settings("unused")
+    parts = []
+    for layer, checks, cte in (
+        ("bronze", bronze_checks(st), "bm"),
+        ("silver", silver_checks(st), "sm"),
+        ("gold", gold_checks(st), "gm"),
+    ):
+        for c in checks:
+            parts.append(
+                f"SELECT '{layer}' AS layer, {_q(c.name)} AS name, COALESCE({c.passed}, FALSE) AS passed, "
+                f"{_q(c.expected)} AS expected, CAST({c.observed} AS VARCHAR) AS observed, "
+                f"{_q(c.description)} AS description FROM {cte}"
+            )
+    return (
+        _with(
+            OBS_CTE,
+            LAYERS_CTE,
+            f"bm AS ({BRONZE_METRICS_SQL})",
+            f"sm AS ({SILVER_METRICS_SQL})",
+            f"gm AS ({GOLD_METRICS_SQL})",
+        )
+        + "\n"
+        + "\nUNION ALL\n".join(parts)
+    )
+
+
+QUALITY_REPORT_SQL = _checks_sql()
+
+
+def _quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.checks import bronze_results, gold_results, silver_results
+
+    st, bronze, silver, gold = _standin_layers(spark, sf_dir)
+    return (
+        bronze_results(bronze, st, _standin_landing_files(bronze))
+        .unionByName(silver_results(silver, st, bronze))
+        .unionByName(gold_results(gold, st))
+    )
+
+
+@register("quality_report_all", QUALITY_REPORT_SQL)
+def q_quality_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality_results(spark, sf_dir)
+
+
+@register(
+    "check_report",
+    "SELECT layer, name, CASE WHEN passed THEN 'PASSED' ELSE 'FAILED' END AS status, expected, observed, description "
+    f"FROM ({QUALITY_REPORT_SQL}) r",
+)
+def q_check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import check_report
+
+    return check_report(_quality_results(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Evidence reports (E1-E11) on the stand-in layers
+# --------------------------------------------------------------------------
+@register(
+    "bronze_profile",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT source_file, CAST(COUNT(*) AS BIGINT) AS rows, MIN(date_raw) AS first_date_raw,
+       MAX(date_raw) AS last_date_raw, CAST(MAX(ingested_at) AS VARCHAR) AS last_ingested_at
+FROM bronze GROUP BY source_file""",
+)
+def q_bronze_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import bronze_profile
+
+    _, bronze, _, _ = _standin_layers(spark, sf_dir)
+    return bronze_profile(bronze).withColumn("last_ingested_at", F.col("last_ingested_at").cast("string"))
+
+
+@register("bronze_sample")
+def q_bronze_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import bronze_sample
+
+    _, bronze, _, _ = _standin_layers(spark, sf_dir)
+    return bronze_sample(bronze).withColumn("ingested_at", F.col("ingested_at").cast("string")).withColumn(
+        "file_modified_at", F.col("file_modified_at").cast("string")
+    )
+
+
+@register(
+    "silver_profile",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT series_name, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT ref_date) AS BIGINT) AS distinct_dates,
+       MIN(ref_date) AS first_date, MAX(ref_date) AS last_date
+FROM silver GROUP BY series_name""",
+)
+def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import silver_profile
+
+    _, _, silver, _ = _standin_layers(spark, sf_dir)
+    return silver_profile(silver)
+
+
+@register(
+    "first_inflation_observations",
+    _with(OBS_CTE, LAYERS_CTE)
+    + f"""
+SELECT series_id, series_name, granularity, ref_date, year_month, value, source_file,
+       CAST(ingested_at AS VARCHAR) AS ingested_at
+FROM silver WHERE series_name = '{I}' ORDER BY ref_date LIMIT 10""",
+)
+def q_first_inflation_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import first_observations
+
+    _, _, silver, _ = _standin_layers(spark, sf_dir)
+    return first_observations(silver, I).withColumn("ingested_at", F.col("ingested_at").cast("string"))
+
+
+@register(
+    "december_view",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT year_month,
+       CAST(ROUND(inflation_12m, 2) AS DECIMAL(18,2)) AS inflation_12m,
+       CAST(ROUND(policy_12m, 2) AS DECIMAL(18,2)) AS policy_12m,
+       CAST(ROUND(real_12m, 2) AS DECIMAL(18,2)) AS real_12m
+FROM gold WHERE year_month LIKE '%-12' ORDER BY year_month""",
+)
+def q_december_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import december_view
+
+    _, _, _, gold = _standin_layers(spark, sf_dir)
+    return december_view(gold)
+
+
+@register(
+    "monthly_view",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT year_month,
+       CAST(ROUND(policy_mean_day, 6) AS DECIMAL(18,6)) AS policy_mean_day, policy_days,
+       CAST(ROUND(policy_month, 4) AS DECIMAL(18,4)) AS policy_month,
+       CAST(ROUND(inflation_month, 4) AS DECIMAL(18,4)) AS inflation_month,
+       CAST(ROUND(real_month, 4) AS DECIMAL(18,4)) AS real_month,
+       CAST(ROUND(policy_12m, 2) AS DECIMAL(18,2)) AS policy_12m,
+       CAST(ROUND(inflation_12m, 2) AS DECIMAL(18,2)) AS inflation_12m,
+       CAST(ROUND(real_12m, 2) AS DECIMAL(18,2)) AS real_12m
+FROM gold ORDER BY year_month""",
+)
+def q_monthly_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import monthly_view
+
+    _, _, _, gold = _standin_layers(spark, sf_dir)
+    return monthly_view(gold)
+
+
+@register(
+    "layer_volumes",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT 'bronze' AS layer, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT source_file) AS BIGINT) AS files FROM bronze
+UNION ALL
+SELECT 'silver', CAST(COUNT(*) AS BIGINT), CAST(COUNT(DISTINCT source_file) AS BIGINT) FROM silver
+UNION ALL
+SELECT 'gold', CAST(COUNT(*) AS BIGINT), CAST(NULL AS BIGINT) FROM gold""",
+)
+def q_layer_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import layer_volumes
+
+    _, bronze, silver, gold = _standin_layers(spark, sf_dir)
+    return layer_volumes(bronze, silver, gold)
+
+
+@register(
+    "ingest_batches",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT source_file, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT ingested_at) AS BIGINT) AS ingest_batches
+FROM bronze GROUP BY source_file""",
+)
+def q_ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import ingest_batches
+
+    _, bronze, _, _ = _standin_layers(spark, sf_dir)
+    return ingest_batches(bronze)
+
+
+@register(
+    "grain_report",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT 'silver' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows,
+       CAST((SELECT COUNT(*) FROM (SELECT DISTINCT series_id, ref_date FROM silver) d) AS BIGINT) AS distinct_keys
+FROM silver
+UNION ALL
+SELECT 'gold', CAST(COUNT(*) AS BIGINT), CAST(COUNT(DISTINCT year_month) AS BIGINT) FROM gold""",
+)
+def q_grain_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratelake.plans.reports import grain_report
+
+    _, _, silver, gold = _standin_layers(spark, sf_dir)
+    return grain_report(silver, gold)
+
+
+YEARLY_REF_CTE = f"""
+yearly_ref AS (
+  SELECT strftime(ref_date, '%Y') || '-12' AS year_month,
+         CAST(ROUND((EXP(SUM(LN(1 + value / 100))) - 1) * 100, 2) AS DECIMAL(18,2)) AS reference
+  FROM price_obs GROUP BY strftime(ref_date, '%Y') HAVING COUNT(*) = 12
+)"""
+
+
+@register(
+    "external_validation",
+    _with(OBS_CTE, LAYERS_CTE, YEARLY_REF_CTE)
+    + """
+SELECT g.year_month,
+       CAST(ROUND(g.inflation_12m, 2) AS DECIMAL(18,2)) AS inflation_12m,
+       r.reference,
+       CAST(ROUND(g.inflation_12m, 2) - r.reference AS DECIMAL(18,2)) AS difference,
+       CAST(ROUND(g.policy_12m, 2) AS DECIMAL(18,2)) AS policy_12m,
+       CAST(ROUND(g.real_12m, 2) AS DECIMAL(18,2)) AS real_12m
+FROM gold g JOIN yearly_ref r ON r.year_month = g.year_month
+ORDER BY g.year_month""",
+)
+def q_external_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold Decembers vs an independent yearly figure: the calendar-year
+    product of the monthly price factors, computed straight from orders."""
+    from ratelake.functions.rates import compound_rate
+    from ratelake.plans.reports import external_validation
+
+    _, _, _, gold = _standin_layers(spark, sf_dir)
+    price = standins.price_observations(standins.table(spark, sf_dir, "orders"))
+    yearly = (
+        price.groupBy(F.year("ref_date").alias("y"))
+        .agg(compound_rate("value").alias("r"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") == 12)
+        .select(
+            F.concat(F.col("y").cast("string"), F.lit("-12")).alias("year_month"),
+            F.round("r", 2).cast("decimal(18,2)").alias("reference"),
+        )
+    )
+    return external_validation(gold, yearly)

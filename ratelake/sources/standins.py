@@ -17,8 +17,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import dataclasses
+
 from ratelake.functions.parsing import year_month
-from ratelake.settings import INFLATION_SERIES, POLICY_SERIES, SeriesSpec, Settings
+from ratelake.settings import DEFAULT_SERIES, INFLATION_SERIES, POLICY_SERIES, SeriesSpec, Settings
 
 OBS_COLUMNS = ("series_id", "series_name", "granularity", "ref_date", "year_month", "value")
 
@@ -61,12 +63,63 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _folder_pattern(name: str) -> str:
+    # Spark writers name files part-*; the series is in the folder name.
+    return rf"[/=]{name}[^/]*/[^/]+\.json$"
+
+
+# Stand-in landing layout: <landing>/feed=<series>_<year>/part-*.json
+STANDIN_SERIES = tuple(dataclasses.replace(s, file_pattern=_folder_pattern(s.name)) for s in DEFAULT_SERIES)
+
+
 def standin_settings(root: str, **changes) -> Settings:
-    """Settings whose window matches the benchmark calendar (1995-01..2001-11)."""
-    base = Settings(root=root, first_month="1995-01", last_month="2001-11")
+    """Settings for the stand-ins: benchmark calendar (1995-01..2001-11),
+    JSON-lines landing files in one folder per series-year."""
+    base = Settings(
+        root=root, series=STANDIN_SERIES, first_month="1995-01", last_month="2001-11", multi_line=False
+    )
     return base.with_(**changes) if changes else base
 
 
+def feed_name(obs: DataFrame):
+    return F.concat(F.col("series_name"), F.lit("_"), F.year("ref_date").cast("string"))
+
+
+def bronze_standin(obs: DataFrame, date_format: str = "dd/MM/yyyy") -> DataFrame:
+    """Bronze-shaped rows for the observations, without physical files.
+
+    One notional landing file per series-year, modified on the next New
+    Year's Day and ingested an hour later (deterministic, so that reports
+    over it have an SQL oracle).
+    """
+    modified = F.make_timestamp(
+        F.year("ref_date") + 1, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
+    )
+    return obs.select(
+        F.date_format("ref_date", date_format).alias("date_raw"),
+        F.col("value").cast("string").alias("value_raw"),
+        F.concat(F.lit("landing/feed="), feed_name(obs), F.lit("/part-00000.json")).alias("source_file"),
+        modified.alias("file_modified_at"),
+        (modified + F.expr("INTERVAL 1 HOUR")).alias("ingested_at"),
+    )
+
+
+def write_landing(obs: DataFrame, landing: str, date_format: str = "dd/MM/yyyy") -> None:
+    """Write the observations as landing files (JSON lines of data/valor text),
+    one folder per series-year, partitioned by Spark (no driver round trip)."""
+    (
+        obs.select(
+            feed_name(obs).alias("feed"),
+            F.date_format("ref_date", date_format).alias("data"),
+            F.col("value").cast("string").alias("valor"),
+        )
+        .repartition("feed")
+        .write.mode("append")
+        .partitionBy("feed")
+        .json(landing)
+    )
+
+
 def raw_records(obs: DataFrame, date_format: str = "dd/MM/yyyy") -> DataFrame:
     """Observations rendered back to the landing payload text (data, valor)."""
     return obs.select(
