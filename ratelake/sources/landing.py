@@ -162,7 +162,9 @@ def payload_contract(
         )
     )
     j = files.join(rows, "source_file", "left").fillna(0, ["records", "unparsed", "missing_date", "missing_value"])
-    is_list = F.col("first_char") == "["
+    # A pretty-printed file must be one JSON array; a JSON-lines file holds
+    # one record (or one array of records) per line.
+    is_list = F.col("first_char") == "[" if multi_line else F.col("first_char").isin("[", "{")
     non_empty = F.col("records") > 0
     valid_json = F.col("unparsed") == 0
     fields = (F.col("missing_date") == 0) & (F.col("missing_value") == 0)
