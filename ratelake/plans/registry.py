@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratelake.functions.numeric import exact_mean
 from ratelake.operators.rolling import rolling_compound
 from ratelake.operators.rollup import monthly_inflation, monthly_policy
 from ratelake.functions.rates import to_percent
@@ -48,19 +49,28 @@ def _settings(spark: SparkSession):
 # --------------------------------------------------------------------------
 # Oracle building blocks (DuckDB dialect).
 # --------------------------------------------------------------------------
+def exact_mean_sql(col: str, decimals: int = 2, shift: int = 0) -> str:
+    """Integer-only HALF_UP mean to 8 decimals (same definition as exact_mean)."""
+    up = 8 - decimals - shift
+    num = f"(SUM(CAST(CAST({col} AS DECIMAL(18,{decimals})) * {10 ** decimals} AS BIGINT)) * {10 ** up})"
+    den = f"NULLIF(COUNT({col}), 0)"
+    units = f"(CAST(sign({num}) AS BIGINT) * ((2 * abs({num}) + {den}) // (2 * {den})))"
+    return f"CAST(CAST({units} AS DECIMAL(18,0)) * CAST(0.00000001 AS DECIMAL(18,8)) AS {DEC})"
+
+
 OBS_CTE = f"""
 policy_obs AS (
   SELECT CAST({POLICY_SERIES.series_id} AS INTEGER) AS series_id,
          '{P}' AS series_name, '{POLICY_SERIES.granularity}' AS granularity,
          CAST(l_shipdate AS DATE) AS ref_date,
-         CAST(AVG(CAST(l_discount AS {DEC})) AS {DEC}) AS value
+         {exact_mean_sql('l_discount', 2)} AS value
   FROM lineitem GROUP BY CAST(l_shipdate AS DATE)
 ),
 price_obs AS (
   SELECT CAST({INFLATION_SERIES.series_id} AS INTEGER) AS series_id,
          '{I}' AS series_name, '{INFLATION_SERIES.granularity}' AS granularity,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS ref_date,
-         CAST(AVG(CAST(o_totalprice AS DECIMAL(18,2))) / 1000000 AS {DEC}) AS value
+         {exact_mean_sql('o_totalprice', 2, 6)} AS value
   FROM orders GROUP BY CAST(date_trunc('month', o_orderdate) AS DATE)
 ),
 obs AS (
@@ -284,7 +294,7 @@ def q_rolling12_calendar_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH seg AS (
   SELECT c.c_mktsegment AS segment,
          strftime(CAST(date_trunc('month', o.o_orderdate) AS DATE), '%Y-%m') AS year_month,
-         CAST(AVG(CAST(o.o_totalprice AS DECIMAL(18,2))) / 1000000 AS {DEC}) AS value
+         {exact_mean_sql('o.o_totalprice', 2, 6)} AS value
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   GROUP BY 1, 2
 ), f AS (
@@ -306,11 +316,7 @@ def q_rolling12_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("c_mktsegment").alias("segment"),
             F.date_format(F.trunc(F.to_date("o_orderdate"), "month"), "yyyy-MM").alias("year_month"),
         )
-        .agg(
-            (F.avg(F.col("o_totalprice").cast("decimal(18,2)")) / F.lit(1000000))
-            .cast("decimal(18,8)")
-            .alias("value")
-        )
+        .agg(exact_mean("o_totalprice", decimals=2, shift=6).alias("value"))
         .withColumn("price_factor", F.lit(1) + F.col("value") / F.lit(100))
     )
     rolled = rolling_compound(seg, {"price_12m": "price_factor"}, partition_by=["segment"])

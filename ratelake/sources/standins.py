@@ -9,6 +9,9 @@ are derived from them; every query that uses them grows with the tables.
   DECIMAL(18,2)) divided by 1,000,000; values near 0.15 like a monthly
   inflation rate in percent.
 
+Both means are exact fixed-point means rounded HALF_UP to 8 decimals
+(``exact_mean``), so any engine reproduces them digit for digit.
+
 They use the policy/inflation series metadata, so default settings apply.
 """
 
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 import dataclasses
 
+from ratelake.functions.numeric import exact_mean
 from ratelake.functions.parsing import year_month
 from ratelake.settings import DEFAULT_SERIES, INFLATION_SERIES, POLICY_SERIES, SeriesSpec, Settings
 
@@ -42,16 +46,14 @@ def _tag(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 
 def policy_observations(lineitem: DataFrame, spec: SeriesSpec = POLICY_SERIES) -> DataFrame:
     daily = lineitem.groupBy(F.to_date("l_shipdate").alias("ref_date")).agg(
-        F.avg(F.col("l_discount").cast("decimal(18,8)")).cast("decimal(18,8)").alias("value")
+        exact_mean("l_discount", decimals=2).alias("value")
     )
     return _tag(daily, spec)
 
 
 def price_observations(orders: DataFrame, spec: SeriesSpec = INFLATION_SERIES) -> DataFrame:
     monthly = orders.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("ref_date")).agg(
-        (F.avg(F.col("o_totalprice").cast("decimal(18,2)")) / F.lit(1000000))
-        .cast("decimal(18,8)")
-        .alias("value")
+        exact_mean("o_totalprice", decimals=2, shift=6).alias("value")
     )
     return _tag(monthly, spec)
 
