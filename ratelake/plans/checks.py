@@ -19,18 +19,25 @@ from ratelake.sources.landing import count_files
 
 # ---------------------------------------------------------------- Bronze
 def bronze_metrics(bronze: DataFrame, settings: Settings, landing_files: Column | None = None) -> DataFrame:
+    """Two-level aggregation: per source file (partial aggregation map-side,
+    so a file holding a third of all rows costs one row per task in the
+    shuffle), then global over the file rows. Distinct files and distinct
+    series are plain counts over the per-file rows: no row expansion."""
     if landing_files is None:
         spark = bronze.sparkSession
         landing_files = scalar_or(lambda: count_files(spark, settings.landing, settings.file_glob), 0)
+    per_file = bronze.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("source_file").isNull() | F.col("ingested_at").isNull()).alias("missing"),
+        F.count_if(F.col("date_raw").isNull() & F.col("value_raw").isNull()).alias("empty"),
+    )
     series_name = series_attribute(F.col("source_file"), settings.series, "name")
-    return bronze.agg(
-        F.count(F.lit(1)).cast("bigint").alias("bronze_rows"),
-        F.count_if(F.col("source_file").isNull() | F.col("ingested_at").isNull())
-        .cast("bigint")
-        .alias("missing_provenance"),
-        F.count_distinct("source_file").cast("bigint").alias("distinct_files"),
+    return per_file.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("bronze_rows"),
+        F.coalesce(F.sum("missing"), F.lit(0)).cast("bigint").alias("missing_provenance"),
+        F.count("source_file").cast("bigint").alias("distinct_files"),
         F.count_distinct(series_name).cast("bigint").alias("distinct_series"),
-        F.count_if(F.col("date_raw").isNull() & F.col("value_raw").isNull()).cast("bigint").alias("empty_rows"),
+        F.coalesce(F.sum("empty"), F.lit(0)).cast("bigint").alias("empty_rows"),
     ).withColumn("landing_files", landing_files.cast("bigint"))
 
 

@@ -18,7 +18,7 @@ from ratelake.operators.conform import conform
 from ratelake.operators.quality import DataQualityError, collect_results, gate
 from ratelake.plans.checks import bronze_results, gold_results, silver_results
 from ratelake.plans.gold import build_gold
-from ratelake.schemas import SILVER_KEY
+from ratelake.schemas import GOLD_TABLE_COMMENT, SILVER_COMMENTS, SILVER_KEY, SILVER_TABLE_COMMENT
 from ratelake.settings import Settings
 from ratelake.sources.tables import VersionedTable
 from ratelake.streaming.ingest import ingest, read_bronze
@@ -60,11 +60,33 @@ def run_bronze(spark: SparkSession, s: Settings, report: RunReport, stop: bool)
     return bronze
 
 
+# The upsert joins only the (series, month) slices that the new data touches;
+# the rest of Silver passes through without a shuffle.
+SILVER_PRUNE_BY = ("series_id", "year_month")
+
+
 def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunReport, stop: bool) -> DataFrame:
     table = VersionedTable(spark, s.silver_path)
     before = table.count()
-    source = conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type)
-    m = table.merge(source, SILVER_KEY, "ingested_at")
+    if s.silver_mode == "incremental":
+        from ratelake.streaming.ingest import incremental_silver
+
+        inc = incremental_silver(spark, s)
+        last = table.history().orderBy(F.col("version").desc()).first()
+        counts = {k: int(v) for k, v in (last.operation_metrics if last else {}).items() if k.startswith("rows_")}
+        if not inc["batches"]:
+            counts.update(rows_inserted=0, rows_updated=0)
+        m = {"batches": inc["batches"], **counts, "rows_total": table.count()}
+    else:
+        source = conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type)
+        m = table.merge(
+            source,
+            SILVER_KEY,
+            "ingested_at",
+            prune_by=SILVER_PRUNE_BY,
+            comment=SILVER_TABLE_COMMENT,
+            column_comments=SILVER_COMMENTS,
+        )
     report.metrics["silver"] = {"rows_before": before, "rows_after": m["rows_total"], **m}
     silver = table.read()
     _gate(silver_results(silver, s, bronze), "silver", report, stop)
@@ -73,7 +95,7 @@ def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunR
 
 def run_gold(spark: SparkSession, s: Settings, silver: DataFrame, report: RunReport, stop: bool) -> DataFrame:
     table = VersionedTable(spark, s.gold_path)
-    m = table.overwrite(build_gold(silver, s), "REBUILD")
+    m = table.overwrite(build_gold(silver, s), "REBUILD", comment=GOLD_TABLE_COMMENT)
     report.metrics["gold"] = {"rows": m["rows_total"], "version": m["version"]}
     gold = table.read()
     _gate(gold_results(gold, s), "gold", report, stop)

@@ -39,6 +39,22 @@ SILVER = T.StructType(
     ]
 )
 SILVER_KEY = ("series_id", "ref_date")
+SILVER_COMMENTS = {
+    "series_id": "Series code at the publisher",
+    "series_name": "Series name (policy rate or inflation)",
+    "granularity": "Publication frequency label",
+    "ref_date": "Observation date",
+    "year_month": "Period key, yyyy-MM",
+    "value": "Rate in percent per period of the series",
+    "source_file": "Landing file the record came from",
+    "ingested_at": "Bronze ingest time",
+    "processed_at": "Silver processing time",
+}
+SILVER_TABLE_COMMENT = "Grain: one row per series and observation date. Business key: (series_id, ref_date)."
+GOLD_TABLE_COMMENT = (
+    "Grain: one row per month (year_month). Real rate by the Fisher equation "
+    "over the policy rate compounded within the month."
+)
 
 # Gold: one row per year_month.
 GOLD_COLUMNS = (

@@ -42,6 +42,11 @@ def shared_root(spark: SparkSession) -> str:
     """
     conf = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a shared folder: scratch tables and lineage cuts "
+                "must live where every executor can read them"
+            )
         conf = tempfile.mkdtemp(prefix="ratelake-")
         spark.sparkContext.setCheckpointDir(conf)
     return conf.rstrip("/")

@@ -85,6 +85,9 @@ class Settings:
     rolling_gate: str = "rows"  # "rows" (reference rule) or "factors"
     rolling_frame: str = "rows"  # "rows" or "months" (calendar RANGE frame)
     gold_strategy: str = "onepass"  # "onepass" or "join"
+    # Silver: "batch" re-conforms all of Bronze each run (published behaviour);
+    # "incremental" streams only new Bronze files through foreachBatch.
+    silver_mode: str = "batch"
     # Quality thresholds.
     min_policy_days_per_month: int = 15
     fisher_tolerance: float = 1e-6  # in fraction units, not percentage points

@@ -78,6 +78,12 @@ class VersionedTable:
         ]
         self.spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(self.history_path)
 
+    def comment(self) -> str | None:
+        """The table comment recorded by the latest version that set one."""
+        h = self.history().filter(F.col("operation_metrics")["table_comment"].isNotNull())
+        row = h.orderBy(F.col("version").desc()).select(F.col("operation_metrics")["table_comment"]).first()
+        return None if row is None else row[0]
+
     def write_changes(
         self,
         changes: DataFrame,
@@ -85,11 +91,24 @@ class VersionedTable:
         *,
         partition_by: Sequence[str] = (),
         extra_metrics: Mapping[str, object] | None = None,
+        comment: str | None = None,
+        column_comments: Mapping[str, str] | None = None,
     ) -> dict:
-        """Write a tagged result as the next version and commit it."""
+        """Write a tagged result as the next version and commit it.
+
+        ``column_comments`` travel in the Parquet schema (field metadata);
+        ``comment`` is the table comment, kept with the version in history.
+        """
         current = self.latest_version()
         version = 0 if current is None else current + 1
         target = f"{self.path}/v={version}"
+        if column_comments:
+            changes = changes.select(
+                *[
+                    F.col(c).alias(c, metadata={"comment": column_comments[c]}) if c in column_comments else F.col(c)
+                    for c in changes.columns
+                ]
+            )
         w = changes.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
@@ -98,6 +117,8 @@ class VersionedTable:
         # not from re-running the join that produced it.
         counts = change_counts(self.spark.read.parquet(target)).first().asDict()
         metrics = {**counts, **(extra_metrics or {})}
+        if comment:
+            metrics["table_comment"] = comment
         self._commit(version, operation, metrics)
         return {"version": version, **metrics}
 
@@ -111,12 +132,10 @@ class VersionedTable:
         newer_by: str,
         *,
         prune_by: Sequence[str] = (),
-        partition_by: Sequence[str] = (),
+        **write_kw,
     ) -> dict:
         """Upsert ``source`` into the latest version; returns the counters."""
         if not self.exists():
-            return self.write_changes(
-                source.withColumn(CHANGE, F.lit("inserted")), "MERGE", partition_by=partition_by
-            )
+            return self.write_changes(source.withColumn(CHANGE, F.lit("inserted")), "MERGE", **write_kw)
         changes = merge_changes(self.read(), source, keys, newer_by, prune_by=prune_by)
-        return self.write_changes(changes, "MERGE", partition_by=partition_by)
+        return self.write_changes(changes, "MERGE", **write_kw)
