@@ -197,6 +197,13 @@ def silver_checks(settings: Settings) -> list[Check]:
             "thin_policy_months",
             "A thin month would distort the monthly mean and compounding.",
         ),
+        Check(
+            "silver_required_columns_not_null",
+            "coalesce(null_required, 0) = 0",
+            "0 rows with NULL series_id, series_name, granularity, ref_date, year_month or value",
+            "null_required",
+            "The NOT NULL contract of the Silver columns (plain Parquet does not enforce it).",
+        ),
         Check(
             "silver_no_unmapped_files",
             "coalesce(unmapped_rows, 0) = 0",

@@ -158,6 +158,11 @@ def external_validation(gold: DataFrame, reference: DataFrame, digits: int = 2)
     )
 
 
+def validate_official(spark: SparkSession, gold: DataFrame) -> DataFrame:
+    """Decembers of the published series vs the official yearly inflation."""
+    return external_validation(gold, official_reference(spark))
+
+
 def check_report(results: DataFrame) -> DataFrame:
     """All check results with a status word, layer order kept."""
     order = F.when(F.col("layer") == "bronze", 0).when(F.col("layer") == "silver", 1).otherwise(2)

@@ -88,6 +88,9 @@ class Settings:
     # Silver: "batch" re-conforms all of Bronze each run (published behaviour);
     # "incremental" streams only new Bronze files through foreachBatch.
     silver_mode: str = "batch"
+    # "after_commit": checks run on the committed version (published order);
+    # "before_commit": a version becomes visible only once its checks pass.
+    gate_mode: str = "after_commit"
     # Quality thresholds.
     min_policy_days_per_month: int = 15
     fisher_tolerance: float = 1e-6  # in fraction units, not percentage points

@@ -93,6 +93,7 @@ class VersionedTable:
         extra_metrics: Mapping[str, object] | None = None,
         comment: str | None = None,
         column_comments: Mapping[str, str] | None = None,
+        commit: bool = True,
     ) -> dict:
         """Write a tagged result as the next version and commit it.
 
@@ -119,8 +120,15 @@ class VersionedTable:
         metrics = {**counts, **(extra_metrics or {})}
         if comment:
             metrics["table_comment"] = comment
-        self._commit(version, operation, metrics)
-        return {"version": version, **metrics}
+        if commit:
+            self._commit(version, operation, metrics)
+        return {"version": version, "operation": operation, "committed": commit, **metrics}
+
+    def commit_pending(self, written: Mapping[str, object]) -> None:
+        """Commit a version written with ``commit=False`` (after its checks passed)."""
+        skip = {"version", "operation", "committed"}
+        metrics = {k: v for k, v in written.items() if k not in skip}
+        self._commit(int(written["version"]), str(written["operation"]), metrics)
 
     def overwrite(self, df: DataFrame, operation: str = "WRITE", **kw) -> dict:
         return self.write_changes(df.withColumn(CHANGE, F.lit("inserted")), operation, **kw)

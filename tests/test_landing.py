@@ -84,7 +84,7 @@ def test_layered_run_clean_and_idempotent(spark, root):
     st = settings_for(root)
     n = _land(st)
     r1 = run(spark, st)
-    assert r1.passed and len(r1.results) == 20
+    assert r1.passed and len(r1.results) == 21
     assert r1.metrics["bronze"]["rows_ingested"] == n
     assert r1.metrics["silver"]["rows_inserted"] == n
     assert r1.metrics["gold"]["rows"] == 24

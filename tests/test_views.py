@@ -48,3 +48,36 @@ def test_incremental_silver_mode_matches_batch(spark, tmp_path):
     assert ga.exceptAll(gb).count() == 0
     rb2 = run(spark, b)
     assert rb2.metrics["silver"]["rows_inserted"] == 0 and rb2.metrics["silver"]["rows_total"] == sa.count()
+
+
+def test_before_commit_gate_keeps_bad_version_invisible(spark, root):
+    import pytest
+
+    from ratelake.operators.quality import DataQualityError
+
+    st = settings_for(root, gate_mode="before_commit")
+    n = _land(st)
+    assert run(spark, st).passed
+    silver = VersionedTable(spark, st.silver_path)
+    v0 = silver.latest_version()
+    # a resent file that moves a value out of its domain
+    sel, _ = series_payload(months=1, days=1, daily="5.0")
+    write_json(f"{st.landing}/selic_fix.json", sel)
+    with pytest.raises(DataQualityError) as e:
+        run(spark, st)
+    assert "silver_values_in_domain" in str(e.value)
+    assert silver.latest_version() == v0 and silver.read().count() == n
+    assert silver.read().filter("value > 1").count() == 0
+
+
+def test_official_validation_join(spark):
+    from decimal import Decimal
+
+    from ratelake.plans.reports import validate_official
+
+    gold = spark.createDataFrame(
+        [("2020-12", Decimal("4.52123456"), Decimal("2.76"), Decimal("-1.68")), ("2020-11", None, None, None)],
+        "year_month string, inflation_12m decimal(18,8), policy_12m decimal(18,8), real_12m decimal(18,8)",
+    )
+    rows = validate_official(spark, gold).collect()
+    assert len(rows) == 1 and rows[0].reference == Decimal("4.52") and rows[0].difference == Decimal("0.00")
