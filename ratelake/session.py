@@ -58,3 +58,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def materialize(df, label: str):
+    """Write ``df`` once as Parquet under the shared root and read it back.
+
+    A written table cuts the lineage (executor loss no longer replays the
+    upstream plan) and, unlike an eager ``checkpoint()`` of an uncached
+    DataFrame, computes the input only once.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

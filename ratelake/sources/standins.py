@@ -58,11 +58,23 @@ def price_observations(orders: DataFrame, spec: SeriesSpec = INFLATION_SERIES) -
     return _tag(monthly, spec)
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long observation table: both stand-in series."""
-    return policy_observations(table(spark, sf_dir, "lineitem")).unionByName(
+def observations(spark: SparkSession, sf_dir: str, *, materialize: bool = True) -> DataFrame:
+    """Long observation table: both stand-in series.
+
+    The table has one row per series and day (bounded by the calendar, not
+    by the size of the source tables), so it is written once as a table in
+    the shared folder and read back. That cuts the lineage for the layers
+    built on top, and stops the optimizer from pushing Silver's per-row
+    parsing predicates below the daily rollup into the raw scan.
+    """
+    obs = policy_observations(table(spark, sf_dir, "lineitem")).unionByName(
         price_observations(table(spark, sf_dir, "orders"))
     )
+    if not materialize:
+        return obs
+    from ratelake.session import materialize
+
+    return materialize(obs, "observations")
 
 
 def _folder_pattern(name: str) -> str:
