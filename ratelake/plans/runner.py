@@ -57,8 +57,13 @@ def _gate(results_df: DataFrame, layer: str, report: RunReport, stop: bool) -> b
 
 def ensure_layout(spark: SparkSession, settings: Settings) -> None:
     """Create the landing, checkpoint and table folders (idempotent)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    from ratelake.session import _context
+
+    sc = _context(spark)
+    if sc is None:  # Spark Connect: folders are created by the first write
+        return
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
     for p in (settings.landing, settings.checkpoints, f"{settings.root.rstrip('/')}/tables"):
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).mkdirs(hp)
@@ -74,6 +79,9 @@ def run_bronze(spark: SparkSession, s: Settings, report: RunReport, stop: bool)
 # The upsert joins only the (series, month) slices that the new data touches;
 # the rest of Silver passes through without a shuffle.
 SILVER_PRUNE_BY = ("series_id", "year_month")
+# Silver snapshots are laid out by series, so the Gold rollup's series filter
+# prunes whole directories.
+SILVER_PARTITION_BY = ("series_name",)
 
 
 def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunReport, stop: bool) -> DataFrame:
@@ -98,6 +106,7 @@ def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunR
             prune_by=SILVER_PRUNE_BY,
             comment=SILVER_TABLE_COMMENT,
             column_comments=SILVER_COMMENTS,
+            partition_by=SILVER_PARTITION_BY,
             commit=not pre,
         )
         if pre:

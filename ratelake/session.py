@@ -34,24 +34,50 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context
+        return None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise (local
     tests) creates a private folder and registers it as the checkpoint dir.
     """
-    conf = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    conf = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not conf:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
             raise RuntimeError(
                 f"set {CHECKPOINT_CONF} to a shared folder: scratch tables and lineage cuts "
                 "must live where every executor can read them"
             )
         conf = tempfile.mkdtemp(prefix="ratelake-")
-        spark.sparkContext.setCheckpointDir(conf)
+        if sc:
+            sc.setCheckpointDir(conf)
+        else:
+            spark.conf.set(CHECKPOINT_CONF, conf)
     return conf.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists (Hadoop FS through the JVM, or a read probe)."""
+    sc = _context(spark)
+    if sc is not None:
+        jvm = sc._jvm
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        return hp.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hp)
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).collect()
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared root (never reused, never cleared)."""
     path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -78,6 +78,8 @@ class Settings:
     # Landing reader.
     file_glob: str = "*.json"
     multi_line: bool = True
+    # Bounds each micro-batch of the availableNow drain (None: all pending files).
+    max_files_per_trigger: int | None = None
     raw_date_format: str = RAW_DATE_FORMAT
     value_type: str = VALUE_TYPE
     # Gold.

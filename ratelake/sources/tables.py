@@ -30,13 +30,13 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.history_path = f"{self.path}/_history"
+        self._latest: int | None = None  # memo; this instance is the only writer
 
     # -- reading ---------------------------------------------------------
     def _fs_exists(self, p: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        return hp.getFileSystem(conf).exists(hp)
+        from ratelake.session import path_exists
+
+        return path_exists(self.spark, p)
 
     def history(self) -> DataFrame:
         """``version, timestamp, operation, operation_metrics`` (by version)."""
@@ -45,10 +45,13 @@ class VersionedTable:
         return self.spark.read.schema(HISTORY).parquet(self.history_path).orderBy("version")
 
     def latest_version(self) -> int | None:
+        if self._latest is not None:
+            return self._latest
         if not self._fs_exists(self.history_path):
             return None
         row = self.spark.read.schema(HISTORY).parquet(self.history_path).agg(F.max("version")).first()
-        return None if row is None or row[0] is None else int(row[0])
+        self._latest = None if row is None or row[0] is None else int(row[0])
+        return self._latest
 
     def exists(self) -> bool:
         return self.latest_version() is not None
@@ -77,6 +80,7 @@ class VersionedTable:
             )
         ]
         self.spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(self.history_path)
+        self._latest = version
 
     def comment(self) -> str | None:
         """The table comment recorded by the latest version that set one."""

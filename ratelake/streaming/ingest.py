@@ -31,9 +31,9 @@ LOGGER = logging.getLogger("ratelake.ingest")
 
 
 def bronze_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
-    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+    from ratelake.session import path_exists
+
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +53,7 @@ def ingest(spark: SparkSession, settings: Settings, *, max_files_per_trigger: in
             settings.landing,
             settings.file_glob,
             multi_line=settings.multi_line,
-            max_files_per_trigger=max_files_per_trigger,
+            max_files_per_trigger=max_files_per_trigger or settings.max_files_per_trigger,
         )
         .writeStream.format("parquet")
         .option("path", settings.bronze_path)
@@ -91,10 +91,22 @@ def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str
         if table.exists():
             from ratelake.operators.upsert import merge_changes
 
-            changes = merge_changes(table.read(), source, SILVER_KEY, "ingested_at")
+            changes = merge_changes(table.read(), source, SILVER_KEY, "ingested_at", prune_by=("series_id", "year_month"))
         else:
             changes = source.withColumn("_change", F.lit("inserted"))
-        done.append(table.write_changes(changes, "MERGE", extra_metrics={"batch_id": batch_id}))
+        from ratelake.plans.runner import SILVER_PARTITION_BY
+        from ratelake.schemas import SILVER_COMMENTS, SILVER_TABLE_COMMENT
+
+        done.append(
+            table.write_changes(
+                changes,
+                "MERGE",
+                extra_metrics={"batch_id": batch_id},
+                partition_by=SILVER_PARTITION_BY,
+                comment=SILVER_TABLE_COMMENT,
+                column_comments=SILVER_COMMENTS,
+            )
+        )
 
     q = (
         spark.readStream.schema(BRONZE)

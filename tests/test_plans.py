@@ -71,3 +71,18 @@ def test_upsert_reuses_key_partitioning(spark):
     p = plan(merge_changes(t, s, ["k"], "ts"))
     assert "FullOuter" in p
     assert p.count("Exchange hashpartitioning") + p.count("hashpartitioning(k") >= 1
+
+
+def test_gold_over_partitioned_silver_prunes_series_directories(spark, root):
+    from helpers import series_payload, write_json
+    from ratelake.plans.runner import run
+    from ratelake.sources.tables import VersionedTable
+
+    st = settings_for(root)
+    sel, ipc = series_payload(months=24)
+    write_json(f"{st.landing}/selic.json", sel)
+    write_json(f"{st.landing}/ipca.json", ipc)
+    assert run(spark, st).passed
+    silver = VersionedTable(spark, st.silver_path).read()
+    p = plan(build_gold(silver, st))
+    assert re.search(r"PartitionFilters: \[series_name#\d+ IN \(selic,ipca\)\]", p)
