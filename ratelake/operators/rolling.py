@@ -57,13 +57,13 @@ def rolling_compound(
     else:
         w = base.orderBy(month_index(order_by)).rangeBetween(-(months - 1), Window.currentRow)
 
+    # One select: every window expression shares the spec, so Spark plans a
+    # single Window operator over one sort.
     n_rows = F.count(F.col(order_by)).over(w)
-    out = df.withColumn(count_col, n_rows.cast("int"))
+    outs = [n_rows.cast("int").alias(count_col)]
     for name, fcol in factors.items():
         logs = F.log(F.col(fcol))
         complete = n_rows == months if gate == "rows" else F.count(logs).over(w) == months
-        out = out.withColumn(
-            name,
-            F.when(complete, (F.exp(F.sum(logs).over(w)) - F.lit(1)) * F.lit(100)),
-        )
-    return out
+        outs.append(F.when(complete, (F.exp(F.sum(logs).over(w)) - F.lit(1)) * F.lit(100)).alias(name))
+    keep = [c for c in df.columns if c != count_col and c not in factors]
+    return df.select(*keep, *outs)
