@@ -677,11 +677,14 @@ def q_upsert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Silver, consolidated to Gold (no files; SQL re-derives every layer).
 # --------------------------------------------------------------------------
 def _standin_layers(spark: SparkSession, sf_dir: str):
+    """Bronze rows rendered from the observations, Silver written once as a
+    table (as the layered run does), Gold built from it."""
     from ratelake.operators.conform import conform
+    from ratelake.session import materialize
 
     st = _settings(spark)
     bronze = standins.bronze_standin(_obs(spark, sf_dir))
-    silver = conform(bronze, st.series, with_processed_at=False)
+    silver = materialize(conform(bronze, st.series, with_processed_at=False), "silver")
     gold = build_gold(silver, st, with_processed_at=False)
     return st, bronze, silver, gold
 
