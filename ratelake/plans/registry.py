@@ -1187,3 +1187,22 @@ def q_payload_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     st, _ = _fresh_run(spark, sf_dir, "contract")
     pc = payload_contract(spark, st.landing, st.file_glob, multi_line=st.multi_line)
     return pc.select(F.regexp_extract("source_file", "feed=([^/]+)/", 1).alias("feed"), *pc.columns[1:])
+
+
+@register(
+    "key_uniqueness",
+    """
+SELECT CAST(COUNT(*) AS BIGINT) AS rows,
+       CAST((SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) d) AS BIGINT) AS distinct_keys,
+       CAST((SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem
+                                  WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL) d) AS BIGINT)
+         AS distinct_complete_keys,
+       CAST(COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) d) AS BIGINT)
+         AS duplicate_rows
+FROM lineitem""",
+)
+def q_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared vs actual grain of lineitem's (orderkey, linenumber) key."""
+    from ratelake.plans.reports import key_grain
+
+    return key_grain(standins.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])

@@ -140,3 +140,11 @@ def test_fisher_check_catches_a_wrong_real_rate(spark, root):
         ),
     )
     assert not _status(gold_results(broken, st))["gold_fisher_identity"]
+
+
+def test_key_grain_counts_null_keys_like_distinct(spark):
+    from ratelake.plans.reports import key_grain
+
+    df = spark.createDataFrame([(1, None), (1, None), (2, 3), (None, None)], "a int, b int")
+    r = key_grain(df, ["a", "b"]).first()
+    assert (r.rows, r.distinct_keys, r.distinct_complete_keys, r.duplicate_rows) == (4, 3, 1, 1)
