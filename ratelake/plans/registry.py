@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.functions.numeric import exact_mean
 from ratelake.operators.rolling import rolling_compound
 from ratelake.operators.rollup import monthly_inflation, monthly_policy
 from ratelake.functions.rates import to_percent

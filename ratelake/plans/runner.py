@@ -172,4 +172,4 @@ def table_volumes(spark: SparkSession, settings: Settings) -> DataFrame:
     )
 
 
-__all__ = ["RunReport", "run", "backfill", "table_volumes", "F"]
+__all__ = ["RunReport", "run", "backfill", "table_volumes", "ensure_layout"]

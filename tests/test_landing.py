@@ -1,7 +1,5 @@
 """Landing files, streaming ingest (once per file) and the layered run."""
 
-import json
-import os
 
 import pytest
 
