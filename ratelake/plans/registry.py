@@ -638,7 +638,7 @@ SELECT CAST(v AS BIGINT) AS version, 'MERGE' AS operation,
        rows_inserted, rows_updated, rows_deleted
 FROM (
   SELECT 1 AS v, COUNT(*) FILTER (WHERE _change = 'inserted') AS rows_inserted,
-         COUNT(*) FILTER (WHERE _change = 'updated') AS rows_updated, 0 AS rows_deleted FROM run1
+         COUNT(*) FILTER (WHERE _change = 'updated') AS rows_updated, CAST(0 AS BIGINT) AS rows_deleted FROM run1
   UNION ALL
   SELECT 2, COUNT(*) FILTER (WHERE _change = 'inserted'),
          COUNT(*) FILTER (WHERE _change = 'updated'), 0 FROM run2
