@@ -97,3 +97,28 @@ def materialize(df, label: str):
     path = scratch_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_settings(input_bytes: int, executor_cores: int, executors: int) -> dict[str, str]:
+    """Spark settings this design relies on, sized for one run's input.
+
+    * AQE re-plans at runtime: coalesces small shuffle partitions, splits skewed
+      join partitions and turns a join into a broadcast only after measuring
+      the smaller side.
+    * Initial shuffle partitions target ~128 MB per partition of input (AQE
+      coalesces them down), but never fewer than two waves of tasks.
+    * Scan splits of 256 MB keep task counts manageable on 100 TB inputs.
+    """
+    target = 128 * 1024 * 1024
+    slots = max(1, executor_cores * executors)
+    partitions = max(2 * slots, -(-input_bytes // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.session.timeZone": "UTC",
+    }
