@@ -68,6 +68,11 @@ def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str], newer
     )
 
 
+# Above this many touched slices the pruning is skipped: the slice set would
+# no longer be a safe broadcast, and a plain merge shuffles the target once.
+MAX_PRUNED_SLICES = 200_000
+
+
 def merge_changes(
     target: DataFrame,
     source: DataFrame,
@@ -75,11 +80,22 @@ def merge_changes(
     newer_by: str,
     *,
     prune_by: Sequence[str] = (),
+    max_pruned_slices: int = MAX_PRUNED_SLICES,
 ) -> DataFrame:
-    """All result rows of the upsert, each tagged with its ``_change``."""
+    """All result rows of the upsert, each tagged with its ``_change``.
+
+    With ``prune_by`` the set of slices the source touches is counted first
+    (one small job; pass a materialised source so it is not recomputed). Within
+    ``max_pruned_slices`` it is broadcast - a proven size bound - to split the
+    target into touched and untouched rows without shuffling the target;
+    beyond it the plain merge runs.
+    """
     if not prune_by:
         return _merge_core(target, source, keys, newer_by)
     touched = source.select(*prune_by).distinct()
+    if touched.count() > max_pruned_slices:
+        return _merge_core(target, source, keys, newer_by)
+    touched = F.broadcast(touched)
     hit = target.join(touched, on=list(prune_by), how="left_semi")
     rest = target.join(touched, on=list(prune_by), how="left_anti")
     merged = _merge_core(hit.select(*target.columns), source, keys, newer_by)

@@ -97,7 +97,14 @@ def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunR
             counts.update(rows_inserted=0, rows_updated=0)
         m = {"batches": inc["batches"], **counts, "rows_total": table.count()}
     else:
-        source = conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type)
+        from ratelake.session import materialize
+
+        # The conformed batch is staged as a table in the shared folder: the
+        # upsert reads it several times (slice count, join) without re-running
+        # the dedup, and executor loss does not replay the Bronze scan.
+        source = materialize(
+            conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type), "silver-staging"
+        )
         pre = s.gate_mode == "before_commit"
         m = table.merge(
             source,

@@ -110,3 +110,22 @@ def test_uncommitted_version_is_invisible(spark, root):
     assert table.latest_version() == 0 and table.read().count() == 5
     m = table.merge(t, ["k"], "ts")  # the retry overwrites the orphan
     assert m["version"] == 1 and table.read().count() == 5
+
+
+def test_pruning_falls_back_beyond_the_slice_bound(spark):
+    t, s = _frames(spark)
+    a = merge_changes(t, s, ["k"], "ts")
+    b = merge_changes(t, s, ["k"], "ts", prune_by=["ym"], max_pruned_slices=1)  # 2 slices > 1
+    c = merge_changes(t, s, ["k"], "ts", prune_by=["ym"])
+    for x in (b, c):
+        assert a.exceptAll(x).count() == 0 and x.exceptAll(a).count() == 0
+    import io
+    from contextlib import redirect_stdout
+
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        c.explain()
+    import re
+
+    text = buf.getvalue()
+    assert re.search(r"BroadcastHashJoin .*LeftSemi", text) and re.search(r"BroadcastHashJoin .*LeftAnti", text)
