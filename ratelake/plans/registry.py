@@ -1205,3 +1205,46 @@ def q_key_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import key_grain
 
     return key_grain(standins.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+SILVER_ROWS_SQL = (
+    _with(OBS_CTE, LAYERS_CTE)
+    + "\nSELECT series_id, series_name, granularity, ref_date, year_month, value FROM silver"
+)
+SILVER_ROW_COLS = ("series_id", "series_name", "granularity", "ref_date", "year_month", "value")
+
+
+@register("layered_silver_rows", SILVER_ROWS_SQL)
+def q_layered_silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as stored by the physical run (stream -> conform -> upsert)."""
+    from ratelake.plans.runner import run
+    from ratelake.sources.tables import VersionedTable
+
+    st, _ = _fresh_run(spark, sf_dir, "silver-rows")
+    run(spark, st, stop_on_failure=False)
+    return VersionedTable(spark, st.silver_path).read().select(*SILVER_ROW_COLS)
+
+
+@register("incremental_silver_rows", SILVER_ROWS_SQL)
+def q_incremental_silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver built by the streaming mode: Bronze read as a stream, each
+    micro-batch conformed and upserted in foreachBatch (replay-safe)."""
+    from ratelake.sources.tables import VersionedTable
+    from ratelake.streaming.ingest import incremental_silver, ingest
+
+    st, _ = _fresh_run(spark, sf_dir, "silver-stream", silver_mode="incremental", max_files_per_trigger=4)
+    ingest(spark, st)
+    incremental_silver(spark, st)
+    return VersionedTable(spark, st.silver_path).read().select(*SILVER_ROW_COLS)
+
+
+@register("upsert_result_pruned", _with(UPSERT_CTE) + "\nSELECT * FROM run1")
+def q_upsert_result_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert through the pruned path: the source's event days are
+    counted, broadcast within the bound, and only the target rows of those
+    days go through the FULL OUTER join."""
+    from ratelake.operators.upsert import merge_changes
+
+    ev = standins.table(spark, sf_dir, "events")
+    tgt, src = _latest_per_user(ev, TARGET_TYPES), _latest_per_user(ev, SOURCE_TYPES)
+    return merge_changes(tgt, src, UPSERT_KEYS, "ts", prune_by=["event_day"])
