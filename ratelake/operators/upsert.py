@@ -15,7 +15,9 @@ through the join; the rest is passed through as ``untouched`` without a
 shuffle.
 
 The action tag ``_change`` is one of ``inserted | updated | matched_noop |
-untouched``.
+untouched``. With ``compare`` columns, ``_values_changed`` tells an update
+that changed a compared value from one that only carried a newer ingest time
+(the same file re-sent under a new name), so both can be reported.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHANGE = "_change"
+VALUES_CHANGED = "_values_changed"
 ACTIONS = ("inserted", "updated", "matched_noop", "untouched")
 
 
@@ -44,7 +47,9 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateSourceKeyError(f"upsert source has duplicate key {dup[0].asDict()}")
 
 
-def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: str) -> DataFrame:
+def _merge_core(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: str, compare: Sequence[str] = ()
+) -> DataFrame:
     cols = target.columns
     missing = [c for c in cols if c not in source.columns]
     if missing:
@@ -63,8 +68,15 @@ def _merge_core(target: DataFrame, source: DataFrame, keys: Sequence[str], newer
     )
     take_source = ~t_here | (s_here & F.coalesce(newer, F.lit(False)))
     picked = F.when(take_source, F.col("_s")).otherwise(F.col("_t"))
-    return j.select(picked.alias("_r"), action.alias(CHANGE)).select(
-        *[F.col(f"_r.{c}").alias(c) for c in cols], CHANGE
+    extra = []
+    if compare:
+        same = F.lit(True)
+        for c in compare:
+            same = same & F.col(f"_s.{c}").eqNullSafe(F.col(f"_t.{c}"))
+        extra = [(t_here & s_here & F.coalesce(newer, F.lit(False)) & ~same).alias(VALUES_CHANGED)]
+    tags = [CHANGE, VALUES_CHANGED] if compare else [CHANGE]
+    return j.select(picked.alias("_r"), action.alias(CHANGE), *extra).select(
+        *[F.col(f"_r.{c}").alias(c) for c in cols], *tags
     )
 
 
@@ -81,6 +93,7 @@ def merge_changes(
     *,
     prune_by: Sequence[str] = (),
     max_pruned_slices: int = MAX_PRUNED_SLICES,
+    compare: Sequence[str] = (),
 ) -> DataFrame:
     """All result rows of the upsert, each tagged with its ``_change``.
 
@@ -91,25 +104,31 @@ def merge_changes(
     beyond it the plain merge runs.
     """
     if not prune_by:
-        return _merge_core(target, source, keys, newer_by)
+        return _merge_core(target, source, keys, newer_by, compare)
     touched = source.select(*prune_by).distinct()
     if touched.count() > max_pruned_slices:
-        return _merge_core(target, source, keys, newer_by)
+        return _merge_core(target, source, keys, newer_by, compare)
     touched = F.broadcast(touched)
     hit = target.join(touched, on=list(prune_by), how="left_semi")
     rest = target.join(touched, on=list(prune_by), how="left_anti")
-    merged = _merge_core(hit.select(*target.columns), source, keys, newer_by)
-    return merged.unionByName(rest.select(*target.columns).withColumn(CHANGE, F.lit("untouched")))
+    merged = _merge_core(hit.select(*target.columns), source, keys, newer_by, compare)
+    passed = rest.select(*target.columns).withColumn(CHANGE, F.lit("untouched"))
+    if compare:
+        passed = passed.withColumn(VALUES_CHANGED, F.lit(False))
+    return merged.unionByName(passed)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], newer_by: str, **kw) -> DataFrame:
-    """The upserted table (no action column)."""
-    return merge_changes(target, source, keys, newer_by, **kw).drop(CHANGE)
+    """The upserted table (no action columns)."""
+    return merge_changes(target, source, keys, newer_by, **kw).drop(CHANGE, VALUES_CHANGED)
 
 
 def change_counts(changes: DataFrame) -> DataFrame:
     """One row of counters from a tagged result (single aggregation)."""
     c = F.col(CHANGE)
+    extra = []
+    if VALUES_CHANGED in changes.columns:
+        extra = [F.count_if(F.col(VALUES_CHANGED)).cast("bigint").alias("rows_changed")]
     return changes.agg(
         F.count_if(c == "inserted").cast("bigint").alias("rows_inserted"),
         F.count_if(c == "updated").cast("bigint").alias("rows_updated"),
@@ -117,4 +136,5 @@ def change_counts(changes: DataFrame) -> DataFrame:
         F.count_if(c == "untouched").cast("bigint").alias("rows_untouched"),
         F.lit(0).cast("bigint").alias("rows_deleted"),
         F.count(F.lit(1)).cast("bigint").alias("rows_total"),
+        *extra,
     )

@@ -82,6 +82,9 @@ SILVER_PRUNE_BY = ("series_id", "year_month")
 # Silver snapshots are laid out by series, so the Gold rollup's series filter
 # prunes whole directories.
 SILVER_PARTITION_BY = ("series_name",)
+# An update "changes" a row only when one of these differs (a re-sent file
+# refreshes ingest time and provenance, and is counted as updated, not changed).
+SILVER_COMPARE = ("series_name", "granularity", "value")
 
 
 def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunReport, stop: bool) -> DataFrame:
@@ -111,6 +114,7 @@ def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunR
             SILVER_KEY,
             "ingested_at",
             prune_by=SILVER_PRUNE_BY,
+            compare=SILVER_COMPARE,
             comment=SILVER_TABLE_COMMENT,
             column_comments=SILVER_COMMENTS,
             partition_by=SILVER_PARTITION_BY,

@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.operators.upsert import CHANGE, change_counts, merge_changes
+from ratelake.operators.upsert import CHANGE, VALUES_CHANGED, change_counts, merge_changes
 from ratelake.schemas import HISTORY
 
 
@@ -64,7 +64,7 @@ class VersionedTable:
         return self.spark.read.parquet(f"{self.path}/v={v}")
 
     def read(self, version: int | None = None) -> DataFrame:
-        return self.read_changes(version).drop(CHANGE)
+        return self.read_changes(version).drop(CHANGE, VALUES_CHANGED)
 
     def count(self) -> int:
         return self.read().count() if self.exists() else 0
@@ -120,7 +120,8 @@ class VersionedTable:
         w.parquet(target)
         # Counters come from the written snapshot (one narrow column scan),
         # not from re-running the join that produced it.
-        counts = change_counts(self.spark.read.parquet(target)).first().asDict()
+        written = self.spark.read.parquet(target)
+        counts = change_counts(written.select(*[c for c in (CHANGE, VALUES_CHANGED) if c in written.columns])).first().asDict()
         metrics = {**counts, **(extra_metrics or {})}
         if comment:
             metrics["table_comment"] = comment
@@ -144,10 +145,11 @@ class VersionedTable:
         newer_by: str,
         *,
         prune_by: Sequence[str] = (),
+        compare: Sequence[str] = (),
         **write_kw,
     ) -> dict:
         """Upsert ``source`` into the latest version; returns the counters."""
         if not self.exists():
             return self.write_changes(source.withColumn(CHANGE, F.lit("inserted")), "MERGE", **write_kw)
-        changes = merge_changes(self.read(), source, keys, newer_by, prune_by=prune_by)
+        changes = merge_changes(self.read(), source, keys, newer_by, prune_by=prune_by, compare=compare)
         return self.write_changes(changes, "MERGE", **write_kw)

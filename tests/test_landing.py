@@ -101,6 +101,11 @@ def test_resent_file_with_new_name_updates_without_duplicates(spark, root):
     r = run(spark, st)
     s = r.metrics["silver"]
     assert r.passed and s["rows_total"] == n and s["rows_inserted"] == 0 and s["rows_updated"] == len(sel)
+    assert s["rows_changed"] == 0  # same values, newer ingest: updated, not changed
+    sel2, _ = series_payload(months=1, days=3, daily="0.07")
+    write_json(f"{st.landing}/selic_fix.json", sel2)
+    s2 = run(spark, st).metrics["silver"]
+    assert (s2["rows_updated"], s2["rows_changed"]) == (3, 3)
 
 
 def test_backfill_extends_window(spark, root):

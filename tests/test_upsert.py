@@ -129,3 +129,14 @@ def test_pruning_falls_back_beyond_the_slice_bound(spark):
 
     text = buf.getvalue()
     assert re.search(r"BroadcastHashJoin .*LeftSemi", text) and re.search(r"BroadcastHashJoin .*LeftAnti", text)
+
+
+def test_values_changed_separates_refresh_from_change(spark):
+    t, s = _frames(spark)
+    same = t.filter("k = 3").withColumn("ts", F.lit(T[4]))  # newer, same value
+    got = change_counts(merge_changes(t, same, ["k"], "ts", compare=["v"])).first()
+    assert (got.rows_updated, got.rows_changed) == (1, 0)
+    got = change_counts(merge_changes(t, s, ["k"], "ts", compare=["v"])).first()
+    assert (got.rows_updated, got.rows_changed) == (1, 1)
+    pruned = change_counts(merge_changes(t, s, ["k"], "ts", compare=["v"], prune_by=["ym"])).first()
+    assert pruned.asDict() == got.asDict()
