@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.operators.upsert import CHANGE, VALUES_CHANGED, change_counts, merge_changes
+from ratelake.operators.upsert import CHANGE, VALUES_CHANGED, assert_unique_keys, change_counts, merge_changes
 from ratelake.schemas import HISTORY
 
 
@@ -146,9 +146,17 @@ class VersionedTable:
         *,
         prune_by: Sequence[str] = (),
         compare: Sequence[str] = (),
+        check_unique: bool = True,
         **write_kw,
     ) -> dict:
-        """Upsert ``source`` into the latest version; returns the counters."""
+        """Upsert ``source`` into the latest version; returns the counters.
+
+        Like MERGE, a source holding a key more than once is an error
+        (``DuplicateSourceKeyError``); the check is one partially aggregated
+        pass over the source keys.
+        """
+        if check_unique:
+            assert_unique_keys(source, keys)
         if not self.exists():
             return self.write_changes(source.withColumn(CHANGE, F.lit("inserted")), "MERGE", **write_kw)
         changes = merge_changes(self.read(), source, keys, newer_by, prune_by=prune_by, compare=compare)

@@ -148,3 +148,16 @@ def test_key_grain_counts_null_keys_like_distinct(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, 3), (None, None)], "a int, b int")
     r = key_grain(df, ["a", "b"]).first()
     assert (r.rows, r.distinct_keys, r.distinct_complete_keys, r.duplicate_rows) == (4, 3, 1, 1)
+
+
+def test_gold_grain_and_not_null_checks_fail(spark, root):
+    st = settings_for(root, months=24)
+    gold = build_gold(_silver(spark, obs_rows(months=24)), st)
+    doubled = gold.unionByName(gold.filter("year_month = '2020-06'"))
+    got = _status(gold_results(doubled, st))
+    assert not got["gold_unique_grain"] and not got["gold_complete_series"]
+    rows = obs_rows(months=24)
+    silver = _silver(spark, rows).withColumn(
+        "granularity", F.when(F.col("ref_date") == F.lit("2020-01-02").cast("date"), None).otherwise(F.col("granularity"))
+    )
+    assert not _status(silver_results(silver, st))["silver_required_columns_not_null"]

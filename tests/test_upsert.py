@@ -140,3 +140,12 @@ def test_values_changed_separates_refresh_from_change(spark):
     assert (got.rows_updated, got.rows_changed) == (1, 1)
     pruned = change_counts(merge_changes(t, s, ["k"], "ts", compare=["v"], prune_by=["ym"])).first()
     assert pruned.asDict() == got.asDict()
+
+
+def test_table_merge_rejects_duplicate_source_keys(spark, root):
+    t, s = _frames(spark)
+    table = VersionedTable(spark, f"{root}/dup")
+    table.merge(t, ["k"], "ts")
+    with pytest.raises(DuplicateSourceKeyError):
+        table.merge(s.unionByName(s.limit(1)), ["k"], "ts")
+    assert table.latest_version() == 0
