@@ -76,12 +76,19 @@ def ingest(spark: SparkSession, settings: Settings, *, max_files_per_trigger: in
 
 
 def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str | None = None) -> dict:
-    """Stream Bronze -> conform -> upsert into Silver, one version per batch."""
+    """Stream Bronze -> conform -> upsert into Silver, one version per batch.
+
+    A version records ``(stream, batch_id)``, the stream being its checkpoint
+    location: batch ids restart at 0 under a new checkpoint, so the id alone
+    would not identify a replay.
+    """
     table = VersionedTable(spark, settings.silver_path)
+    stream = checkpoint or f"{settings.checkpoints}/silver"
     done = []
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        seen = table.history().filter(F.col("operation_metrics")["batch_id"] == F.lit(str(batch_id)))
+        m = F.col("operation_metrics")
+        seen = table.history().filter((m["batch_id"] == F.lit(str(batch_id))) & (m["stream"] == F.lit(stream)))
         if table.exists() and seen.limit(1).count() > 0:
             LOGGER.info("batch %s already committed; skipped", batch_id)
             return
@@ -101,7 +108,7 @@ def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str
             table.write_changes(
                 changes,
                 "MERGE",
-                extra_metrics={"batch_id": batch_id},
+                extra_metrics={"batch_id": batch_id, "stream": stream},
                 partition_by=SILVER_PARTITION_BY,
                 comment=SILVER_TABLE_COMMENT,
                 column_comments=SILVER_COMMENTS,
@@ -112,7 +119,7 @@ def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str
         spark.readStream.schema(BRONZE)
         .parquet(settings.bronze_path)
         .writeStream.foreachBatch(upsert_batch)
-        .option("checkpointLocation", checkpoint or f"{settings.checkpoints}/silver")
+        .option("checkpointLocation", stream)
         .trigger(availableNow=True)
         .start()
     )

@@ -143,3 +143,21 @@ def test_incremental_silver_skips_replayed_batches(spark, root):
     t = VersionedTable(spark, st.silver_path)
     assert t.read().count() == n
     assert incremental_silver(spark, st)["batches"] == 0  # nothing new
+
+
+def test_incremental_silver_replay_is_keyed_by_stream(spark, root):
+    from pyspark.sql import functions as F
+
+    from ratelake.sources.tables import VersionedTable
+
+    st = settings_for(root)
+    n = _land(st)
+    ingest(spark, st)
+    incremental_silver(spark, st, checkpoint=f"{root}/ckpt-a")
+    # a second stream over the same Bronze starts again at batch 0: it must
+    # not be mistaken for a replay, and its upsert changes nothing
+    out = incremental_silver(spark, st, checkpoint=f"{root}/ckpt-b")
+    t = VersionedTable(spark, st.silver_path)
+    assert out["batches"] >= 1 and t.read().count() == n
+    last = t.history().orderBy(F.col("version").desc()).first().operation_metrics
+    assert last["rows_inserted"] == "0" and last["stream"].endswith("ckpt-b")
