@@ -115,6 +115,7 @@ def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunR
             "ingested_at",
             prune_by=SILVER_PRUNE_BY,
             compare=SILVER_COMPARE,
+            check_unique=False,  # conform() keeps one row per key by construction
             comment=SILVER_TABLE_COMMENT,
             column_comments=SILVER_COMMENTS,
             partition_by=SILVER_PARTITION_BY,
