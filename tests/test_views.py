@@ -116,3 +116,17 @@ def test_evidence_sql_matches_dataframe_reports(spark, root):
     h = ev["upsert_history"].collect()
     assert [r.version for r in h] == [0] and h[0].rows_inserted == silver.count()
     assert ev["december_view"].filter(F.col("real_12m").isNotNull()).count() == 2
+
+
+def test_command_line_run_and_report(spark, root, capsys):
+    from ratelake.__main__ import main
+
+    st = settings_for(root)
+    _land(st)
+    args = ["--root", root, "--first-month", st.first_month, "--last-month", st.last_month]
+    assert main(["run", *args], spark=spark) == 0
+    assert '"rows_ingested"' in capsys.readouterr().out
+    assert main(["report", *args], spark=spark) == 0
+    assert "== upsert_history" in capsys.readouterr().out
+    # a window that does not match the data fails the gate -> exit code 1
+    assert main(["run", "--root", root, "--first-month", "2019-01", "--last-month", "2021-12"], spark=spark) == 1
