@@ -86,3 +86,13 @@ def test_gold_over_partitioned_silver_prunes_series_directories(spark, root):
     silver = VersionedTable(spark, st.silver_path).read()
     p = plan(build_gold(silver, st))
     assert re.search(r"PartitionFilters: \[series_name#\d+ IN \(selic,ipca\)\]", p)
+
+
+def test_cluster_settings_scale_with_input():
+    from ratelake.session import cluster_settings
+
+    small = cluster_settings(1 << 30, executor_cores=4, executors=10)
+    big = cluster_settings(100 << 40, executor_cores=8, executors=1000)
+    assert small["spark.sql.shuffle.partitions"] == "80"  # two waves of 40 slots
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
