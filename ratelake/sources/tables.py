@@ -31,6 +31,7 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.history_path = f"{self.path}/_history"
         self._latest: int | None = None  # memo; this instance is the only writer
+        self._latest_metrics: dict | None = None
 
     # -- reading ---------------------------------------------------------
     def _fs_exists(self, p: str) -> bool:
@@ -49,8 +50,17 @@ class VersionedTable:
             return self._latest
         if not self._fs_exists(self.history_path):
             return None
-        row = self.spark.read.schema(HISTORY).parquet(self.history_path).agg(F.max("version")).first()
-        self._latest = None if row is None or row[0] is None else int(row[0])
+        # one small read: the newest history row (version and its counters)
+        row = (
+            self.spark.read.schema(HISTORY)
+            .parquet(self.history_path)
+            .orderBy(F.col("version").desc())
+            .select("version", "operation_metrics")
+            .first()
+        )
+        if row is None:
+            return None
+        self._latest, self._latest_metrics = int(row.version), dict(row.operation_metrics or {})
         return self._latest
 
     def exists(self) -> bool:
@@ -67,7 +77,11 @@ class VersionedTable:
         return self.read_changes(version).drop(CHANGE, VALUES_CHANGED)
 
     def count(self) -> int:
-        return self.read().count() if self.exists() else 0
+        """Rows of the latest version, from its recorded counters (no scan)."""
+        if not self.exists():
+            return 0
+        total = (self._latest_metrics or {}).get("rows_total")
+        return int(total) if total is not None else self.read().count()
 
     # -- writing ---------------------------------------------------------
     def _commit(self, version: int, operation: str, metrics: Mapping[str, object]) -> None:
@@ -80,7 +94,7 @@ class VersionedTable:
             )
         ]
         self.spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(self.history_path)
-        self._latest = version
+        self._latest, self._latest_metrics = version, dict(row[0][3])
 
     def comment(self) -> str | None:
         """The table comment recorded by the latest version that set one."""
