@@ -40,3 +40,10 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(sdf.columns) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert rows_of(sdf.columns, s_rows) == rows_of(d_cols, d_rows)
+
+
+def test_query_names_follow_the_naming_rules():
+    import re
+
+    for name in E.queries():
+        assert "pipeline" not in name and not re.match(r"op\d+_", name), name
