@@ -7,7 +7,6 @@ setting is absent (tests, bench).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -82,11 +81,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder of the shared root (never reused, never cleared)."""
-    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh sub-folder name under the shared root (Spark's writers create it)."""
+    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, label: str):
