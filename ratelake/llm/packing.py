@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIECE_SCHEMA = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, sequence_tokens long"
 )
 
@@ -141,7 +141,7 @@ def pack_documents(
         serial = 0
         pending: list[tuple] = []
         filled = 0
-        done: list[tuple] = []
+        done: list[tuple] = []  # rows ready to go out
         end = np.asarray([end_id], "<u4").tobytes()
 
         def flush():
@@ -157,14 +157,11 @@ def pack_documents(
 
         def frame():
             nonlocal done
-            out = pd.DataFrame(done, columns=[c.split()[0] for c in PIECE_SCHEMA.split(", ")])
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            done = []
-            return out
+            rows, done = done, []
+            return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECE_SCHEMA.split(", ")])
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                doc_id = None if pd.isna(doc_id) else int(doc_id)
                 ids = words.ids(text or "") + end
                 n = len(ids) // 4
                 for start in range(0, n - n % capacity, capacity):
@@ -183,5 +180,7 @@ def pack_documents(
         if done:
             yield frame()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, PIECE_SCHEMA)
+    # ids travel as text: whole numbers with nulls would turn to floats in pandas
+    rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType
+    return rows.mapInPandas(run, PIECE_SCHEMA).withColumn("doc_id", F.col("doc_id").cast(kind))

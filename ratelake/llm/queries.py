@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratelake.llm.common import table
+from ratelake.llm import ann, langid, line_dedup, quality
+from ratelake.llm.common import crc_of_id, table
+from ratelake.llm.near_dup import near_duplicates
 from ratelake.llm.packing import pack_documents
 from ratelake.llm.sharding import shard_documents
 
@@ -30,6 +33,63 @@ def op1_shard_jump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_host_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = line_dedup.drop_boilerplate(docs, n_lines="n_lines", n_dropped="n_dropped")
+    return kept.select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("kept_md5"))
+
+
+ORACLES["op6_host_lines"] = f"""
+WITH pages AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, text FROM documents),
+lines AS (
+  SELECT rid, host, text, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM pages WHERE text IS NOT NULL),
+totals AS (SELECT host, count(DISTINCT text) AS total FROM pages GROUP BY host),
+bad AS (
+  SELECT l.host, trim(l.line) AS line FROM lines l JOIN totals t USING (host)
+  WHERE trim(l.line) <> '' GROUP BY l.host, trim(l.line), t.total
+  HAVING count(DISTINCT l.text) >= {line_dedup.MIN_PAGES} AND count(DISTINCT l.text) > {line_dedup.MAX_RATIO} * t.total),
+marked AS (SELECT l.*, b.line IS NOT NULL AS gone FROM lines l LEFT JOIN bad b ON b.host = l.host AND b.line = trim(l.line)),
+kept AS (
+  SELECT rid, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text
+  FROM marked GROUP BY rid)
+SELECT p.doc_id, coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped, md5(k.text) AS kept_md5
+FROM pages p LEFT JOIN kept k USING (rid)
+"""
+
+
 @query
 def op7_pack_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op8_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id("doc_id") % 5 == 0
+    learned = langid.train(docs.where(~held_out))
+    found = langid.identify(spark, docs, learned)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_lsa_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id("doc_id") % 4 == 2
+    score = quality.scorer(spark, quality.fit(quality.labelled_rows(docs, table(spark, sf_dir, "labels"), ~held_out)))
+    scored = docs.select("doc_id", held_out.alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
