@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratelake.llm import ann, langid, line_dedup, quality
 from ratelake.llm.common import crc_of_id, table
+from ratelake.llm.decontam import contamination
 from ratelake.llm.near_dup import near_duplicates
 from ratelake.llm.packing import pack_documents
 from ratelake.llm.sharding import shard_documents
@@ -39,6 +40,32 @@ def op2_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+@query
+def op3_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLES["op3_positional_index"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_WORDS} AS w FROM benchmark WHERE len({_WORDS}) > 0),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s : s + 9], ' ') AS gram
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT rid, n, s, array_to_string(w[s : s + n - 1], ' ') AS gram
+  FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS s)),
+hit AS (SELECT dw.rid, dw.s, dw.n, bw.item_id FROM dw JOIN bw USING (n, gram)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM hit) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)
+"""
+
+
 @query
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
