@@ -12,6 +12,7 @@ from ratelake.llm.common import crc_of_id, table
 from ratelake.llm.decontam import contamination
 from ratelake.llm.near_dup import near_duplicates
 from ratelake.llm.packing import pack_documents
+from ratelake.llm.pii import personal_data
 from ratelake.llm.sharding import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +67,11 @@ FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)
 """
 
 
+@query
+def op4_bootstrap_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
