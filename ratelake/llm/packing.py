@@ -5,9 +5,9 @@ from __future__ import annotations
 import functools
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -83,24 +83,26 @@ class WordCache:
     seen before are looked up. At most ``limit`` parts are remembered.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.known: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.known
-        missing = [p for p in dict.fromkeys(parts) if p not in known]
+        missing = {p for parts in split for p in parts if p not in known}
         if missing:
             if len(known) + len(missing) > self.limit:
                 known.clear()
-                missing = list(dict.fromkeys(parts))
-            for p, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                known[p] = np.asarray(e.ids, "<u4").tobytes()
-        return b"".join([known[p] for p in parts])
+                missing = {p for parts in split for p in parts}
+            new = list(missing)
+            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                known[p] = array("I", e.ids).tobytes()
+        return [b"".join(map(known.__getitem__, parts)) for parts in split]
 
 
 @functools.lru_cache(maxsize=1)
@@ -142,7 +144,7 @@ def pack_documents(
         pending: list[tuple] = []
         filled = 0
         done: list[tuple] = []  # rows ready to go out
-        end = np.asarray([end_id], "<u4").tobytes()
+        end = array("I", [end_id]).tobytes()
 
         def flush():
             nonlocal pending, filled, serial
@@ -161,19 +163,21 @@ def pack_documents(
             return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECE_SCHEMA.split(", ")])
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = words.ids(text or "") + end
-                n = len(ids) // 4
-                for start in range(0, n - n % capacity, capacity):
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + capacity)])
-                    done.append((doc_id, start, capacity, crc, n, base + serial, 0, capacity))
-                    serial += 1
-                for start in range(n - n % capacity, n, piece):
-                    length = min(piece, n - start)
-                    pending.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n))
-                    filled += length
-                if filled >= block_windows * capacity:
-                    flush()
+            for first in range(0, len(batch), 64):
+                part = batch.iloc[first : first + 64]
+                for doc_id, ids in zip(part["doc_id"], words.ids([t or "" for t in part["text"]])):
+                    ids += end
+                    n = len(ids) // 4
+                    for start in range(0, n - n % capacity, capacity):
+                        crc = zlib.crc32(ids[4 * start : 4 * (start + capacity)])
+                        done.append((doc_id, start, capacity, crc, n, base + serial, 0, capacity))
+                        serial += 1
+                    for start in range(n - n % capacity, n, piece):
+                        length = min(piece, n - start)
+                        pending.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n))
+                        filled += length
+                    if filled >= block_windows * capacity:
+                        flush()
                 if len(done) >= 20_000:
                     yield frame()
         flush()
