@@ -14,6 +14,7 @@ from ratelake.llm.near_dup import near_duplicates
 from ratelake.llm.packing import pack_documents
 from ratelake.llm.pii import personal_data
 from ratelake.llm.sharding import shard_documents
+from ratelake.llm.warc import archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -126,3 +127,8 @@ def op9_lsa_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = quality.scorer(spark, quality.fit(quality.labelled_rows(docs, table(spark, sf_dir, "labels"), ~held_out)))
     scored = docs.select("doc_id", held_out.alias("held_out"), score("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
+
+
+@query
+def op10_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages")).drop("url")
