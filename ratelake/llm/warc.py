@@ -266,7 +266,8 @@ def read_records(archives: str, places: DataFrame, with_payload: bool = False) -
     Places are grouped by archive and read in order of offset. A response's
     digest and length are computed from the payload read.
     """
-    schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string"
+    # ids travel as text: whole numbers with nulls would turn to floats in pandas
+    schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, html string"
 
     def number(urn: str | None):
         return (urn or "")[len("<urn:x-page:") : -1] or None
@@ -292,10 +293,8 @@ def read_records(archives: str, places: DataFrame, with_payload: bool = False) -
             file.close()
 
     grouped = places.repartition("file").sortWithinPartitions("file", "offset")
-    # ids travel as text: whole numbers with nulls would turn to floats in pandas
-    out = grouped.select("file", "offset", "length").mapInPandas(read, schema.replace(" long", " string"))
-    out = out.select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "html")
-    out = out.withColumns({c: F.col(c).cast("long") for c in ("page_id", "payload_bytes", "refers_to")})
+    out = grouped.select("file", "offset", "length").mapInPandas(read, schema)
+    out = out.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
     return out if with_payload else out.drop("html")
 
 
