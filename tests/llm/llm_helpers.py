@@ -16,5 +16,5 @@ def sentence(seed, n, words=400):
     """n pseudo-words, the same for the same seed."""
     import random
 
-    rng = random.Random(seed)
+    rng = random.Random(str(seed))
     return " ".join("".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4))) for _ in range(n))
