@@ -55,7 +55,7 @@ def build_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text_col).alias("text"))
     tokens = docs.select("doc", F.xxhash64("text").alias("h"), F.posexplode(F.concat(words_of(F.col("text")), F.array(F.lit("")))).alias("pos", "token"))
     known = vocabulary.unionByName(vocabulary.sparkSession.createDataFrame([("", 0)], "token string, tid long"))
-    known = small(materialize(known.select("token", F.col("tid").cast("int")), "index-vocabulary"))
+    known = small(materialize(known.select("token", "tid"), "index-vocabulary"))
     return materialize(tokens.join(known, "token").select("doc", "h", "tid", "pos"), "postings")
 
 
@@ -64,7 +64,7 @@ def phrase_matches(index: DataFrame, vocabulary: DataFrame, windows: DataFrame)
     frequency = index.groupBy("tid").agg(F.count(F.lit(1)).alias("f"))
     terms = windows.select("item_id", "item", "at", "len", F.posexplode("words").alias("o", "token"))
     terms = terms.join(vocabulary, "token").join(frequency, "tid", "left")
-    terms = terms.select("item_id", "item", "at", "len", (F.col("at") + F.col("o")).alias("ipos"), F.col("tid").cast("int"), F.coalesce("f", F.lit(0)).alias("f"))
+    terms = terms.select("item_id", "item", "at", "len", (F.col("at") + F.col("o")).alias("ipos"), "tid", F.coalesce("f", F.lit(0)).alias("f"))
     rank = Window.partitionBy("item", "at").orderBy("f", "ipos")
     terms = materialize(terms.withColumn("r", F.row_number().over(rank)), "test-terms")
 
@@ -113,7 +113,7 @@ def proximity_matches(index: DataFrame, vocabulary: DataFrame, phrases: DataFram
     need = words.groupBy("phrase_id").agg(F.count(F.lit(1)).alias("need"))
     terms = words.join(vocabulary, "token").join(frequency, "tid")
     terms = terms.withColumn("r", F.row_number().over(Window.partitionBy("phrase_id").orderBy("f", "tid"))).join(need, "phrase_id")
-    terms = materialize(terms.select("phrase_id", F.col("tid").cast("int"), "r", "need"), "proximity-terms")
+    terms = materialize(terms.select("phrase_id", "tid", "r", "need"), "proximity-terms")
     block = F.expr(f"pos div {span}")
     places = index.where("tid > 0").join(small(terms), "tid")
     anchors = places.where("r = 1").select("doc", "h", "phrase_id", F.col("pos").alias("start"), "need", F.explode(F.array(block - 1, block, block + 1)).alias("b"))
