@@ -11,7 +11,7 @@ the threshold. Classes are the connected components of the links.
 from __future__ import annotations
 
 import bisect
-import re
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from ratelake.llm.common import materialize
 
-_WORD = re.compile(r"\w+")
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64 constants
-_WORDS: dict[str, int] = {}
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse, as far as needed yet
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -32,20 +32,36 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@functools.lru_cache(maxsize=1)
+def _in_word() -> np.ndarray:
+    """Whether a code point is part of a word: letters, digits and underscore."""
+    return np.array([chr(i).isalnum() or i == 95 for i in range(0x110000)])
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            steps = np.full(n, base, np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.multiply.accumulate(steps)
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def _word_hashes(text: str) -> np.ndarray:
-    import xxhash
+    """Hash of each word of the lower-cased text, without a Python object a word.
 
-    words = _WORD.findall(text.lower())
-    known = _WORDS
-    if len(known) > 1_000_000:
-        known.clear()
-    out = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxhash.xxh3_64_intdigest(w)
-        out[i] = h
-    return out
+    A word's hash is a polynomial in its mixed code points, taken from prefix
+    sums over the text and shifted back by the inverse power of its start.
+    """
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    inside = np.concatenate([[False], _in_word()[codes], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    up, down = _powers(len(codes))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(1)) * up)])
+    return _mix((sums[ends] - sums[starts]) * down[starts])
 
 
 def shingles(text: str, words: int = 5) -> np.ndarray:
@@ -175,22 +191,23 @@ def near_duplicates(
     @F.pandas_udf("struct<n:int,keys:array<bigint>,seq:binary>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            out = []
-            for text in texts:
-                x = shingles(text or "", words)
-                keys = [sketches(x, size, count, 1)] if len(x) >= short else []
-                if len(x) <= 1.25 * short:
-                    keys.append(sketches(x, 2, 16, 1001))
-                out.append((len(x), np.concatenate(keys).tolist(), x.astype("<u4").tobytes()))
-            yield pd.DataFrame(out, columns=["n", "keys", "seq"])
+            for at in range(0, len(texts), 500):  # short batches out: bounded memory
+                out = []
+                for text in texts.iloc[at : at + 500]:
+                    x = shingles(text or "", words)
+                    keys = [sketches(x, size, count, 1)] if len(x) >= short else []
+                    if len(x) <= 1.25 * short:
+                        keys.append(sketches(x, 2, 16, 1001))
+                    out.append((len(x), np.concatenate(keys), x.astype("<u4").tobytes()))
+                yield pd.DataFrame(out, columns=["n", "keys", "seq"])
 
     base = rows.select("doc_id", "node", sketch("text").alias("s"))
     base = materialize(base.select("doc_id", "node", "s.n", "s.keys", "s.seq"), "sketches")
 
-    # buckets of two texts or more
+    # one row a text, then the buckets of two texts or more
     texts = base.where(F.col("node").isNotNull() & (F.col("n") > 0))
-    members = texts.select(F.explode("keys").alias("key"), "node", "n").distinct()
-    members = materialize(members, "bucket-members")
+    nodes = materialize(texts.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys")), "texts")
+    members = nodes.select(F.explode("keys").alias("key"), "node", "n")
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
     members = members.join(buckets, "key")
     met = members.groupBy("node").agg(F.sum("g").alias("met"))
