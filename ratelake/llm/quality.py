@@ -65,8 +65,8 @@ _SQUEEZED: dict[str, str] = {}
 def raw_features(text: str) -> np.ndarray:
     """Counts of shapes and words of the whole text, dense; shape and word block apart."""
     x = np.zeros(SHAPES + WORDS, np.float32)
-    words = text.split()
-    if not words:
+    lower = text.lower().split()
+    if not lower:
         return x
     for shape, n in Counter(text.translate(_SHAPE).split()).items():
         short = _SQUEEZED.get(shape)
@@ -75,28 +75,24 @@ def raw_features(text: str) -> np.ndarray:
                 _SQUEEZED.clear()
             short = _SQUEEZED[shape] = _squeeze(shape)
         x[_slot(0, short, SHAPES)] += n
-    kinds = Counter(w.lower() for w in words)
-    for word, n in kinds.items():
+    for word, n in Counter(lower).items():
         x[SHAPES + _slot(1, word, WORDS)] += n
-    # how repetitive and how long the text is, as shape words of their own
-    share = len(kinds) / len(words)
-    x[_slot(2, f"distinct {int(10 * share)} of {min(12, len(words).bit_length())}", SHAPES)] += 0.2 * len(words)
-    x[_slot(2, f"length {len(words).bit_length() // 2}", SHAPES)] += 0.02 * len(words)
+    # how repetitive the text is, window by window so that long texts compare with short ones
+    shares = [len(set(lower[i : i + 100])) / len(lower[i : i + 100]) for i in range(0, len(lower), 100)]
+    x[_slot(2, f"distinct {int(10 * sum(shares) / len(shares))}", SHAPES)] += 0.2 * len(lower)
     return x
 
 
 def _weighted(raw: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    out = []
-    for lo, hi, weight in ((0, SHAPES, 1.0), (SHAPES, SHAPES + WORDS, 0.35)):
-        part = raw[:, lo:hi]
-        if lo == 0:  # shares of the text tell more than logarithms here
-            part = np.sqrt(part)
-        else:
-            part = np.log1p(part)
-        part = part * idf[lo:hi]
+    out = np.empty_like(raw)
+    # of shapes the shares of the text tell most, of words that they occur
+    for lo, hi, weight, damp in ((0, SHAPES, 1.0, np.sqrt), (SHAPES, SHAPES + WORDS, 0.35, np.log1p)):
+        part = out[:, lo:hi]
+        damp(raw[:, lo:hi], out=part)
+        part *= idf[lo:hi]
         norm = np.linalg.norm(part, axis=1, keepdims=True)
-        out.append(weight * part / np.where(norm > 0, norm, 1))
-    return np.concatenate(out, axis=1)
+        part *= weight / np.where(norm > 0, norm, 1)
+    return out
 
 
 def _right_singular(x: np.ndarray, dims: int) -> np.ndarray:
@@ -111,15 +107,13 @@ def _right_singular(x: np.ndarray, dims: int) -> np.ndarray:
 class Model:
     """Labelled latent-semantic vectors and how to make such a vector of a text."""
 
-    def __init__(self, texts: list[str], labels: list[int], dims: int = 48, neighbours: int = 25):
+    def __init__(self, raw: np.ndarray, labels: list[int], dims: int = 48, neighbours: int = 25):
         self.neighbours = neighbours
         self.labels = np.asarray(labels, np.float64)
-        raw = np.stack([raw_features(t) for t in texts])
-        self.idf = (np.log((1 + len(texts)) / (1 + (raw > 0).sum(axis=0))) + 0.5).astype(np.float32)
+        self.idf = (np.log((1 + len(raw)) / (1 + (raw > 0).sum(axis=0))) + 0.5).astype(np.float32)
         x = _weighted(raw, self.idf)
         self.basis = _right_singular(x, dims)
         self.vectors = self._unit(x @ self.basis)
-        self.prior = float(self.labels.mean())
 
     @staticmethod
     def _unit(v: np.ndarray) -> np.ndarray:
@@ -145,25 +139,49 @@ class Model:
         return np.clip(vote, 0.0, 1.0)
 
 
-def fit(labelled: DataFrame, per_class: int = 2000, seed: int = 5, **options) -> Model | None:
-    """Fit on at most ``per_class`` rows of each label (text, label in 0/1).
+def labelled_sample(docs: DataFrame, labels: DataFrame, may_learn: Column, per_class: int = 2000, seed: int = 5) -> DataFrame:
+    """doc_id, text, label (0 or 1) of at most ``per_class`` documents of each label.
 
-    The rows are those with the smallest hash of their text, so the choice
-    doesn't depend on order or partitions. Rows with a null or a label other than 0 and 1 take no part. None if
-    nothing is left. The bound keeps the broadcast the same at every size.
+    ``may_learn`` is a condition on doc_id. The documents are those with the
+    smallest hash of their id, so the choice depends neither on order nor on
+    partitions. Ids without a document, null texts, null ids and other labels
+    take no part; an id that is used by several documents counts with its first
+    text. Only ids are compared with the labels: the texts are not shuffled,
+    the picked ids are broadcast (at most 2 x ``per_class`` rows).
     """
-    rows = labelled.select(F.col("text"), F.col("label").cast("int").alias("label"))
-    rows = rows.where(F.col("text").isNotNull() & F.col("label").isin(0, 1))
-    texts, labels = [], []
-    for label in (0, 1):
-        own = rows.where(F.col("label") == label).select("text", F.xxhash64("text", F.lit(seed)).alias("h"))
-        for r in own.orderBy("h").limit(per_class).collect():
-            texts.append(r["text"])
-            labels.append(label)
-    if not texts:
+    marks = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where(may_learn & F.col("label").isin(0, 1))
+    known = docs.where(F.col("text").isNotNull()).select("doc_id")
+    marks = marks.dropDuplicates().join(known, "doc_id", "left_semi")
+    order = (F.xxhash64("doc_id", F.lit(seed)), "doc_id")
+    bad, good = (marks.where(F.col("label") == x).orderBy(*order).limit(per_class) for x in (0, 1))
+    found = docs.select("doc_id", "text").dropna().join(F.broadcast(bad.union(good)), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def fit(sample: DataFrame, **options) -> Model | None:
+    """Fit on the rows of a bounded sample (doc_id, text, label); None if it is empty.
+
+    The executors send the driver each row's nonzero features, a bounded size
+    however long the text.
+    """
+
+    @F.pandas_udf("binary")
+    def features(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            x = raw_features(t)
+            at = np.flatnonzero(x)
+            out.append(at.astype("<u2").tobytes() + x[at].tobytes())
+        return pd.Series(out)
+
+    rows = sample.select("doc_id", "label", features("text").alias("f")).orderBy("doc_id", "label").collect()
+    if not rows:
         return None
-    order = sorted(range(len(texts)), key=lambda i: (texts[i], labels[i]))
-    return Model([texts[i] for i in order], [labels[i] for i in order], **options)
+    raw = np.zeros((len(rows), SHAPES + WORDS), np.float32)
+    for i, r in enumerate(rows):
+        n = len(r["f"]) // 6
+        raw[i, np.frombuffer(r["f"], "<u2", n)] = np.frombuffer(r["f"], np.float32, n, 2 * n)
+    return Model(raw, [r["label"] for r in rows], **options)
 
 
 def scorer(spark: SparkSession, model: Model | None):
@@ -179,9 +197,3 @@ def scorer(spark: SparkSession, model: Model | None):
             yield pd.Series(out)
 
     return score
-
-
-def labelled_rows(docs: DataFrame, labels: DataFrame, may_learn: Column) -> DataFrame:
-    """text, label of the documents that ``may_learn`` allows (a condition on doc_id)."""
-    marks = labels.select("doc_id", F.col("quality").alias("label")).where(may_learn).dropDuplicates()
-    return docs.select("doc_id", "text").join(marks, "doc_id").select("text", "label")

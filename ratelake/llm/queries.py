@@ -124,7 +124,8 @@ def op8_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lsa_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_of_id("doc_id") % 4 == 2
-    score = quality.scorer(spark, quality.fit(quality.labelled_rows(docs, table(spark, sf_dir, "labels"), ~held_out)))
+    sample = quality.labelled_sample(docs, table(spark, sf_dir, "labels"), ~held_out)
+    score = quality.scorer(spark, quality.fit(sample))
     scored = docs.select("doc_id", held_out.alias("held_out"), score("text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
 

@@ -62,17 +62,20 @@ def test_quality_awkward_rows(spark):
     table = docs(spark, good + bad + [(300, None), (301, "x")])
     marks = [(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in bad] + [(0, 1, 0), (300, 1, 0), (301, None, 1), (999, 1, 0), (None, 0, 0)]
     labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
-    model = quality.fit(quality.labelled_rows(table, labels, F.lit(True)))
+    model = quality.fit(quality.labelled_sample(table, labels, F.lit(True)))
     score = quality.scorer(spark, model)
     asked = docs(spark, [(1, sentence("new", 50) + "."), (2, sentence("new", 50).upper().replace(" ", "!! ")), (3, None), (4, ""), (None, " "), (5, "é" * 200_000)])
     got = {str(r.doc_id): r["s"] for r in asked.select("doc_id", score("text").alias("s")).collect()}
     assert got["1"] > 0.7 > 0.3 > got["2"] and got["3"] == got["4"] and all(0 <= v <= 1 for v in got.values())
-    none = quality.scorer(spark, quality.fit(quality.labelled_rows(table, labels.where("false"), F.lit(True))))
+    none = quality.scorer(spark, quality.fit(quality.labelled_sample(table, labels.where("false"), F.lit(True))))
     assert {r[0] for r in asked.select(none("text")).collect()} == {0.5}
     assert asked.where("false").select(score("text")).count() == 0
 
 
 def test_quality_sample_is_bounded(spark):
-    rows = [(f"text {i}", i % 2) for i in range(500)]
-    model = quality.fit(spark.createDataFrame(rows, "text string, label int"), per_class=40)
-    assert model.labels.sum() == 40 and len(model.labels) == 80
+    table = docs(spark, [(i, f"text {i}") for i in range(500)] + [(7, "text again")] * 300)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(600)] + [(9, 0, 0)], "doc_id long, quality int, toxic int")
+    sample = quality.labelled_sample(table, labels, F.col("doc_id") % 4 != 2, per_class=40)
+    rows = sample.collect()
+    assert sum(r.label for r in rows) == 40 and len(rows) == 80 and all(r.doc_id % 4 != 2 for r in rows)
+    assert len(quality.fit(sample).labels) == 80
