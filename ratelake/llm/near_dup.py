@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import materialize
@@ -105,6 +105,39 @@ def sketches(x: np.ndarray, size: int, count: int, salt: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+SIGNATURE_BITS = 256
+
+
+def signature(x: np.ndarray) -> np.ndarray:
+    """One bit of each of 256 minima (b-bit minwise hashing, Li and Koenig 2010), as four longs.
+
+    Two texts differ in a bit with probability (1 - Jaccard) / 2.
+    """
+    if not len(x):
+        return np.zeros(SIGNATURE_BITS // 64, np.int64)
+    seeds = _mix(np.arange(5001, 5001 + SIGNATURE_BITS, dtype=np.uint64)) | np.uint64(1)
+    low = np.empty(SIGNATURE_BITS, np.uint64)
+    step = max(1, 1_000_000 // len(x))
+    for i in range(0, SIGNATURE_BITS, step):
+        low[i : i + step] = (x[None, :] * seeds[i : i + step, None]).min(axis=1)
+    bits = (_mix(low) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits).view("<i8")
+
+
+def differing_bits(a: str, b: str) -> Column:
+    """Bits in which two signature columns (structs s0 to s3) differ."""
+    total = F.lit(0)
+    for i in range(SIGNATURE_BITS // 64):
+        total = total + F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}")))
+    return total
+
+
+def most_differing_bits(threshold: float, sigmas: float = 6.0) -> int:
+    """A pair at the threshold differs in more bits than this with the chance of so many sigmas."""
+    p = (1 - threshold) / 2
+    return int(SIGNATURE_BITS * p + sigmas * (SIGNATURE_BITS * p * (1 - p)) ** 0.5)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     """Matched shingles / (all - matched) of the best alignment inside the band.
 
@@ -174,8 +207,10 @@ def near_duplicates(
     that shares a sketch is either aligned or already in one class: first all
     members of a bucket against the member most often met there, then, in
     buckets that still hold several classes, the members outside the largest
-    class against all of another class. So no link found is lost and a group of
-    copies costs a star, not all of its pairs. Sketches of ``size`` shingles
+    class against all of another class. Pairs whose lengths or 256-bit signatures
+    rule the threshold out (by six sigmas) are left out while joining, so texts
+    that merely share a passage make no rows. So no link found is lost and a
+    group of copies costs a star, not all of its pairs. Sketches of ``size`` shingles
     meet with a probability of about threshold ** size each, ``count`` times.
     Texts of at most 1.25 x ``short`` shingles also have 16 sketches of two, as
     for them six is too strict.
@@ -188,7 +223,7 @@ def near_duplicates(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("node", F.unhex(F.md5("text")))
 
-    @F.pandas_udf("struct<n:int,keys:array<bigint>,seq:binary>")
+    @F.pandas_udf("struct<n:int,keys:array<bigint>,seq:binary,s0:bigint,s1:bigint,s2:bigint,s3:bigint>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             for at in range(0, len(texts), 500):  # short batches out: bounded memory
@@ -198,15 +233,16 @@ def near_duplicates(
                     keys = [sketches(x, size, count, 1)] if len(x) >= short else []
                     if len(x) <= 1.25 * short:
                         keys.append(sketches(x, 2, 16, 1001))
-                    out.append((len(x), np.concatenate(keys), x.astype("<u4").tobytes()))
-                yield pd.DataFrame(out, columns=["n", "keys", "seq"])
+                    out.append((len(x), np.concatenate(keys), x.astype("<u4").tobytes(), *signature(x).tolist()))
+                yield pd.DataFrame(out, columns=["n", "keys", "seq", "s0", "s1", "s2", "s3"])
 
     base = rows.select("doc_id", "node", sketch("text").alias("s"))
-    base = materialize(base.select("doc_id", "node", "s.n", "s.keys", "s.seq"), "sketches")
+    bits = F.struct(*[F.col(f"s.s{i}") for i in range(4)]).alias("bits")
+    base = materialize(base.select("doc_id", "node", "s.n", "s.keys", "s.seq", bits), "sketches")
 
     # one row a text, then the buckets of two texts or more
     texts = base.where(F.col("node").isNotNull() & (F.col("n") > 0))
-    nodes = materialize(texts.groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys")), "texts")
+    nodes = materialize(texts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bits")]), "texts")
     members = nodes.select(F.explode("keys").alias("key"), "node", "n")
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
     members = members.join(buckets, "key")
@@ -217,6 +253,9 @@ def near_duplicates(
     fits = F.least("n", "na") >= F.lit(threshold) * F.greatest("n", "na")
     star = members.join(lead, "key").where((F.col("node") != F.col("a")) & fits)
     star = star.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    bits_of = lambda c, name: nodes.select(F.col("node").alias(c), F.col("bits").alias(name))
+    star = star.join(bits_of("a", "x"), "a").join(bits_of("b", "y"), "b")
+    star = materialize(star.where(differing_bits("x", "y") <= most_differing_bits(threshold)).select("a", "b"), "star-pairs")
     links = materialize(_verified(star, texts, threshold), "star-links")
 
     # what the star may have missed: pairs across classes inside a bucket
@@ -224,10 +263,13 @@ def near_duplicates(
     marked = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = marked.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     several = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
-    mixed = materialize(marked.join(several.select("key", F.col("top.comp").alias("top")), "key"), "mixed-buckets")
-    left = mixed.where(F.col("comp") != F.col("top")).select("key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
-    right = mixed.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n"), (F.col("comp") == F.col("top")).alias("big"))
-    cross = left.join(right, (left["key"] == right["key"]) & (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b"))) & fits)
+    mixed = marked.join(several.select("key", F.col("top.comp").alias("top")), "key").drop("met")
+    mixed = materialize(mixed.join(nodes.select("node", "bits"), "node"), "mixed-buckets")
+    left = mixed.where(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(d) for c, d in (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"))])
+    right = mixed.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"), "n", F.col("bits").alias("y"), (F.col("comp") == F.col("top")).alias("big"))
+    once = (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b")))
+    alike = fits & (differing_bits("x", "y") <= most_differing_bits(threshold))
+    cross = left.join(right, (left["key"] == right["key"]) & once & alike)
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     cross = materialize(cross.join(star, ["a", "b"], "left_anti"), "cross-pairs")
     more = materialize(_verified(cross, texts, threshold), "cross-links")
