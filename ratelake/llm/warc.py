@@ -292,7 +292,9 @@ def read_records(archives: str, places: DataFrame, with_payload: bool = False) -
         if file:
             file.close()
 
-    grouped = places.repartition("file").sortWithinPartitions("file", "offset")
+    # a number, so the narrow places are not coalesced into few tasks: reading the records is the work
+    tasks = int(places.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = places.repartition(tasks, "file").sortWithinPartitions("file", "offset")
     out = grouped.select("file", "offset", "length").mapInPandas(read, schema)
     out = out.withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
     return out if with_payload else out.drop("html")
