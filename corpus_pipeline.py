@@ -18,7 +18,7 @@ from ratelake.llm.queries import tokenizer_path
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the neighbours' vote doesn't accept; the classifier learns as in op9."""
     may_learn = crc_of_id("doc_id") % 4 != 2
-    model = quality.fit(quality.labelled_rows(docs, table(spark, sf_dir, "labels"), may_learn))
+    model = quality.fit(quality.labelled_sample(docs, table(spark, sf_dir, "labels"), may_learn))
     if model is None:  # nothing labelled: nothing is known against any document
         return docs
     return docs.where(quality.scorer(spark, model)(F.col("text")) >= quality.ACCEPT)
