@@ -2,7 +2,7 @@
 
 Raw JSON landing files are ingested incrementally (Structured Streaming),
 typed tolerantly, de-duplicated by "latest ingest wins", upserted by business
-key into a versioned Parquet table, and consolidated into a monthly table of
+key into a partitioned Parquet table, and consolidated into a monthly table of
 compounded, Fisher-real and rolling 12-month rates. Declarative quality checks
 gate every layer in one aggregation pass per table.
 
@@ -23,7 +23,7 @@ def __getattr__(name):
         "latest_wins": ("ratelake.operators.dedup", "latest_wins"),
         "merge_changes": ("ratelake.operators.upsert", "merge_changes"),
         "rolling_compound": ("ratelake.operators.rolling", "rolling_compound"),
-        "VersionedTable": ("ratelake.sources.tables", "VersionedTable"),
+        "StoredTable": ("ratelake.sources.tables", "StoredTable"),
         "register_views": ("ratelake.plans.views", "register_views"),
     }
     if name in lazy:
@@ -45,7 +45,7 @@ __all__ = [
     "latest_wins",
     "merge_changes",
     "rolling_compound",
-    "VersionedTable",
+    "StoredTable",
     "register_views",
 ]
 __version__ = "0.1.0"

@@ -3,49 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratelake.settings import SeriesSpec
 
 
-def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
 def series_attribute(path: str | Column, series: Sequence[SeriesSpec], attr: str) -> Column:
     """CASE over the series file patterns; an unmapped file gives NULL.
 
-    A short CASE stays inside whole-stage codegen and needs no join; the
-    dimension has one entry per published series, not per row.
+    A file that two patterns match is an error: its rows would overwrite
+    observations of the wrong series. A short CASE stays inside whole-stage
+    codegen and needs no join; the dimension has one entry per series.
     """
-    expr: Column | None = None
-    for spec in series:
-        hit = _c(path).rlike(spec.file_pattern)
-        value = F.lit(getattr(spec, attr))
-        expr = F.when(hit, value) if expr is None else expr.when(hit, value)
-    return expr.otherwise(F.lit(None)) if expr is not None else F.lit(None)
-
-
-SERIES_DIMENSION_SCHEMA = T.StructType(
-    [
-        T.StructField("series_id", T.IntegerType(), False),
-        T.StructField("series_name", T.StringType(), False),
-        T.StructField("granularity", T.StringType(), False),
-        T.StructField("unit", T.StringType(), False),
-        T.StructField("file_pattern", T.StringType(), False),
-        T.StructField("domain_min", T.DoubleType(), False),
-        T.StructField("domain_max", T.DoubleType(), False),
-    ]
-)
-
-
-def series_dimension(spark: SparkSession, series: Sequence[SeriesSpec]) -> DataFrame:
-    """The series metadata as a small DataFrame (one row per series)."""
-    rows = [
-        (s.series_id, s.name, s.granularity, s.unit, s.file_pattern, float(s.domain[0]), float(s.domain[1]))
-        for s in series
-    ]
-    return spark.createDataFrame(rows, SERIES_DIMENSION_SCHEMA)
+    if not series:
+        return F.lit(None)
+    path = F.col(path) if isinstance(path, str) else path
+    hits = [path.rlike(spec.file_pattern) for spec in series]
+    out = F
+    if len(series) > 1:
+        found = reduce(add, [h.cast("int") for h in hits])
+        out = F.when(found > 1, F.raise_error(F.concat(F.lit("several series match the file "), path)))
+    for hit, spec in zip(hits, series):
+        out = out.when(hit, F.lit(getattr(spec, attr)))
+    return out

@@ -15,9 +15,8 @@ Two frames:
   month index), so a gap leaves the window incomplete instead.
 
 Windows are partitioned by ``partition_by`` (the entity). With no entity the
-input must be small (one row per month after the rollup); a multi-entity
-table must pass its entity columns so the window runs one task per entity
-range instead of one task for everything.
+input must be one row per period, declared with ``one_series=True``, as all of
+it goes to one task; a multi-entity table must pass its entity columns.
 """
 
 from __future__ import annotations
@@ -44,6 +43,7 @@ def rolling_compound(
     gate: str = "rows",
     frame: str = "rows",
     count_col: str = "months_in_window",
+    one_series: bool = False,
 ) -> DataFrame:
     """Add one rolling accumulated rate (percent, DOUBLE) per factor column."""
     if gate not in ("rows", "factors"):
@@ -51,6 +51,9 @@ def rolling_compound(
     if frame not in ("rows", "months"):
         raise ValueError(f"frame must be 'rows' or 'months', not {frame!r}")
 
+    if not partition_by and not one_series:
+        raise ValueError("pass partition_by, or one_series=True for a table of one row per period")
+
     base = Window.partitionBy(*partition_by)
     if frame == "rows":
         w = base.orderBy(order_by).rowsBetween(-(months - 1), Window.currentRow)

@@ -1,107 +1,61 @@
-"""Monthly rollups of observation series (daily -> monthly, monthly -> monthly).
+"""Rollups of long observation tables, one measure list for any number of series.
 
-Input is the long observation table ``(series_name, year_month, value, ...)``.
-Every aggregate here is algebraic (avg/count/sum of logs), so Spark runs a
-partial aggregation before the shuffle: a month that holds a third of all
-rows is still reduced to one partial row per map task.
+Input is ``(series_name, year_month, value, ...)``. One scan, one shuffle, no
+join: each measure is a conditional aggregate over its series. All aggregates
+are algebraic, so a month that holds a third of all rows is still reduced to
+one partial row per map task. A month without rows of a measure's series gets
+NULL for that measure, as an outer join of single rollups would give.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.functions.rates import compound, log_factor
+from ratelake.functions.rates import log_factor
 from ratelake.settings import VALUE_TYPE
 
 
-def monthly_policy(
-    obs: DataFrame,
-    series_name: str,
-    *,
-    by: Sequence[str] = (),
-    series_col: str = "series_name",
-    month_col: str = "year_month",
-    value_col: str = "value",
-    value_type: str = VALUE_TYPE,
-) -> DataFrame:
-    """Daily rate -> per month: mean daily rate, observation count, factor.
+@dataclass(frozen=True)
+class Measure:
+    """``kind``: mean or sum (cast to the value type), count, or factor, the
+    product of (1 + rate/100) over the observations there are."""
 
-    The factor compounds only the *published* days of the month (no calendar
-    fill): ``prod(1 + r/100)``.
-    """
-    return (
-        obs.filter(F.col(series_col) == F.lit(series_name))
-        .groupBy(*by, month_col)
-        .agg(
-            F.avg(value_col).cast(value_type).alias("policy_mean_day"),
-            F.count(F.lit(1)).cast("int").alias("policy_days"),
-            compound(value_col).alias("policy_factor"),
-        )
-    )
+    column: str
+    series: str
+    kind: str
 
+    def over(self, value: Column, series: Column, value_type: str) -> Column:
+        own = series == self.series
+        if self.kind == "count":
+            return F.nullif(F.count_if(own), F.lit(0)).cast("int")
+        if self.kind == "factor":
+            return F.exp(F.sum(F.when(own, log_factor(value))))
+        return {"mean": F.avg, "sum": F.sum}[self.kind](F.when(own, value)).cast(value_type)
 
-def monthly_inflation(
-    obs: DataFrame,
-    series_name: str,
-    *,
-    by: Sequence[str] = (),
-    series_col: str = "series_name",
-    month_col: str = "year_month",
-    value_col: str = "value",
-    value_type: str = VALUE_TYPE,
-) -> DataFrame:
-    """Monthly rate -> per month: the rate (sum) and its factor (product).
 
-    With one observation per month (checked in the quality suite) the sum is
-    the rate and the product its factor; with more they disagree, as in the
-    published definition.
-    """
-    return (
-        obs.filter(F.col(series_col) == F.lit(series_name))
-        .groupBy(*by, month_col)
-        .agg(
-            F.sum(value_col).cast(value_type).alias("inflation_month"),
-            compound(value_col).alias("inflation_factor"),
-        )
-    )
+def policy_measures(series: str) -> list[Measure]:
+    return [Measure("policy_mean_day", series, "mean"), Measure("policy_days", series, "count"), Measure("policy_factor", series, "factor")]
+
 
+def inflation_measures(series: str) -> list[Measure]:
+    return [Measure("inflation_month", series, "sum"), Measure("inflation_factor", series, "factor")]
 
-def monthly_both_onepass(
+
+def rollup(
     obs: DataFrame,
-    policy_series: str,
-    inflation_series: str,
+    measures: Sequence[Measure],
     *,
     by: Sequence[str] = (),
+    period: str = "year_month",
     series_col: str = "series_name",
-    month_col: str = "year_month",
     value_col: str = "value",
     value_type: str = VALUE_TYPE,
 ) -> DataFrame:
-    """Both monthly rollups in one scan and one shuffle, no join.
-
-    Equal to ``monthly_policy`` FULL OUTER JOIN ``monthly_inflation`` on the
-    month: the join only unions the month keys, and a month lacking one
-    series gets NULL for that side (``nullif(count, 0)`` keeps the count NULL
-    rather than 0, as the outer join does).
-    """
-    is_p = F.col(series_col) == F.lit(policy_series)
-    is_i = F.col(series_col) == F.lit(inflation_series)
-    val = F.col(value_col)
-
-    def when_(cond: Column, c: Column) -> Column:
-        return F.when(cond, c)
-
-    return (
-        obs.filter(F.col(series_col).isin(policy_series, inflation_series))
-        .groupBy(*by, month_col)
-        .agg(
-            F.avg(when_(is_p, val)).cast(value_type).alias("policy_mean_day"),
-            F.nullif(F.count(when_(is_p, F.lit(1))), F.lit(0)).cast("int").alias("policy_days"),
-            F.exp(F.sum(when_(is_p, log_factor(val)))).alias("policy_factor"),
-            F.sum(when_(is_i, val)).cast(value_type).alias("inflation_month"),
-            F.exp(F.sum(when_(is_i, log_factor(val)))).alias("inflation_factor"),
-        )
-    )
+    """One row per ``by`` and period with every measure."""
+    used = sorted({m.series for m in measures})
+    aggs = [m.over(F.col(value_col), F.col(series_col), value_type).alias(m.column) for m in measures]
+    return obs.where(F.col(series_col).isin(used)).groupBy(*by, period).agg(*aggs)

@@ -9,10 +9,9 @@ Semantics (the published MERGE): on key equality,
 
 Plan: one FULL OUTER equi-join on the key, each side packed into a struct so
 that the whole row comes from one side (presence is tested on the struct,
-never on a nullable data column). With ``prune_by`` (columns that the key
-determines, e.g. the month), only the target slices the source touches go
-through the join; the rest is passed through as ``untouched`` without a
-shuffle.
+never on a nullable data column). With ``prune_by`` (expressions of the key,
+e.g. its month), only the target slices the source touches go through the
+join; the rest is passed through as ``untouched``.
 
 The action tag ``_change`` is one of ``inserted | updated | matched_noop |
 untouched``. With ``compare`` columns, ``_values_changed`` tells an update
@@ -80,11 +79,6 @@ def _merge_core(
     )
 
 
-# Above this many touched slices the pruning is skipped: the slice set would
-# no longer be a safe broadcast, and a plain merge shuffles the target once.
-MAX_PRUNED_SLICES = 200_000
-
-
 def merge_changes(
     target: DataFrame,
     source: DataFrame,
@@ -92,27 +86,33 @@ def merge_changes(
     newer_by: str,
     *,
     prune_by: Sequence[str] = (),
-    max_pruned_slices: int = MAX_PRUNED_SLICES,
     compare: Sequence[str] = (),
 ) -> DataFrame:
     """All result rows of the upsert, each tagged with its ``_change``.
 
-    With ``prune_by`` the set of slices the source touches is counted first
-    (one small job; pass a materialised source so it is not recomputed). Within
-    ``max_pruned_slices`` it is broadcast - a proven size bound - to split the
-    target into touched and untouched rows without shuffling the target;
-    beyond it the plain merge runs.
+    ``prune_by`` holds SQL expressions over key columns alone (anything else
+    doesn't resolve). Rows that match on the key then lie in one slice whatever
+    their other columns hold, NULL included, so joining only the target's
+    touched slices gives the same rows as the plain merge. Whether the slices
+    are broadcast is left to Spark's own size estimate; the target is read for
+    the touched and for the untouched part, so pass a stored one.
     """
     if not prune_by:
         return _merge_core(target, source, keys, newer_by, compare)
-    touched = source.select(*prune_by).distinct()
-    if touched.count() > max_pruned_slices:
-        return _merge_core(target, source, keys, newer_by, compare)
-    touched = F.broadcast(touched)
-    hit = target.join(touched, on=list(prune_by), how="left_semi")
-    rest = target.join(touched, on=list(prune_by), how="left_anti")
-    merged = _merge_core(hit.select(*target.columns), source, keys, newer_by, compare)
-    passed = rest.select(*target.columns).withColumn(CHANGE, F.lit("untouched"))
+    names = [f"_slice_{i}" for i in range(len(prune_by))]
+    slices = [F.expr(e).alias(n) for e, n in zip(prune_by, names)]
+    touched = source.select(*keys).select(*slices).distinct()
+    sliced = target.select(*keys).select(*slices)  # resolves over the key columns only
+    assert sliced.columns == names
+    same = None
+    marked = target.select("*", *slices)
+    for n in names:
+        one = marked[n].eqNullSafe(touched[n])
+        same = one if same is None else same & one
+    hit = marked.join(touched, same, "left_semi").select(*target.columns)
+    rest = marked.join(touched, same, "left_anti").select(*target.columns)
+    merged = _merge_core(hit, source, keys, newer_by, compare)
+    passed = rest.withColumn(CHANGE, F.lit("untouched"))
     if compare:
         passed = passed.withColumn(VALUES_CHANGED, F.lit(False))
     return merged.unionByName(passed)
@@ -138,3 +138,16 @@ def change_counts(changes: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("rows_total"),
         *extra,
     )
+
+
+def merge_into(source: DataFrame, table: str, keys: Sequence[str], newer_by: str) -> None:
+    """The same upsert inside a catalog table that supports row-level operations.
+
+    Spark raises ``UnsupportedOperationException`` for tables that don't (plain Parquet).
+    """
+    on = None
+    for k in keys:
+        one = F.col(f"{table}.{k}") == F.col(f"s.{k}")
+        on = one if on is None else on & one
+    newer = F.col(f"s.{newer_by}") > F.col(f"{table}.{newer_by}")
+    source.alias("s").mergeInto(table, on).whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()

@@ -1,295 +1,86 @@
-"""The layer quality suites (Bronze 5, Silver 7+2, Gold 6 checks).
-
-Each suite is one aggregation over its table; the Silver suite is a two-level
-aggregation (per series-month, then global) so that per-month rules (thin
-months, months present) need no second scan.
-"""
+"""The rules of the three layers, built from the generic kinds and the settings."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.functions.series import series_attribute
 from ratelake.operators.conform import rejection_counts
-from ratelake.operators.quality import Check, evaluate, scalar_or
+from ratelake.operators.quality import Rule, dense, evaluate, given, in_range, never, not_null, periods, rows, unique
+from ratelake.schemas import SILVER_KEY
 from ratelake.settings import Settings
-from ratelake.sources.landing import count_files
-
+from ratelake.sources.landing import files_in, missing_files
 
-# ---------------------------------------------------------------- Bronze
-def bronze_metrics(bronze: DataFrame, settings: Settings, landing_files: Column | None = None) -> DataFrame:
-    """Two-level aggregation: per source file (partial aggregation map-side,
-    so a file holding a third of all rows costs one row per task in the
-    shuffle), then global over the file rows. Distinct files and distinct
-    series are plain counts over the per-file rows: no row expansion."""
-    if landing_files is None:
-        spark = bronze.sparkSession
-        landing_files = scalar_or(lambda: count_files(spark, settings.landing, settings.file_glob), 0)
-    per_file = bronze.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("source_file").isNull() | F.col("ingested_at").isNull()).alias("missing"),
-        F.count_if(F.col("date_raw").isNull() & F.col("value_raw").isNull()).alias("empty"),
-    )
-    series_name = series_attribute(F.col("source_file"), settings.series, "name")
-    return per_file.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("bronze_rows"),
-        F.coalesce(F.sum("missing"), F.lit(0)).cast("bigint").alias("missing_provenance"),
-        F.count("source_file").cast("bigint").alias("distinct_files"),
-        F.count_distinct(series_name).cast("bigint").alias("distinct_series"),
-        F.coalesce(F.sum("empty"), F.lit(0)).cast("bigint").alias("empty_rows"),
-    ).withColumn("landing_files", landing_files.cast("bigint"))
+SILVER_REQUIRED = ("series_id", "series_name", "granularity", "ref_date", "year_month", "value")
+GOLD_REQUIRED = ("policy_mean_day", "policy_month", "inflation_month", "real_month")
 
 
-def bronze_checks(settings: Settings) -> list[Check]:
-    n = len(settings.series)
+def bronze_rules(settings: Settings) -> list[Rule]:
+    name = series_attribute(F.col("source_file"), settings.series, "name")
     return [
-        Check(
-            "bronze_landing_not_empty",
-            "landing_files > 0",
-            "at least 1 file in the landing area",
-            "landing_files",
-            "Fails early when the files were never uploaded.",
-        ),
-        Check("bronze_table_not_empty", "coalesce(bronze_rows, 0) > 0", "> 0 rows in Bronze", "bronze_rows"),
-        Check(
-            "bronze_provenance_complete",
-            "coalesce(missing_provenance, 0) = 0",
-            "0 rows without source_file or ingested_at",
-            "missing_provenance",
-            "Traceability is the point of the Bronze layer.",
-        ),
-        Check(
-            "bronze_all_series_present",
-            f"coalesce(distinct_series, 0) = {n}",
-            f"{n} distinct series among the ingested files",
-            "distinct_series",
-            "Detects a series that was never loaded (compares series, not files).",
-        ),
-        Check(
-            "bronze_no_empty_rows",
-            "coalesce(empty_rows, 0) = 0",
-            "0 rows with both date and value NULL",
-            "empty_rows",
-            "Signals a broken JSON read (multiLine off, for instance).",
-        ),
+        rows(1, ">="),
+        not_null("source_file", "ingested_at"),
+        Rule("series_present", F.count_distinct(name), len(settings.series), meaning="series with a row"),
+        never("no raw field", F.col("date_raw").isNull() & F.col("value_raw").isNull()),
     ]
 
 
-def bronze_results(bronze: DataFrame, settings: Settings, landing_files: Column | None = None) -> DataFrame:
-    return evaluate(bronze_metrics(bronze, settings, landing_files), bronze_checks(settings), "bronze")
-
-
-# ---------------------------------------------------------------- Silver
-def _out_of_domain(settings: Settings) -> Column:
-    cond = F.lit(False)
-    for s in settings.series:
-        lo, hi = s.domain
-        cond = cond | ((F.col("series_name") == s.name) & ((F.col("value") < lo) | (F.col("value") > hi)))
-    return cond
-
-
-def silver_metrics(silver: DataFrame, settings: Settings, bronze: DataFrame | None = None) -> DataFrame:
-    infl, pol = settings.inflation_series, settings.policy_series
-    per_month = silver.groupBy("series_id", "series_name", "year_month").agg(
-        F.count(F.lit(1)).alias("n"),
-        (
-            F.count_distinct("ref_date") + F.max(F.when(F.col("ref_date").isNull(), 1).otherwise(0))
-        ).alias("nd"),
-        F.count_if(_out_of_domain(settings)).alias("ood"),
-        F.count_if(
-            (F.col("ref_date") < F.lit(settings.first_date).cast("date"))
-            | (F.col("ref_date") > F.lit(settings.last_date).cast("date"))
-        ).alias("oow"),
-        F.count_if(F.dayofmonth("ref_date") != 1).alias("not_day1"),
-        F.count_if(F.col("value") <= -100).alias("nonpos"),
-        F.count_if(
-            F.col("series_id").isNull()
-            | F.col("series_name").isNull()
-            | F.col("granularity").isNull()
-            | F.col("ref_date").isNull()
-            | F.col("year_month").isNull()
-            | F.col("value").isNull()
-        ).alias("nulls"),
-    )
-    m = per_month.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("silver_rows"),
-        F.coalesce(F.sum("nd"), F.lit(0)).cast("bigint").alias("distinct_keys"),
-        F.coalesce(F.sum("ood"), F.lit(0)).cast("bigint").alias("out_of_domain"),
-        F.coalesce(F.sum("oow"), F.lit(0)).cast("bigint").alias("out_of_window"),
-        F.count_distinct(F.when(F.col("series_name") == infl, F.col("year_month"))).cast("bigint").alias("inflation_months"),
-        F.coalesce(F.sum(F.when(F.col("series_name") == infl, F.col("not_day1"))), F.lit(0))
-        .cast("bigint")
-        .alias("inflation_not_day1"),
-        F.count_if((F.col("series_name") == pol) & (F.col("n") < settings.min_policy_days_per_month))
-        .cast("bigint")
-        .alias("thin_policy_months"),
-        F.coalesce(F.sum("nonpos"), F.lit(0)).cast("bigint").alias("nonpositive_factors"),
-        F.coalesce(F.sum("nulls"), F.lit(0)).cast("bigint").alias("null_required"),
-    )
-    if bronze is not None:
-        rc = scalar_or(
-            lambda: rejection_counts(
-                bronze, settings.series, date_format=settings.raw_date_format, value_type=settings.value_type
-            ).select(F.struct("rejected_rows", "unmapped_rows")),
-            None,
-        )
-        m = m.withColumn("_rc", rc).select(
-            "*",
-            F.col("_rc.rejected_rows").alias("rejected_rows"),
-            F.col("_rc.unmapped_rows").alias("unmapped_rows"),
-        ).drop("_rc")
-    else:
-        m = m.withColumn("rejected_rows", F.lit(None).cast("bigint")).withColumn(
-            "unmapped_rows", F.lit(None).cast("bigint")
-        )
-    return m
-
-
-def silver_checks(settings: Settings) -> list[Check]:
-    exp = settings.expected_months
-    return [
-        Check(
-            "silver_unique_business_key",
-            "silver_rows = distinct_keys",
-            "COUNT(*) equal to the number of distinct (series_id, ref_date)",
-            "concat(silver_rows, ' rows / ', distinct_keys, ' keys')",
-            "Direct proof that the upsert is idempotent.",
-        ),
-        Check(
-            "silver_no_rejected_records",
-            "coalesce(rejected_rows, 0) = 0",
-            "0 Bronze records dropped by typing",
-            "rejected_rows",
-            "A date or value that does not convert signals a contract change upstream.",
-        ),
-        Check(
-            "silver_values_in_domain",
-            "coalesce(out_of_domain, 0) = 0",
-            "every value inside its series domain",
-            "out_of_domain",
-            "Catches scale errors, such as an annual rate loaded as daily.",
-        ),
-        Check(
-            "silver_time_window_respected",
-            "coalesce(out_of_window, 0) = 0",
-            f"all dates between {settings.first_date} and {settings.last_date}",
-            "out_of_window",
-        ),
-        Check(
-            "silver_inflation_complete",
-            f"inflation_months = {exp}",
-            f"{exp} distinct inflation months",
-            "inflation_months",
-            "A missing month would void the 12-month accumulation in Gold.",
-        ),
-        Check(
-            "silver_inflation_anchored_day_1",
-            "coalesce(inflation_not_day1, 0) = 0",
-            "every inflation observation on day 1",
-            "inflation_not_day1",
-            "Keeps the monthly period unambiguous.",
-        ),
-        Check(
-            "silver_policy_monthly_coverage",
-            "coalesce(thin_policy_months, 0) = 0",
-            f"no month with fewer than {settings.min_policy_days_per_month} policy observations",
-            "thin_policy_months",
-            "A thin month would distort the monthly mean and compounding.",
-        ),
-        Check(
-            "silver_required_columns_not_null",
-            "coalesce(null_required, 0) = 0",
-            "0 rows with NULL series_id, series_name, granularity, ref_date, year_month or value",
-            "null_required",
-            "The NOT NULL contract of the Silver columns (plain Parquet does not enforce it).",
-        ),
-        Check(
-            "silver_no_unmapped_files",
-            "coalesce(unmapped_rows, 0) = 0",
-            "0 Bronze rows from files no series maps",
-            "unmapped_rows",
-            "Unmapped rows are dropped silently otherwise.",
-        ),
-        Check(
-            "silver_factors_positive",
-            "coalesce(nonpositive_factors, 0) = 0",
-            "no rate at or below -100 %",
-            "nonpositive_factors",
-            "ln(1 + r/100) is NULL there and compounding would skip the row.",
-        ),
+def landing_rules(bronze: DataFrame, settings: Settings) -> list[Rule]:
+    """Rules on the landing folder: there are files, and Bronze has rows of every one.
+
+    A folder that doesn't exist holds no files; nothing can be missing then.
+    """
+    spark = bronze.sparkSession
+    n = files_in(spark, settings.landing, settings.file_glob)
+    lost = F.lit(0)
+    if n:
+        lost = missing_files(spark, settings.landing, bronze, settings.file_glob).agg(F.count(F.lit(1))).scalar()
+    return [given("landing_files", F.lit(n), 1, ">="), given("landing_files_without_rows", lost, 0)]
+
+
+def bronze_results(bronze: DataFrame, settings: Settings, landing: bool = True) -> DataFrame:
+    own = landing_rules(bronze, settings) if landing else []
+    return evaluate(bronze, own + bronze_rules(settings), "bronze")
+
+
+def silver_rules(silver: DataFrame, settings: Settings, bronze: DataFrame | None = None) -> list[Rule]:
+    """Rules on what Silver dropped need Bronze; without it they are not in the list."""
+    series = F.col("series_name")
+    infl, pol = series == settings.inflation_series, series == settings.policy_series
+    out = [
+        unique(silver, SILVER_KEY),
+        not_null(*SILVER_REQUIRED),
+        *[in_range("value", *s.domain, series == s.name, f"{s.name} value") for s in settings.series],
+        in_range("ref_date", settings.first_date, settings.last_date),
+        periods(settings.inflation_series, infl, "year_month", settings.expected_months),
+        never(f"{settings.inflation_series} not on day 1", infl & (F.dayofmonth("ref_date") != 1)),
+        dense(silver, settings.policy_series, pol, "year_month", settings.min_policy_days_per_month),
+        never("rate at or below -100 %", F.col("value") <= -100),
     ]
+    if bronze is not None:
+        counts = rejection_counts(bronze, settings.series, date_format=settings.raw_date_format, value_type=settings.value_type)
+        out += [given(c, counts.select(c).scalar(), 0) for c in ("rejected_rows", "unmapped_rows")]
+    return out
 
 
 def silver_results(silver: DataFrame, settings: Settings, bronze: DataFrame | None = None) -> DataFrame:
-    return evaluate(silver_metrics(silver, settings, bronze), silver_checks(settings), "silver")
-
-
-# ---------------------------------------------------------------- Gold
-def gold_metrics(gold: DataFrame, settings: Settings) -> DataFrame:
-    tol = settings.fisher_tolerance
-    fisher_gap = F.abs(
-        (F.lit(1) + F.col("real_month") / 100) * (F.lit(1) + F.col("inflation_month") / 100)
-        - (F.lit(1) + F.col("policy_month") / 100)
-    )
-    return gold.agg(
-        F.count(F.lit(1)).cast("bigint").alias("gold_rows"),
-        F.count_distinct("year_month").cast("bigint").alias("distinct_months"),
-        F.count_if(
-            F.col("policy_mean_day").isNull()
-            | F.col("policy_month").isNull()
-            | F.col("inflation_month").isNull()
-            | F.col("real_month").isNull()
-        )
-        .cast("bigint")
-        .alias("missing_metrics"),
-        F.count("real_12m").cast("bigint").alias("filled_rolling"),
-        F.count_if(fisher_gap > F.lit(tol)).cast("bigint").alias("fisher_violations"),
-        F.count_if(F.col("policy_days") < settings.min_policy_days_per_month).cast("bigint").alias("thin_policy_months"),
-    )
+    return evaluate(silver, silver_rules(silver, settings, bronze), "silver")
 
 
-def gold_checks(settings: Settings) -> list[Check]:
-    exp = settings.expected_months
-    filled = exp - (settings.rolling_months - 1)
+def gold_rules(gold: DataFrame, settings: Settings) -> list[Rule]:
+    one = lambda c: 1 + F.col(c) / 100
+    gap = F.abs(one("real_month") * one("inflation_month") - one("policy_month"))
+    n = settings.expected_months
     return [
-        Check(
-            "gold_unique_grain",
-            "gold_rows = distinct_months",
-            "one row per year_month",
-            "concat(gold_rows, ' rows / ', distinct_months, ' months')",
-            "The declared grain is the actual grain.",
-        ),
-        Check("gold_complete_series", f"gold_rows = {exp}", f"{exp} months", "gold_rows"),
-        Check(
-            "gold_no_missing_metrics",
-            "coalesce(missing_metrics, 0) = 0",
-            "0 rows with a NULL monthly metric",
-            "missing_metrics",
-            "A month lacking policy or inflation data points to a hole in Silver.",
-        ),
-        Check(
-            "gold_rolling_12m_consistent",
-            f"filled_rolling = {filled}",
-            f"{filled} months with the 12-month value (the first {settings.rolling_months - 1} are NULL by definition)",
-            "filled_rolling",
-        ),
-        Check(
-            "gold_fisher_identity",
-            "coalesce(fisher_violations, 0) = 0",
-            "(1+real)*(1+inflation) = (1+policy) on every row",
-            "fisher_violations",
-            "Algebraic recheck of the real rate.",
-        ),
-        Check(
-            "gold_months_with_enough_policy",
-            "coalesce(thin_policy_months, 0) = 0",
-            f"no month with fewer than {settings.min_policy_days_per_month} policy observations",
-            "thin_policy_months",
-            "A thin month would distort the monthly compounding.",
-        ),
+        unique(gold, ["year_month"]),
+        rows(n),
+        not_null(*GOLD_REQUIRED),
+        Rule("rolling_complete", F.count("real_12m"), n - settings.rolling_months + 1, meaning="months with a full window"),
+        never("real x inflation differs from policy", gap > settings.fisher_tolerance),
+        never(f"fewer than {settings.min_policy_days_per_month} policy days", F.col("policy_days") < settings.min_policy_days_per_month),
     ]
 
 
 def gold_results(gold: DataFrame, settings: Settings) -> DataFrame:
-    return evaluate(gold_metrics(gold, settings), gold_checks(settings), "gold")
+    return evaluate(gold, gold_rules(gold, settings), "gold")

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ratelake.functions.parsing import month_start
 from ratelake.functions.rates import to_percent
 from ratelake.operators.rolling import rolling_compound
-from ratelake.operators.rollup import monthly_both_onepass, monthly_inflation, monthly_policy
+from ratelake.operators.rollup import inflation_measures, policy_measures, rollup
 from ratelake.settings import VALUE_TYPE, Settings
 
 
@@ -33,13 +33,12 @@ def monthly_rates(
     value_type: str = VALUE_TYPE,
 ) -> DataFrame:
     """Per month: policy mean/days/factor, inflation rate/factor, real factor."""
+    policy, inflation = policy_measures(policy_series), inflation_measures(inflation_series)
     if strategy == "onepass":
-        m = monthly_both_onepass(obs, policy_series, inflation_series, by=by, value_type=value_type)
+        m = rollup(obs, policy + inflation, by=by, value_type=value_type)
     elif strategy == "join":
-        m = monthly_policy(obs, policy_series, by=by, value_type=value_type).join(
-            monthly_inflation(obs, inflation_series, by=by, value_type=value_type),
-            on=[*by, "year_month"],
-            how="full_outer",
+        m = rollup(obs, policy, by=by, value_type=value_type).join(
+            rollup(obs, inflation, by=by, value_type=value_type), on=[*by, "year_month"], how="full_outer"
         )
     else:
         raise ValueError(f"strategy must be 'onepass' or 'join', not {strategy!r}")
@@ -78,6 +77,7 @@ def build_gold(
             "real_12m": "real_factor",
         },
         partition_by=by,
+        one_series=not by,  # the rollup leaves one row per month
         months=settings.rolling_months,
         gate=gate or settings.rolling_gate,
         frame=frame or settings.rolling_frame,

@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.operators.rolling import rolling_compound
-from ratelake.operators.rollup import monthly_inflation, monthly_policy
+from ratelake.operators.rollup import inflation_measures, policy_measures, rollup
 from ratelake.functions.rates import to_percent
 from ratelake.plans.gold import build_gold, monthly_rates
+from ratelake.schemas import GOLD_TEXT, SILVER_TEXT
 from ratelake.settings import INFLATION_SERIES, POLICY_SERIES
 from ratelake.sources import standins
 
@@ -157,9 +158,15 @@ def gold_oracle(gate: str = "rows", frame: str = "rows") -> str:
 
 
 def _obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations written once: for layers that parse and filter them again."""
     return standins.observations(spark, sf_dir)
 
 
+def _lazy_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations as a plan: a query on one series reads that series' table only."""
+    return standins.observations(spark, sf_dir, materialize=False)
+
+
 # --------------------------------------------------------------------------
 # Rates algebra: monthly rollups (A1-A6, R1-R3)
 # --------------------------------------------------------------------------
@@ -174,7 +181,7 @@ SELECT year_month,
 FROM obs WHERE series_name = '{P}' GROUP BY year_month""",
 )
 def q_monthly_policy_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = monthly_policy(_obs(spark, sf_dir), P)
+    m = rollup(_lazy_obs(spark, sf_dir), policy_measures(P))
     return m.select(
         "year_month",
         "policy_mean_day",
@@ -193,7 +200,7 @@ SELECT year_month,
 FROM obs WHERE series_name = '{I}' GROUP BY year_month""",
 )
 def q_monthly_inflation_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = monthly_inflation(_obs(spark, sf_dir), I)
+    m = rollup(_lazy_obs(spark, sf_dir), inflation_measures(I))
     return m.select(
         "year_month",
         "inflation_month",
@@ -226,19 +233,19 @@ def _real_cols():
 
 @register("real_rate_monthly", _with(OBS_CTE, POLICY_M_CTE, PRICE_M_CTE, MONTHLY_CTE) + REAL_SELECT)
 def q_real_rate_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_rates(_obs(spark, sf_dir), P, I, strategy="join").select(*_real_cols())
+    return monthly_rates(_lazy_obs(spark, sf_dir), P, I, strategy="join").select(*_real_cols())
 
 
 @register("real_rate_onepass", _with(OBS_CTE, POLICY_M_CTE, PRICE_M_CTE, MONTHLY_CTE) + REAL_SELECT)
 def q_real_rate_onepass(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monthly_rates(_obs(spark, sf_dir), P, I, strategy="onepass").select(*_real_cols())
+    return monthly_rates(_lazy_obs(spark, sf_dir), P, I, strategy="onepass").select(*_real_cols())
 
 
 # --------------------------------------------------------------------------
 # Rolling 12-month compounding (W2-W4, R5) and the consolidated table (R6)
 # --------------------------------------------------------------------------
 def _gold(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return build_gold(_obs(spark, sf_dir), _settings(spark), with_processed_at=False, **kw)
+    return build_gold(_lazy_obs(spark, sf_dir), _settings(spark), with_processed_at=False, **kw)
 
 
 @register("consolidated_monthly", gold_oracle())
@@ -601,26 +608,37 @@ def _latest_per_user(ev: DataFrame, types: tuple[str, ...]) -> DataFrame:
     return latest_wins(feed, UPSERT_KEYS, [F.col("ts").desc_nulls_last(), F.col("event_id").desc_nulls_last()])
 
 
-def _upsert_runs(spark: SparkSession, sf_dir: str):
+def _upsert_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    ev = standins.table(spark, sf_dir, "events")
+    return _latest_per_user(ev, TARGET_TYPES), _latest_per_user(ev, SOURCE_TYPES)
+
+
+def _upsert_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.operators.upsert import merge_changes
 
-    ev = standins.table(spark, sf_dir, "events")
-    tgt, src = _latest_per_user(ev, TARGET_TYPES), _latest_per_user(ev, SOURCE_TYPES)
-    run1 = merge_changes(tgt, src, UPSERT_KEYS, "ts")
-    run2 = merge_changes(run1.drop("_change"), src, UPSERT_KEYS, "ts")
-    return run1, run2
+    return merge_changes(*_upsert_feeds(spark, sf_dir), UPSERT_KEYS, "ts")
+
+
+def _upsert_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both runs; the feeds and the first result are written once and read again."""
+    from ratelake.operators.upsert import merge_changes
+    from ratelake.session import materialize
+
+    tgt, src = (materialize(df, "feed") for df in _upsert_feeds(spark, sf_dir))
+    run1 = materialize(merge_changes(tgt, src, UPSERT_KEYS, "ts"), "first-run")
+    return run1, merge_changes(run1.drop("_change"), src, UPSERT_KEYS, "ts")
 
 
 @register("upsert_result", _with(UPSERT_CTE) + "\nSELECT * FROM run1")
 def q_upsert_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _upsert_runs(spark, sf_dir)[0]
+    return _upsert_once(spark, sf_dir)
 
 
 @register("upsert_metrics", _with(UPSERT_CTE) + COUNTS_SELECT.format(rel="run1"))
 def q_upsert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.operators.upsert import change_counts
 
-    return change_counts(_upsert_runs(spark, sf_dir)[0])
+    return change_counts(_upsert_once(spark, sf_dir))
 
 
 @register("upsert_twice_noop", _with(UPSERT_CTE) + COUNTS_SELECT.format(rel="run2"))
@@ -675,17 +693,29 @@ def q_upsert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Stand-in layers: Bronze rows rendered from the observations, conformed to
 # Silver, consolidated to Gold (no files; SQL re-derives every layer).
 # --------------------------------------------------------------------------
-def _standin_layers(spark: SparkSession, sf_dir: str):
-    """Bronze rows rendered from the observations, Silver written once as a
-    table (as the layered run does), Gold built from it."""
+def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standins.bronze_standin(_obs(spark, sf_dir))
+
+
+def _silver(spark: SparkSession, sf_dir: str, bronze: DataFrame | None = None) -> DataFrame:
+    """Silver written once as a table, as the layered run does."""
     from ratelake.operators.conform import conform
     from ratelake.session import materialize
 
-    st = _settings(spark)
-    bronze = standins.bronze_standin(_obs(spark, sf_dir))
-    silver = materialize(conform(bronze, st.series, with_processed_at=False), "silver")
-    gold = build_gold(silver, st, with_processed_at=False)
-    return st, bronze, silver, gold
+    bronze = _bronze(spark, sf_dir) if bronze is None else bronze
+    return materialize(conform(bronze, _settings(spark).series, with_processed_at=False), "silver")
+
+
+def _standin_gold(spark: SparkSession, sf_dir: str, silver: DataFrame | None = None) -> DataFrame:
+    silver = _silver(spark, sf_dir) if silver is None else silver
+    return build_gold(silver, _settings(spark), with_processed_at=False)
+
+
+def _standin_layers(spark: SparkSession, sf_dir: str):
+    """Settings, Bronze rendered from the observations, Silver, Gold."""
+    bronze = _bronze(spark, sf_dir)
+    silver = _silver(spark, sf_dir, bronze)
+    return _settings(spark), bronze, silver, _standin_gold(spark, sf_dir, silver)
 
 
 def _case_sql(series, attr: str, col: str = "source_file") -> str:
@@ -783,70 +813,89 @@ def _standin_landing_files(bronze: DataFrame):
 
 @register("bronze_metrics", _with(OBS_CTE, LAYERS_CTE) + BRONZE_METRICS_SQL)
 def q_bronze_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ratelake.plans.checks import bronze_metrics
+    from ratelake.plans.metrics import bronze_metrics
 
-    st, bronze, _, _ = _standin_layers(spark, sf_dir)
-    return bronze_metrics(bronze, st, _standin_landing_files(bronze))
+    bronze = _bronze(spark, sf_dir)
+    return bronze_metrics(bronze, _settings(spark), _standin_landing_files(bronze))
 
 
 @register("silver_metrics", _with(OBS_CTE, LAYERS_CTE) + SILVER_METRICS_SQL)
 def q_silver_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ratelake.plans.checks import silver_metrics
+    from ratelake.plans.metrics import silver_metrics
 
-    st, bronze, silver, _ = _standin_layers(spark, sf_dir)
-    return silver_metrics(silver, st, bronze)
+    bronze = _bronze(spark, sf_dir)
+    return silver_metrics(_silver(spark, sf_dir, bronze), _settings(spark), bronze)
 
 
 @register("gold_metrics", _with(OBS_CTE, LAYERS_CTE) + GOLD_METRICS_SQL)
 def q_gold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ratelake.plans.checks import gold_metrics
-
-    st, _, _, gold = _standin_layers(spark, sf_dir)
-    return gold_metrics(gold, st)
-
-
-def _q(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
-def _checks_sql() -> str:
-    from ratelake.plans.checks import bronze_checks, gold_checks, silver_checks
-
-    st = standins.standin_settings("unused")
+    from ratelake.plans.metrics import gold_metrics
+
+    return gold_metrics(_standin_gold(spark, sf_dir), _settings(spark))
+
+
+# The rules as plain SQL, written out apart from the rules in ``checks``:
+# (layer, name, operator, target, SQL of the number, description).
+_ROWS, _NULLS, _RANGE, _PERIODS = "rows in the table", "rows with a NULL in one of the columns", "values outside the range", "different periods present"
+_EXTRA, _THIN, _HOLDS, _OUTSIDE = "rows beyond one per key", "periods with fewer rows than that", "rows where this holds", "measured outside the table"
+BRONZE_RULES_SQL = [
+    ("rows", ">=", 1, "SELECT COUNT(*) FROM bronze", _ROWS),
+    ("not_null(source_file, ingested_at)", "=", 0, "SELECT COUNT(*) FROM bronze WHERE source_file IS NULL OR ingested_at IS NULL", _NULLS),
+    ("series_present", "=", 2, f"SELECT COUNT(DISTINCT {_case_sql(_SS, 'name')}) FROM bronze", "series with a row"),
+    ("never(no raw field)", "=", 0, "SELECT COUNT(*) FROM bronze WHERE date_raw IS NULL AND value_raw IS NULL", _HOLDS),
+]
+LANDING_RULES_SQL = [
+    ("landing_files", ">=", 1, "SELECT COUNT(DISTINCT series_name || CAST(year(ref_date) AS VARCHAR)) FROM obs", _OUTSIDE),
+    ("landing_files_without_rows", "=", 0, "SELECT 0", _OUTSIDE),
+]
+SILVER_RULES_SQL = [
+    ("unique(series_id, ref_date)", "=", 0, "SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT series_id, ref_date FROM silver) d) FROM silver", _EXTRA),
+    ("not_null(series_id, series_name, granularity, ref_date, year_month, value)", "=", 0,
+     "SELECT COUNT(*) FROM silver WHERE series_id IS NULL OR series_name IS NULL OR granularity IS NULL OR ref_date IS NULL OR year_month IS NULL OR value IS NULL", _NULLS),
+    (f"in_range({P} value in 0.0 .. 1.0)", "=", 0, f"SELECT COUNT(*) FROM silver WHERE series_name = '{P}' AND (value < 0 OR value > 1)", _RANGE),
+    (f"in_range({I} value in -5.0 .. 10.0)", "=", 0, f"SELECT COUNT(*) FROM silver WHERE series_name = '{I}' AND (value < -5 OR value > 10)", _RANGE),
+    ("in_range(ref_date in 1995-01-01 .. 2001-11-30)", "=", 0, "SELECT COUNT(*) FROM silver WHERE ref_date < DATE '1995-01-01' OR ref_date > DATE '2001-11-30'", _RANGE),
+    (f"periods({I})", "=", 83, f"SELECT COUNT(DISTINCT year_month) FROM silver WHERE series_name = '{I}'", _PERIODS),
+    (f"never({I} not on day 1)", "=", 0, f"SELECT COUNT(*) FROM silver WHERE series_name = '{I}' AND day(ref_date) <> 1", _HOLDS),
+    (f"dense({P}, 15 per year_month)", "=", 0, f"SELECT COUNT(*) FROM (SELECT year_month FROM silver WHERE series_name = '{P}' GROUP BY 1 HAVING COUNT(*) < 15) t", _THIN),
+    ("never(rate at or below -100 %)", "=", 0, "SELECT COUNT(*) FROM silver WHERE value <= -100", _HOLDS),
+    ("rejected_rows", "=", 0, "SELECT COUNT(*) FROM typed WHERE ref_date IS NULL OR value IS NULL", _OUTSIDE),
+    ("unmapped_rows", "=", 0, "SELECT COUNT(*) FROM typed WHERE series_id IS NULL", _OUTSIDE),
+]
+GOLD_RULES_SQL = [
+    ("unique(year_month)", "=", 0, "SELECT COUNT(*) - COUNT(DISTINCT year_month) FROM gold", _EXTRA),
+    ("rows", "=", 83, "SELECT COUNT(*) FROM gold", _ROWS),
+    ("not_null(policy_mean_day, policy_month, inflation_month, real_month)", "=", 0,
+     "SELECT COUNT(*) FROM gold WHERE policy_mean_day IS NULL OR policy_month IS NULL OR inflation_month IS NULL OR real_month IS NULL", _NULLS),
+    ("rolling_complete", "=", 72, "SELECT COUNT(real_12m) FROM gold", "months with a full window"),
+    ("never(real x inflation differs from policy)", "=", 0,
+     "SELECT COUNT(*) FROM gold WHERE ABS((1 + real_month / 100) * (1 + inflation_month / 100) - (1 + policy_month / 100)) > 0.000001", _HOLDS),
+    ("never(fewer than 15 policy days)", "=", 0, "SELECT COUNT(*) FROM gold WHERE policy_days < 15", _HOLDS),
+]
+
+
+def _rules_sql(bronze_rules) -> str:
     parts = []
-    for layer, checks, cte in (
-        ("bronze", bronze_checks(st), "bm"),
-        ("silver", silver_checks(st), "sm"),
-        ("gold", gold_checks(st), "gm"),
-    ):
-        for c in checks:
+    for layer, rules in (("bronze", bronze_rules), ("silver", SILVER_RULES_SQL), ("gold", GOLD_RULES_SQL)):
+        for name, op, target, number, text in rules:
             parts.append(
-                f"SELECT '{layer}' AS layer, {_q(c.name)} AS name, COALESCE({c.passed}, FALSE) AS passed, "
-                f"{_q(c.expected)} AS expected, CAST({c.observed} AS VARCHAR) AS observed, "
-                f"{_q(c.description)} AS description FROM {cte}"
+                f"SELECT '{layer}' AS layer, '{name}' AS name, n {op} {target} AS passed, '{op} {target}' AS expected, "
+                f"CAST(n AS VARCHAR) AS observed, '{text}' AS description FROM ({number}) q(n)"
             )
-    return (
-        _with(
-            OBS_CTE,
-            LAYERS_CTE,
-            f"bm AS ({BRONZE_METRICS_SQL})",
-            f"sm AS ({SILVER_METRICS_SQL})",
-            f"gm AS ({GOLD_METRICS_SQL})",
-        )
-        + "\n"
-        + "\nUNION ALL\n".join(parts)
-    )
+    return _with(OBS_CTE, LAYERS_CTE) + "\n" + "\nUNION ALL\n".join(parts)
 
 
-QUALITY_REPORT_SQL = _checks_sql()
+QUALITY_REPORT_SQL = _rules_sql(BRONZE_RULES_SQL)
+RUN_REPORT_SQL = _rules_sql(LANDING_RULES_SQL + BRONZE_RULES_SQL)
 
 
 def _quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on the rendered layers; those on landed files are left to the physical runs."""
     from ratelake.plans.checks import bronze_results, gold_results, silver_results
 
     st, bronze, silver, gold = _standin_layers(spark, sf_dir)
     return (
-        bronze_results(bronze, st, _standin_landing_files(bronze))
+        bronze_results(bronze, st, landing=False)
         .unionByName(silver_results(silver, st, bronze))
         .unionByName(gold_results(gold, st))
     )
@@ -882,15 +931,22 @@ FROM bronze GROUP BY source_file""",
 def q_bronze_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import bronze_profile
 
-    _, bronze, _, _ = _standin_layers(spark, sf_dir)
+    bronze = _bronze(spark, sf_dir)
     return bronze_profile(bronze).withColumn("last_ingested_at", F.col("last_ingested_at").cast("string"))
 
 
-@register("bronze_sample")
+@register(
+    "bronze_sample",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT date_raw, value_raw, source_file, CAST(file_modified_at AS VARCHAR) AS file_modified_at,
+       CAST(ingested_at AS VARCHAR) AS ingested_at
+FROM bronze ORDER BY bronze.source_file, bronze.date_raw, bronze.value_raw LIMIT 10""",
+)
 def q_bronze_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import bronze_sample
 
-    _, bronze, _, _ = _standin_layers(spark, sf_dir)
+    bronze = _bronze(spark, sf_dir)
     return bronze_sample(bronze).withColumn("ingested_at", F.col("ingested_at").cast("string")).withColumn(
         "file_modified_at", F.col("file_modified_at").cast("string")
     )
@@ -907,7 +963,7 @@ FROM silver GROUP BY series_name""",
 def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import silver_profile
 
-    _, _, silver, _ = _standin_layers(spark, sf_dir)
+    silver = _silver(spark, sf_dir)
     return silver_profile(silver)
 
 
@@ -922,7 +978,7 @@ FROM silver WHERE series_name = '{I}' ORDER BY ref_date LIMIT 10""",
 def q_first_inflation_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import first_observations
 
-    _, _, silver, _ = _standin_layers(spark, sf_dir)
+    silver = _silver(spark, sf_dir)
     return first_observations(silver, I).withColumn("ingested_at", F.col("ingested_at").cast("string"))
 
 
@@ -939,7 +995,7 @@ FROM gold WHERE year_month LIKE '%-12' ORDER BY year_month""",
 def q_december_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import december_view
 
-    _, _, _, gold = _standin_layers(spark, sf_dir)
+    gold = _standin_gold(spark, sf_dir)
     return december_view(gold)
 
 
@@ -960,7 +1016,7 @@ FROM gold ORDER BY year_month""",
 def q_monthly_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import monthly_view
 
-    _, _, _, gold = _standin_layers(spark, sf_dir)
+    gold = _standin_gold(spark, sf_dir)
     return monthly_view(gold)
 
 
@@ -991,7 +1047,7 @@ FROM bronze GROUP BY source_file""",
 def q_ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.plans.reports import ingest_batches
 
-    _, bronze, _, _ = _standin_layers(spark, sf_dir)
+    bronze = _bronze(spark, sf_dir)
     return ingest_batches(bronze)
 
 
@@ -1039,7 +1095,7 @@ def q_external_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratelake.functions.rates import compound_rate
     from ratelake.plans.reports import external_validation
 
-    _, _, _, gold = _standin_layers(spark, sf_dir)
+    gold = _standin_gold(spark, sf_dir)
     price = standins.price_observations(standins.table(spark, sf_dir, "orders"))
     yearly = (
         price.groupBy(F.year("ref_date").alias("y"))
@@ -1092,7 +1148,7 @@ def q_stream_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(row, "rows_run1 bigint, rows_run2 bigint, bronze_total bigint, landing_files bigint")
 
 
-@register("layered_run", QUALITY_REPORT_SQL)
+@register("layered_run", RUN_REPORT_SQL)
 def q_layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing -> Bronze (stream) -> Silver (upsert) -> Gold (rebuild), every
     gate evaluated; returns the check report of all layers."""
@@ -1102,7 +1158,7 @@ def q_layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, st, stop_on_failure=False).to_frame(spark)
 
 
-@register("backfill_run", QUALITY_REPORT_SQL)
+@register("backfill_run", RUN_REPORT_SQL)
 def q_backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run over 1995-1998 first, then land the later years and backfill the
     wider window: the final report equals a single run over everything."""
@@ -1151,10 +1207,11 @@ def q_rerun_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     + f"""
 SELECT {FEED_SQL} AS feed, series_name, series_id, granularity,
        CAST(COUNT(*) AS BIGINT) AS rows, MIN(ref_date) AS first_date, MAX(ref_date) AS last_date,
-       CAST(64 AS INTEGER) AS sha256_len
+       sha256(string_agg('{{"data":"' || strftime(ref_date, '%d/%m/%Y') || '","valor":"' || CAST(value AS VARCHAR) || '"}}' || chr(10), '' ORDER BY ref_date)) AS sha256
 FROM obs GROUP BY {FEED_SQL}, series_name, series_id, granularity""",
 )
 def q_landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of the landed files; the digests are those of the files' whole content."""
     from ratelake.sources.landing import manifest
 
     st, _ = _fresh_run(spark, sf_dir, "manifest")
@@ -1167,25 +1224,51 @@ def q_landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rows",
         "first_date",
         "last_date",
-        F.length("sha256").alias("sha256_len"),
+        "sha256",
     )
 
 
+# One awkward file each: name, content, and what the contract says of it.
+CONTRACT_FILES = [
+    ("empty.json", "[]", 0, True, True, False, True, "empty list"),
+    ("page.json", "<html>no</html>", 1, False, False, True, False, "not valid JSON"),
+    ("object.json", '{"data": "01/01/2000", "valor": "1"}', 1, False, True, True, True, "not a list"),
+    ("field.json", '[{"data": "01/01/2000"}]', 1, True, True, True, False, "records lack data/valor"),
+    ("newline.json", "\n" * 400 + "\t " * 300 + '[{"data": "01/01/2000", "valor": "1"}]', 1, True, True, True, True, None),
+    ("with space + pct%41.json", '[{"data": "01/01/2000", "valor": "1"}]', 1, True, True, True, True, None),
+]
+_FLAG = {True: "TRUE", False: "FALSE"}
+
+
 @register(
     "payload_contract",
     _with(OBS_CTE)
     + f"""
-SELECT {FEED_SQL} AS feed, CAST(COUNT(*) AS BIGINT) AS records,
-       TRUE AS is_list, TRUE AS valid_json, TRUE AS non_empty, TRUE AS fields_present, TRUE AS passed,
-       CAST(NULL AS VARCHAR) AS failure
-FROM obs GROUP BY {FEED_SQL}""",
+SELECT {FEED_SQL} AS file, CAST(COUNT(*) AS BIGINT) AS records, TRUE AS is_list, TRUE AS valid_json,
+       TRUE AS non_empty, TRUE AS fields_present, TRUE AS passed, CAST(NULL AS VARCHAR) AS failure
+FROM obs GROUP BY {FEED_SQL}"""
+    + "".join(
+        f"\nUNION ALL SELECT '{name}', {n}, {_FLAG[lst]}, {_FLAG[js]}, {_FLAG[some]}, {_FLAG[both]}, {_FLAG[why is None]}, "
+        + ("NULL" if why is None else f"'{why}'")
+        for name, _, n, lst, js, some, both, why in CONTRACT_FILES
+    ),
 )
 def q_payload_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract over one JSON array per feed and a file of every failing kind."""
+    from ratelake.session import scratch_dir
     from ratelake.sources.landing import payload_contract
 
-    st, _ = _fresh_run(spark, sf_dir, "contract")
-    pc = payload_contract(spark, st.landing, st.file_glob, multi_line=st.multi_line)
-    return pc.select(F.regexp_extract("source_file", "feed=([^/]+)/", 1).alias("feed"), *pc.columns[1:])
+    root = scratch_dir(spark, "contract")
+    obs = _obs(spark, sf_dir)
+    record = F.struct(F.date_format("ref_date", "dd/MM/yyyy").alias("data"), F.col("value").cast("string").alias("valor"))
+    arrays = obs.groupBy(standins.feed_name(obs).alias("feed")).agg(F.to_json(F.sort_array(F.collect_list(record))).alias("value"))
+    arrays.repartition("feed").write.partitionBy("feed").text(root)
+    for name, content, *_ in CONTRACT_FILES:
+        standins.put_file(spark, f"{root}/{name}", content)
+    found = payload_contract(spark, root, "*")
+    feed = F.regexp_extract("source_file", "feed=([^/]+)/", 1)
+    name = F.element_at(F.split("source_file", "/"), -1)
+    return found.select(F.when(feed != "", feed).otherwise(name).alias("file"), *found.columns[1:])
 
 
 @register(
@@ -1217,36 +1300,36 @@ SILVER_ROW_COLS = ("series_id", "series_name", "granularity", "ref_date", "year_
 @register("layered_silver_rows", SILVER_ROWS_SQL)
 def q_layered_silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver as stored by the physical run (stream -> conform -> upsert)."""
-    from ratelake.plans.runner import run
-    from ratelake.sources.tables import VersionedTable
+    from ratelake.plans.runner import run, silver_table
 
-    st, _ = _fresh_run(spark, sf_dir, "silver-rows")
+    st, _ = _fresh_run(spark, sf_dir, "silver-rows", silver_mode="batch")
     run(spark, st, stop_on_failure=False)
-    return VersionedTable(spark, st.silver_path).read().select(*SILVER_ROW_COLS)
+    return silver_table(spark, st).read().select(*SILVER_ROW_COLS)
 
 
 @register("incremental_silver_rows", SILVER_ROWS_SQL)
 def q_incremental_silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver built by the streaming mode: Bronze read as a stream, each
     micro-batch conformed and upserted in foreachBatch (replay-safe)."""
-    from ratelake.sources.tables import VersionedTable
-    from ratelake.streaming.ingest import incremental_silver, ingest
+    from ratelake.streaming.ingest import incremental_silver, ingest, silver_table
 
     st, _ = _fresh_run(spark, sf_dir, "silver-stream", silver_mode="incremental", max_files_per_trigger=4)
     ingest(spark, st)
-    incremental_silver(spark, st)
-    return VersionedTable(spark, st.silver_path).read().select(*SILVER_ROW_COLS)
+    got = incremental_silver(spark, st)
+    if got["batches"] < 2:
+        raise RuntimeError("the bound on files per trigger was not applied")
+    return silver_table(spark, st).read().select(*SILVER_ROW_COLS)
 
 
 @register("upsert_result_pruned", _with(UPSERT_CTE) + "\nSELECT * FROM run1")
 def q_upsert_result_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same upsert through the pruned path: the source's event days are
-    counted, broadcast within the bound, and only the target rows of those
-    days go through the FULL OUTER join."""
+    """The same upsert, joining only the target rows of the days the source
+    names (the day is a key column). The feeds are written first, so events is
+    scanned once per feed."""
     from ratelake.operators.upsert import merge_changes
+    from ratelake.session import materialize
 
-    ev = standins.table(spark, sf_dir, "events")
-    tgt, src = _latest_per_user(ev, TARGET_TYPES), _latest_per_user(ev, SOURCE_TYPES)
+    tgt, src = (materialize(df, "feed") for df in _upsert_feeds(spark, sf_dir))
     return merge_changes(tgt, src, UPSERT_KEYS, "ts", prune_by=["event_day"])
 
 
@@ -1261,18 +1344,131 @@ UNION ALL
 SELECT CAST(1 AS BIGINT), 'MERGE', CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)""",
 )
 def q_silver_history_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored history of the Silver table after two runs over the same
-    landing files (the idempotence evidence), read through the metrics MAP."""
-    from ratelake.plans.runner import run
-    from ratelake.sources.tables import VersionedTable
+    """The audit of the Silver table after two runs over the same landing files
+    (the idempotence evidence), read through the metrics map."""
+    from ratelake.plans.runner import run, silver_table
 
-    st, _ = _fresh_run(spark, sf_dir, "history")
+    st, _ = _fresh_run(spark, sf_dir, "history", silver_mode="batch")
     run(spark, st, stop_on_failure=False)
     run(spark, st, stop_on_failure=False)
-    return VersionedTable(spark, st.silver_path).history().selectExpr(
+    return silver_table(spark, st).history().selectExpr(
         "version",
         "operation",
-        "CAST(operation_metrics['rows_inserted'] AS BIGINT) AS rows_inserted",
-        "CAST(operation_metrics['rows_updated'] AS BIGINT) AS rows_updated",
-        "CAST(operation_metrics['rows_deleted'] AS BIGINT) AS rows_deleted",
+        "CAST(metrics['rows_inserted'] AS BIGINT) AS rows_inserted",
+        "CAST(metrics['rows_updated'] AS BIGINT) AS rows_updated",
+        "CAST(metrics['rows_deleted'] AS BIGINT) AS rows_deleted",
     )
+
+
+# --------------------------------------------------------------------------
+# Landing folder: late files, names, globs, contract
+# --------------------------------------------------------------------------
+@register(
+    "late_file_ingest",
+    _with(OBS_CTE)
+    + f"""
+SELECT CAST((SELECT COUNT(*) FROM obs WHERE series_name = '{P}') AS BIGINT) AS rows_run1,
+       CAST((SELECT COUNT(*) FROM obs WHERE series_name = '{I}') AS BIGINT) AS rows_run2,
+       CAST(0 AS BIGINT) AS files_without_rows""",
+)
+def q_late_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second series lands after the first was ingested, with file times
+    30 days older: all of its rows must come in."""
+    from ratelake.sources.landing import missing_files
+    from ratelake.streaming.ingest import ingest, read_bronze
+
+    st, obs = _fresh_run(spark, sf_dir, "late", F.col("series_name") == P)
+    first = ingest(spark, st)["rows_ingested"]
+    aside = f"{st.root}/aside"
+    standins.write_landing(_obs(spark, sf_dir).where(F.col("series_name") == I), aside)
+    standins.backdate(spark, aside, 30)
+    standins.move_files(spark, aside, st.landing)
+    second = ingest(spark, st)["rows_ingested"]
+    lost = missing_files(spark, st.landing, read_bronze(spark, st.bronze_path), st.file_glob).count()
+    return spark.createDataFrame([(first, second, lost)], "rows_run1 bigint, rows_run2 bigint, files_without_rows bigint")
+
+
+@register(
+    "landing_glob",
+    _with(OBS_CTE) + f"\nSELECT {FEED_SQL} AS feed, CAST(COUNT(*) AS BIGINT) AS rows FROM obs GROUP BY {FEED_SQL}",
+)
+def q_landing_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of other names beside the landed ones are not read."""
+    from ratelake.sources.landing import read_landing
+
+    st, obs = _fresh_run(spark, sf_dir, "glob")
+    obs.select(F.to_json(F.struct(F.col("year_month").alias("data"))).alias("value")).write.mode("append").text(f"{st.landing}/feed=notes_2000")
+    rows = read_landing(spark, st.landing, st.file_glob, multi_line=False)
+    return rows.groupBy(F.regexp_extract("source_file", "feed=([^/]+)/", 1).alias("feed")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register(
+    "literal_series",
+    _with(OBS_CTE, LAYERS_CTE)
+    + f"""
+SELECT s.series_name, s.unit, CAST(COUNT(v.value) AS BIGINT) AS rows
+FROM (SELECT '{P}' AS series_name, '% a.d.' AS unit UNION ALL SELECT '{I}', '% a.m.' UNION ALL SELECT 'none', NULL) s
+LEFT JOIN silver v ON v.series_name = s.series_name GROUP BY 1, 2""",
+)
+def q_literal_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A literal relation and a union of literal rows, joined with Silver in SQL."""
+    _silver(spark, sf_dir).createOrReplaceTempView("literal_silver")
+    return spark.sql(
+        f"""SELECT s.series_name, s.unit, COUNT(v.value) AS rows
+            FROM (SELECT * FROM VALUES ('{P}', '% a.d.'), ('{I}', '% a.m.') AS t(series_name, unit)
+                  UNION ALL SELECT 'none', CAST(NULL AS STRING)) s
+            LEFT JOIN literal_silver v ON v.series_name = s.series_name GROUP BY s.series_name, s.unit"""
+    )
+
+
+_TEXTS = "SELECT 'silver' AS table_name, CAST((SELECT COUNT(*) FROM obs) AS BIGINT) AS rows, '{}' AS text UNION ALL SELECT 'gold', CAST((SELECT COUNT(DISTINCT year_month) FROM obs) AS BIGINT), '{}'"
+
+
+@register("named_tables", _with(OBS_CTE) + _TEXTS.format(SILVER_TEXT, GOLD_TEXT))
+def q_named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored tables by their catalog names, with their table comments."""
+    import uuid
+
+    from ratelake.plans.runner import run
+
+    db = f"ratelake_{uuid.uuid4().hex[:8]}"
+    st, _ = _fresh_run(spark, sf_dir, "named", database=db)
+    run(spark, st, stop_on_failure=False)
+    out = None
+    for name in ("silver", "gold"):
+        text = spark.sql(f"DESCRIBE TABLE EXTENDED {db}.{name}").where("col_name = 'Comment'").select(F.col("data_type").alias("text"))
+        rows = spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("rows"))
+        one = rows.select(F.lit(name).alias("table_name"), "rows", F.lit(text.first()[0]).alias("text"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register(
+    "view_scalars",
+    _with(OBS_CTE, LAYERS_CTE) + "\nSELECT CAST((SELECT COUNT(*) FROM silver) AS BIGINT) AS silver_rows, (SELECT MAX(year_month) FROM gold) AS last_month",
+)
+def q_view_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scalar queries over the temp views of a finished run."""
+    from ratelake.plans.runner import run
+    from ratelake.plans.views import register_views, scalar
+
+    st, _ = _fresh_run(spark, sf_dir, "views")
+    run(spark, st, stop_on_failure=False)
+    register_views(spark, st, prefix="scalars_")
+    row = (scalar(spark, "SELECT COUNT(*) FROM scalars_silver"), scalar(spark, "SELECT MAX(year_month) FROM scalars_gold"))
+    return spark.createDataFrame([row], "silver_rows bigint, last_month string")
+
+
+@register("gate_outcome", f"SELECT layer, name, expected, observed FROM ({RUN_REPORT_SQL}) r WHERE NOT passed AND layer = 'silver'")
+def q_gate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules that stop a strict run: the first layer that breaks any."""
+    from ratelake.operators.quality import RESULT_SCHEMA, DataQualityError
+    from ratelake.plans.runner import run
+
+    st, _ = _fresh_run(spark, sf_dir, "gate", silver_mode="batch", gate_mode="before_commit")
+    broken = []
+    try:
+        run(spark, st)
+    except DataQualityError as err:
+        broken = err.broken
+    return spark.createDataFrame(broken, RESULT_SCHEMA).select("layer", "name", "expected", "observed")

@@ -30,8 +30,8 @@ def bronze_profile(bronze: DataFrame) -> DataFrame:
 
 
 def bronze_sample(bronze: DataFrame, n: int = 10) -> DataFrame:
-    """Any ``n`` Bronze rows (unordered sample, as a quick look)."""
-    return bronze.limit(n)
+    """The first ``n`` Bronze rows in a total order of all columns (a top-k, as a quick look)."""
+    return bronze.orderBy("source_file", *[c for c in bronze.columns if c != "source_file"]).limit(n)
 
 
 def silver_profile(silver: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """The layered run: ingest -> gate -> upsert -> gate -> rebuild -> gate.
 
-Layers pass data only through tables (Bronze Parquet sink, versioned Silver
-and Gold), so each step reads committed data and a failed step can be rerun
-alone. The run stops at the first failed gate unless ``stop_on_failure`` is
-off (then every layer runs and the full report is returned).
+Layers pass data only through stored tables, so each step reads stored data
+and a failed step can be rerun alone. The run stops at the first failed gate
+unless ``stop_on_failure`` is off; then it goes on and the full report is
+returned, except that with ``gate_mode="before_commit"`` nothing refused is
+stored and Gold isn't rebuilt over a Silver that was refused.
 """
 
 from __future__ import annotations
@@ -12,53 +13,52 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ratelake.operators.conform import conform
-from ratelake.operators.quality import DataQualityError, collect_results, gate
+from ratelake.operators.quality import RESULT_SCHEMA, DataQualityError, gate
 from ratelake.plans.checks import bronze_results, gold_results, silver_results
 from ratelake.plans.gold import build_gold
-from ratelake.schemas import GOLD_TABLE_COMMENT, SILVER_COMMENTS, SILVER_KEY, SILVER_TABLE_COMMENT
+from ratelake.schemas import GOLD, GOLD_TEXT, SILVER_KEY
+from ratelake.session import _context, materialize
 from ratelake.settings import Settings
-from ratelake.sources.tables import VersionedTable
-from ratelake.streaming.ingest import ingest, read_bronze
+from ratelake.sources.tables import StoredTable
+from ratelake.streaming.ingest import SILVER_COMPARE, incremental_silver, ingest, read_bronze, silver_table
 
 LOGGER = logging.getLogger("ratelake.run")
 
 
+def gold_table(spark: SparkSession, s: Settings) -> StoredTable:
+    return StoredTable(spark, s.gold_path, GOLD, (), f"{s.database}.gold" if s.database else None, GOLD_TEXT)
+
+
 @dataclass
 class RunReport:
     metrics: dict = field(default_factory=dict)
-    results: list = field(default_factory=list)  # CheckResult rows, all layers
+    results: list = field(default_factory=list)  # result rows of all layers
 
     @property
     def passed(self) -> bool:
         return all(r.passed for r in self.results)
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        from ratelake.operators.quality import RESULT_COLUMNS
-
-        rows = [tuple(getattr(r, c) if c != "observed" else str(r.observed) for c in RESULT_COLUMNS) for r in self.results]
-        schema = "layer string, name string, passed boolean, expected string, observed string, description string"
-        return spark.createDataFrame(rows, schema)
-
-
-def _gate(results_df: DataFrame, layer: str, report: RunReport, stop: bool) -> bool:
-    got = collect_results(results_df)
-    report.results.extend(got)
-    try:
-        gate(got, layer)
+        return spark.createDataFrame(self.results, RESULT_SCHEMA)
+
+    def check(self, results: DataFrame, layer: str, stop: bool) -> bool:
+        got = results.collect()
+        self.results.extend(got)
+        try:
+            gate(got, layer)
+        except DataQualityError:
+            if stop:
+                raise
+            return False
         return True
-    except DataQualityError:
-        if stop:
-            raise
-        return False
 
 
 def ensure_layout(spark: SparkSession, settings: Settings) -> None:
-    """Create the landing, checkpoint and table folders (idempotent)."""
-    from ratelake.session import _context
-
+    """Create the landing, checkpoint and table folders (idempotent) and the catalog schema, if named."""
+    if settings.database:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.database} LOCATION '{settings.root.rstrip('/')}/catalog'")
     sc = _context(spark)
     if sc is None:  # Spark Connect: folders are created by the first write
         return
@@ -72,85 +72,41 @@ def ensure_layout(spark: SparkSession, settings: Settings) -> None:
 def run_bronze(spark: SparkSession, s: Settings, report: RunReport, stop: bool) -> DataFrame:
     report.metrics["bronze"] = ingest(spark, s)
     bronze = read_bronze(spark, s.bronze_path)
-    _gate(bronze_results(bronze, s), "bronze", report, stop)
+    report.check(bronze_results(bronze, s), "bronze", stop)
     return bronze
 
 
-# The upsert joins only the (series, month) slices that the new data touches;
-# the rest of Silver passes through without a shuffle.
-SILVER_PRUNE_BY = ("series_id", "year_month")
-# Silver snapshots are laid out by series, so the Gold rollup's series filter
-# prunes whole directories.
-SILVER_PARTITION_BY = ("series_name",)
-# An update "changes" a row only when one of these differs (a re-sent file
-# refreshes ingest time and provenance, and is counted as updated, not changed).
-SILVER_COMPARE = ("series_name", "granularity", "value")
-
-
-def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunReport, stop: bool) -> DataFrame:
-    table = VersionedTable(spark, s.silver_path)
+def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunReport, stop: bool) -> bool:
+    """Upsert Bronze into Silver and check it; False if what would be stored was refused."""
+    table = silver_table(spark, s)
     before = table.count()
+    stored = True
     if s.silver_mode == "incremental":
-        from ratelake.streaming.ingest import incremental_silver
-
-        inc = incremental_silver(spark, s)
-        last = table.history().orderBy(F.col("version").desc()).first()
-        counts = {k: int(v) for k, v in (last.operation_metrics if last else {}).items() if k.startswith("rows_")}
-        if not inc["batches"]:
-            counts.update(rows_inserted=0, rows_updated=0)
-        m = {"batches": inc["batches"], **counts, "rows_total": table.count()}
+        m = incremental_silver(spark, s)
     else:
-        from ratelake.session import materialize
-
-        # The conformed batch is staged as a table in the shared folder: the
-        # upsert reads it several times (slice count, join) without re-running
-        # the dedup, and executor loss does not replay the Bronze scan.
-        source = materialize(
-            conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type), "silver-staging"
-        )
-        pre = s.gate_mode == "before_commit"
-        m = table.merge(
-            source,
-            SILVER_KEY,
-            "ingested_at",
-            prune_by=SILVER_PRUNE_BY,
-            compare=SILVER_COMPARE,
-            check_unique=False,  # conform() keeps one row per key by construction
-            comment=SILVER_TABLE_COMMENT,
-            column_comments=SILVER_COMMENTS,
-            partition_by=SILVER_PARTITION_BY,
-            commit=not pre,
-        )
-        if pre:
-            candidate = table.read_changes(int(m["version"])).drop("_change")
-            if _gate(silver_results(candidate, s, bronze), "silver", report, stop):
-                table.commit_pending(m)
-            report.metrics["silver"] = {"rows_before": before, "rows_after": m["rows_total"],
-                                        "rows_new": m["rows_total"] - before, **m}
-            return candidate
-    report.metrics["silver"] = {"rows_before": before, "rows_after": m["rows_total"],
-                                "rows_new": m["rows_total"] - before, **m}
-    silver = table.read()
-    _gate(silver_results(silver, s, bronze), "silver", report, stop)
-    return silver
-
-
-def run_gold(spark: SparkSession, s: Settings, silver: DataFrame, report: RunReport, stop: bool) -> DataFrame:
-    table = VersionedTable(spark, s.gold_path)
-    # Rows leave the month window already in order; keep files ordered by month
-    # without a global sort.
-    gold_df = build_gold(silver, s).sortWithinPartitions("year_month")
-    pre = s.gate_mode == "before_commit"
-    m = table.overwrite(gold_df, "REBUILD", comment=GOLD_TABLE_COMMENT, commit=not pre)
-    report.metrics["gold"] = {"rows": m["rows_total"], "version": m["version"]}
-    if pre:
-        candidate = table.read_changes(int(m["version"])).drop("_change")
-        if _gate(gold_results(candidate, s), "gold", report, stop):
-            table.commit_pending(m)
-        return candidate
-    gold = table.read()
-    _gate(gold_results(gold, s), "gold", report, stop)
-    return gold
+        # staged, as the upsert reads it more than once
+        source = conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type)
+        source = materialize(source, "silver-staging")
+        first = s.gate_mode == "before_commit"
+        accept = (lambda rows: report.check(silver_results(rows, s, bronze), "silver", stop)) if first else None
+        m = table.merge(source, SILVER_KEY, "ingested_at", compare=SILVER_COMPARE, check_unique=False, accept=accept)
+        stored = m.pop("committed")
+    report.metrics["silver"] = {"rows_before": before, "rows_after": m["rows_total"], "rows_new": m["rows_total"] - before, **m}
+    if s.gate_mode == "after_commit":
+        report.check(silver_results(table.read(), s, bronze), "silver", stop)
+    return stored
+
+
+def run_gold(spark: SparkSession, s: Settings, report: RunReport, stop: bool) -> None:
+    """Rebuild Gold from the stored Silver and check it."""
+    table = gold_table(spark, s)
+    # rows leave the month window in order; keep files ordered without a global sort
+    rebuilt = build_gold(silver_table(spark, s).read(), s).sortWithinPartitions("year_month")
+    accept = (lambda rows: report.check(gold_results(rows, s), "gold", stop)) if s.gate_mode == "before_commit" else None
+    m = table.overwrite(rebuilt, accept=accept)
+    report.metrics["gold"] = {"rows": m["rows_total"], "committed": m["committed"]}
+    if s.gate_mode == "after_commit":
+        report.check(gold_results(table.read(), s), "gold", stop)
 
 
 def run(spark: SparkSession, settings: Settings, *, stop_on_failure: bool = True) -> RunReport:
@@ -158,12 +114,23 @@ def run(spark: SparkSession, settings: Settings, *, stop_on_failure: bool = True
     report = RunReport()
     ensure_layout(spark, settings)
     bronze = run_bronze(spark, settings, report, stop_on_failure)
-    silver = run_silver(spark, settings, bronze, report, stop_on_failure)
-    run_gold(spark, settings, silver, report, stop_on_failure)
+    if run_silver(spark, settings, bronze, report, stop_on_failure):
+        run_gold(spark, settings, report, stop_on_failure)
+    else:
+        LOGGER.error("Silver was refused: Gold stays as it is")
+        report.metrics["gold"] = {"rows": gold_table(spark, settings).count(), "committed": False}
     LOGGER.info("run finished: %s", report.metrics)
     return report
 
 
+def stored_results(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The check report of the stored tables, without a run."""
+    bronze = read_bronze(spark, settings.bronze_path)
+    out = bronze_results(bronze, settings)
+    out = out.unionByName(silver_results(silver_table(spark, settings).read(), settings, bronze))
+    return out.unionByName(gold_results(gold_table(spark, settings).read(), settings))
+
+
 def backfill(
     spark: SparkSession, settings: Settings, first_month: str, last_month: str | None = None, **kw
 ) -> RunReport:
@@ -173,15 +140,4 @@ def backfill(
     return run(spark, wider, **kw)
 
 
-def table_volumes(spark: SparkSession, settings: Settings) -> DataFrame:
-    """Rows and files per layer (the layer-volume report on the stored tables)."""
-    from ratelake.plans.reports import layer_volumes
-
-    return layer_volumes(
-        read_bronze(spark, settings.bronze_path),
-        VersionedTable(spark, settings.silver_path).read(),
-        VersionedTable(spark, settings.gold_path).read(),
-    )
-
-
-__all__ = ["RunReport", "run", "backfill", "table_volumes", "ensure_layout"]
+__all__ = ["RunReport", "run", "backfill", "stored_results", "ensure_layout", "gold_table", "silver_table"]

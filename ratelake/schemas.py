@@ -39,45 +39,31 @@ SILVER = T.StructType(
     ]
 )
 SILVER_KEY = ("series_id", "ref_date")
-SILVER_COMMENTS = {
-    "series_id": "Series code at the publisher",
-    "series_name": "Series name (policy rate or inflation)",
-    "granularity": "Publication frequency label",
-    "ref_date": "Observation date",
-    "year_month": "Period key, yyyy-MM",
-    "value": "Rate in percent per period of the series",
-    "source_file": "Landing file the record came from",
-    "ingested_at": "Bronze ingest time",
-    "processed_at": "Silver processing time",
-}
-SILVER_TABLE_COMMENT = "Grain: one row per series and observation date. Business key: (series_id, ref_date)."
-GOLD_TABLE_COMMENT = (
-    "Grain: one row per month (year_month). Real rate by the Fisher equation "
-    "over the policy rate compounded within the month."
-)
-
-# Gold: one row per year_month.
-GOLD_COLUMNS = (
-    "year_month",
-    "month_start",
-    "policy_mean_day",
-    "policy_days",
-    "policy_month",
-    "inflation_month",
-    "real_month",
-    "policy_12m",
-    "inflation_12m",
-    "real_12m",
-    "months_in_window",
-    "processed_at",
-)
+SILVER_PARTITIONS = ("series_id", "year_month")  # both follow from the key, so a key never changes its partition
+SILVER_TEXT = "One observation per series and day; upserted by (series_id, ref_date), the newest ingest wins."
 
-# Upsert history: one row per table version.
-HISTORY = T.StructType(
+_RATE = T.DecimalType(18, 8)
+GOLD = T.StructType(
     [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("timestamp", T.TimestampType(), True),
-        T.StructField("operation", T.StringType(), True),
-        T.StructField("operation_metrics", T.MapType(T.StringType(), T.StringType()), True),
+        T.StructField("year_month", T.StringType()),
+        T.StructField("month_start", T.DateType()),
+        T.StructField("policy_mean_day", _RATE),
+        T.StructField("policy_days", T.IntegerType()),
+        *[T.StructField(c, _RATE) for c in ("policy_month", "inflation_month", "real_month", "policy_12m", "inflation_12m", "real_12m")],
+        T.StructField("months_in_window", T.IntegerType()),
+        T.StructField("processed_at", T.TimestampType()),
     ]
 )
+GOLD_TEXT = "Monthly rates in percent: compounded, deflated by the ratio of factors, and over trailing windows."
+
+# What a column holds, by table; a column without an entry speaks for itself.
+COLUMN_TEXTS = {
+    "value": "percent per day or month, as published",
+    "year_month": "yyyy-MM",
+    "ingested_at": "micro-batch time of the Bronze ingest",
+    "policy_days": "observations in the month",
+    "months_in_window": "rows in the trailing window",
+}
+
+# One row per write of a stored table.
+AUDIT = "written_at timestamp, operation string, metrics map<string,string>"

@@ -98,19 +98,25 @@ def materialize(df, label: str):
     return spark.read.parquet(path)
 
 
-def cluster_settings(input_bytes: int, executor_cores: int, executors: int) -> dict[str, str]:
-    """Spark settings this design relies on, sized for one run's input.
+#: Most shuffle partitions ``cluster_settings`` asks for: beyond it, map outputs
+#: (one index entry per map task and partition) cost more than larger partitions.
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
+def cluster_settings(shuffle_bytes: int, executor_cores: int, executors: int) -> dict[str, str]:
+    """Spark settings this design relies on, sized for a run's largest shuffle.
 
     * AQE re-plans at runtime: coalesces small shuffle partitions, splits skewed
       join partitions and turns a join into a broadcast only after measuring
       the smaller side.
-    * Initial shuffle partitions target ~128 MB per partition of input (AQE
-      coalesces them down), but never fewer than two waves of tasks.
+    * Shuffle partitions follow the bytes that are *shuffled* (after partial
+      aggregation a rollup of 100 TB shuffles a few rows per month), ~128 MB
+      each, at least two waves of tasks, at most ``MAX_SHUFFLE_PARTITIONS``.
     * Scan splits of 256 MB keep task counts manageable on 100 TB inputs.
     """
     target = 128 * 1024 * 1024
     slots = max(1, executor_cores * executors)
-    partitions = max(2 * slots, -(-input_bytes // target))
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(2 * slots, -(-shuffle_bytes // target)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -8,7 +8,13 @@ run declares them.
 from __future__ import annotations
 
 import dataclasses
-from dataclasses import dataclass, field
+import re
+from dataclasses import dataclass
+
+
+def file_pattern(name: str) -> str:
+    """``name.json``, or ``name``, a delimiter and a period of digits, ``.json``."""
+    return rf"(^|/){re.escape(name)}([_-][0-9][0-9_-]*)?\.json$"
 
 
 @dataclass(frozen=True)
@@ -16,8 +22,10 @@ class SeriesSpec:
     """One published series and the landing files that carry it.
 
     ``file_pattern`` is a Java regular expression matched (``rlike``) against
-    the full path of the landing file, so ``selic.json`` and a renamed backfill
-    file such as ``selic_2015_2019.json`` map to the same series.
+    the full path of the landing file. The default takes the exact name or the
+    name, a delimiter and a period: ``selic.json`` and the backfill file
+    ``selic_2015_2019.json`` are one series, ``selic_meta.json`` and
+    ``ipca15.json`` are neither.
     """
 
     series_id: int
@@ -39,7 +47,7 @@ POLICY_SERIES = SeriesSpec(
     name="selic",
     granularity="diaria",
     unit="% a.d.",
-    file_pattern=r"(^|/)selic[^/]*\.json$",
+    file_pattern=file_pattern("selic"),
     domain=(0.0, 1.0),
 )
 INFLATION_SERIES = SeriesSpec(
@@ -47,7 +55,7 @@ INFLATION_SERIES = SeriesSpec(
     name="ipca",
     granularity="mensal",
     unit="% a.m.",
-    file_pattern=r"(^|/)ipca[^/]*\.json$",
+    file_pattern=file_pattern("ipca"),
     domain=(-5.0, 10.0),
 )
 DEFAULT_SERIES: tuple[SeriesSpec, ...] = (POLICY_SERIES, INFLATION_SERIES)
@@ -80,6 +88,9 @@ class Settings:
     multi_line: bool = True
     # Bounds each micro-batch of the availableNow drain (None: all pending files).
     max_files_per_trigger: int | None = None
+    # A file this much older than the newest one seen would be skipped for ever;
+    # the default never skips, as late corrections and backfills keep old times.
+    max_file_age: str = "36500d"
     raw_date_format: str = RAW_DATE_FORMAT
     value_type: str = VALUE_TYPE
     # Gold.
@@ -87,16 +98,27 @@ class Settings:
     rolling_gate: str = "rows"  # "rows" (reference rule) or "factors"
     rolling_frame: str = "rows"  # "rows" or "months" (calendar RANGE frame)
     gold_strategy: str = "onepass"  # "onepass" or "join"
-    # Silver: "batch" re-conforms all of Bronze each run (published behaviour);
-    # "incremental" streams only new Bronze files through foreachBatch.
-    silver_mode: str = "batch"
-    # "after_commit": checks run on the committed version (published order);
-    # "before_commit": a version becomes visible only once its checks pass.
+    # Silver: "incremental" streams only new Bronze files through foreachBatch;
+    # "batch" re-conforms all of Bronze each run (published behaviour).
+    silver_mode: str = "incremental"
+    # "after_commit": checks run on the stored table (published order);
+    # "before_commit": rows are stored only once the checks on the table they
+    # would make hold. The rules look at a whole run, so this needs
+    # silver_mode="batch": a micro-batch alone is never complete.
     gate_mode: str = "after_commit"
+    # Catalog schema to name the tables in ("<database>.silver"); None: paths only.
+    database: str | None = None
     # Quality thresholds.
     min_policy_days_per_month: int = 15
     fisher_tolerance: float = 1e-6  # in fraction units, not percentage points
-    extra: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        if self.silver_mode not in ("incremental", "batch"):
+            raise ValueError(f"silver_mode must be 'incremental' or 'batch', not {self.silver_mode!r}")
+        if self.gate_mode not in ("after_commit", "before_commit"):
+            raise ValueError(f"gate_mode must be 'after_commit' or 'before_commit', not {self.gate_mode!r}")
+        if self.gate_mode == "before_commit" and self.silver_mode != "batch":
+            raise ValueError("gate_mode='before_commit' needs silver_mode='batch'")
 
     # -- derived locations -------------------------------------------------
     @property

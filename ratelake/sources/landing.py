@@ -5,20 +5,23 @@
   JSON lines when ``multi_line=False``;
 * ``pathGlobFilter`` (default ``*.json``); names starting with ``_`` or ``.``
   (e.g. ``_manifest.json``) are hidden from every Spark file source;
-* provenance from the hidden ``_metadata`` column: file path and modification
-  time; ``ingested_at`` is the micro-batch time.
-
-File-level views (``binaryFile`` source, content never materialised unless
-asked): ``count_files``, ``manifest`` (per file: bytes, sha256, parsed rows,
-first/last date) and ``payload_contract`` (per file: valid JSON list,
-non-empty, fields present).
+* provenance from the hidden ``_metadata`` column: decoded file path and
+  modification time; ``ingested_at`` is the micro-batch time. Every view of a
+  file uses this one path, so names with blanks or ``%`` join like any other.
+
+File-level views: ``list_files`` and ``count_files`` (names and sizes only),
+``manifest`` (bytes, sha256, parsed rows, first/last date; the digest needs the
+whole content, so files are limited to 2 GB there) and ``payload_contract``
+(valid JSON list, non-empty, fields present; reads lines, not whole files).
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.functions.parsing import parse_date
@@ -27,6 +30,14 @@ from ratelake.schemas import RAW_PAYLOAD
 from ratelake.settings import RAW_DATE_FORMAT, SeriesSpec
 
 
+LOGGER = logging.getLogger("ratelake.landing")
+
+
+def file_path() -> Column:
+    """Decoded path of a row's file (``_metadata.file_path`` is URL-encoded, plus signs are not)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def _reader(reader, glob: str, multi_line: bool, recursive: bool):
     r = reader.format("json").schema(RAW_PAYLOAD).option("multiLine", str(multi_line).lower())
     r = r.option("pathGlobFilter", glob)
@@ -39,7 +50,7 @@ def _with_provenance(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("data").alias("date_raw"),
         F.col("valor").alias("value_raw"),
-        F.col("_metadata.file_path").alias("source_file"),
+        file_path().alias("source_file"),
         F.col("_metadata.file_modification_time").alias("file_modified_at"),
         F.current_timestamp().alias("ingested_at"),
     )
@@ -65,20 +76,34 @@ def stream_landing(
     multi_line: bool = True,
     recursive: bool = True,
     max_files_per_trigger: int | None = None,
+    max_file_age: str = "36500d",
 ) -> DataFrame:
-    """Streaming read: each new file is read once per checkpoint."""
-    r = _reader(spark.readStream, glob, multi_line, recursive)
+    """Streaming read: each new file is read once per checkpoint.
+
+    ``max_file_age`` is explicit, as Spark's default of a week silently drops
+    files with an older modification time than that before the newest one.
+    """
+    r = _reader(spark.readStream, glob, multi_line, recursive).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return _with_provenance(r.load(path))
 
 
-def list_files(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = True) -> DataFrame:
-    """``path, modificationTime, length`` per file (content column pruned)."""
+def _files(spark: SparkSession, path: str, glob: str, recursive: bool = True) -> DataFrame:
     r = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    return r.load(path).select("path", "modificationTime", "length")
+    return r.load(path)
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*.json", recursive: bool = True) -> DataFrame:
+    """``source_file, file_modified_at, bytes`` per file (content column pruned).
+
+    Spark's file sources leave out files of zero bytes: they hold no record.
+    """
+    return _files(spark, path, glob, recursive).select(
+        file_path().alias("source_file"), F.col("modificationTime").alias("file_modified_at"), F.col("length").alias("bytes")
+    )
 
 
 def count_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
@@ -86,13 +111,27 @@ def count_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFra
     return list_files(spark, path, glob).agg(F.count(F.lit(1)).cast("bigint").alias("landing_files"))
 
 
-def count_files_or_zero(spark: SparkSession, path: str, glob: str = "*.json") -> int:
+def is_missing(err: Exception) -> bool:
+    return isinstance(err, AnalysisException) and err.getCondition() == "PATH_NOT_FOUND"
+
+
+def files_in(spark: SparkSession, path: str, glob: str = "*.json") -> int:
+    """Number of landing files. A folder that doesn't exist holds none (logged); other errors are raised."""
     try:
         return int(count_files(spark, path, glob).first()[0])
-    except Exception:  # noqa: BLE001 - an absent folder counts as empty
+    except AnalysisException as err:
+        if not is_missing(err):
+            raise
+        LOGGER.warning("landing folder %s doesn't exist: no files", path)
         return 0
 
 
+def missing_files(spark: SparkSession, path: str, bronze: DataFrame, glob: str = "*.json") -> DataFrame:
+    """Landed files of which Bronze has no row (late, lost or empty lists)."""
+    landed = list_files(spark, path, glob)
+    return landed.join(bronze.select("source_file").distinct(), "source_file", "left_anti")
+
+
 def manifest(
     spark: SparkSession,
     path: str,
@@ -103,9 +142,8 @@ def manifest(
     date_format: str = RAW_DATE_FORMAT,
 ) -> DataFrame:
     """Per landing file: series, bytes, sha256, rows, first and last date."""
-    r = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-    files = r.load(path).select(
-        F.col("path").alias("source_file"),
+    files = _files(spark, path, glob).select(
+        file_path().alias("source_file"),
         F.col("length").alias("bytes"),
         F.sha2(F.col("content"), 256).alias("sha256"),
         F.col("modificationTime").alias("file_modified_at"),
@@ -143,14 +181,16 @@ def payload_contract(
 
     A permissive read turns a non-JSON file into one all-NULL row, ``[]`` into
     zero rows and a missing field into NULL; a top-level object is accepted as
-    one row, so "is a list" is tested on the first non-blank byte.
+    one row, so "is a list" is tested on the first character that is not white
+    space, wherever it stands. Lines are ordered by their file block and their
+    place in it, so large files may be split.
     """
-    r = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-    files = r.load(path).select(
-        F.col("path").alias("source_file"),
-        # Only a bounded head of the content is decoded.
-        F.substring(F.ltrim(F.substring(F.col("content"), 1, 256).cast("string")), 1, 1).alias("first_char"),
-    )
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    first = F.substring(F.regexp_replace("value", r"^[\s\uFEFF]+", ""), 1, 1)
+    order = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    heads = lines.select(file_path().alias("source_file"), first.alias("c"), order.alias("o")).where("c <> ''")
+    heads = heads.groupBy("source_file").agg(F.min_by("c", "o").alias("first_char"))
+    files = list_files(spark, path, glob).select("source_file").join(heads, "source_file", "left")
     rows = (
         read_landing(spark, path, glob, multi_line=multi_line)
         .groupBy("source_file")
@@ -164,7 +204,8 @@ def payload_contract(
     j = files.join(rows, "source_file", "left").fillna(0, ["records", "unparsed", "missing_date", "missing_value"])
     # A pretty-printed file must be one JSON array; a JSON-lines file holds
     # one record (or one array of records) per line.
-    is_list = F.col("first_char") == "[" if multi_line else F.col("first_char").isin("[", "{")
+    first_char = F.coalesce("first_char", F.lit(""))
+    is_list = first_char == "[" if multi_line else first_char.isin("[", "{")
     non_empty = F.col("records") > 0
     valid_json = F.col("unparsed") == 0
     fields = (F.col("missing_date") == 0) & (F.col("missing_value") == 0)

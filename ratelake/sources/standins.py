@@ -79,7 +79,7 @@ def observations(spark: SparkSession, sf_dir: str, *, materialize: bool = True)
 
 def _folder_pattern(name: str) -> str:
     # Spark writers name files part-*; the series is in the folder name.
-    return rf"[/=]{name}[^/]*/[^/]+\.json$"
+    return rf"[/=]{name}_[0-9]{{4}}/[^/]+\.json$"
 
 
 # Stand-in landing layout: <landing>/feed=<series>_<year>/part-*.json
@@ -119,25 +119,56 @@ def bronze_standin(obs: DataFrame, date_format: str = "dd/MM/yyyy") -> DataFrame
 
 
 def write_landing(obs: DataFrame, landing: str, date_format: str = "dd/MM/yyyy") -> None:
-    """Write the observations as landing files (JSON lines of data/valor text),
-    one folder per series-year, partitioned by Spark (no driver round trip)."""
+    """Write the observations as landing files (JSON lines of data/valor text in
+    order of date), one folder per series-year, partitioned by Spark. The rows
+    are bounded by the calendar: one per series and day."""
     (
         obs.select(
             feed_name(obs).alias("feed"),
             F.date_format("ref_date", date_format).alias("data"),
             F.col("value").cast("string").alias("valor"),
+            "ref_date",
         )
         .repartition("feed")
+        .sortWithinPartitions("feed", "ref_date")
+        .drop("ref_date")
         .write.mode("append")
         .partitionBy("feed")
         .json(landing)
     )
 
 
-def raw_records(obs: DataFrame, date_format: str = "dd/MM/yyyy") -> DataFrame:
-    """Observations rendered back to the landing payload text (data, valor)."""
-    return obs.select(
-        "series_name",
-        F.date_format("ref_date", date_format).alias("data"),
-        F.col("value").cast("string").alias("valor"),
-    )
+def _hadoop(spark: SparkSession, path: str):
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, hp, hp.getFileSystem(conf)
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small landing file under its exact name."""
+    _, hp, fs = _hadoop(spark, path)
+    out = fs.create(hp, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def backdate(spark: SparkSession, folder: str, days: int) -> None:
+    """Set the files under ``folder`` back in time, as a copy with kept times would."""
+    jvm, hp, fs = _hadoop(spark, folder)
+    found = fs.listFiles(hp, True)
+    while found.hasNext():
+        f = found.next()
+        fs.setTimes(f.getPath(), f.getModificationTime() - days * 86_400_000, -1)
+
+
+def move_files(spark: SparkSession, source: str, folder: str) -> None:
+    """Move data files into a folder, keeping sub-folders and file times."""
+    jvm, hp, fs = _hadoop(spark, source)
+    base = fs.makeQualified(hp).toString().rstrip("/") + "/"
+    found, names = fs.listFiles(hp, True), []
+    while found.hasNext():
+        names.append(found.next().getPath().toString())
+    for name in (n for n in names if "/part-" in n):
+        to = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name.removeprefix(base)}")
+        fs.mkdirs(to.getParent())
+        fs.rename(jvm.org.apache.hadoop.fs.Path(name), to)

@@ -1,156 +1,105 @@
-"""Versioned Parquet tables with an operation history.
-
-Plain Parquet has no MERGE, time travel or history, so a table here is a
-folder of immutable snapshots plus a small history dataset:
-
-    <path>/v=<N>/part-*.parquet    snapshot N (row tag column ``_change``)
-    <path>/_history/               one row per committed version
-
-A version is *committed* when its history row exists; readers resolve the
-latest committed version, so a writer that dies mid-write leaves an orphan
-folder nobody reads, and the retry simply overwrites it. The data write is a
-normal Spark job (task retries, executor loss tolerated by the committer).
-One writer at a time (the run is single-writer by design).
+"""Stored layer tables: plain Parquet folders, optionally named in the catalog.
+
+An upsert reads and rewrites only the partitions it changes (dynamic partition
+overwrite). Partition columns must follow from the key, so a key's old row is
+always in a partition that the source's rows name. A write that dies half-way
+is repaired by running it again, because the upsert is idempotent; one run
+writes at a time. Each write adds a row to an audit folder beside the table,
+which nothing but reports reads. Where the catalog holds a table that supports
+row-level operations, ``operators.upsert.merge_into`` does the merge there.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratelake.operators.upsert import CHANGE, VALUES_CHANGED, assert_unique_keys, change_counts, merge_changes
-from ratelake.schemas import HISTORY
+from ratelake.schemas import AUDIT, COLUMN_TEXTS
+from ratelake.session import materialize, path_exists
 
+Accept = Callable[[DataFrame], bool]
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.history_path = f"{self.path}/_history"
-        self._latest: int | None = None  # memo; this instance is the only writer
-        self._latest_metrics: dict | None = None
-
-    # -- reading ---------------------------------------------------------
-    def _fs_exists(self, p: str) -> bool:
-        from ratelake.session import path_exists
-
-        return path_exists(self.spark, p)
-
-    def history(self) -> DataFrame:
-        """``version, timestamp, operation, operation_metrics`` (by version)."""
-        if not self._fs_exists(self.history_path):
-            return self.spark.createDataFrame([], HISTORY)
-        return self.spark.read.schema(HISTORY).parquet(self.history_path).orderBy("version")
-
-    def latest_version(self) -> int | None:
-        if self._latest is not None:
-            return self._latest
-        if not self._fs_exists(self.history_path):
-            return None
-        # one small read: the newest history row (version and its counters)
-        row = (
-            self.spark.read.schema(HISTORY)
-            .parquet(self.history_path)
-            .orderBy(F.col("version").desc())
-            .select("version", "operation_metrics")
-            .first()
-        )
-        if row is None:
-            return None
-        self._latest, self._latest_metrics = int(row.version), dict(row.operation_metrics or {})
-        return self._latest
 
+class StoredTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        partition_by: Sequence[str] = (),
+        name: str | None = None,
+        text: str | None = None,
+    ):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.partition_by, self.name, self.text = list(partition_by), name, text
+        self.audit_path = f"{self.path}_audit"
+
+    # -- reading
     def exists(self) -> bool:
-        return self.latest_version() is not None
-
-    def read_changes(self, version: int | None = None) -> DataFrame:
-        """Snapshot with its ``_change`` tag (time travel with ``version``)."""
-        v = self.latest_version() if version is None else version
-        if v is None:
-            raise FileNotFoundError(f"no committed version in {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={v}")
+        return path_exists(self.spark, self.path)
 
-    def read(self, version: int | None = None) -> DataFrame:
-        return self.read_changes(version).drop(CHANGE, VALUES_CHANGED)
+    def read(self) -> DataFrame:
+        if not self.exists():
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
     def count(self) -> int:
-        """Rows of the latest version, from its recorded counters (no scan)."""
-        if not self.exists():
-            return 0
-        total = (self._latest_metrics or {}).get("rows_total")
-        return int(total) if total is not None else self.read().count()
-
-    # -- writing ---------------------------------------------------------
-    def _commit(self, version: int, operation: str, metrics: Mapping[str, object]) -> None:
-        row = [
-            (
-                version,
-                dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-                operation,
-                {k: str(v) for k, v in metrics.items()},
-            )
-        ]
-        self.spark.createDataFrame(row, HISTORY).coalesce(1).write.mode("append").parquet(self.history_path)
-        self._latest, self._latest_metrics = version, dict(row[0][3])
-
-    def comment(self) -> str | None:
-        """The table comment recorded by the latest version that set one."""
-        h = self.history().filter(F.col("operation_metrics")["table_comment"].isNotNull())
-        row = h.orderBy(F.col("version").desc()).select(F.col("operation_metrics")["table_comment"]).first()
-        return None if row is None else row[0]
-
-    def write_changes(
-        self,
-        changes: DataFrame,
-        operation: str,
-        *,
-        partition_by: Sequence[str] = (),
-        extra_metrics: Mapping[str, object] | None = None,
-        comment: str | None = None,
-        column_comments: Mapping[str, str] | None = None,
-        commit: bool = True,
-    ) -> dict:
-        """Write a tagged result as the next version and commit it.
+        return self.read().count()  # from the file footers
 
-        ``column_comments`` travel in the Parquet schema (field metadata);
-        ``comment`` is the table comment, kept with the version in history.
-        """
-        current = self.latest_version()
-        version = 0 if current is None else current + 1
-        target = f"{self.path}/v={version}"
-        if column_comments:
-            changes = changes.select(
-                *[
-                    F.col(c).alias(c, metadata={"comment": column_comments[c]}) if c in column_comments else F.col(c)
-                    for c in changes.columns
-                ]
-            )
-        w = changes.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(target)
-        # Counters come from the written snapshot (one narrow column scan),
-        # not from re-running the join that produced it.
-        written = self.spark.read.parquet(target)
-        counts = change_counts(written.select(*[c for c in (CHANGE, VALUES_CHANGED) if c in written.columns])).first().asDict()
-        metrics = {**counts, **(extra_metrics or {})}
-        if comment:
-            metrics["table_comment"] = comment
-        if commit:
-            self._commit(version, operation, metrics)
-        return {"version": version, "operation": operation, "committed": commit, **metrics}
-
-    def commit_pending(self, written: Mapping[str, object]) -> None:
-        """Commit a version written with ``commit=False`` (after its checks passed)."""
-        skip = {"version", "operation", "committed"}
-        metrics = {k: v for k, v in written.items() if k not in skip}
-        self._commit(int(written["version"]), str(written["operation"]), metrics)
-
-    def overwrite(self, df: DataFrame, operation: str = "WRITE", **kw) -> dict:
-        return self.write_changes(df.withColumn(CHANGE, F.lit("inserted")), operation, **kw)
+    def audit(self) -> DataFrame:
+        """written_at, operation, metrics of every write."""
+        if not path_exists(self.spark, self.audit_path):
+            return self.spark.createDataFrame([], AUDIT)
+        return self.spark.read.schema(AUDIT).parquet(self.audit_path)
+
+    def history(self) -> DataFrame:
+        """The audit rows numbered from 0 (a few rows per run: one small sort)."""
+        number = F.row_number().over(Window.orderBy("written_at")) - 1
+        return self.audit().select(number.cast("bigint").alias("version"), "*")
+
+    # -- writing
+    def _publish(self) -> None:
+        """Create the named table over the folder if needed; make new partitions known."""
+        if not self.name:
+            return
+        cols = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{COLUMN_TEXTS[f.name]}'" if f.name in COLUMN_TEXTS else "")
+            for f in self.schema
+        )
+        parts = f"PARTITIONED BY ({', '.join(self.partition_by)})" if self.partition_by else ""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({cols}) USING parquet {parts} LOCATION '{self.path}'")
+        if self.text:
+            self.spark.sql(f"COMMENT ON TABLE {self.name} IS '{self.text}'")
+        if self.partition_by:
+            self.spark.sql(f"MSCK REPAIR TABLE {self.name}")
+        self.spark.sql(f"REFRESH TABLE {self.name}")
+
+    def _record(self, operation: str, metrics: Mapping[str, object]) -> None:
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        row = [(now, operation, {k: str(v) for k, v in metrics.items()})]
+        self.spark.createDataFrame(row, AUDIT).coalesce(1).write.mode("append").parquet(self.audit_path)
+
+    def _write(self, rows: DataFrame) -> None:
+        w = rows.select(*self.schema.names).write.mode("overwrite")
+        if self.partition_by:
+            w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by)
+        w.parquet(self.path)
+
+    def overwrite(self, df: DataFrame, operation: str = "REBUILD", accept: Accept | None = None) -> dict:
+        """Replace the whole table; ``accept`` sees the new rows first and may refuse them."""
+        staged = materialize(df, "rebuild") if accept else df
+        if accept and not accept(staged):
+            return {"committed": False, "rows_total": self.count()}
+        staged.select(*self.schema.names).write.mode("overwrite").parquet(self.path)
+        metrics = {"rows_total": self.count()}
+        self._record(operation, metrics)
+        self._publish()
+        return {"committed": True, **metrics}
 
     def merge(
         self,
@@ -158,20 +107,41 @@ class VersionedTable:
         keys: Sequence[str],
         newer_by: str,
         *,
-        prune_by: Sequence[str] = (),
         compare: Sequence[str] = (),
         check_unique: bool = True,
-        **write_kw,
+        accept: Accept | None = None,
+        extra: Mapping[str, object] | None = None,
     ) -> dict:
-        """Upsert ``source`` into the latest version; returns the counters.
+        """Upsert a stored ``source``; returns the counters.
 
-        Like MERGE, a source holding a key more than once is an error
-        (``DuplicateSourceKeyError``); the check is one partially aggregated
-        pass over the source keys.
+        Only partitions the source names are read for the join, and only those
+        with an inserted or updated row are written: a merge that changes
+        nothing writes no data file. ``accept`` sees the table as it would be
+        and may refuse. A source holding a key twice is an error, as in MERGE.
         """
         if check_unique:
             assert_unique_keys(source, keys)
-        if not self.exists():
-            return self.write_changes(source.withColumn(CHANGE, F.lit("inserted")), "MERGE", **write_kw)
-        changes = merge_changes(self.read(), source, keys, newer_by, prune_by=prune_by, compare=compare)
-        return self.write_changes(changes, "MERGE", **write_kw)
+        by = self.partition_by
+        stored = self.read()
+        before = self.count()
+        target = stored.join(source.select(*by).distinct(), by, "left_semi") if by else stored
+        merged = merge_changes(target.select(*self.schema.names), source, keys, newer_by, compare=compare)
+        merged = materialize(merged, "merged")
+        counts = change_counts(merged.select(*[c for c in (CHANGE, VALUES_CHANGED) if c in merged.columns])).first().asDict()
+        counts["rows_total"] = before + counts["rows_inserted"]
+        counts["rows_untouched"] = counts["rows_total"] - counts["rows_inserted"] - counts["rows_updated"] - counts["rows_matched_noop"]
+        changed = F.col(CHANGE).isin("inserted", "updated")
+        any_change = counts["rows_inserted"] + counts["rows_updated"] > 0
+        rewrite = merged
+        if by:
+            touched = materialize(merged.where(changed).select(*by).distinct(), "changed-partitions")
+            rewrite = merged.join(touched, by, "left_semi")
+        if accept:
+            rest = stored.join(touched, by, "left_anti").select(*self.schema.names) if by else stored.limit(0)
+            if not accept(rest.unionByName(rewrite.select(*self.schema.names))):
+                return {**counts, "committed": False, "rows_total": before}
+        if any_change:
+            self._write(rewrite)
+        self._record("MERGE", {**counts, **(extra or {})})
+        self._publish()
+        return {**counts, "committed": True}

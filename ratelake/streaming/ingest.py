@@ -7,32 +7,41 @@ Parquet sink's ``_spark_metadata`` log makes each batch's output visible
 exactly once (readers of the folder only see committed files), so a batch
 retried after an executor loss does not duplicate rows.
 
-``incremental_silver`` is the optional streaming Silver: Bronze (a Parquet
-folder) as a stream, each micro-batch conformed and upserted through
-``foreachBatch``; the batch id is recorded in the table history and a replayed
-batch is skipped, so a retry after a failure between "write" and "commit
-offset" is a no-op.
+``incremental_silver`` reads Bronze as a stream and upserts each micro-batch
+through ``foreachBatch``. A batch that the table's audit already holds is
+skipped; one that was written but not recorded is merged again, which changes
+nothing.
 """
 
 from __future__ import annotations
 
 import logging
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ratelake.operators.conform import conform
-from ratelake.schemas import BRONZE, SILVER_KEY
+from ratelake.schemas import BRONZE, SILVER, SILVER_KEY, SILVER_PARTITIONS, SILVER_TEXT
+from ratelake.session import materialize, path_exists
 from ratelake.settings import Settings
-from ratelake.sources.landing import count_files_or_zero, stream_landing
-from ratelake.sources.tables import VersionedTable
+from ratelake.sources.landing import files_in, stream_landing
+from ratelake.sources.tables import StoredTable
 
 LOGGER = logging.getLogger("ratelake.ingest")
 
+# An update "changes" a row only when one of these differs (a re-sent file
+# refreshes ingest time and provenance, and is counted as updated, not changed).
+SILVER_COMPARE = ("series_name", "granularity", "value")
 
-def bronze_exists(spark: SparkSession, path: str) -> bool:
-    from ratelake.session import path_exists
 
+def silver_table(spark: SparkSession, s: Settings) -> StoredTable:
+    name = f"{s.database}.silver" if s.database else None
+    return StoredTable(spark, s.silver_path, SILVER, SILVER_PARTITIONS, name, SILVER_TEXT)
+
+
+def bronze_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
 
 
@@ -44,84 +53,72 @@ def count_rows(spark: SparkSession, path: str) -> int:
     return read_bronze(spark, path).count() if bronze_exists(spark, path) else 0
 
 
+def _drain(query: StreamingQuery) -> int:
+    """Run to the end; rows read, from the progress of every batch."""
+    query.awaitTermination()
+    return sum(p.numInputRows for p in query.recentProgress)
+
+
 def ingest(spark: SparkSession, settings: Settings, *, max_files_per_trigger: int | None = None) -> dict:
-    """Append every pending landing file to Bronze; return run counters."""
+    """Append every pending landing file to Bronze; return run counters.
+
+    The total is one count from the file footers, the rows of this run are the
+    difference to the total before it.
+    """
     before = count_rows(spark, settings.bronze_path)
-    query = (
-        stream_landing(
-            spark,
-            settings.landing,
-            settings.file_glob,
-            multi_line=settings.multi_line,
-            max_files_per_trigger=max_files_per_trigger or settings.max_files_per_trigger,
-        )
-        .writeStream.format("parquet")
-        .option("path", settings.bronze_path)
-        .option("checkpointLocation", settings.bronze_checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+    stream = stream_landing(
+        spark,
+        settings.landing,
+        settings.file_glob,
+        multi_line=settings.multi_line,
+        max_files_per_trigger=max_files_per_trigger or settings.max_files_per_trigger,
+        max_file_age=settings.max_file_age,
     )
-    query.awaitTermination()
-    after = count_rows(spark, settings.bronze_path)
+    writer = stream.writeStream.format("parquet").option("path", settings.bronze_path)
+    writer = writer.option("checkpointLocation", settings.bronze_checkpoint).outputMode("append")
+    read = _drain(writer.trigger(availableNow=True).start())
+    after = count_rows(spark, settings.bronze_path) if read or not before else before
     metrics = {
         "table": settings.bronze_path,
         "rows_before": before,
         "rows_after": after,
         "rows_ingested": after - before,
-        "landing_files": count_files_or_zero(spark, settings.landing, settings.file_glob),
+        "landing_files": files_in(spark, settings.landing, settings.file_glob),
     }
     LOGGER.info("Bronze: %s", metrics)
     return metrics
 
 
 def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str | None = None) -> dict:
-    """Stream Bronze -> conform -> upsert into Silver, one version per batch.
+    """Stream Bronze -> conform -> upsert into Silver; counters summed over the batches.
 
-    A version records ``(stream, batch_id)``, the stream being its checkpoint
+    The audit records ``(stream, batch_id)``, the stream being its checkpoint
     location: batch ids restart at 0 under a new checkpoint, so the id alone
-    would not identify a replay.
+    would not identify a replay. Each batch is conformed once, to a staged table.
     """
-    table = VersionedTable(spark, settings.silver_path)
+    table = silver_table(spark, settings)
     stream = checkpoint or f"{settings.checkpoints}/silver"
-    done = []
+    sums: Counter = Counter()
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        m = F.col("operation_metrics")
-        seen = table.history().filter((m["batch_id"] == F.lit(str(batch_id))) & (m["stream"] == F.lit(stream)))
-        if table.exists() and seen.limit(1).count() > 0:
-            LOGGER.info("batch %s already committed; skipped", batch_id)
+        m = F.col("metrics")
+        if not table.audit().where((m["batch_id"] == str(batch_id)) & (m["stream"] == stream)).isEmpty():
+            LOGGER.info("batch %s is in the audit already; skipped", batch_id)
             return
-        source = conform(
-            batch, settings.series, date_format=settings.raw_date_format, value_type=settings.value_type
+        source = conform(batch, settings.series, date_format=settings.raw_date_format, value_type=settings.value_type)
+        source = materialize(source, "silver-batch")
+        got = table.merge(
+            source, SILVER_KEY, "ingested_at", compare=SILVER_COMPARE,
+            check_unique=False,  # conform() keeps one row per key
+            extra={"batch_id": batch_id, "stream": stream},
         )
-        if table.exists():
-            from ratelake.operators.upsert import merge_changes
-
-            changes = merge_changes(table.read(), source, SILVER_KEY, "ingested_at", prune_by=("series_id", "year_month"))
-        else:
-            changes = source.withColumn("_change", F.lit("inserted"))
-        from ratelake.plans.runner import SILVER_PARTITION_BY
-        from ratelake.schemas import SILVER_COMMENTS, SILVER_TABLE_COMMENT
-
-        done.append(
-            table.write_changes(
-                changes,
-                "MERGE",
-                extra_metrics={"batch_id": batch_id, "stream": stream},
-                partition_by=SILVER_PARTITION_BY,
-                comment=SILVER_TABLE_COMMENT,
-                column_comments=SILVER_COMMENTS,
-            )
-        )
-
-    q = (
-        spark.readStream.schema(BRONZE)
-        .parquet(settings.bronze_path)
-        .writeStream.foreachBatch(upsert_batch)
-        .option("checkpointLocation", stream)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return {"batches": len(done), "versions": [d["version"] for d in done]}
+        sums.update({k: v for k, v in got.items() if k in ("rows_inserted", "rows_updated", "rows_changed", "rows_matched_noop")})
+        sums["batches"] += 1
+
+    reader = spark.readStream.schema(BRONZE).option("maxFileAge", settings.max_file_age)
+    if settings.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
+    writer = reader.parquet(settings.bronze_path).writeStream.foreachBatch(upsert_batch)
+    _drain(writer.option("checkpointLocation", stream).trigger(availableNow=True).start())
+    names = ("batches", "rows_inserted", "rows_updated", "rows_changed", "rows_matched_noop")
+    return {**{k: sums[k] for k in names}, "rows_deleted": 0, "rows_total": table.count()}

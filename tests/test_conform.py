@@ -73,14 +73,14 @@ def test_latest_ingest_wins(spark):
 
 def test_ties_resolve_deterministically(spark):
     rows = [
-        ("01/01/2020", "0.05", "/l/selic_a.json", T0, T0),
-        ("01/01/2020", "0.07", "/l/selic_b.json", T0, T0),
-        ("01/01/2020", "0.06", "/l/selic_b.json", T0, T0),
+        ("01/01/2020", "0.05", "/l/selic_1.json", T0, T0),
+        ("01/01/2020", "0.07", "/l/selic_2.json", T0, T0),
+        ("01/01/2020", "0.06", "/l/selic_2.json", T0, T0),
     ]
     for parts in (1, 3):
         b = _bronze(spark, rows).repartition(parts)
         out = conform(b, DEFAULT_SERIES).collect()
-        assert len(out) == 1 and out[0].source_file == "/l/selic_b.json" and out[0].value == Decimal("0.07")
+        assert len(out) == 1 and out[0].source_file == "/l/selic_2.json" and out[0].value == Decimal("0.07")
 
 
 def test_dedup_plan_limits_before_shuffle(spark):
@@ -104,3 +104,27 @@ def test_hot_key_dedup_keeps_one_row(spark):
     out = latest_wins(df, ["k"], [F.col("v").desc()])
     assert out.count() == 2001
     assert out.filter("k = 0").first().v == 999
+
+
+def test_file_names_map_to_series_exactly(spark):
+    from ratelake.functions.series import series_attribute
+
+    names = {
+        "/l/selic.json": "selic", "/l/selic_2015_2019.json": "selic", "/l/ipca-2020-01.json": "ipca", "selic.json": "selic",
+        "/l/selic_meta.json": None, "/l/ipca15.json": None, "/l/myselic.json": None, "/l/selic.json.bak": None, "/selic.json/x.json": None,
+    }
+    df = spark.createDataFrame([(n,) for n in names], "f string")
+    assert {r.f: r.s for r in df.select("f", series_attribute("f", DEFAULT_SERIES, "name").alias("s")).collect()} == names
+
+
+def test_file_that_two_series_match_is_an_error(spark):
+    import dataclasses
+
+    import pytest
+
+    from ratelake.functions.series import series_attribute
+
+    both = (DEFAULT_SERIES[0], dataclasses.replace(DEFAULT_SERIES[1], file_pattern="selic"))
+    df = spark.createDataFrame([("/l/selic.json",)], "f string")
+    with pytest.raises(Exception, match="several series match"):
+        df.select(series_attribute("f", both, "name")).collect()

@@ -68,31 +68,53 @@ def test_dedup_has_partial_limit_before_exchange(spark):
 def test_upsert_reuses_key_partitioning(spark):
     t = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"), F.current_timestamp().alias("ts"))
     s = t.filter("k < 10")
-    p = plan(merge_changes(t, s, ["k"], "ts"))
+    p = plan(merge_changes(t.repartition(8, "k"), s.repartition(8, "k"), ["k"], "ts"))
     assert "FullOuter" in p
-    assert p.count("Exchange hashpartitioning") + p.count("hashpartitioning(k") >= 1
+    # one exchange a side, the ones asked for: the join adds none
+    assert p.count("Arguments: hashpartitioning(k") == 2
 
 
-def test_gold_over_partitioned_silver_prunes_series_directories(spark, root):
-    from helpers import series_payload, write_json
-    from ratelake.plans.runner import run
-    from ratelake.sources.tables import VersionedTable
-
-    st = settings_for(root)
-    sel, ipc = series_payload(months=24)
-    write_json(f"{st.landing}/selic.json", sel)
-    write_json(f"{st.landing}/ipca.json", ipc)
-    assert run(spark, st).passed
-    silver = VersionedTable(spark, st.silver_path).read()
-    p = plan(build_gold(silver, st))
-    assert re.search(r"PartitionFilters: \[series_name#\d+ IN \(selic,ipca\)\]", p)
+def test_merge_reads_and_writes_only_touched_partitions(spark, root):
+    import datetime as dt
+    import os
 
+    from ratelake.plans.runner import silver_table
+    from ratelake.schemas import SILVER, SILVER_KEY
 
-def test_cluster_settings_scale_with_input():
-    from ratelake.session import cluster_settings
-
-    small = cluster_settings(1 << 30, executor_cores=4, executors=10)
+    st = settings_for(root)
+    old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+
+    def rows(months, ts, value):
+        return spark.createDataFrame([(11, "selic", "diaria", dt.date(2020, m, 1), f"2020-{m:02d}", value, "f", ts, ts) for m in months], SILVER)
+
+    def files():
+        return {os.path.join(d, f) for d, _, fs in os.walk(st.silver_path) for f in fs if f.startswith("part-")}
+
+    from decimal import Decimal
+
+    table = silver_table(spark, st)
+    assert table.merge(rows(range(1, 7), old, Decimal(1)), SILVER_KEY, "ingested_at")["rows_inserted"] == 6
+    before = files()
+    # an older and an equal ingest change nothing: no data file is written
+    got = table.merge(rows(range(1, 7), old, Decimal(9)), SILVER_KEY, "ingested_at")
+    assert (got["rows_matched_noop"], got["rows_updated"]) == (6, 0) and files() == before
+    got = table.merge(rows([3, 8], new, Decimal(2)), SILVER_KEY, "ingested_at")
+    assert (got["rows_updated"], got["rows_inserted"], got["rows_untouched"]) == (1, 1, 5)
+    changed = {f.split("year_month=")[1][:7] for f in before ^ files()}
+    assert changed == {"2020-03", "2020-08"}
+    assert {r.year_month: r.value for r in table.read().collect()} == {
+        f"2020-{m:02d}": Decimal(2 if m in (3, 8) else 1) for m in (1, 2, 3, 4, 5, 6, 8)
+    }
+    target = table.read().join(rows([3], new, Decimal(2)).select("series_id", "year_month"), ["series_id", "year_month"], "left_semi")
+    p = plan(target)
+    assert re.search(r"PartitionFilters: \[[^\]]*series_id", p) and "year_month" in p
+
+
+def test_cluster_settings_follow_the_shuffled_bytes():
+    from ratelake.session import MAX_SHUFFLE_PARTITIONS, cluster_settings
+
+    rollup = cluster_settings(1 << 30, executor_cores=4, executors=10)
     big = cluster_settings(100 << 40, executor_cores=8, executors=1000)
-    assert small["spark.sql.shuffle.partitions"] == "80"  # two waves of 40 slots
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert rollup["spark.sql.shuffle.partitions"] == "80"  # two waves of 40 slots
+    assert int(big["spark.sql.shuffle.partitions"]) == MAX_SHUFFLE_PARTITIONS
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

@@ -4,10 +4,11 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from helpers import OBS_SCHEMA, obs_rows, settings_for
-from ratelake.operators.quality import Check, DataQualityError, collect_results, evaluate, gate
+from helpers import OBS_SCHEMA, obs_rows, settings_for, write_json
+from ratelake.operators.quality import DataQualityError, dense, evaluate, gate, given, in_range, not_null, periods, rows, unique
 from ratelake.plans.checks import bronze_results, gold_results, silver_results
 from ratelake.plans.gold import build_gold
 from ratelake.schemas import BRONZE
@@ -21,28 +22,33 @@ def _silver(spark, rows):
 
 
 def _status(results_df):
-    return {r.name: r.passed for r in collect_results(results_df)}
+    return {r.name: r.passed for r in results_df.collect()}
 
 
 def test_gate_lists_every_failure():
-    from ratelake.operators.quality import CheckResult
-
-    res = [
-        CheckResult("l", "a", True, "x", 1),
-        CheckResult("l", "b", False, "x", 2),
-        CheckResult("l", "c", False, "x", 3),
-    ]
-    with pytest.raises(DataQualityError) as e:
+    res = [Row(layer="l", name=n, passed=ok, expected="= 0", observed=str(i)) for i, (n, ok) in enumerate([("a", True), ("b", False), ("c", False)])]
+    with pytest.raises(DataQualityError, match="2 of 3 rules broken: b is 1, not = 0, c is 2") as e:
         gate(res, "l")
-    assert "2 of 3" in str(e.value) and "b" in str(e.value) and "c" in str(e.value)
+    assert [r.name for r in e.value.broken] == ["b", "c"]
     assert len(gate(res[:1], "l")) == 1
 
 
-def test_evaluate_is_one_row_per_check(spark):
-    m = spark.createDataFrame([(3, None)], "a bigint, b bigint")
-    checks = [Check("a_pos", "a > 0", "a > 0", "a"), Check("b_zero", "coalesce(b, 0) = 0", "0", "b")]
-    r = collect_results(evaluate(m, checks, "t"))
-    assert [(x.name, x.passed, x.observed) for x in r] == [("a_pos", True, "3"), ("b_zero", True, None)]
+def test_evaluate_is_one_row_per_rule_and_null_breaks_a_rule(spark):
+    df = spark.createDataFrame([(3, None), (5, 1), (5, None)], "a bigint, b bigint")
+    rules = [rows(2, ">="), not_null("a", "b"), in_range("a", 0, 4), unique(df, ["a"]), unique(df, ["b"]),
+             periods("a", F.lit(True), "a", 2), dense(df, "x", F.col("a") > 0, "a", 2), given("absent", F.lit(None), 0)]
+    got = {r.name: (r.passed, r.observed, r.expected) for r in evaluate(df, rules, "t").collect()}
+    assert got == {
+        "rows": (True, "3", ">= 2"), "not_null(a, b)": (False, "2", "= 0"), "in_range(a in 0 .. 4)": (False, "2", "= 0"),
+        "unique(a)": (False, "1", "= 0"), "unique(b)": (False, "1", "= 0"), "periods(a)": (True, "2", "= 2"),
+        "dense(x, 2 per a)": (False, "1", "= 0"), "absent": (False, None, "= 0"),
+    }
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "a bigint")
+    got = {r.name: r.passed for r in evaluate(df, [rows(1, ">="), not_null("a"), unique(df, ["a"])], "t").collect()}
+    assert got == {"rows": False, "not_null(a)": True, "unique(a)": True}
 
 
 def test_clean_24_months_pass_all_silver_and_gold(spark, root):
@@ -56,13 +62,13 @@ def test_clean_24_months_pass_all_silver_and_gold(spark, root):
 @pytest.mark.parametrize(
     "defect, failing",
     [
-        ("dup_key", {"silver_unique_business_key"}),
-        ("domain", {"silver_values_in_domain"}),
-        ("window", {"silver_time_window_respected"}),
-        ("ipca_day2", {"silver_inflation_anchored_day_1"}),
-        ("thin", {"silver_policy_monthly_coverage"}),
-        ("missing_ipca", {"silver_inflation_complete"}),
-        ("nonpos", {"silver_factors_positive", "silver_values_in_domain"}),
+        ("dup_key", {"unique(series_id, ref_date)"}),
+        ("domain", {"in_range(selic value in 0.0 .. 1.0)"}),
+        ("window", {"in_range(ref_date in 2020-01-01 .. 2021-12-31)"}),
+        ("ipca_day2", {"never(ipca not on day 1)"}),
+        ("thin", {"dense(selic, 15 per year_month)"}),
+        ("missing_ipca", {"periods(ipca)"}),
+        ("nonpos", {"never(rate at or below -100 %)", "in_range(selic value in 0.0 .. 1.0)"}),
     ],
 )
 def test_each_silver_check_fails_on_its_defect(spark, root, defect, failing):
@@ -95,7 +101,7 @@ def test_silver_rejected_and_unmapped_come_from_bronze(spark, root):
         [("xx", "0.05", "/l/selic.json", T0, T0), ("01/01/2020", "0.05", "/l/other.json", T0, T0)], BRONZE
     )
     got = _status(silver_results(_silver(spark, obs_rows(months=24)), st, bronze))
-    assert not got["silver_no_rejected_records"] and not got["silver_no_unmapped_files"]
+    assert not got["rejected_rows"] and not got["unmapped_rows"]
 
 
 def test_bronze_checks(spark, root):
@@ -103,19 +109,18 @@ def test_bronze_checks(spark, root):
     ok = spark.createDataFrame(
         [("01/01/2020", "0.05", "/l/selic.json", T0, T0), ("01/01/2020", "0.3", "/l/ipca.json", T0, T0)], BRONZE
     )
-    assert all(_status(bronze_results(ok, st, F.lit(2))).values())
+    assert all(_status(bronze_results(ok, st, landing=False)).values())
     bad = spark.createDataFrame(
         [(None, None, "/l/selic.json", T0, T0), ("01/01/2020", "0.05", None, T0, None)], BRONZE
     )
-    got = _status(bronze_results(bad, st, F.lit(0)))
+    got = _status(bronze_results(bad, st, landing=False))
     assert {k for k, v in got.items() if not v} == {
-        "bronze_landing_not_empty",
-        "bronze_provenance_complete",
-        "bronze_all_series_present",
-        "bronze_no_empty_rows",
+        "not_null(source_file, ingested_at)",
+        "series_present",
+        "never(no raw field)",
     }
     empty = spark.createDataFrame([], BRONZE)
-    assert not _status(bronze_results(empty, st, F.lit(1)))["bronze_table_not_empty"]
+    assert not _status(bronze_results(empty, st, landing=False))["rows"]
 
 
 def test_gold_checks_fail_on_gaps(spark, root):
@@ -124,10 +129,10 @@ def test_gold_checks_fail_on_gaps(spark, root):
     rows = [r for r in rows if not (r[1] == "selic" and r[4] == "2021-02" and r[3].day > 10)]
     gold = build_gold(_silver(spark, rows), st)
     got = _status(gold_results(gold, st))
-    assert {k for k, v in got.items() if not v} == {"gold_no_missing_metrics", "gold_months_with_enough_policy"}
+    assert {k for k, v in got.items() if not v} == {"not_null(policy_mean_day, policy_month, inflation_month, real_month)", "never(fewer than 15 policy days)"}
     short = build_gold(_silver(spark, obs_rows(months=20)), st)
     got = _status(gold_results(short, st))
-    assert not got["gold_complete_series"] and not got["gold_rolling_12m_consistent"]
+    assert not got["rows"] and not got["rolling_complete"]
 
 
 def test_fisher_check_catches_a_wrong_real_rate(spark, root):
@@ -139,7 +144,7 @@ def test_fisher_check_catches_a_wrong_real_rate(spark, root):
             F.col("real_month")
         ),
     )
-    assert not _status(gold_results(broken, st))["gold_fisher_identity"]
+    assert not _status(gold_results(broken, st))["never(real x inflation differs from policy)"]
 
 
 def test_key_grain_counts_null_keys_like_distinct(spark):
@@ -155,9 +160,35 @@ def test_gold_grain_and_not_null_checks_fail(spark, root):
     gold = build_gold(_silver(spark, obs_rows(months=24)), st)
     doubled = gold.unionByName(gold.filter("year_month = '2020-06'"))
     got = _status(gold_results(doubled, st))
-    assert not got["gold_unique_grain"] and not got["gold_complete_series"]
+    assert not got["unique(year_month)"] and not got["rows"]
     rows = obs_rows(months=24)
     silver = _silver(spark, rows).withColumn(
         "granularity", F.when(F.col("ref_date") == F.lit("2020-01-02").cast("date"), None).otherwise(F.col("granularity"))
     )
-    assert not _status(silver_results(silver, st))["silver_required_columns_not_null"]
+    assert not _status(silver_results(silver, st))["not_null(series_id, series_name, granularity, ref_date, year_month, value)"]
+
+
+def test_unique_key_groups_by_the_key_itself(spark, root):
+    """Two rows of one key under different series names are duplicates."""
+    st = settings_for(root, months=24)
+    extra = obs_rows(months=24)
+    extra.append((extra[0][0], "other", *extra[0][2:]))
+    assert not _status(silver_results(_silver(spark, extra), st))["unique(series_id, ref_date)"]
+
+
+def test_rules_on_what_was_dropped_are_listed_only_with_bronze(spark, root):
+    st = settings_for(root, months=24)
+    silver = _silver(spark, obs_rows(months=24))
+    assert not {"rejected_rows", "unmapped_rows"} & set(_status(silver_results(silver, st)))
+    empty = spark.createDataFrame([], BRONZE)
+    assert _status(silver_results(silver, st, empty))["rejected_rows"]
+
+
+def test_landing_rules(spark, root):
+    st = settings_for(root)
+    bronze = spark.createDataFrame([("01/01/2020", "0.05", "/l/selic.json", T0, T0)], BRONZE)
+    got = _status(bronze_results(bronze, st))  # no landing folder yet
+    assert not got["landing_files"] and got["landing_files_without_rows"]
+    write_json(f"{st.landing}/selic.json", [{"data": "01/01/2020", "valor": "1"}])
+    got = _status(bronze_results(bronze, st))  # landed, but Bronze has rows of another file
+    assert got["landing_files"] and not got["landing_files_without_rows"]

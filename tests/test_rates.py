@@ -1,6 +1,8 @@
 """Rates algebra, monthly rollups, Fisher real rate and rolling compounding."""
 
 import math
+import pytest
+
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -99,7 +101,7 @@ def test_calendar_frame_leaves_gap_windows_incomplete(spark, root):
 
 def test_rolling_window_of_one_is_identity(spark):
     df = spark.createDataFrame([("2020-01", 1.01), ("2020-02", 0.99), ("2020-03", 1.2)], "year_month string, f double")
-    got = rolling_compound(df, {"x": "f"}, months=1).orderBy("year_month").collect()
+    got = rolling_compound(df, {"x": "f"}, months=1, one_series=True).orderBy("year_month").collect()
     for r in got:
         assert math.isclose(r.x, (r.f - 1) * 100, rel_tol=1e-12)
 
@@ -115,7 +117,13 @@ def test_rolling_is_per_entity(spark):
 def test_nonpositive_factor_vanishes_from_product(spark):
     """ln(f<=0) is NULL and SUM skips it: the factor gate catches it."""
     df = spark.createDataFrame([("2020-01", 0.0), ("2020-02", 1.1)], "year_month string, f double")
-    rows = rolling_compound(df, {"x": "f"}, months=2, gate="rows").collect()
-    fac = rolling_compound(df, {"x": "f"}, months=2, gate="factors").collect()
+    rows = rolling_compound(df, {"x": "f"}, months=2, gate="rows", one_series=True).collect()
+    fac = rolling_compound(df, {"x": "f"}, months=2, gate="factors", one_series=True).collect()
     assert rows[1].x is not None and math.isclose(rows[1].x, 10.0, rel_tol=1e-9)
     assert fac[1].x is None
+
+
+def test_global_window_must_be_declared(spark):
+    df = spark.createDataFrame([("2020-01", 1.0)], "year_month string, f double")
+    with pytest.raises(ValueError, match="one_series"):
+        rolling_compound(df, {"x": "f"})

@@ -3,6 +3,8 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.errors.exceptions.base import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from ratelake.operators.upsert import (
@@ -10,9 +12,10 @@ from ratelake.operators.upsert import (
     assert_unique_keys,
     change_counts,
     merge_changes,
+    merge_into,
     upsert,
 )
-from ratelake.sources.tables import VersionedTable
+from ratelake.sources.tables import StoredTable
 
 SCHEMA = "k int, ym string, v string, ts timestamp"
 T = [dt.datetime(2024, 1, d) for d in range(1, 6)]
@@ -58,7 +61,7 @@ def test_merge_branches(spark):
 def test_pruned_merge_equals_full(spark):
     t, s = _frames(spark)
     a = merge_changes(t, s, ["k"], "ts")
-    b = merge_changes(t, s, ["k"], "ts", prune_by=["ym"])
+    b = merge_changes(t, s, ["k"], "ts", prune_by=["k % 2"])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -84,51 +87,58 @@ def test_duplicate_source_key_raises(spark):
         assert_unique_keys(s, ["k"])
 
 
-def test_versioned_table_history_and_time_travel(spark, root):
+def _table(spark, path):
+    return StoredTable(spark, path, spark.createDataFrame([], SCHEMA).schema)
+
+
+def test_stored_table_history(spark, root):
     t, s = _frames(spark)
-    table = VersionedTable(spark, f"{root}/tbl")
-    m0 = table.merge(t, ["k"], "ts")
-    m1 = table.merge(s, ["k"], "ts")
-    m2 = table.merge(s, ["k"], "ts")
-    assert (m0["version"], m0["rows_inserted"]) == (0, 5)
-    assert (m1["version"], m1["rows_inserted"], m1["rows_updated"]) == (1, 1, 1)
+    table = _table(spark, f"{root}/tbl")
+    m0, m1, m2 = (table.merge(x, ["k"], "ts") for x in (t, s, s))
+    assert (m0["rows_inserted"], m0["rows_total"]) == (5, 5)
+    assert (m1["rows_inserted"], m1["rows_updated"], m1["rows_total"]) == (1, 1, 6)
     assert (m2["rows_inserted"], m2["rows_updated"]) == (0, 0)
-    h = table.history().selectExpr(
-        "version", "operation", "CAST(operation_metrics['rows_inserted'] AS BIGINT) AS ins"
-    ).collect()
+    h = table.history().selectExpr("version", "operation", "CAST(metrics['rows_inserted'] AS BIGINT) AS ins").collect()
     assert [(r.version, r.operation, r.ins) for r in h] == [(0, "MERGE", 5), (1, "MERGE", 1), (2, "MERGE", 0)]
-    assert table.read(0).count() == 5 and table.read().count() == 6
-    assert "_change" not in table.read().columns
+    assert table.read().columns == ["k", "ym", "v", "ts"] and table.count() == 6
 
 
-def test_uncommitted_version_is_invisible(spark, root):
-    t, _ = _frames(spark)
-    table = VersionedTable(spark, f"{root}/tbl2")
+def test_refused_rows_are_not_stored(spark, root):
+    t, s = _frames(spark)
+    table = _table(spark, f"{root}/tbl2")
+    seen = []
     table.merge(t, ["k"], "ts")
-    # a writer died after writing v=1 data but before committing it
-    t.withColumn("_change", F.lit("inserted")).limit(1).write.parquet(f"{root}/tbl2/v=1")
-    assert table.latest_version() == 0 and table.read().count() == 5
-    m = table.merge(t, ["k"], "ts")  # the retry overwrites the orphan
-    assert m["version"] == 1 and table.read().count() == 5
+    got = table.merge(s, ["k"], "ts", accept=lambda df: seen.append(df.count()) or False)
+    assert seen == [6] and not got["committed"] and table.count() == 5 and table.history().count() == 1
+    assert not table.overwrite(s, accept=lambda df: False)["committed"] and table.count() == 5
+    assert table.overwrite(s, accept=lambda df: True)["committed"] and table.count() == 5
 
 
-def test_pruning_falls_back_beyond_the_slice_bound(spark):
-    t, s = _frames(spark)
-    a = merge_changes(t, s, ["k"], "ts")
-    b = merge_changes(t, s, ["k"], "ts", prune_by=["ym"], max_pruned_slices=1)  # 2 slices > 1
-    c = merge_changes(t, s, ["k"], "ts", prune_by=["ym"])
-    for x in (b, c):
-        assert a.exceptAll(x).count() == 0 and x.exceptAll(a).count() == 0
-    import io
-    from contextlib import redirect_stdout
+def test_duplicate_source_key_stops_the_merge(spark, root):
+    t, _ = _frames(spark)
+    with pytest.raises(DuplicateSourceKeyError):
+        _table(spark, f"{root}/tbl3").merge(t.union(t), ["k"], "ts")
 
-    buf = io.StringIO()
-    with redirect_stdout(buf):
-        c.explain()
-    import re
 
-    text = buf.getvalue()
-    assert re.search(r"BroadcastHashJoin .*LeftSemi", text) and re.search(r"BroadcastHashJoin .*LeftAnti", text)
+def test_pruned_merge_with_moved_and_null_columns(spark):
+    """Rows that match on the key but moved in other columns, or hold NULL there."""
+    target = spark.createDataFrame([(k, ym, "old", T[2]) for k, ym in ((1, "a"), (2, None), (3, "c"), (4, "d"), (None, "e"))], SCHEMA)
+    source = spark.createDataFrame([(k, ym, "new", T[3]) for k, ym in ((1, "z"), (2, "b"), (3, None), (7, None), (None, None))], SCHEMA)
+    a = merge_changes(target, source, ["k"], "ts", compare=["ym"])
+    for prune in (["k"], ["k div 2"], ["k % 2", "k > 2"]):
+        b = merge_changes(target, source, ["k"], "ts", prune_by=prune, compare=["ym"])
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    with pytest.raises(AnalysisException):
+        merge_changes(target, source, ["k"], "ts", prune_by=["ym"])  # not of the key
+
+
+def test_merge_into_needs_a_table_with_row_level_operations(spark, root):
+    t, s = _frames(spark)
+    t.write.mode("overwrite").option("path", f"{root}/plain").saveAsTable("plain_target")
+    with pytest.raises(UnsupportedOperationException, match="does not support MERGE"):
+        merge_into(s, "plain_target", ["k"], "ts")
+    spark.sql("DROP TABLE plain_target")
+
 
 
 def test_values_changed_separates_refresh_from_change(spark):
@@ -138,14 +148,5 @@ def test_values_changed_separates_refresh_from_change(spark):
     assert (got.rows_updated, got.rows_changed) == (1, 0)
     got = change_counts(merge_changes(t, s, ["k"], "ts", compare=["v"])).first()
     assert (got.rows_updated, got.rows_changed) == (1, 1)
-    pruned = change_counts(merge_changes(t, s, ["k"], "ts", compare=["v"], prune_by=["ym"])).first()
+    pruned = change_counts(merge_changes(t, s, ["k"], "ts", compare=["v"], prune_by=["k % 3"])).first()
     assert pruned.asDict() == got.asDict()
-
-
-def test_table_merge_rejects_duplicate_source_keys(spark, root):
-    t, s = _frames(spark)
-    table = VersionedTable(spark, f"{root}/dup")
-    table.merge(t, ["k"], "ts")
-    with pytest.raises(DuplicateSourceKeyError):
-        table.merge(s.unionByName(s.limit(1)), ["k"], "ts")
-    assert table.latest_version() == 0
