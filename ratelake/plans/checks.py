@@ -26,21 +26,22 @@ def bronze_rules(settings: Settings) -> list[Rule]:
     ]
 
 
-def landing_rules(bronze: DataFrame, settings: Settings) -> list[Rule]:
-    """Rules on the landing folder: there are files, and Bronze has rows of every one.
+def landing_rules(bronze: DataFrame, settings: Settings, n: int | None = None) -> list[Rule]:
+    """Rules on the landing folder: there are files (``n``, if counted already),
+    and Bronze has rows of every one.
 
     A folder that doesn't exist holds no files; nothing can be missing then.
     """
     spark = bronze.sparkSession
-    n = files_in(spark, settings.landing, settings.file_glob)
+    n = files_in(spark, settings.landing, settings.file_glob) if n is None else n
     lost = F.lit(0)
     if n:
         lost = missing_files(spark, settings.landing, bronze, settings.file_glob).agg(F.count(F.lit(1))).scalar()
     return [given("landing_files", F.lit(n), 1, ">="), given("landing_files_without_rows", lost, 0)]
 
 
-def bronze_results(bronze: DataFrame, settings: Settings, landing: bool = True) -> DataFrame:
-    own = landing_rules(bronze, settings) if landing else []
+def bronze_results(bronze: DataFrame, settings: Settings, landing: bool = True, landing_files: int | None = None) -> DataFrame:
+    own = landing_rules(bronze, settings, landing_files) if landing else []
     return evaluate(bronze, own + bronze_rules(settings), "bronze")
 
 

@@ -72,7 +72,8 @@ def ensure_layout(spark: SparkSession, settings: Settings) -> None:
 def run_bronze(spark: SparkSession, s: Settings, report: RunReport, stop: bool) -> DataFrame:
     report.metrics["bronze"] = ingest(spark, s)
     bronze = read_bronze(spark, s.bronze_path)
-    report.check(bronze_results(bronze, s), "bronze", stop)
+    found = report.metrics["bronze"]["landing_files"]
+    report.check(bronze_results(bronze, s, landing_files=found), "bronze", stop)
     return bronze
 
 

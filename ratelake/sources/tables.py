@@ -121,6 +121,8 @@ class StoredTable:
         """
         if check_unique:
             assert_unique_keys(source, keys)
+        if not self.exists():
+            return self._first(source, accept, extra or {})
         by = self.partition_by
         stored = self.read()
         before = self.count()
@@ -130,18 +132,27 @@ class StoredTable:
         counts = change_counts(merged.select(*[c for c in (CHANGE, VALUES_CHANGED) if c in merged.columns])).first().asDict()
         counts["rows_total"] = before + counts["rows_inserted"]
         counts["rows_untouched"] = counts["rows_total"] - counts["rows_inserted"] - counts["rows_updated"] - counts["rows_matched_noop"]
-        changed = F.col(CHANGE).isin("inserted", "updated")
         any_change = counts["rows_inserted"] + counts["rows_updated"] > 0
-        rewrite = merged
+        rewrite, rest = merged, stored.limit(0)
         if by:
-            touched = materialize(merged.where(changed).select(*by).distinct(), "changed-partitions")
-            rewrite = merged.join(touched, by, "left_semi")
-        if accept:
-            rest = stored.join(touched, by, "left_anti").select(*self.schema.names) if by else stored.limit(0)
-            if not accept(rest.unionByName(rewrite.select(*self.schema.names))):
-                return {**counts, "committed": False, "rows_total": before}
+            changed = merged.where(F.col(CHANGE).isin("inserted", "updated")).select(*by).distinct()
+            rewrite, rest = merged.join(changed, by, "left_semi"), stored.join(changed, by, "left_anti")
+        if accept and not accept(rest.select(*self.schema.names).unionByName(rewrite.select(*self.schema.names))):
+            return {**counts, "committed": False, "rows_total": before}
         if any_change:
             self._write(rewrite)
         self._record("MERGE", {**counts, **(extra or {})})
         self._publish()
         return {**counts, "committed": True}
+
+    def _first(self, source: DataFrame, accept: Accept | None, extra: Mapping[str, object]) -> dict:
+        """The first merge: every row is new, nothing has to be joined."""
+        n = source.count()
+        counts = dict.fromkeys(("rows_updated", "rows_matched_noop", "rows_untouched", "rows_deleted", "rows_changed"), 0)
+        counts |= {"rows_inserted": n, "rows_total": n}
+        if accept and not accept(source.select(*self.schema.names)):
+            return {**counts, "committed": False, "rows_total": 0}
+        self._write(source)
+        self._record("MERGE", {**counts, **extra})
+        self._publish()
+        return {**counts, "committed": True}
