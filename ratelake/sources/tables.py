@@ -85,7 +85,11 @@ class StoredTable:
         self.spark.createDataFrame(row, AUDIT).coalesce(1).write.mode("append").parquet(self.audit_path)
 
     def _write(self, rows: DataFrame) -> None:
-        w = rows.select(*self.schema.names).write.mode("overwrite")
+        rows = rows.select(*self.schema.names)
+        if self.partition_by:
+            # few files a partition; AQE splits a partition that holds much of the rows
+            rows = rows.hint("rebalance", *self.partition_by)
+        w = rows.write.mode("overwrite")
         if self.partition_by:
             w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by)
         w.parquet(self.path)
