@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.llm import decontam, line_dedup, near_dup, packing, quality
-from ratelake.llm.common import crc_of_id, materialize, table
+from ratelake.llm.common import crc_of_id, materialize, small, table
 from ratelake.llm.queries import tokenizer_path
 
 
@@ -34,24 +34,28 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Keep the smallest document of every near-duplicate class.
 
     A document is known by its id and the hash of its text. Rows that share
-    both are one document: they are reduced to one row apart from the rest,
-    which is not shuffled for them.
+    both are one document: they are reduced to one row apart from the rest. The
+    documents to drop are broadcast if counted few, so the texts that stay are
+    not shuffled for them.
     """
     own = F.struct(F.col("doc_id"), F.xxhash64("text").alias("h"))
-    classes = near_dup.near_duplicates(docs.select(own.alias("doc_id"), "text"))
-    kept = classes.where(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = materialize(kept.select(F.col("doc_id").alias("__rl_id"), "rows"), "kept")
-    marked = docs.withColumn("__rl_id", own)
-    single = marked.join(kept.where("rows = 1"), "__rl_id", "left_semi")
-    repeated = marked.join(kept.where("rows > 1"), "__rl_id", "left_semi").dropDuplicates(["__rl_id"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    classes = materialize(near_dup.near_duplicates(docs.select(own.alias("doc_id"), "text")), "classes")
+    key = F.col("doc_id").alias("__rl_id")
+    dropped = materialize(classes.where(F.col("doc_id") != F.col("class_id")).select(key).distinct(), "dropped")
+    repeated = classes.where(F.col("doc_id") == F.col("class_id")).groupBy(key).count().where("count > 1")
+    repeated = materialize(repeated.select("__rl_id"), "repeated")
+    kept = docs.withColumn("__rl_id", own).join(small(dropped), "__rl_id", "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(small(repeated), "__rl_id", "left_semi").dropDuplicates(["__rl_id"])
+        kept = kept.join(small(repeated), "__rl_id", "left_anti").unionByName(once)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a window of a benchmark item."""
     found = decontam.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     found = found.where("contaminated").select(F.col("doc_id").alias("__rl_id"), F.col("text_hash").alias("__rl_h")).distinct()
-    found = materialize(found, "contaminated")
+    found = small(materialize(found, "contaminated"))
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__rl_id")) & (F.xxhash64("text") == F.col("__rl_h")), "left_anti")
 
 
