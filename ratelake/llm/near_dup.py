@@ -106,6 +106,7 @@ def sketches(x: np.ndarray, size: int, count: int, salt: int) -> np.ndarray:
 
 
 SIGNATURE_BITS = 256
+MOST_ADDED = 128
 
 
 def signature(x: np.ndarray) -> np.ndarray:
@@ -207,9 +208,10 @@ def near_duplicates(
     that shares a sketch is either aligned or already in one class: first all
     members of a bucket against the member most often met there, then, in
     buckets that still hold several classes, the members outside the largest
-    class against all of another class. Pairs whose lengths or 256-bit signatures
-    rule the threshold out (by six sigmas) are left out while joining, so texts
-    that merely share a passage make no rows. So no link found is lost and a
+    class against all of another class. Left out while joining, so that they
+    make no rows, are pairs that cannot reach the threshold: by their lengths, by
+    their 256-bit signatures (six sigmas), or because what both share with the
+    leader and what both add to it is too little (exact). So no link found is lost and a
     group of copies costs a star, not all of its pairs. Sketches of ``size`` shingles
     meet with a probability of about threshold ** size each, ``count`` times.
     Texts of at most 1.25 x ``short`` shingles also have 16 sketches of two, as
@@ -249,32 +251,48 @@ def near_duplicates(
     met = members.groupBy("node").agg(F.sum("g").alias("met"))
     members = materialize(members.join(met, "node").select("key", "node", "n", "met"), "buckets")
     lead = members.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("top"))
-    lead = lead.select("key", F.col("top.node").alias("a"), F.col("top.n").alias("na"))
+    lead = materialize(lead.select("key", F.col("top.node").alias("lead"), F.col("top.n").alias("na")), "leaders")
     fits = F.least("n", "na") >= F.lit(threshold) * F.greatest("n", "na")
-    star = members.join(lead, "key").where((F.col("node") != F.col("a")) & fits)
-    star = star.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    star = members.join(lead, "key").where((F.col("node") != F.col("lead")) & fits)
+    star = star.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     bits_of = lambda c, name: nodes.select(F.col("node").alias(c), F.col("bits").alias(name))
     star = star.join(bits_of("a", "x"), "a").join(bits_of("b", "y"), "b")
     star = materialize(star.where(differing_bits("x", "y") <= most_differing_bits(threshold)).select("a", "b"), "star-pairs")
-    links = materialize(_verified(star, texts, threshold), "star-links")
+    compared = materialize(_compared(star, texts, threshold), "star-compared")
+    links = compared.where(F.col("similarity") >= threshold).select("a", "b")
 
     # what the star may have missed: pairs across classes inside a bucket
     comp = components(links)
     marked = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = marked.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     several = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
-    mixed = marked.join(several.select("key", F.col("top.comp").alias("top")), "key").drop("met")
-    mixed = materialize(mixed.join(nodes.select("node", "bits"), "node"), "mixed-buckets")
-    left = mixed.where(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(d) for c, d in (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"))])
-    right = mixed.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"), "n", F.col("bits").alias("y"), (F.col("comp") == F.col("top")).alias("big"))
+    several = several.select("key", F.col("top.comp").alias("top")).join(lead.select("key", "lead"), "key")
+    mixed = marked.drop("met").join(several, "key").join(nodes.select("node", "bits"), "node")
+    to_lead = compared.select(F.col("a").alias("lead"), F.col("b").alias("node"), "shared", "added")
+    mixed = mixed.join(to_lead, ["lead", "node"], "left")
+    own = F.col("node") == F.col("lead")  # the leader shares all of itself and adds nothing
+    mixed = mixed.withColumn("shared", F.when(own, F.col("n")).otherwise(F.col("shared")))
+    mixed = mixed.withColumn("added", F.when(own, F.array().cast("array<int>")).otherwise(F.col("added")))
+    mixed = materialize(mixed, "mixed-buckets")
+    left = mixed.where(F.col("comp") != F.col("top"))
+    left = left.select("key", *[F.col(c).alias(d) for c, d in (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("shared", "sx"), ("added", "ax"))])
+    right = mixed.select(
+        "key", "n", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("bits").alias("y"),
+        F.col("shared").alias("sy"), F.col("added").alias("ay"), (F.col("comp") == F.col("top")).alias("big"),
+    )
     once = (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b")))
     alike = fits & (differing_bits("x", "y") <= most_differing_bits(threshold))
-    cross = left.join(right, (left["key"] == right["key"]) & once & alike)
+    # two texts share at most what both share with the leader and what both add to it
+    most = F.least("sx", "sy") + F.size(F.array_intersect("ax", "ay"))
+    enough = most >= F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("n")) - 1e-6
+    known = F.col("ax").isNotNull() & F.col("ay").isNotNull()
+    cross = left.join(right, (left["key"] == right["key"]) & once & alike & F.when(known, enough).otherwise(F.lit(True)))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    cross = materialize(cross.join(star, ["a", "b"], "left_anti"), "cross-pairs")
-    more = materialize(_verified(cross, texts, threshold), "cross-links")
+    cross = materialize(cross, "cross-pairs")
+    more = _compared(cross, texts, threshold).where(F.col("similarity") >= threshold)
+    more = materialize(more.select("a", "b"), "cross-links")
     if not more.isEmpty():
-        comp = components(links.select("a", "b").union(more.select("a", "b")))
+        comp = components(links.union(more))
 
     lone = F.unhex(F.md5(F.concat(F.lit("null text "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
     placed = base.select("doc_id", "node", "n").join(comp, "node", "left")
@@ -284,17 +302,24 @@ def near_duplicates(
     return placed.join(classes, "comp").select("doc_id", "class_id", "n_class", "n_shingles")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose aligned similarity reaches the threshold."""
+def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """a, b, similarity (aligned), shared (shingles in both), added (those of b that a lacks).
+
+    ``added`` is null for more than ``MOST_ADDED`` shingles.
+    """
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = texts.select("node", "seq").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("seq").alias("seq"))
     wanted = materialize(wanted, "pair-texts")
 
-    @F.pandas_udf("double")
-    def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([aligned(np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4"), threshold) for x, y in zip(a, b)])
+    @F.pandas_udf("struct<similarity:double,shared:int,added:array<int>>")
+    def compare(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        out = []
+        for x, y in zip(a, b):
+            x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+            added = np.setdiff1d(y, x, assume_unique=True)
+            out.append((aligned(x, y, threshold), len(y) - len(added), added.view(np.int32) if len(added) <= MOST_ADDED else None))
+        return pd.DataFrame(out, columns=["similarity", "shared", "added"])
 
     both = pairs.join(wanted.select(F.col("node").alias("a"), F.col("seq").alias("sa")), "a")
     both = both.join(wanted.select(F.col("node").alias("b"), F.col("seq").alias("sb")), "b")
-    scored = both.select("a", "b", similarity("sa", "sb").alias("similarity"))
-    return scored.where(F.col("similarity") >= threshold)
+    return both.select("a", "b", compare("sa", "sb").alias("c")).select("a", "b", "c.similarity", "c.shared", "c.added")
