@@ -15,6 +15,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Scratch:
+    """Tables that one operator writes under the shared folder.
+
+    ``clear`` deletes those its lazy result doesn't read, so a run of several
+    operators doesn't pile them up.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_dir(self.spark, label)
+        df.write.parquet(path)
+        self.paths[path] = label
+        return self.spark.read.parquet(path)
+
+    def clear(self, *keep: str) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in [p for p, label in self.paths.items() if label not in keep]:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+            del self.paths[path]
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast of a *materialised* table if its counted rows allow it.
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import materialize, small
+from ratelake.llm.common import Scratch, materialize, small
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -25,7 +25,7 @@ def words_of(text: Column) -> Column:
     return F.coalesce(words, F.array().cast("array<string>"))
 
 
-def test_words(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+def test_words(items: DataFrame, window: int, write=materialize) -> tuple[DataFrame, DataFrame]:
     """(vocabulary: token, tid; windows: item_id, at, len, words), both written.
 
     A window is ``window`` consecutive words; a shorter item, but not one
@@ -38,13 +38,13 @@ def test_words(items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
     listed = listed.withColumn("item", F.xxhash64("item_id", "w"))
     vocabulary = listed.select(F.explode("w").alias("token")).distinct()
     vocabulary = vocabulary.select("token", (F.monotonically_increasing_id() + 1).alias("tid"))
-    vocabulary = materialize(vocabulary, "test-vocabulary")
+    vocabulary = write(vocabulary, "test-vocabulary")
     places = F.posexplode(F.expr(f"transform(sequence(0, greatest(0, size(w) - {window})), s -> slice(w, s + 1, {window}))"))
     windows = listed.select("item_id", "item", places.alias("at", "words"))
-    return vocabulary, materialize(windows.withColumn("len", F.size("words")), "test-windows")
+    return vocabulary, write(windows.withColumn("len", F.size("words")), "test-windows")
 
 
-def build_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def build_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text", write=materialize) -> DataFrame:
     """Positional postings (doc, h, tid, pos) of the vocabulary's words, written.
 
     (doc, h): the id and a hash of the text. Rows that share both share their
@@ -55,29 +55,29 @@ def build_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id",
     docs = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text_col).alias("text"))
     tokens = docs.select("doc", F.xxhash64("text").alias("h"), F.posexplode(F.concat(words_of(F.col("text")), F.array(F.lit("")))).alias("pos", "token"))
     known = vocabulary.unionByName(vocabulary.sparkSession.createDataFrame([("", 0)], "token string, tid long"))
-    known = small(materialize(known.select("token", "tid"), "index-vocabulary"))
-    return materialize(tokens.join(known, "token").select("doc", "h", "tid", "pos"), "postings")
+    known = small(write(known.select("token", "tid"), "index-vocabulary"))
+    return write(tokens.join(known, "token").select("doc", "h", "tid", "pos"), "postings")
 
 
-def phrase_matches(index: DataFrame, vocabulary: DataFrame, windows: DataFrame) -> DataFrame:
+def phrase_matches(index: DataFrame, vocabulary: DataFrame, windows: DataFrame, write=materialize) -> DataFrame:
     """Exact occurrences of the windows: distinct (doc, h, item_id, start, len)."""
     frequency = index.groupBy("tid").agg(F.count(F.lit(1)).alias("f"))
     terms = windows.select("item_id", "item", "at", "len", F.posexplode("words").alias("o", "token"))
     terms = terms.join(vocabulary, "token").join(frequency, "tid", "left")
     terms = terms.select("item_id", "item", "at", "len", (F.col("at") + F.col("o")).alias("ipos"), "tid", F.coalesce("f", F.lit(0)).alias("f"))
     rank = Window.partitionBy("item", "at").orderBy("f", "ipos")
-    terms = materialize(terms.withColumn("r", F.row_number().over(rank)), "test-terms")
+    terms = write(terms.withColumn("r", F.row_number().over(rank)), "test-terms")
 
     # all below come from the benchmark alone and are broadcast only if counted small
     found = terms.where("r = 1 AND f > 0")
-    rarest = small(materialize(found.select("item", F.col("ipos").alias("i1"), "tid").distinct(), "rarest"))
+    rarest = small(write(found.select("item", F.col("ipos").alias("i1"), "tid").distinct(), "rarest"))
     first = found.select("item_id", "item", "at", "len", F.col("ipos").alias("i1"))
     second = terms.where("r = 2").select("item", "at", F.col("ipos").alias("i2"), F.col("tid").alias("t2"))
     pairs = first.join(second, ["item", "at"], "left")
-    pairs = materialize(pairs.select("item_id", "item", "at", "len", "i1", F.coalesce("i2", F.lit(-1)).alias("i2"), "t2"), "rarest-pairs")
-    next_word = small(materialize(pairs.select("item", "i1", "i2", "t2").distinct(), "second-words"))
-    whole = small(materialize(pairs.select("item_id", "item", "at", "len", "i1", "i2"), "window-pairs"))
-    rest = small(materialize(terms.where("r > 2").select("item", F.col("at").alias("w"), "ipos", F.col("tid").alias("t3")), "other-words"))
+    pairs = write(pairs.select("item_id", "item", "at", "len", "i1", F.coalesce("i2", F.lit(-1)).alias("i2"), "t2"), "rarest-pairs")
+    next_word = small(write(pairs.select("item", "i1", "i2", "t2").distinct(), "second-words"))
+    whole = small(write(pairs.select("item_id", "item", "at", "len", "i1", "i2"), "window-pairs"))
+    rest = small(write(terms.where("r > 2").select("item", F.col("at").alias("w"), "ipos", F.col("tid").alias("t3")), "other-words"))
 
     postings = index.where("tid > 0")
     # 1. postings of the rarest word, as the place where the item would start
@@ -89,7 +89,7 @@ def phrase_matches(index: DataFrame, vocabulary: DataFrame, windows: DataFrame)
     asked = asked.where("i2 >= 0").join(postings, ["doc", "h", "tid", "pos"], "left_semi")
     agreed = asked.select("doc", "h", "item", "i1", "i2", "diag").union(alone)
     candidates = agreed.join(whole, ["item", "i1", "i2"]).where(F.col("diag") + F.col("at") >= 0)
-    candidates = materialize(candidates.select("doc", "h", "item_id", "item", "at", "len", "diag").distinct(), "phrase-candidates")
+    candidates = write(candidates.select("doc", "h", "item_id", "item", "at", "len", "diag").distinct(), "phrase-candidates")
     # 3. shifted postings of all other words
     wanted = candidates.where("len > 2").join(rest, (candidates["item"] == rest["item"]) & (F.col("at") == F.col("w")))
     wanted = wanted.select("doc", "h", candidates["item"], "at", "diag", F.col("t3").alias("tid"), (F.col("diag") + F.col("ipos")).alias("pos"))
@@ -133,16 +133,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, id_col: s
     an id with several texts has a row each. Empty documents give no rows, an
     empty benchmark contaminates nothing.
     """
-    vocabulary, windows = test_words(items.select("item_id", "text"), window)
-    index = build_index(docs, vocabulary, id_col, text_col)
-    matches = phrase_matches(index, vocabulary, windows)
+    tables = Scratch(docs.sparkSession)
+    vocabulary, windows = test_words(items.select("item_id", "text"), window, tables.write)
+    index = build_index(docs, vocabulary, id_col, text_col, tables.write)
+    matches = tables.write(phrase_matches(index, vocabulary, windows, tables.write), "matches")
+    rows = tables.write(index.where("tid = 0").select("doc", "h", F.col("pos").cast("long").alias("n_words")), "rows")
+    tables.clear("matches", "rows")  # the result reads no posting
     # words covered by the windows, each counted once: what reaches past the ends so far
     order = Window.partitionBy("doc", "h").orderBy("start", "len", "item_id").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("len")
     matches = matches.withColumn("so_far", F.coalesce(F.max(end).over(order), F.lit(0)))
     fresh = F.greatest(F.lit(0), end - F.greatest("so_far", "start"))
     hits = matches.groupBy("doc", "h").agg(F.sum(fresh).alias("n_hit"), F.sort_array(F.collect_set("item_id")).alias("ids"))
-    rows = index.where("tid = 0").select("doc", "h", F.col("pos").cast("long").alias("n_words"))
     out = rows.join(hits, ["doc", "h"], "left").withColumn("n_hit", F.coalesce("n_hit", F.lit(0)).cast("long"))
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return out.select(

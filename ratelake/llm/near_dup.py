@@ -12,14 +12,14 @@ from __future__ import annotations
 
 import bisect
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import materialize
+from ratelake.llm.common import Scratch, materialize
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64 constants
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -170,13 +170,13 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return matched / (total - matched)
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, write: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """node, comp (smallest node) of the connected components of links (a, b).
 
     Alternates large-star and small-star steps (Kiveris et al. 2014); each
     round is written and read again, which cuts the lineage.
     """
-    edges = materialize(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    edges = write(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -184,7 +184,7 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small_star = joined.select("u", F.col("m").alias("v")).union(joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        new = materialize(small_star.where("u <> v").distinct(), "star")
+        new = write(small_star.where("u <> v").distinct(), "star")
         digest = [F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
         if edges.agg(*digest).collect() == new.agg(*digest).collect():
             return new.select(F.col("u").alias("node"), F.col("v").alias("comp"))
@@ -222,6 +222,7 @@ def near_duplicates(
     class of null ids only has null). Repeated ids are rows like any other. An
     empty table gives no rows; other columns are not read.
     """
+    tables = Scratch(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("node", F.unhex(F.md5("text")))
 
@@ -240,29 +241,29 @@ def near_duplicates(
 
     base = rows.select("doc_id", "node", sketch("text").alias("s"))
     bits = F.struct(*[F.col(f"s.s{i}") for i in range(4)]).alias("bits")
-    base = materialize(base.select("doc_id", "node", "s.n", "s.keys", "s.seq", bits), "sketches")
+    base = tables.write(base.select("doc_id", "node", "s.n", "s.keys", "s.seq", bits), "sketches")
 
     # one row a text, then the buckets of two texts or more
     texts = base.where(F.col("node").isNotNull() & (F.col("n") > 0))
-    nodes = materialize(texts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bits")]), "texts")
+    nodes = tables.write(texts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bits")]), "texts")
     members = nodes.select(F.explode("keys").alias("key"), "node", "n")
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
     members = members.join(buckets, "key")
     met = members.groupBy("node").agg(F.sum("g").alias("met"))
-    members = materialize(members.join(met, "node").select("key", "node", "n", "met"), "buckets")
+    members = tables.write(members.join(met, "node").select("key", "node", "n", "met"), "buckets")
     lead = members.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("top"))
-    lead = materialize(lead.select("key", F.col("top.node").alias("lead"), F.col("top.n").alias("na")), "leaders")
+    lead = tables.write(lead.select("key", F.col("top.node").alias("lead"), F.col("top.n").alias("na")), "leaders")
     fits = F.least("n", "na") >= F.lit(threshold) * F.greatest("n", "na")
     star = members.join(lead, "key").where((F.col("node") != F.col("lead")) & fits)
     star = star.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     bits_of = lambda c, name: nodes.select(F.col("node").alias(c), F.col("bits").alias(name))
     star = star.join(bits_of("a", "x"), "a").join(bits_of("b", "y"), "b")
-    star = materialize(star.where(differing_bits("x", "y") <= most_differing_bits(threshold)).select("a", "b"), "star-pairs")
-    compared = materialize(_compared(star, texts, threshold), "star-compared")
+    star = tables.write(star.where(differing_bits("x", "y") <= most_differing_bits(threshold)).select("a", "b"), "star-pairs")
+    compared = tables.write(_compared(star, texts, threshold, tables), "star-compared")
     links = compared.where(F.col("similarity") >= threshold).select("a", "b")
 
     # what the star may have missed: pairs across classes inside a bucket
-    comp = components(links)
+    comp = components(links, tables.write)
     marked = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = marked.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     several = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
@@ -273,7 +274,7 @@ def near_duplicates(
     own = F.col("node") == F.col("lead")  # the leader shares all of itself and adds nothing
     mixed = mixed.withColumn("shared", F.when(own, F.col("n")).otherwise(F.col("shared")))
     mixed = mixed.withColumn("added", F.when(own, F.array().cast("array<int>")).otherwise(F.col("added")))
-    mixed = materialize(mixed, "mixed-buckets")
+    mixed = tables.write(mixed, "mixed-buckets")
     left = mixed.where(F.col("comp") != F.col("top"))
     left = left.select("key", *[F.col(c).alias(d) for c, d in (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("shared", "sx"), ("added", "ax"))])
     right = mixed.select(
@@ -288,28 +289,29 @@ def near_duplicates(
     known = F.col("ax").isNotNull() & F.col("ay").isNotNull()
     cross = left.join(right, (left["key"] == right["key"]) & once & alike & F.when(known, enough).otherwise(F.lit(True)))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    cross = materialize(cross, "cross-pairs")
-    more = _compared(cross, texts, threshold).where(F.col("similarity") >= threshold)
-    more = materialize(more.select("a", "b"), "cross-links")
+    cross = tables.write(cross, "cross-pairs")
+    more = _compared(cross, texts, threshold, tables).where(F.col("similarity") >= threshold)
+    more = tables.write(more.select("a", "b"), "cross-links")
     if not more.isEmpty():
-        comp = components(links.union(more))
+        comp = components(links.union(more), tables.write)
 
     lone = F.unhex(F.md5(F.concat(F.lit("null text "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
     placed = base.select("doc_id", "node", "n").join(comp, "node", "left")
     placed = placed.select("doc_id", F.coalesce("comp", "node", lone).alias("comp"), F.col("n").alias("n_shingles"))
-    placed = materialize(placed, "placed")
+    placed = tables.write(placed, "placed")
+    tables.clear("placed")
     classes = placed.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_class"))
     return placed.join(classes, "comp").select("doc_id", "class_id", "n_class", "n_shingles")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, threshold: float, tables: Scratch) -> DataFrame:
     """a, b, similarity (aligned), shared (shingles in both), added (those of b that a lacks).
 
     ``added`` is null for more than ``MOST_ADDED`` shingles.
     """
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = texts.select("node", "seq").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("seq").alias("seq"))
-    wanted = materialize(wanted, "pair-texts")
+    wanted = tables.write(wanted, "pair-texts")
 
     @F.pandas_udf("struct<similarity:double,shared:int,added:array<int>>")
     def compare(a: pd.Series, b: pd.Series) -> pd.DataFrame:
