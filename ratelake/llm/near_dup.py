@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import Scratch, materialize
+from ratelake.llm.common import Scratch, materialize, small
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64 constants
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -205,14 +205,15 @@ def near_duplicates(
 
     ``class_id``: smallest id in the row's class; ``n_class``: rows in it. Rows
     with equal texts are one node of the graph. Every pair of different texts
-    that shares a sketch is either aligned or already in one class: first all
-    members of a bucket against the member most often met there, then, in
-    buckets that still hold several classes, the members outside the largest
-    class against all of another class. Left out while joining, so that they
-    make no rows, are pairs that cannot reach the threshold: by their lengths, by
-    their 256-bit signatures (six sigmas), or because what both share with the
-    leader and what both add to it is too little (exact). So no link found is lost and a
-    group of copies costs a star, not all of its pairs. Sketches of ``size`` shingles
+    that shares a sketch is either aligned or already in one class: first every
+    text against two leaders (of its buckets' most often met members the most
+    often met and the most alike), then, in buckets that still hold several
+    classes, the members outside the largest class against all of another
+    class. Left out while joining, so that they make no rows, are pairs that
+    cannot reach the threshold: by their lengths, by their 256-bit signatures
+    (six sigmas), or because what both share with a common leader and what both
+    add to it is too little (exact). So no link found is lost and a group of
+    copies costs a star, not all of its pairs. Sketches of ``size`` shingles
     meet with a probability of about threshold ** size each, ``count`` times.
     Texts of at most 1.25 x ``short`` shingles also have 16 sketches of two, as
     for them six is too strict.
@@ -248,17 +249,23 @@ def near_duplicates(
     nodes = tables.write(texts.groupBy("node").agg(*[F.first(c).alias(c) for c in ("n", "keys", "bits")]), "texts")
     members = nodes.select(F.explode("keys").alias("key"), "node", "n")
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("g")).where("g > 1")
-    members = members.join(buckets, "key")
+    members = tables.write(members.join(buckets, "key"), "repeated-keys")
     met = members.groupBy("node").agg(F.sum("g").alias("met"))
     members = tables.write(members.join(met, "node").select("key", "node", "n", "met"), "buckets")
+
+    # each text against two leaders of its buckets: the one most often met, and the most alike
     lead = members.groupBy("key").agg(F.max(F.struct("met", "node", "n")).alias("top"))
-    lead = tables.write(lead.select("key", F.col("top.node").alias("lead"), F.col("top.n").alias("na")), "leaders")
+    lead = lead.select("key", F.col("top.node").alias("lead"), F.col("top.n").alias("na"), F.col("top.met").alias("lead_met"))
     fits = F.least("n", "na") >= F.lit(threshold) * F.greatest("n", "na")
-    star = members.join(lead, "key").where((F.col("node") != F.col("lead")) & fits)
-    star = star.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    offered = members.join(lead, "key").where((F.col("node") != F.col("lead")) & fits).select("node", "lead", "lead_met").distinct()
     bits_of = lambda c, name: nodes.select(F.col("node").alias(c), F.col("bits").alias(name))
-    star = star.join(bits_of("a", "x"), "a").join(bits_of("b", "y"), "b")
-    star = tables.write(star.where(differing_bits("x", "y") <= most_differing_bits(threshold)).select("a", "b"), "star-pairs")
+    offered = offered.join(bits_of("lead", "x"), "lead").join(bits_of("node", "y"), "node").withColumn("off", differing_bits("x", "y"))
+    offered = offered.where(F.col("off") <= most_differing_bits(threshold))
+    best = offered.groupBy("node").agg(
+        F.max(F.struct("lead_met", "lead")).alias("m"), F.max(F.struct(-F.col("off"), "lead_met", "lead")).alias("l")
+    )
+    best = tables.write(best.select("node", F.col("m.lead").alias("lead"), F.col("l.lead").alias("like")), "chosen")
+    star = best.select(F.col("lead").alias("a"), F.col("node").alias("b")).union(best.select("like", "node")).distinct()
     compared = tables.write(_compared(star, texts, threshold, tables), "star-compared")
     links = compared.where(F.col("similarity") >= threshold).select("a", "b")
 
@@ -267,27 +274,22 @@ def near_duplicates(
     marked = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = marked.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     several = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
-    several = several.select("key", F.col("top.comp").alias("top")).join(lead.select("key", "lead"), "key")
-    mixed = marked.drop("met").join(several, "key").join(nodes.select("node", "bits"), "node")
-    to_lead = compared.select(F.col("a").alias("lead"), F.col("b").alias("node"), "shared", "added")
-    mixed = mixed.join(to_lead, ["lead", "node"], "left")
-    own = F.col("node") == F.col("lead")  # the leader shares all of itself and adds nothing
-    mixed = mixed.withColumn("shared", F.when(own, F.col("n")).otherwise(F.col("shared")))
-    mixed = mixed.withColumn("added", F.when(own, F.array().cast("array<int>")).otherwise(F.col("added")))
+    mixed = marked.drop("met").join(several.select("key", F.col("top.comp").alias("top")), "key").join(nodes.select("node", "bits"), "node")
+    to_lead = best.select("node", "lead").join(compared, (F.col("a") == F.col("lead")) & (F.col("b") == F.col("node")))
+    mixed = mixed.join(to_lead.select("node", "lead", "shared", "added"), "node", "left")
     mixed = tables.write(mixed, "mixed-buckets")
-    left = mixed.where(F.col("comp") != F.col("top"))
-    left = left.select("key", *[F.col(c).alias(d) for c, d in (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("shared", "sx"), ("added", "ax"))])
-    right = mixed.select(
-        "key", "n", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("bits").alias("y"),
-        F.col("shared").alias("sy"), F.col("added").alias("ay"), (F.col("comp") == F.col("top")).alias("big"),
-    )
+    names = (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("lead", "lx"), ("shared", "sx"), ("added", "ax"))
+    left = mixed.where(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(d) for c, d in names])
+    names = (("node", "b"), ("comp", "cb"), ("n", "n"), ("bits", "y"), ("lead", "ly"), ("shared", "sy"), ("added", "ay"))
+    right = mixed.select("key", *[F.col(c).alias(d) for c, d in names], (F.col("comp") == F.col("top")).alias("big"))
     once = (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b")))
     alike = fits & (differing_bits("x", "y") <= most_differing_bits(threshold))
-    # two texts share at most what both share with the leader and what both add to it
+    done = F.coalesce(F.col("lx") == F.col("b"), F.lit(False)) | F.coalesce(F.col("ly") == F.col("a"), F.lit(False))
+    # two texts share at most what both share with a common leader and what both add to it
     most = F.least("sx", "sy") + F.size(F.array_intersect("ax", "ay"))
     enough = most >= F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("n")) - 1e-6
-    known = F.col("ax").isNotNull() & F.col("ay").isNotNull()
-    cross = left.join(right, (left["key"] == right["key"]) & once & alike & F.when(known, enough).otherwise(F.lit(True)))
+    known = (F.col("lx") == F.col("ly")) & F.col("ax").isNotNull() & F.col("ay").isNotNull()
+    cross = left.join(right, (left["key"] == right["key"]) & once & alike & ~done & F.when(known, enough).otherwise(F.lit(True)))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     cross = tables.write(cross, "cross-pairs")
     more = _compared(cross, texts, threshold, tables).where(F.col("similarity") >= threshold)
@@ -310,6 +312,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, threshold: float, tables: Scra
     ``added`` is null for more than ``MOST_ADDED`` shingles.
     """
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    nodes = small(tables.write(nodes, "pair-nodes"))  # so the sequences of other texts stay where they are
     wanted = texts.select("node", "seq").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("seq").alias("seq"))
     wanted = tables.write(wanted, "pair-texts")
 
