@@ -44,7 +44,7 @@ _SLOTS: dict[tuple[int, str], int] = {}
 def _slot(kind: int, token: str, size: int) -> int:
     found = _SLOTS.get((kind, token))
     if found is None:
-        if len(_SLOTS) > 300_000:
+        if len(_SLOTS) > 100_000:
             _SLOTS.clear()
         found = _SLOTS[kind, token] = zlib.crc32(f"{kind}:{token}".encode()) % size
     return found
@@ -71,7 +71,7 @@ def raw_features(text: str) -> np.ndarray:
     for shape, n in Counter(text.translate(_SHAPE).split()).items():
         short = _SQUEEZED.get(shape)
         if short is None:
-            if len(_SQUEEZED) > 300_000:
+            if len(_SQUEEZED) > 100_000:
                 _SQUEEZED.clear()
             short = _SQUEEZED[shape] = _squeeze(shape)
         x[_slot(0, short, SHAPES)] += n
