@@ -8,6 +8,7 @@ are computed in blocks; the most similar vote with their similarity as weight.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 
 SHAPES, WORDS = 1024, 2048
 ACCEPT = 0.7
+#: Squeezed shapes are counted in pieces of this length; short, so that unspaced texts share pieces.
+PIECE = 8
+#: Longer tokens are not kept in the caches (an unspaced text is one token).
+CACHED = 64
 
 
 class _Shape(dict):
@@ -44,22 +49,25 @@ _SLOTS: dict[tuple[int, str], int] = {}
 def _slot(kind: int, token: str, size: int) -> int:
     found = _SLOTS.get((kind, token))
     if found is None:
-        if len(_SLOTS) > 100_000:
-            _SLOTS.clear()
-        found = _SLOTS[kind, token] = zlib.crc32(f"{kind}:{token}".encode()) % size
+        found = zlib.crc32(f"{kind}:{token}".encode()) % size
+        if len(token) <= CACHED:
+            if len(_SLOTS) > 100_000:
+                _SLOTS.clear()
+            _SLOTS[kind, token] = found
     return found
 
 
-def _squeeze(shape: str) -> str:
-    """'Aaaa' -> 'Aa', 'AAAA!!' -> 'A!!': runs of one class of letters or digits become one."""
-    out = []
-    for ch in shape[:24]:  # the shape of one token, not of the text
-        if not (out and out[-1] == ch and ch in "Aa0"):
-            out.append(ch)
-    return "".join(out)
+_RUNS = re.compile(r"([Aa0])\1+")
 
 
-_SQUEEZED: dict[str, str] = {}
+def _squeeze(shape: str) -> list[str]:
+    """'Aaaa' -> 'Aa', 'AAAA!!' -> 'A!!': runs of one class of letters or digits
+    become one; of the whole token, in pieces of ``PIECE``."""
+    short = _RUNS.sub(r"\1", shape)
+    return [short[i : i + PIECE] for i in range(0, len(short), PIECE)]
+
+
+_SQUEEZED: dict[str, list[str]] = {}
 
 
 def raw_features(text: str) -> np.ndarray:
@@ -69,12 +77,15 @@ def raw_features(text: str) -> np.ndarray:
     if not lower:
         return x
     for shape, n in Counter(text.translate(_SHAPE).split()).items():
-        short = _SQUEEZED.get(shape)
-        if short is None:
-            if len(_SQUEEZED) > 100_000:
-                _SQUEEZED.clear()
-            short = _SQUEEZED[shape] = _squeeze(shape)
-        x[_slot(0, short, SHAPES)] += n
+        pieces = _SQUEEZED.get(shape)
+        if pieces is None:
+            pieces = _squeeze(shape)
+            if len(shape) <= CACHED:
+                if len(_SQUEEZED) > 100_000:
+                    _SQUEEZED.clear()
+                _SQUEEZED[shape] = pieces
+        for piece in pieces:
+            x[_slot(0, piece, SHAPES)] += n
     for word, n in Counter(lower).items():
         x[SHAPES + _slot(1, word, WORDS)] += n
     # how repetitive the text is, window by window so that long texts compare with short ones

@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,19 @@ def test_quality_sample_is_bounded(spark):
     rows = sample.collect()
     assert sum(r.label for r in rows) == 40 and len(rows) == 80 and all(r.doc_id % 4 != 2 for r in rows)
     assert len(quality.fit(sample).labels) == 80
+
+
+def test_quality_counts_every_character_of_an_unspaced_text():
+    clean, junk = "汉字" * 500, "汉字" * 100 + "###$$$%%%!!!" * 60
+    shapes = [quality.raw_features(t)[: quality.SHAPES] for t in (clean, junk)]
+    assert shapes[0].sum() < shapes[1].sum()  # junk after the first characters counts
+    long = "Ab1-" * 500_000  # linear, one piece of the squeezed shape after the other
+    assert quality.raw_features(long)[: quality.SHAPES].sum() == 500_000 * 4 / quality.PIECE + np.float32(0.2)
+    # no long token stays in the caches
+    assert all(len(t) <= quality.CACHED for t in [*quality._SQUEEZED, *(t for _, t in quality._SLOTS)])
+    ends = ["，。？"[i % 3] for i in range(40)]
+    good = ["".join("汉" * (3 + (i + k) % 5) + ends[(i + k) % 40] for k in range(60)) for i in range(20)]
+    bad = [g[:40] + "###$$$%%%!!!" * 20 for g in good]
+    model = quality.Model(np.stack([quality.raw_features(t) for t in good[2:] + bad[2:]]), [1] * 18 + [0] * 18)
+    score = model.score([good[0], bad[0], good[1], bad[1]])
+    assert min(score[0], score[2]) > 0.7 > 0.3 > max(score[1], score[3])
