@@ -107,6 +107,15 @@ def _accepts(kind: str):
     return lambda m: accepted(kind, m)
 
 
+def fits(kind: Column, instance: Column, min_digits: int) -> Column:
+    """Whether an unknown identifier has the form of a kind: something@something;
+    two separators of an address; so many digits of a phone or card."""
+    digits = F.length(_digits(instance))
+    separators = F.length(F.regexp_replace(instance, "[^.:]", ""))
+    email = instance.rlike(r"[^\s@]@[^\s@]")
+    return F.when(kind == "email", email).when(kind == "ip", (separators >= 2) & (digits > 0)).otherwise((digits >= min_digits) & ~email)
+
+
 def _kind_of(token: Column) -> Column:
     """The first kind that has a base span inside a candidate, else null."""
     cases = []
@@ -179,11 +188,13 @@ def find(
 ) -> DataFrame:
     """Spans of ``docs`` (key, text; null texts have none): key, kind, start, end, base.
 
-    Base spans all stay. A bootstrapped span (base false) is a candidate with
-    at least ``min_digits`` digits that holds no base span, in the context of a
-    pattern with a score of ``min_score`` for a kind, met with ``min_support``
-    different seeds; it doesn't overlap a base span; the best-scored pattern
-    gives its kind. Keys must stand for texts: rows with one key have one text.
+    Base spans all stay. A bootstrapped span (base false) is a candidate that
+    holds no base span, in the context of a pattern with a score of
+    ``min_score`` for a kind, met with ``min_support`` different seeds; it has
+    the form of that kind (``fits``) or at least ``min_digits`` digits; it
+    doesn't overlap a base span. The best-scored pattern gives its kind, first
+    among the kinds whose form it has. Keys must stand for texts: rows with one
+    key have one text.
     """
     docs = docs.where(F.col("text").isNotNull())
     base = materialize(base_spans(docs), "base-spans")
@@ -193,8 +204,10 @@ def find(
     seeds = cand.where(F.col("kind").isNotNull()).groupBy("instance").agg(F.min("kind").alias("kind"))
     seeds = materialize(seeds, "seeds")
     good = score_patterns(edges, seeds, rounds, smoothing).where((F.col("score") >= min_score) & (F.col("support") >= min_support))
-    unseen = by_pattern.where(F.col("kind").isNull() & (F.length(_digits(F.col("instance"))) >= min_digits)).drop("kind")
-    found = unseen.join(good, "pattern").groupBy("key", "start", "end").agg(F.max(F.struct("score", "kind")).alias("best"))
+    unseen = by_pattern.where(F.col("kind").isNull()).drop("kind").join(good, "pattern")
+    unseen = unseen.withColumn("fits", fits(F.col("kind"), F.col("instance"), min_digits))
+    unseen = unseen.where(F.col("fits") | (F.length(_digits(F.col("instance"))) >= min_digits))
+    found = unseen.groupBy("key", "start", "end").agg(F.max(F.struct("fits", "score", "kind")).alias("best"))
     found = found.select("key", F.col("best.kind").alias("kind"), "start", "end")
     taken = base.select("key", F.col("start").alias("s"), F.col("end").alias("e")).join(found.select("key").distinct(), "key", "left_semi")
     crossing = (found["key"] == taken["key"]) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))

@@ -77,5 +77,19 @@ def test_bootstrap_finds_unknown_identifiers_in_known_contexts(spark):
     assert all(got[i].n_phone == 1 and got[i].spans.count(":") == 2 for i in range(12))
 
 
+def test_bootstrap_takes_the_form_of_the_kind(spark):
+    """Unknown e-mail and ip forms have few digits or none; a number of digits is asked of phones only."""
+    rows = [(i, f"{sentence(i, 8)} mail me at u{chr(97 + i)}@site{chr(97 + i)}.org today {sentence(100 + i, 5)}") for i in range(12)]
+    rows += [(20 + i, f"{sentence(20 + i, 8)} the host is 10.1.2.{i} inside {sentence(120 + i, 5)}") for i in range(12)]
+    rows += [(50, f"{sentence(50, 6)} mail me at jane.doe@localhost or never"), (51, f"{sentence(51, 6)} the host is fe80::1 or so")]
+    rows += [(52, f"{sentence(52, 6)} the host is 10.0.0.x here"), (53, f"{sentence(53, 6)} mail me at 10 or later")]
+    rows += [(54, f"{sentence(54, 6)} the host is 7 or so"), (55, f"{sentence(55, 6)} written by jane.doe@localhost alone")]
+    got, text = {r.doc_id: r.spans for r in run(spark, rows)}, dict(rows)
+    for i, kind, m in ((50, "email", "jane.doe@localhost"), (51, "ip", "fe80::1"), (52, "ip", "10.0.0.x")):
+        at = text[i].index(m)
+        assert got[i] == f"{kind}:{at}:{at + len(m)}"
+    assert got[53] == got[54] == got[55] == ""
+
+
 def test_empty_table(spark):
     assert personal_data(docs(spark, [(1, "x")]).where("false")).count() == 0
