@@ -92,21 +92,17 @@ def matches(docs: DataFrame, pattern: str, needs: str | None = None) -> DataFram
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """key, kind, start, end (code points, end exclusive) of the fixed patterns."""
+    """key, kind, start, end (code points, end exclusive), m (the text) of the fixed patterns."""
     parts = []
     for kind in KINDS:
         found = matches(docs, PATTERNS[kind], NEEDS[kind]).where(accepted(kind, F.col("m")))
-        parts.append(found.select("key", F.lit(kind).alias("kind"), F.col("start").cast("long"), F.col("end").cast("long")))
+        parts.append(found.select("key", F.lit(kind).alias("kind"), F.col("start").cast("long"), F.col("end").cast("long"), "m"))
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
     return out
 
 
-def _accepts(kind: str):
-    return lambda m: accepted(kind, m)
-
-
 def fits(kind: Column, instance: Column, min_digits: int) -> Column:
     """Whether an unknown identifier has the form of a kind: something@something;
     two separators of an address; so many digits of a phone or card."""
@@ -116,39 +112,104 @@ def fits(kind: Column, instance: Column, min_digits: int) -> Column:
     return F.when(kind == "email", email).when(kind == "ip", (separators >= 2) & (digits > 0)).otherwise((digits >= min_digits) & ~email)
 
 
-def _kind_of(token: Column) -> Column:
-    """The first kind that has a base span inside a candidate, else null."""
-    cases = []
-    for kind in KINDS:
-        ms = F.regexp_extract_all(token, F.lit(PATTERNS[kind]), F.lit(0))
-        cases.append(F.when(F.exists(ms, _accepts(kind)), F.lit(kind)))
-    return F.coalesce(*cases)
+def _islands(base: DataFrame) -> DataFrame:
+    """key, start, end, kind, m of the stretches that base spans cover; of spans that overlap, the first kind's."""
+    before = Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.coalesce(F.col("start") >= F.max("end").over(before), F.lit(True))
+    spans = base.withColumn("fresh", fresh.cast("int"))
+    to_here = Window.partitionBy("key").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = spans.withColumn("island", F.sum("fresh").over(to_here))
+    order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
+    best = F.min(F.struct(order.alias("o"), "start", "kind", "m")).alias("best")
+    found = spans.groupBy("key", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), best)
+    return found.select("key", "start", "end", "best.kind", "best.m")
+
+
+def _pieces(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """The runs of ``CANDIDATE`` cut at the base spans, in order: key, i (run), j, start, m,
+    kind (of a base span, else null), cut (next to a base span in the run: after, before), gap, rest."""
+    runs = matches(docs, CANDIDATE)
+    run = F.struct(F.col("i"), F.col("m"), F.col("gap"), F.col("rest"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+    spans = _islands(base)
+    span = F.struct("start", "end", "kind", "m")
+    both = runs.select("key", F.col("start").cast("long").alias("start"), F.lit(0).alias("o"), run.alias("run"), F.lit(None).cast("struct<start:long,end:long,kind:string,m:string>").alias("span"))
+    both = both.unionByName(spans.select("key", "start", F.lit(1).alias("o"), span.alias("span")), allowMissingColumns=True)
+    by = Window.partitionBy("key").orderBy("start", "o")
+    # every base span starts in a run; one with lone marks inside may reach into the next
+    both = both.withColumn("at", F.last("run.i", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    both = both.withColumn("covered", F.max("span.end").over(by.rowsBetween(Window.unboundedPreceding, -1)))
+    both = both.groupBy("key", "at").agg(
+        F.first("run", ignorenulls=True).alias("run"),
+        F.max(F.when(F.col("o") == 0, F.col("covered"))).alias("covered"),
+        F.array_sort(F.collect_list("span")).alias("spans"),
+    )
+    first = F.greatest("run.start", F.coalesce("covered", F.lit(0)))
+    both = both.withColumn("first", first).withColumn("chars", F.when((F.size("spans") > 0) | (first > F.col("run.start")), F.split("run.m", "")))
+    none = F.lit(None).cast("string")
+
+    def stretch(lo, hi, after, before):
+        # a slice of single characters: linear in the run, however many spans cut it
+        cut = F.array_join(F.slice("chars", (lo - F.col("run.start") + 1).cast("int"), F.greatest(hi - lo, F.lit(0)).cast("int")), "")
+        whole = F.when(F.size("chars") > 0, cut).otherwise(F.col("run.m"))
+        return F.struct(lo.alias("start"), F.when(hi > lo, whole).otherwise("").alias("m"), none.alias("kind"), after.alias("after"), before.alias("before"))
+
+    def cut_off(x, n):
+        lo = F.when(n == 0, F.col("first")).otherwise(F.get("spans", n - 1)["end"])
+        own = F.struct(x["start"].alias("start"), x["m"].alias("m"), x["kind"].alias("kind"), F.lit(True).alias("after"), F.lit(True).alias("before"))
+        return F.array(stretch(lo, x["start"], (n > 0) | (lo > F.col("run.start")), F.lit(True)), own)
+
+    last = F.coalesce(F.get("spans", F.size("spans") - 1)["end"], F.col("first"))
+    tail = stretch(last, F.col("run.end"), last > F.col("run.start"), F.lit(False))
+    parts = F.filter(F.concat(F.flatten(F.transform("spans", cut_off)), F.array(tail)), lambda x: x["m"] != "")
+    both = both.select("key", "at", "run.gap", "run.rest", F.posexplode(parts).alias("j", "x"))
+    return both.select("key", F.col("at").alias("i"), "j", "x.*", "gap", "rest")
+
+
+#: Partial tokens and marks between a base span and an identifier beside it.
+AFTER_SPAN = r"^(?:[^\s0-9@]*+\s++)?+(?:[\s(\[\"'<.,;!?)\]>|]|:(?!:))*+"
+MARKS = r"\s.,;:!?)\]\"'>(\[<|"
+BEFORE_SPAN = rf"(?:\s++[^\s0-9@]*+|(?<![{MARKS}])[{MARKS}]++)$"
 
 
-def candidates(docs: DataFrame) -> DataFrame:
+def candidates(docs: DataFrame, base: DataFrame) -> DataFrame:
     """key, start, end, instance, kind (null: none known), patterns of every candidate.
 
+    Runs of tokens are cut at the base spans: these are instances of their own,
+    what stands before and after them in the run are further candidates.
     Patterns are lexical: the two words before, and the word before with the
-    word after, in lower case with digits as '0'. Context reaches back over an
-    earlier candidate if there is nothing between.
+    word after, in lower case with digits as '0'; a base span's kind stands for
+    it as a word. Context reaches back over earlier candidates if there is
+    nothing between.
     """
-    found = matches(docs, CANDIDATE)
-    previous = F.lag("m").over(Window.partitionBy("key").orderBy("i"))
-    before = F.right(F.concat(F.coalesce(previous, F.lit("")), F.col("gap")), F.lit(CONTEXT))
+    found = _pieces(docs, base)
+    shown = F.when(F.col("kind").isNotNull(), F.concat(F.lit(" <"), F.col("kind"), F.lit("> "))).otherwise(F.col("m"))
+    gap = F.when(F.col("j") == 0, F.col("gap")).otherwise("")
+    found = found.withColumn("gap", gap).withColumn("back", F.concat("gap", F.right(shown, F.lit(CONTEXT)))).withColumn("ahead", F.left(shown, F.lit(CONTEXT)))
+    by_key, by_run = Window.partitionBy("key").orderBy("i", "j"), Window.partitionBy("key", "i").orderBy("j")
+    none = F.lit("")
+    before = F.concat(*[F.coalesce(F.lag("back", n).over(by_key), none) for n in (3, 2, 1)], "gap")
+    after = F.concat(*[F.coalesce(F.lead("ahead", n).over(by_run), none) for n in (1, 2)], F.when(F.lead("ahead", 3).over(by_run).isNull(), F.col("rest")).otherwise(""))
+    found = found.withColumn("left", F.right(before, F.lit(CONTEXT))).withColumn("right", F.left(after, F.lit(CONTEXT)))
     norm = lambda c: F.regexp_replace(F.lower(c), "[0-9]", "0")
-    found = found.withColumn("before", F.filter(F.split(norm(before), r"\s+"), lambda w: w != ""))
-    found = found.withColumn("after", F.filter(F.split(norm(F.col("rest")), r"\s+"), lambda w: w != ""))
-    last = F.element_at("before", -1)
-    pattern1 = F.when(F.size("before") >= 2, F.concat_ws(" ", F.lit("L"), F.get("before", F.size("before") - 2), last))
-    pattern2 = F.when((F.size("before") >= 1) & (F.size("after") >= 1), F.concat_ws(" ", F.lit("B"), last, F.lit("_"), F.get("after", F.lit(0))))
+    found = found.withColumn("lefts", F.filter(F.split(norm("left"), r"\s+"), lambda w: w != ""))
+    found = found.withColumn("rights", F.filter(F.split(norm("right"), r"\s+"), lambda w: w != ""))
+    last = F.element_at("lefts", -1)
+    pattern1 = F.when(F.size("lefts") >= 2, F.concat_ws(" ", F.lit("L"), F.get("lefts", F.size("lefts") - 2), last))
+    pattern2 = F.when((F.size("lefts") >= 1) & (F.size("rights") >= 1), F.concat_ws(" ", F.lit("B"), last, F.lit("_"), F.get("rights", F.lit(0))))
     # sentence marks around an identifier are not part of it
-    lead = F.length(F.regexp_extract("m", r"^[(\[\"'<]*", 0))
+    unknown = F.col("kind").isNull()
+    skip = F.when(unknown & F.col("after"), F.length(F.regexp_extract("m", AFTER_SPAN, 0))).otherwise(0)
+    found = found.withColumn("skip", skip).withColumn("m", F.when(F.col("skip") > 0, F.regexp_replace("m", AFTER_SPAN, "")).otherwise(F.col("m")))
+    trimmed = F.regexp_replace(F.regexp_replace("m", BEFORE_SPAN, ""), BEFORE_SPAN, "")
+    found = found.withColumn("m", F.when(unknown & F.col("before"), trimmed).otherwise(F.col("m")))
+    lead = F.when(unknown, F.length(F.regexp_extract("m", r"^[(\[\"'<]*", 0))).otherwise(0)
     core = F.regexp_replace(F.regexp_replace("m", r"^[(\[\"'<]+", ""), r"[.,;:!?)\]\"'>]+$", "")
-    found = found.withColumn("instance", core).where(F.length("instance") > 0)
-    start = (F.col("start") + lead).cast("long")
+    found = found.withColumn("instance", F.when(unknown, core).otherwise(F.col("m")))
+    found = found.where((F.length("instance") > 0) & (F.col("kind").isNotNull() | F.col("instance").rlike("[0-9@]")))
+    start = F.col("start") + F.col("skip") + lead
     return found.select(
-        "key", start.alias("start"), (start + F.length("instance")).alias("end"), F.lower("instance").alias("instance"),
-        _kind_of(F.col("m")).alias("kind"), F.array_compact(F.array(pattern1, pattern2)).alias("patterns"),
+        "key", start.cast("long").alias("start"), (start + F.length("instance")).cast("long").alias("end"), F.lower("instance").alias("instance"),
+        "kind", F.array_compact(F.array(pattern1, pattern2)).alias("patterns"),
     )
 
 
@@ -188,8 +249,8 @@ def find(
 ) -> DataFrame:
     """Spans of ``docs`` (key, text; null texts have none): key, kind, start, end, base.
 
-    Base spans all stay. A bootstrapped span (base false) is a candidate that
-    holds no base span, in the context of a pattern with a score of
+    Base spans all stay. A bootstrapped span (base false) is a candidate beside
+    or apart from the base spans, in the context of a pattern with a score of
     ``min_score`` for a kind, met with ``min_support`` different seeds; it has
     the form of that kind (``fits``) or at least ``min_digits`` digits; it
     doesn't overlap a base span. The best-scored pattern gives its kind, first
@@ -198,7 +259,7 @@ def find(
     """
     docs = docs.where(F.col("text").isNotNull())
     base = materialize(base_spans(docs), "base-spans")
-    cand = materialize(candidates(docs), "candidates")
+    cand = materialize(candidates(docs, base), "candidates")
     by_pattern = cand.select("key", "start", "end", "instance", "kind", F.explode("patterns").alias("pattern"))
     edges = materialize(by_pattern.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n")), "pattern-graph")
     seeds = cand.where(F.col("kind").isNotNull()).groupBy("instance").agg(F.min("kind").alias("kind"))
@@ -212,7 +273,7 @@ def find(
     taken = base.select("key", F.col("start").alias("s"), F.col("end").alias("e")).join(found.select("key").distinct(), "key", "left_semi")
     crossing = (found["key"] == taken["key"]) & (F.col("start") < F.col("e")) & (F.col("s") < F.col("end"))
     found = found.join(taken, crossing, "left_anti")
-    return base.withColumn("base", F.lit(True)).unionByName(found.withColumn("base", F.lit(False)))
+    return base.drop("m").withColumn("base", F.lit(True)).unionByName(found.withColumn("base", F.lit(False)))
 
 
 def _joined(spans: Column) -> Column:

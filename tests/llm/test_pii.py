@@ -91,5 +91,24 @@ def test_bootstrap_takes_the_form_of_the_kind(spark):
     assert got[53] == got[54] == got[55] == ""
 
 
+def test_bootstrap_finds_unknown_identifiers_beside_known_ones(spark):
+    """An identifier one space or mark away from a base span is a candidate of its own."""
+    rows = [(i, f"{sentence(i, 8)} please call me {'+1 (%03d) 555-%04d' % (200 + i, 1000 + i)} now {sentence(100 + i, 5)}") for i in range(12)]
+    rows += [(20 + i, f"{sentence(20 + i, 8)} entry u{chr(97 + i)}@x.org {'+1 (%03d) 555-%04d' % (300 + i, 2000 + i)} {sentence(120 + i, 5)}") for i in range(12)]
+    beside = {
+        50: "😀 please call me 0705/555-6638 jane@x.org now",
+        51: "please call me 0705/555-6638 (mail:jane@x.org), now",
+        52: "😀 entry jane@x.org 0705/555-6638 then",
+        53: "please call me 0705/555-6638 +1 (705) 555-6638 now",
+        54: "entry jane@x.org, 0705/555-6638 jo@x.org 99 later",
+    }
+    got = {r.doc_id: r.spans.split(",") for r in run(spark, rows + list(beside.items()))}
+    for i, text in beside.items():
+        at = text.index("0705/")
+        assert sorted(got[i]) == sorted(brute(text) + [f"phone:{at}:{at + 13}"]), i
+    for i, text in rows:
+        assert got[i] == brute(text)
+
+
 def test_empty_table(spark):
     assert personal_data(docs(spark, [(1, "x")]).where("false")).count() == 0
