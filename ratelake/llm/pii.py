@@ -64,7 +64,7 @@ def accepted(kind: str, m: Column) -> Column:
 
 
 def matches(docs: DataFrame, pattern: str, needs: str | None = None) -> DataFrame:
-    """Every match in whole texts: key, start, end, m, gap (text before it), rest.
+    """Every match in whole texts, one row a key: key, start, end, m, gap (text before it), rest.
 
     The pattern's matches and the stretches between them come from the same
     scan rules, so a running sum of their lengths (code points) gives the
@@ -83,8 +83,6 @@ def matches(docs: DataFrame, pattern: str, needs: str | None = None) -> DataFram
         ),
     )
     rows = found.select("key", F.posexplode(pieces).alias("i", "x"))
-    # equal texts have equal rows: one of each, in the shuffle the running sum needs
-    rows = rows.repartition("key").dropDuplicates(["key", "i"])
     to_here = Window.partitionBy("key").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("x.g") + F.length("x.m")).over(to_here)
     placed = rows.select("key", "i", "x.m", "x.gap", "x.rest", end.alias("end"))
@@ -257,7 +255,8 @@ def find(
     among the kinds whose form it has. Keys must stand for texts: rows with one
     key have one text.
     """
-    docs = docs.where(F.col("text").isNotNull())
+    # a text is scanned once; copies go in the partial aggregation before the shuffle
+    docs = materialize(docs.where(F.col("text").isNotNull()).dropDuplicates(["key"]), "texts")
     base = materialize(base_spans(docs), "base-spans")
     cand = materialize(candidates(docs, base), "candidates")
     by_pattern = cand.select("key", "start", "end", "instance", "kind", F.explode("patterns").alias("pattern"))

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 from llm_helpers import docs, sentence
+from ratelake.llm import pii
 from ratelake.llm.pii import KINDS, personal_data
 
 # the patterns as given, for the brute force
@@ -110,5 +111,13 @@ def test_bootstrap_finds_unknown_identifiers_beside_known_ones(spark):
         assert got[i] == brute(text)
 
 
+def test_copies_are_scanned_once(spark, monkeypatch):
+    scanned, matches = [], pii.matches
+    monkeypatch.setattr(pii, "matches", lambda docs, *more: (scanned.append(docs.count()), matches(docs, *more))[1])
+    got = run(spark, [(i, "call a@b.cd or 10.0.0.1") for i in range(30)] + [(40, "x@y.zz"), (41, None)])
+    assert scanned == [2] * 5 and len(got) == 32
+    assert all(r.spans == "email:5:11,ip:15:23" for r in got if r.doc_id < 30)
+
+
 def test_empty_table(spark):
     assert personal_data(docs(spark, [(1, "x")]).where("false")).count() == 0
