@@ -8,7 +8,9 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,33 +78,104 @@ def pack_block(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 class WordCache:
-    """Token ids of a text, word by word.
+    """Token ids of texts, word by word.
 
     The tokenizer drops white space and never joins characters across it, so
-    the ids of a text are those of its space-separated parts in a row; parts
-    seen before are looked up. At most ``limit`` parts are remembered.
+    the ids of a text are those of its space-separated parts in a row. Arrow
+    splits a batch and finds its different parts; only these are looked up or
+    tokenized, and numpy lays their ids out in text order. Remembered parts are
+    bounded in bytes by two generations: a full young one replaces the old one,
+    and parts met in the old one move to the young one. Parts longer than
+    ``longest`` characters are not remembered.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit_bytes: int = 192_000_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limit = limit
-        self.known: dict[str, bytes] = {}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        missing = {p for parts in split for p in parts if p not in known}
-        if missing:
-            if len(known) + len(missing) > self.limit:
-                known.clear()
-                missing = {p for parts in split for p in parts}
-            new = list(missing)
-            for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[p] = array("I", e.ids).tobytes()
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        named = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(named.values(), default=0) + 1, bool)  # ids that close a word
+        for token, i in named.items():
+            self.closes[i] = bool(suffix) and token.endswith(suffix)
+        self.limit, self.longest = limit_bytes // 2, longest
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.used = 0
+
+    def _keep(self, part: str, ids: bytes) -> None:
+        if len(part) > self.longest:
+            return
+        self.used += 200 + len(part) + len(ids)  # two objects and a place in the dictionary
+        if self.used > self.limit:
+            self.young, self.old, self.used = {}, self.young, 0
+        self.young[part] = ids
+
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts: letters of many parts in one call, white space between, and closing marks by themselves.
+
+        The tokenizer's own split separates a run of letters from white space
+        and from marks, so a part of letters is one word of the encoding, closed
+        by an id with the end-of-word suffix. Should the closed words not be as
+        many as the parts, they are encoded one by one.
+        """
+        marks, known = ".,;:!?", {}
+        cores = [p.rstrip(marks) for p in parts]
+        alone = [i for i, c in enumerate(cores) if not c.isalpha()]
+        words = list({c for c in cores if c.isalpha()})
+        for at in range(0, len(words), 2_000):
+            some = words[at : at + 2_000]
+            e = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+            ids = np.array(e.ids, "<u4")
+            ends = (np.flatnonzero(self.closes[ids]) * 4 + 4).tolist()
+            if len(ends) == len(some) and ends[-1] == 4 * len(ids):
+                known |= zip(some, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)))
+            else:
+                known |= zip(some, self._one_by_one(some))
+        tails = list({p[len(c) :] for p, c in zip(parts, cores)})
+        tails = dict(zip(tails, self._one_by_one(tails)))
+        out = [known.get(c, b"") + tails[p[len(c) :]] for p, c in zip(parts, cores)]
+        for i, ids in zip(alone, self._one_by_one([parts[i] for i in alone])):
+            out[i] = ids
+        return out
+
+    def _one_by_one(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)] if parts else []
+
+    def _ids_of_parts(self, parts: list[str]) -> list[bytes]:
+        found: list[bytes | None] = list(map(self.young.get, parts))
+        new = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            ids = self.old.get(parts[i])
+            if ids is None:
+                new.append(i)
+            else:
+                found[i] = ids
+                self._keep(parts[i], ids)
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            for i, ids in zip(some, self._encoded([parts[i] for i in some])):
+                found[i] = ids
+                self._keep(parts[i], ids)
+        return found
+
+    def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each closed by ``end_id``, and the place where each text's ids end."""
+        texts = pc.ascii_lower(pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " "))
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        ids = self._ids_of_parts(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids) + array("I", [end_id]).tobytes(), "<u4")
+        # the end id is one more part, after the last of each text
+        ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+        order = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), ends, len(ids))
+        sizes = np.append(sizes, 1)
+        starts = np.cumsum(sizes) - sizes
+        lengths = sizes[order]
+        done = np.cumsum(lengths)
+        out = flat[np.repeat(starts[order] - (done - lengths), lengths) + np.arange(done[-1] if len(done) else 0)]
+        return out, done[ends + np.arange(len(ends))]
 
 
 @functools.lru_cache(maxsize=1)
@@ -111,6 +184,16 @@ def word_cache(path: str) -> WordCache:
     return WordCache(path)
 
 
+def slices(texts: pa.Array, most_bytes: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Runs [first, last) of texts of about ``most_bytes`` together, one text at least."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    first = 0
+    while first < len(texts):
+        last = first + max(1, int(np.searchsorted(np.cumsum(sizes[first:]), most_bytes)))
+        yield first, min(last, len(texts))
+        first = last
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer: str,
@@ -136,7 +219,9 @@ def pack_documents(
     if piece > capacity:
         raise ValueError("piece must not exceed capacity")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([(c, pa.string() if kind == "string" else pa.int64()) for c, kind in map(str.split, PIECE_SCHEMA.split(", "))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_cache(tokenizer)
         task = TaskContext.get()
         base = (task.partitionId() if task else 0) << 33
@@ -144,7 +229,6 @@ def pack_documents(
         pending: list[tuple] = []
         filled = 0
         done: list[tuple] = []  # rows ready to go out
-        end = array("I", [end_id]).tobytes()
 
         def flush():
             nonlocal pending, filled, serial
@@ -160,21 +244,23 @@ def pack_documents(
         def frame():
             nonlocal done
             rows, done = done, []
-            return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECE_SCHEMA.split(", ")])
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
-            for first in range(0, len(batch), 64):
-                part = batch.iloc[first : first + 64]
-                for doc_id, ids in zip(part["doc_id"], words.ids([t or "" for t in part["text"]])):
-                    ids += end
-                    n = len(ids) // 4
+            texts = batch.column("text")
+            for first, last in slices(texts):
+                ids, ends = words.ids(texts[first:last], end_id)
+                at = 0
+                for doc_id, last_id in zip(batch.column("doc_id")[first:last].to_pylist(), ends.tolist()):
+                    own, at = memoryview(ids[at:last_id]).cast("B"), last_id
+                    n = len(own) // 4
                     for start in range(0, n - n % capacity, capacity):
-                        crc = zlib.crc32(ids[4 * start : 4 * (start + capacity)])
+                        crc = zlib.crc32(own[4 * start : 4 * (start + capacity)])
                         done.append((doc_id, start, capacity, crc, n, base + serial, 0, capacity))
                         serial += 1
                     for start in range(n - n % capacity, n, piece):
                         length = min(piece, n - start)
-                        pending.append((doc_id, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n))
+                        pending.append((doc_id, start, length, zlib.crc32(own[4 * start : 4 * (start + length)]), n))
                         filled += length
                     if filled >= block_windows * capacity:
                         flush()
@@ -184,7 +270,6 @@ def pack_documents(
         if done:
             yield frame()
 
-    # ids travel as text: whole numbers with nulls would turn to floats in pandas
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType
-    return rows.mapInPandas(run, PIECE_SCHEMA).withColumn("doc_id", F.col("doc_id").cast(kind))
+    return rows.mapInArrow(run, PIECE_SCHEMA).withColumn("doc_id", F.col("doc_id").cast(kind))

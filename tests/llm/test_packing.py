@@ -63,3 +63,23 @@ def test_round_trip(spark):
 
 def test_empty_table(spark):
     assert pack_documents(docs(spark, [(1, "x")]).where("false"), PATH).count() == 0
+
+
+def test_cache_is_bounded_and_unspaced_texts_are_whole(spark):
+    import pyarrow as pa
+
+    from ratelake.llm.packing import WordCache
+
+    plain = Tokenizer.from_file(PATH)
+    odd = ["İstanbul Straße, naïve été! I'd we'll ... a=b ﬁne", "x" * 500_000 + "。" + "漢字" * 1000, "", None, "one. One, ONE; one"]
+    texts = odd + [sentence(i, 300) for i in range(40)] + odd
+    for limit in (2_000, 192_000_000):  # the first forgets nearly everything
+        cache = WordCache(PATH, limit)
+        ids, ends = cache.ids(pa.array(texts), 1)
+        want = [plain.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == want
+        assert cache.used <= limit + 600 and all(len(p) <= 64 for p in cache.young)
+    big = "y" * 5_000_000
+    n = len(plain.encode(big, add_special_tokens=False).ids) + 1
+    got = pack_documents(docs(spark, [(1, big), (2, "short")]), PATH).where("doc_id = 1").collect()
+    assert sum(r.length for r in got) == n and {r.doc_tokens for r in got} == {n}
