@@ -77,12 +77,36 @@ def pack_block(sizes: list[int], capacity: int) -> list[list[int]]:
         k = max(k + 1, k * fullest // capacity)
 
 
+#: What Arrow splits: ASCII capitals become small (as the tokenizer makes them) and line ends become spaces.
+_PLAIN = np.arange(256, dtype=np.uint8)
+_PLAIN[65:91] += 32
+_PLAIN[10] = 32
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[97:123] = True
+_MARK[list(b".,;:!?")] = True
+
+
+def parts_of(texts: pa.Array) -> pa.LargeListArray:
+    """The space-separated parts of each text, marks parted from the letters before them.
+
+    The tokenizer drops white space, never joins characters across it, and
+    parts letters from marks itself, so none of this changes the ids.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    plain = _PLAIN[np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]]]
+    at = np.flatnonzero(_LETTER[plain[:-1]] & _MARK[plain[1:]]) + 1
+    offsets = offsets - offsets[0]
+    offsets = offsets + np.searchsorted(at, offsets)
+    plain = np.insert(plain, at, 32)
+    return pc.split_pattern(pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(plain)), " ")
+
+
 class WordCache:
     """Token ids of texts, word by word.
 
-    The tokenizer drops white space and never joins characters across it, so
-    the ids of a text are those of its space-separated parts in a row. Arrow
-    splits a batch and finds its different parts; only these are looked up or
+    Arrow finds the different parts of a batch; only these are looked up or
     tokenized, and numpy lays their ids out in text order. Remembered parts are
     bounded in bytes by two generations: a full young one replaces the old one,
     and parts met in the old one move to the young one. Parts longer than
@@ -103,66 +127,54 @@ class WordCache:
         self.old: dict[str, bytes] = {}
         self.used = 0
 
-    def _keep(self, part: str, ids: bytes) -> None:
-        if len(part) > self.longest:
-            return
-        self.used += 200 + len(part) + len(ids)  # two objects and a place in the dictionary
-        if self.used > self.limit:
+    def _keep(self, found: dict[str, bytes]) -> None:
+        """Remember some thousand parts; two objects and a place in the dictionary take about 200 bytes."""
+        for p in [p for p in found if len(p) > self.longest]:
+            del found[p]
+        size = 200 * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+        if self.used + size > self.limit:
             self.young, self.old, self.used = {}, self.young, 0
-        self.young[part] = ids
+        if size <= self.limit:
+            self.young |= found
+            self.used += size
 
-    def _encoded(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts: letters of many parts in one call, white space between, and closing marks by themselves.
+    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of different parts: those of letters in one call, white space between.
 
-        The tokenizer's own split separates a run of letters from white space
-        and from marks, so a part of letters is one word of the encoding, closed
-        by an id with the end-of-word suffix. Should the closed words not be as
-        many as the parts, they are encoded one by one.
+        Such a part is one word of the encoding, closed by an id with the
+        end-of-word suffix. Should the closed words not be as many as the parts
+        (and for all other parts), each is encoded by itself.
         """
-        marks, known = ".,;:!?", {}
-        cores = [p.rstrip(marks) for p in parts]
-        alone = [i for i, c in enumerate(cores) if not c.isalpha()]
-        words = list({c for c in cores if c.isalpha()})
-        for at in range(0, len(words), 2_000):
-            some = words[at : at + 2_000]
-            e = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0]
+        words, rest = [p for p in parts if p.isalpha()], [p for p in parts if not p.isalpha()]
+        known: dict[str, bytes] = {}
+        if words:
+            e = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0]
             ids = np.array(e.ids, "<u4")
             ends = (np.flatnonzero(self.closes[ids]) * 4 + 4).tolist()
-            if len(ends) == len(some) and ends[-1] == 4 * len(ids):
-                known |= zip(some, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)))
+            if len(ends) == len(words) and ends[-1] == 4 * len(ids):
+                known |= zip(words, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)))
             else:
-                known |= zip(some, self._one_by_one(some))
-        tails = list({p[len(c) :] for p, c in zip(parts, cores)})
-        tails = dict(zip(tails, self._one_by_one(tails)))
-        out = [known.get(c, b"") + tails[p[len(c) :]] for p, c in zip(parts, cores)]
-        for i, ids in zip(alone, self._one_by_one([parts[i] for i in alone])):
-            out[i] = ids
-        return out
-
-    def _one_by_one(self, parts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)] if parts else []
+                rest = parts
+        if rest:
+            encoded = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+            known |= zip(rest, [array("I", e.ids).tobytes() for e in encoded])
+        return known
 
     def _ids_of_parts(self, parts: list[str]) -> list[bytes]:
         found: list[bytes | None] = list(map(self.young.get, parts))
-        new = []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            ids = self.old.get(parts[i])
-            if ids is None:
-                new.append(i)
-            else:
-                found[i] = ids
-                self._keep(parts[i], ids)
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for i, ids in zip(some, self._encoded([parts[i] for i in some])):
-                found[i] = ids
-                self._keep(parts[i], ids)
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for at in range(0, len(missing), 4_000):
+            some = missing[at : at + 4_000]
+            known = {parts[i]: ids for i in some if (ids := self.old.get(parts[i])) is not None}
+            known |= self._encoded([parts[i] for i in some if parts[i] not in known])
+            for i in some:
+                found[i] = known[parts[i]]
+            self._keep(known)
         return found
 
     def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and the place where each text's ids end."""
-        texts = pc.ascii_lower(pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " "))
-        split = pc.split_pattern(texts, " ")
+        split = parts_of(texts)
         coded = split.flatten().dictionary_encode()
         ids = self._ids_of_parts(coded.dictionary.to_pylist())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
