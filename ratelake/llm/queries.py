@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import ann, langid, line_dedup, quality
+from ratelake.llm import ann, langid, line_dedup, quality, simhash
+from ratelake.llm.collocations import collocations
 from ratelake.llm.common import crc_of_id, table
 from ratelake.llm.decontam import contamination
 from ratelake.llm.near_dup import near_duplicates
 from ratelake.llm.packing import pack_documents
 from ratelake.llm.pii import personal_data
+from ratelake.llm.prefix_trie import prefix_trie
 from ratelake.llm.sharding import shard_documents
 from ratelake.llm.warc import archive
 
@@ -133,3 +135,83 @@ def op9_lsa_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages")).drop("url")
+
+
+@query
+def op11_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda x: list_reduce([x] || [0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, i: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS id,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rank
+  FROM conversations WHERE conv_id IS NOT NULL),
+words AS (SELECT DISTINCT id, len(regexp_extract_all(text, '[^ 	-
+]+')) AS tokens FROM turns),
+own AS (SELECT conv_id, list(id ORDER BY rank) AS ids FROM turns GROUP BY conv_id),
+heads AS (
+  SELECT conv_id, ids, xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+         lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256]))) % 4 AS h
+  FROM own, crc),
+convs AS (
+  SELECT c.conv_id, coalesce(b.ids[1:c.h], []) || c.ids[c.h + 1:len(c.ids)] AS path
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20),
+steps AS (SELECT conv_id, path[1:d] AS prefix FROM convs, LATERAL (SELECT unnest(range(0, len(path) + 1)) AS d)),
+nodes AS (SELECT prefix, len(prefix) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs FROM steps GROUP BY prefix),
+children AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(tokens, 0) AS own
+  FROM nodes n LEFT JOIN children USING (prefix) LEFT JOIN words w ON w.id = n.prefix[n.depth]),
+subtrees AS (
+  SELECT prefix[1:d] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens
+  FROM valued, LATERAL (SELECT unnest(range(0, depth + 1)) AS d) GROUP BY 1),
+ends AS (SELECT path AS prefix, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM convs GROUP BY path)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM valued v JOIN subtrees s USING (prefix) LEFT JOIN ends e USING (prefix)
+LEFT JOIN nodes p ON v.depth > 0 AND p.prefix = v.prefix[1:v.depth - 1]
+"""
+
+
+@query
+def op13_count_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_count_automata"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM listed, (SELECT unnest([1, 2, 3, 4]) AS k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS i)
+  GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND f >= 30),
+cuts AS (
+  SELECT c.lang, c.phrase, a, cut, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+  FROM candidates c, LATERAL (SELECT unnest(range(1, c.k)) AS cut)
+  JOIN grams l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates c, (SELECT unnest([2, 3]) AS m), LATERAL (SELECT unnest(range(1, c.k - m + 2)) AS i)
+  WHERE m < c.k GROUP BY ALL),
+kept AS (SELECT s.* FROM scored s LEFT JOIN inside i USING (lang, phrase) WHERE longer IS NULL OR CAST(100 AS HUGEINT) * longer < CAST(80 AS HUGEINT) * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
