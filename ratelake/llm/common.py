@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +46,32 @@ class Scratch:
             del self.paths[path]
 
 
+def free_memory() -> None:
+    """Gives memory that this worker has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+#: What operators keep in a Python worker from task to task: owner -> how to drop it.
+_KEPT: dict[str, Callable[[], object]] = {}
+
+
+def keeps_cache(owner: str, drop: Callable[[], object]) -> None:
+    """Tells that ``owner`` keeps a cache in this worker."""
+    _KEPT[owner] = drop
+
+
+def only_caches_of(owner: str) -> None:
+    """Drops the caches of other operators: a worker serves one operator after another, and caches add up."""
+    others = [o for o in _KEPT if o != owner]
+    for o in others:
+        _KEPT.pop(o)()
+    if others:
+        gc.collect()
+        free_memory()
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast of a *materialised* table if its counted rows allow it.
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import Scratch, materialize, small
+from ratelake.llm.common import Scratch, materialize, only_caches_of, small
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64 constants
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -87,6 +87,12 @@ def shingles(text: str, words: int = 5) -> np.ndarray:
     return x
 
 
+def _unrepeated(x: np.ndarray) -> np.ndarray:
+    """``x`` without later repeats: of shingles that are equal once cut to 32 bits the first stays."""
+    _, first = np.unique(x, return_index=True)
+    return x if len(first) == len(x) else x[np.sort(first)]
+
+
 def sketches(x: np.ndarray, size: int, count: int, salt: int) -> np.ndarray:
     """``count`` keys: the ``size`` smallest shingles under each hash, hashed in text order."""
     if not len(x):
@@ -106,7 +112,8 @@ def sketches(x: np.ndarray, size: int, count: int, salt: int) -> np.ndarray:
 
 
 SIGNATURE_BITS = 256
-MOST_ADDED = 128
+#: Differences to a leader are kept up to this many shingles and half of the text's.
+MOST_APART = 128
 
 
 def signature(x: np.ndarray) -> np.ndarray:
@@ -211,8 +218,9 @@ def near_duplicates(
     classes, the members outside the largest class against all of another
     class. Left out while joining, so that they make no rows, are pairs that
     cannot reach the threshold: by their lengths, by their 256-bit signatures
-    (six sigmas), or because what both share with a common leader and what both
-    add to it is too little (exact). So no link found is lost and a group of
+    (six sigmas), or because they share too few shingles, which is known exactly
+    where both were compared with one leader: a pair shares what the leader has
+    and neither lacks, and what both add to it. So no link found is lost and a group of
     copies costs a star, not all of its pairs. Sketches of ``size`` shingles
     meet with a probability of about threshold ** size each, ``count`` times.
     Texts of at most 1.25 x ``short`` shingles also have 16 sketches of two, as
@@ -229,15 +237,17 @@ def near_duplicates(
 
     @F.pandas_udf("struct<n:int,keys:array<bigint>,seq:binary,s0:bigint,s1:bigint,s2:bigint,s3:bigint>")
     def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        only_caches_of("near-dup")
         for texts in batches:
             for at in range(0, len(texts), 500):  # short batches out: bounded memory
                 out = []
                 for text in texts.iloc[at : at + 500]:
                     x = shingles(text or "", words)
+                    seq = _unrepeated(x.astype("<u4"))
                     keys = [sketches(x, size, count, 1)] if len(x) >= short else []
                     if len(x) <= 1.25 * short:
                         keys.append(sketches(x, 2, 16, 1001))
-                    out.append((len(x), np.concatenate(keys), x.astype("<u4").tobytes(), *signature(x).tolist()))
+                    out.append((len(seq), np.concatenate(keys), seq.tobytes(), *signature(x).tolist()))
                 yield pd.DataFrame(out, columns=["n", "keys", "seq", "s0", "s1", "s2", "s3"])
 
     base = rows.select("doc_id", "node", sketch("text").alias("s"))
@@ -276,19 +286,19 @@ def near_duplicates(
     several = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
     mixed = marked.drop("met").join(several.select("key", F.col("top.comp").alias("top")), "key").join(nodes.select("node", "bits"), "node")
     to_lead = best.select("node", "lead").join(compared, (F.col("a") == F.col("lead")) & (F.col("b") == F.col("node")))
-    mixed = mixed.join(to_lead.select("node", "lead", "shared", "added"), "node", "left")
+    mixed = mixed.join(to_lead.select("node", "lead", "shared", "added", "missing"), "node", "left")
     mixed = tables.write(mixed, "mixed-buckets")
-    names = (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("lead", "lx"), ("shared", "sx"), ("added", "ax"))
+    names = (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("lead", "lx"), ("shared", "sx"), ("added", "ax"), ("missing", "mx"))
     left = mixed.where(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(d) for c, d in names])
-    names = (("node", "b"), ("comp", "cb"), ("n", "n"), ("bits", "y"), ("lead", "ly"), ("shared", "sy"), ("added", "ay"))
+    names = (("node", "b"), ("comp", "cb"), ("n", "n"), ("bits", "y"), ("lead", "ly"), ("shared", "sy"), ("added", "ay"), ("missing", "my"))
     right = mixed.select("key", *[F.col(c).alias(d) for c, d in names], (F.col("comp") == F.col("top")).alias("big"))
     once = (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b")))
     alike = fits & (differing_bits("x", "y") <= most_differing_bits(threshold))
     done = F.coalesce(F.col("lx") == F.col("b"), F.lit(False)) | F.coalesce(F.col("ly") == F.col("a"), F.lit(False))
-    # two texts share at most what both share with a common leader and what both add to it
-    most = F.least("sx", "sy") + F.size(F.array_intersect("ax", "ay"))
+    # two texts share what a common leader has and neither lacks, and what both add to it
+    most = F.col("sx") + F.size("mx") - F.size(F.array_union("mx", "my")) + F.size(F.array_intersect("ax", "ay"))
     enough = most >= F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("n")) - 1e-6
-    known = (F.col("lx") == F.col("ly")) & F.col("ax").isNotNull() & F.col("ay").isNotNull()
+    known = (F.col("lx") == F.col("ly")) & F.col("ax").isNotNull() & F.col("ay").isNotNull()  # with them mx and my
     cross = left.join(right, (left["key"] == right["key"]) & once & alike & ~done & F.when(known, enough).otherwise(F.lit(True)))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     cross = tables.write(cross, "cross-pairs")
@@ -307,24 +317,26 @@ def near_duplicates(
 
 
 def _compared(pairs: DataFrame, texts: DataFrame, threshold: float, tables: Scratch) -> DataFrame:
-    """a, b, similarity (aligned), shared (shingles in both), added (those of b that a lacks).
+    """a, b, similarity (aligned), shared (shingles in both), added (those of b that a lacks), missing (those of a that b lacks).
 
-    ``added`` is null for more than ``MOST_ADDED`` shingles.
+    The last two are null where they are too many (``MOST_APART``).
     """
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     nodes = small(tables.write(nodes, "pair-nodes"))  # so the sequences of other texts stay where they are
     wanted = texts.select("node", "seq").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("seq").alias("seq"))
     wanted = tables.write(wanted, "pair-texts")
 
-    @F.pandas_udf("struct<similarity:double,shared:int,added:array<int>>")
+    @F.pandas_udf("struct<similarity:double,shared:int,added:array<int>,missing:array<int>>")
     def compare(a: pd.Series, b: pd.Series) -> pd.DataFrame:
         out = []
         for x, y in zip(a, b):
             x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
-            added = np.setdiff1d(y, x, assume_unique=True)
-            out.append((aligned(x, y, threshold), len(y) - len(added), added.view(np.int32) if len(added) <= MOST_ADDED else None))
-        return pd.DataFrame(out, columns=["similarity", "shared", "added"])
+            added, missing = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+            few = max(len(added), len(missing)) <= MOST_APART + len(y) // 2
+            apart = (added.view(np.int32), missing.view(np.int32)) if few else (None, None)
+            out.append((aligned(x, y, threshold), len(y) - len(added), *apart))
+        return pd.DataFrame(out, columns=["similarity", "shared", "added", "missing"])
 
     both = pairs.join(wanted.select(F.col("node").alias("a"), F.col("seq").alias("sa")), "a")
     both = both.join(wanted.select(F.col("node").alias("b"), F.col("seq").alias("sb")), "b")
-    return both.select("a", "b", compare("sa", "sb").alias("c")).select("a", "b", "c.similarity", "c.shared", "c.added")
+    return both.select("a", "b", compare("sa", "sb").alias("c")).select("a", "b", "c.*")

@@ -15,6 +15,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratelake.llm.common import keeps_cache, only_caches_of
+
 PIECE_SCHEMA = (
     "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, sequence_tokens long"
@@ -234,7 +236,9 @@ def pack_documents(
     schema = pa.schema([(c, pa.string() if kind == "string" else pa.int64()) for c, kind in map(str.split, PIECE_SCHEMA.split(", "))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_caches_of("packing")
         words = word_cache(tokenizer)
+        keeps_cache("packing", word_cache.cache_clear)
         task = TaskContext.get()
         base = (task.partitionId() if task else 0) << 33
         serial = 0

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratelake.llm.common import keeps_cache, only_caches_of
+
 SHAPES, WORDS = 1024, 2048
 ACCEPT = 0.7
 #: Squeezed shapes are counted in pieces of this length; short, so that unspaced texts share pieces.
@@ -70,6 +72,11 @@ def _squeeze(shape: str) -> list[str]:
 _SQUEEZED: dict[str, list[str]] = {}
 
 
+def _forget() -> None:
+    _SLOTS.clear()
+    _SQUEEZED.clear()
+
+
 def raw_features(text: str) -> np.ndarray:
     """Counts of shapes and words of the whole text, dense; shape and word block apart."""
     x = np.zeros(SHAPES + WORDS, np.float32)
@@ -201,6 +208,8 @@ def scorer(spark: SparkSession, model: Model | None):
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        only_caches_of("quality")
+        keeps_cache("quality", _forget)
         for texts in batches:
             out = np.full(len(texts), 0.5)
             for at in range(0, len(texts) if shared.value else 0, 128):

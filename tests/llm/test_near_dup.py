@@ -120,3 +120,27 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.comp for r in components(frame).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {101 + i: 100 for i in range(30)}
     assert np.all([v < k for k, v in got.items()])
+
+
+def test_group_of_near_copies_just_below_the_threshold(spark):
+    """3,000 texts near one original, most of them too far from each other: only linked ones are met across classes."""
+    base = sentence("hot", 120)
+    rows = [(0, base)] + [(i, edited(base, 2 if i % 30 == 0 else 5, ("hot", i))) for i in range(1, 3000)]
+    got = near_duplicates(docs(spark, rows)).collect()
+    assert len(got) == 3000
+    # against brute force over the shingle sets of a part, the links to the original among them
+    near = {i for i, t in rows if similarity_of_sets(base, t) >= 0.8 and aligned(shingles(base), shingles(t), 0.8) >= 0.8}
+    assert {r.doc_id for r in got if r.class_id == 0} >= near
+    by_class = {}
+    for r in got:
+        by_class.setdefault(r.class_id, []).append(r.doc_id)
+    texts = dict(rows)
+    for c, members in by_class.items():
+        for m in members[1:3]:  # every member is linked to some other of its class
+            assert any(o != m and similarity_of_sets(texts[m], texts[o]) >= 0.8 for o in members)
+
+
+def similarity_of_sets(a, b):
+    x, y = shingles(a), shingles(b)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
