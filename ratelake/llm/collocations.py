@@ -24,16 +24,19 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import Scratch, small
+from ratelake.llm.common import Scratch, free_memory, small
 
 MOST_WORDS = 4
 #: Sequences in one automaton, and about as many (before they are united) in one prefix range.
-BLOCK_ROWS, RANGE_ROWS = 64_000, 1_000_000
+BLOCK_ROWS, RANGE_ROWS = 32_000, 500_000
 #: Words after which a task sends its automata on.
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 1_000_000
+#: Most shards that are united at once; more are united in several rounds.
+FAN_IN = 256
 
 _ENDS = re.compile(rb"[.,;:!?\x0A-\x0D\x20\x09]")
 _TO_LINES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
@@ -65,9 +68,9 @@ class Automaton:
     @classmethod
     def of(cls, words: list[bytes], rows: np.ndarray, weights: np.ndarray) -> Automaton:
         """From sequences in any order: sorted, equal ones added up."""
-        wide = rows.astype(np.uint64)
-        low, high = wide[:, 2] << np.uint64(32) | wide[:, 3], wide[:, 0] << np.uint64(32) | wide[:, 1]
+        high, low = (rows[:, i].astype(np.uint64) << np.uint64(32) | rows[:, i + 1].astype(np.uint64) for i in (0, 2))
         order = np.lexsort((low, high))
+        del high, low
         rows = rows[order]
         at = np.flatnonzero(_runs(rows)[:, -1])
         return cls(words, rows[at], np.add.reduceat(weights[order], at) if len(at) else weights)
@@ -118,8 +121,17 @@ class Automaton:
         """Accepts what any of them accepts, weights added."""
         words = sorted({w for a in automata for w in a.words}, key=lambda w: w + b"\t")
         rank = {w: i for i, w in enumerate(words, 1)}
-        rows = [np.array([0, *map(rank.__getitem__, a.words)], np.int32)[a.rows] for a in automata]
-        return cls.of(words, np.concatenate(rows), np.concatenate([a.weights for a in automata]))
+        rows, at = np.empty((sum(len(a.rows) for a in automata), MOST_WORDS), np.int32), 0
+        for a in automata:
+            rows[at : at + len(a.rows)] = np.array([0, *map(rank.__getitem__, a.words)], np.int32)[a.rows]
+            at += len(a.rows)
+        return cls.of(words, rows, np.concatenate([a.weights for a in automata]))
+
+    def blocks(self, rows: int) -> Iterator[tuple[bytes, bytes, int, bytes]]:
+        """(first key, last key, sequences, automaton) of runs of ``rows`` sequences."""
+        for at in range(0, len(self.rows), rows):
+            a = self.part(at, at + rows)
+            yield a.key(0), a.key(len(a.rows) - 1), len(a.rows), a.dump()
 
     def prefixes(self, least: int) -> Iterator[tuple[str, int, int]]:
         """(phrase, words, weight) of every prefix of at least that weight, and of those on the rim.
@@ -194,66 +206,101 @@ class Shard:
 
 
 def shard_automata(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shard_words: int = SHARD_WORDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """lang, first, last (bounds of the sequences), n (sequences), automaton."""
-    names = ["lang", "first", "last", "n", "automaton"]
-
-    def blocks(found: Iterator[tuple[str, Automaton]]) -> Iterator[pd.DataFrame]:
-        for lang, whole in found:
-            for at in range(0, len(whole.rows), block_rows):
-                a = whole.part(at, at + block_rows)
-                n = len(a.rows)
-                yield pd.DataFrame([(lang, a.key(0), a.key(n - 1), n, a.dump())], columns=names)
+    """lang, shard, first, last (bounds of the sequences), n (sequences), automaton."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard = Shard(shard_words)
+        shard, number = Shard(shard_words), TaskContext.get().partitionId() << 32
+
+        def rows(found: Iterator[tuple[str, Automaton]]) -> Iterator[pd.DataFrame]:
+            for lang, whole in found:
+                for block in whole.blocks(block_rows):
+                    yield pd.DataFrame([(lang, number, *block)], columns=_COLUMNS)
+            free_memory()
+
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
-                yield from blocks(shard.add(lang, text or b""))
-        yield from blocks(shard.flush())
+                held = shard.held
+                yield from rows(shard.add(lang, text or b""))
+                number += shard.held < held  # it was flushed: the next words are another shard
+        yield from rows(shard.flush())
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
-    rows = docs.select(lang.alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInPandas(run, "lang string, first binary, last binary, n long, automaton binary")
+    docs = docs.select(lang.alias("lang"), F.col(text_col).cast("binary").alias("text"))
+    return docs.mapInPandas(run, _SCHEMA)
+
+
+_SCHEMA = "lang string, shard long, first binary, last binary, n long, automaton binary"
+_COLUMNS = [c.split()[0] for c in _SCHEMA.split(", ")]
 
 
-def range_bounds(blocks: DataFrame, range_rows: int = RANGE_ROWS) -> list[tuple[str, bytes]]:
-    """Ascending starts (lang, first) of the prefix ranges, one for each ``range_rows`` sequences."""
-    total = blocks.agg(F.sum("n")).first()[0] or 0
-    ranges = max(1, -(-total // range_rows))
+def range_bounds(blocks: DataFrame, ranges: int) -> list[tuple[str, bytes]]:
+    """Ascending starts (lang, first) of about ``ranges`` prefix ranges of equally many sequences."""
     dealt = blocks.select("lang", "first").repartitionByRange(ranges, "lang", "first")
     least = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.min(F.struct("lang", "first")).alias("b"))
     return sorted((r.b.lang, bytes(r.b.first)) for r in least.collect())
 
 
-def summed_counts(blocks: DataFrame, bounds: list[tuple[str, bytes]], least: int, tables: Scratch) -> DataFrame:
-    """lang, phrase, k (words), f of all phrases that occur at least ``least`` times; phrase null, k 0: all words."""
+def cut_at(blocks: DataFrame, bounds: list[tuple[str, bytes]]) -> DataFrame:
+    """lang, shard, range, automaton: each block in the ranges that it reaches into."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for lang, first, last, data in zip(batch["lang"], batch["first"], batch["last"], batch["automaton"]):
+            out = []
+            for lang, shard, first, last, data in zip(*(batch[c] for c in ("lang", "shard", "first", "last", "automaton"))):
                 lo = max(0, bisect.bisect_right(bounds, (lang, first)) - 1)
                 hi = max(0, bisect.bisect_right(bounds, (lang, last)) - 1)
                 if lo == hi:
-                    yield pd.DataFrame([(lang, lo, data)], columns=["lang", "range", "automaton"])
+                    out.append((lang, shard, lo, data))
                     continue
                 whole, at = Automaton.load(data), 0
                 for r in range(lo, hi + 1):
                     n = len(whole.rows)
                     end = bisect.bisect_left(range(n), bounds[r + 1][1], lo=at, key=whole.key) if r < hi else n
                     if end > at:
-                        yield pd.DataFrame([(lang, r, whole.part(at, end).dump())], columns=["lang", "range", "automaton"])
+                        out.append((lang, shard, r, whole.part(at, end).dump()))
                     at = end
+            yield pd.DataFrame(out, columns=["lang", "shard", "range", "automaton"])
+
+    return blocks.mapInPandas(cut, "lang string, shard long, range int, automaton binary")
+
+
+def united_shards(blocks: DataFrame, shards: int, range_rows: int, block_rows: int, fan_in: int, tables: Scratch) -> DataFrame:
+    """The same blocks with at most ``fan_in`` shards, united in rounds.
+
+    The last union cuts every shard at the bounds of all ranges; without these
+    rounds shards and ranges would both grow with the corpus, and the pieces
+    with its square.
+    """
+
+    def unite(group: pd.DataFrame) -> pd.DataFrame:
+        whole = Automaton.union([Automaton.load(x) for x in group["automaton"]])
+        same = (group["lang"].iloc[0], int(group["shard"].iloc[0]))
+        return pd.DataFrame([(*same, *b) for b in whole.blocks(block_rows)], columns=_COLUMNS)
+
+    while shards > fan_in:
+        shards = -(-shards // fan_in)
+        total = blocks.agg(F.sum("n")).first()[0]
+        bounds = range_bounds(blocks, max(1, -(-total // (shards * range_rows))))
+        grouped = blocks.withColumn("shard", F.pmod(F.xxhash64("shard"), F.lit(shards)))
+        sent = cut_at(grouped, bounds).groupBy("shard", "range", "lang")
+        blocks = tables.write(sent.applyInPandas(unite, _SCHEMA), "united-automata")
+    return blocks
+
+
+def summed_counts(blocks: DataFrame, bounds: list[tuple[str, bytes]], least: int, tables: Scratch) -> DataFrame:
+    """lang, phrase, k (words), f of all phrases that occur at least ``least`` times; phrase null, k 0: all words."""
 
     def unite(group: pd.DataFrame) -> pd.DataFrame:
         lang = group["lang"].iloc[0]
         whole = Automaton.union([Automaton.load(x) for x in group["automaton"]])
         rows = [(lang, *p) for p in whole.prefixes(least)]
         rows.append((lang, None, 0, int(whole.weights.sum())))
+        del whole
+        free_memory()
         return pd.DataFrame(rows, columns=["lang", "phrase", "k", "f"])
 
-    sent = blocks.select("lang", "first", "last", "automaton").mapInPandas(cut, "lang string, range int, automaton binary")
     # a range has one language, but for the rims of two
-    found = sent.groupBy("range", "lang").applyInPandas(unite, "lang string, phrase string, k int, f long")
+    found = cut_at(blocks, bounds).groupBy("range", "lang").applyInPandas(unite, "lang string, phrase string, k int, f long")
     summed = found.groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f"))
     return tables.write(summed.where((F.col("f") >= least) | F.col("phrase").isNull()), "phrase-counts")
 
@@ -272,6 +319,7 @@ def collocations(
     shard_words: int = SHARD_WORDS,
     block_rows: int = BLOCK_ROWS,
     range_rows: int = RANGE_ROWS,
+    fan_in: int = FAN_IN,
     buckets: int = 32,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``top`` phrases.
@@ -288,7 +336,9 @@ def collocations(
     """
     tables = Scratch(docs.sparkSession)
     blocks = tables.write(shard_automata(docs, text_col, lang_col, shard_words, block_rows), "shard-automata")
-    counts = summed_counts(blocks, range_bounds(blocks, range_rows), least, tables)
+    shards, total = blocks.agg(F.count_distinct("shard"), F.sum("n")).first()
+    blocks = united_shards(blocks, shards, range_rows, block_rows, fan_in, tables)
+    counts = summed_counts(blocks, range_bounds(blocks, max(1, -(-(total or 0) // range_rows))), least, tables)
     words = counts.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
     grams = counts.where(F.col("phrase").isNotNull())
 

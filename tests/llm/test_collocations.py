@@ -58,7 +58,7 @@ def corpus(n, seed):
     return rows + [(1, None, "en"), (2, "", "xx"), (3, " .,", "yy"), (None, "new york new york", "en"), (4, "same same same", "en")] * 3
 
 
-@pytest.mark.parametrize("options", [{}, {"shard_words": 50, "block_rows": 7, "range_rows": 40, "buckets": 3}])
+@pytest.mark.parametrize("options", [{}, {"shard_words": 50, "block_rows": 7, "range_rows": 40, "fan_in": 3, "buckets": 3}])
 def test_phrases_against_all_counts(spark, options):
     rows = corpus(120, 5)
     got = C.collocations(docs(spark, rows), least=6, top=25, **options).collect()
