@@ -5,11 +5,14 @@ is taken as ``exp(sum(ln f))`` so that it is an ordinary, partially
 aggregatable SUM (map-side combine, mergeable across partitions, usable in
 window frames). ``ln`` of a non-positive factor is NULL in Spark and SUM would
 skip it silently, so callers that care count ``log_factor IS NULL`` as a
-quality violation instead of trusting the product.
+quality violation instead of trusting the product, or take ``product``, which
+counts signs and zeros beside the logarithms and is as mergeable.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,3 +44,17 @@ def compound(rate: str | Column) -> Column:
 def compound_rate(rate: str | Column) -> Column:
     """Aggregate: effective rate of the period, in percent."""
     return to_percent(compound(rate))
+
+
+def product(fac: str | Column, over: Callable[[Column], Column] = lambda c: c) -> Column:
+    """Aggregate: product of factors of any sign; NULL factors are left out, none at all gives NULL.
+
+    Magnitudes are added as logarithms, negative factors and zeros are counted:
+    three ordinary aggregates. ``over`` puts each of them over a window.
+    """
+    f = _c(fac).cast("double")
+    logs = F.coalesce(over(F.sum(F.when(f != 0, F.log(F.abs(f))))), F.lit(0.0))
+    negative = over(F.count(F.when(f < 0, F.lit(1)))) % 2 == 1
+    size = F.exp(logs)
+    out = F.when(over(F.count(F.when(f == 0, F.lit(1)))) > 0, F.lit(0.0)).when(negative, -size).otherwise(size)
+    return F.when(over(F.count(f)) > 0, out)

@@ -1,6 +1,7 @@
 """Bronze -> Silver conformance: map file to series, type tolerantly, dedup.
 
-* series metadata comes from the landing file path (payload has no id);
+* series metadata comes from the landing file path (payload has no id),
+  mapped once a file and joined;
 * ``try_to_date`` / ``try_cast`` turn malformed text into NULL, the row is
   dropped here and *counted* by the quality checks (``rejected``,
   ``unmapped``), which decide whether the run stops;
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.functions.parsing import parse_date, parse_decimal, year_month
-from ratelake.functions.series import series_attribute
+from ratelake.functions.series import join_series, with_series
 from ratelake.operators.dedup import latest_wins
 from ratelake.schemas import SILVER_KEY
 from ratelake.settings import RAW_DATE_FORMAT, VALUE_TYPE, SeriesSpec
@@ -31,11 +32,11 @@ def typed(
     value_type: str = VALUE_TYPE,
 ) -> DataFrame:
     """Every Bronze row, typed; failed conversions and unmapped files are NULL."""
-    src = F.col("source_file")
-    return bronze.select(
-        series_attribute(src, series, "series_id").cast("int").alias("series_id"),
-        series_attribute(src, series, "name").alias("series_name"),
-        series_attribute(src, series, "granularity").alias("granularity"),
+    bronze = bronze.select("date_raw", "value_raw", "source_file", "file_modified_at", "ingested_at")
+    return join_series(bronze, series, ("series_id", "name", "granularity")).select(
+        "series_id",
+        F.col("name").alias("series_name"),
+        "granularity",
         parse_date("date_raw", date_format).alias("ref_date"),
         parse_decimal("value_raw", value_type).alias("value"),
         F.col("source_file"),
@@ -100,9 +101,12 @@ def rejection_counts(
     value_type: str = VALUE_TYPE,
 ) -> DataFrame:
     """One row: Bronze rows, rejected (date or value bad), unmapped file."""
-    mapped = series_attribute(F.col("source_file"), series, "series_id")
-    return bronze.agg(
-        F.count(F.lit(1)).cast("bigint").alias("bronze_rows"),
-        F.count_if(rejected_predicate(date_format, value_type)).cast("bigint").alias("rejected_rows"),
-        F.count_if(mapped.isNull()).cast("bigint").alias("unmapped_rows"),
+    per_file = bronze.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(rejected_predicate(date_format, value_type)).alias("rejected")
+    )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return with_series(per_file, series, ("series_id",)).agg(
+        total("n").alias("bronze_rows"),
+        total("rejected").alias("rejected_rows"),
+        total(F.when(F.col("series_id").isNull(), F.col("n"))).alias("unmapped_rows"),
     )

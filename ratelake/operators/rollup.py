@@ -15,14 +15,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.functions.rates import log_factor
+from ratelake.functions.rates import factor, log_factor, product
 from ratelake.settings import VALUE_TYPE
 
 
 @dataclass(frozen=True)
 class Measure:
     """``kind``: mean or sum (cast to the value type), count, or factor, the
-    product of (1 + rate/100) over the observations there are."""
+    product of (1 + rate/100) over the observations there are; product is the
+    same for rates at or below -100 %, whose factors are not positive."""
 
     column: str
     series: str
@@ -34,6 +35,8 @@ class Measure:
             return F.nullif(F.count_if(own), F.lit(0)).cast("int")
         if self.kind == "factor":
             return F.exp(F.sum(F.when(own, log_factor(value))))
+        if self.kind == "product":
+            return product(F.when(own, factor(value)))
         return {"mean": F.avg, "sum": F.sum}[self.kind](F.when(own, value)).cast(value_type)
 
 

@@ -1,23 +1,33 @@
-"""The rules of the three layers, built from the generic kinds and the settings."""
+"""The rules of the three layers, built from the generic kinds and the settings.
+
+Each layer's rules come twice, with the same names, targets and results: over
+the rows of a table (any DataFrame), and over what a run keeps up beside the
+tables (the file ledger for Bronze, the month state for Silver), whose cost
+follows the number of files and months, not that of the rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import dataclasses
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.functions.series import series_attribute
+from ratelake.functions.series import series_of
 from ratelake.operators.conform import rejection_counts
+from ratelake.operators.month_state import REQUIRED as SILVER_REQUIRED
+from ratelake.operators.month_state import domain_digest
 from ratelake.operators.quality import Rule, dense, evaluate, given, in_range, never, not_null, periods, rows, unique
-from ratelake.schemas import SILVER_KEY
+from ratelake.schemas import SILVER, SILVER_KEY
 from ratelake.settings import Settings
 from ratelake.sources.landing import files_in, missing_files
+from ratelake.streaming.ledger import changed_files, landed_files, lost_files
 
-SILVER_REQUIRED = ("series_id", "series_name", "granularity", "ref_date", "year_month", "value")
 GOLD_REQUIRED = ("policy_mean_day", "policy_month", "inflation_month", "real_month")
 
 
 def bronze_rules(settings: Settings) -> list[Rule]:
-    name = series_attribute(F.col("source_file"), settings.series, "name")
+    name = series_of("source_file", settings.series)["name"]
     return [
         rows(1, ">="),
         not_null("source_file", "ingested_at"),
@@ -28,16 +38,21 @@ def bronze_rules(settings: Settings) -> list[Rule]:
 
 def landing_rules(bronze: DataFrame, settings: Settings, n: int | None = None) -> list[Rule]:
     """Rules on the landing folder: there are files (``n``, if counted already),
-    and Bronze has rows of every one.
+    Bronze has rows of every one, and none changed after Bronze took it.
 
     A folder that doesn't exist holds no files; nothing can be missing then.
     """
     spark = bronze.sparkSession
     n = files_in(spark, settings.landing, settings.file_glob) if n is None else n
-    lost = F.lit(0)
+    lost = changed = F.lit(0)
     if n:
         lost = missing_files(spark, settings.landing, bronze, settings.file_glob).agg(F.count(F.lit(1))).scalar()
-    return [given("landing_files", F.lit(n), 1, ">="), given("landing_files_without_rows", lost, 0)]
+        changed = changed_files(landed_files(spark, settings), bronze).agg(F.count(F.lit(1))).scalar()
+    return [
+        given("landing_files", F.lit(n), 1, ">="),
+        given("landing_files_without_rows", lost, 0),
+        given("landing_files_changed", changed, 0),
+    ]
 
 
 def bronze_results(bronze: DataFrame, settings: Settings, landing: bool = True, landing_files: int | None = None) -> DataFrame:
@@ -45,6 +60,61 @@ def bronze_results(bronze: DataFrame, settings: Settings, landing: bool = True,
     return evaluate(bronze, own + bronze_rules(settings), "bronze")
 
 
+def _sum(c, where=None) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(F.sum(c if where is None else F.when(where, c)), F.lit(0))
+
+
+def ledger_results(ledger: DataFrame, settings: Settings, landing_files: int) -> DataFrame:
+    """The Bronze rules from the file ledger, and whether landed files are lost or changed."""
+    lost = changed = F.lit(0)
+    if landing_files:
+        landed = landed_files(ledger.sparkSession, settings)
+        lost, changed = (f(landed, ledger).agg(F.count(F.lit(1))).scalar() for f in (lost_files, changed_files))
+    rules = [
+        given("landing_files", F.lit(landing_files), 1, ">="),
+        given("landing_files_without_rows", lost, 0),
+        given("landing_files_changed", changed, 0),
+    ]
+    measures = (_sum("rows"), _sum("no_provenance"), F.count_distinct("series_name"), _sum("no_raw_field"))
+    rules += [dataclasses.replace(r, measure=m) for r, m in zip(bronze_rules(settings), measures)]
+    return evaluate(ledger, rules, "bronze")
+
+
+def state_results(state: DataFrame, settings: Settings, ledger: DataFrame | None = None) -> DataFrame:
+    """The Silver rules from the month state; those on dropped rows from the ledger."""
+    series, month = F.col("series_name"), F.col("year_month")
+    infl, pol = series == settings.inflation_series, series == settings.policy_series
+    outside = (month < settings.first_month) | (month > settings.last_month)
+    thin = pol & (F.col("rows") < settings.min_policy_days_per_month)
+    measures = [
+        _sum(F.col("rows") - F.col("keys")),
+        _sum("nulls"),
+        *[_sum("out_of_domain", series == s.name) for s in settings.series],
+        _sum("rows", outside),
+        F.count_distinct(F.when(infl, month)),
+        _sum("not_day_1", infl),
+        F.count_if(thin),
+        _sum("not_above_minus_100"),
+    ]
+    # a NULL day makes no difference to the names: the rules are built over an empty table
+    named = silver_rules(state.sparkSession.createDataFrame([], SILVER), settings)
+    rules = [dataclasses.replace(r, measure=m, scalar=False) for r, m in zip(named, measures, strict=True)]
+    if ledger is not None:
+        dropped = ledger.agg(_sum("rejected").alias("rejected_rows"), _sum("rows", F.col("series_id").isNull()).alias("unmapped_rows"))
+        rules += [given(c, dropped.select(c).scalar(), 0) for c in ("rejected_rows", "unmapped_rows")]
+    return evaluate(state, rules, "silver")
+
+
+def fresh_state(table, settings: Settings) -> DataFrame:
+    """The table's month state, recounted first if there is none or its value domains are others."""
+    state = table.state()
+    if state is None or not state.where(F.col("domain_digest") != domain_digest(settings.series)).isEmpty():
+        table.recount()
+        state = table.state()
+    return state
+
+
 def silver_rules(silver: DataFrame, settings: Settings, bronze: DataFrame | None = None) -> list[Rule]:
     """Rules on what Silver dropped need Bronze; without it they are not in the list."""
     series = F.col("series_name")

@@ -11,6 +11,7 @@ for parity and tests.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ratelake.functions.parsing import month_start
 from ratelake.functions.rates import to_percent
+from ratelake.operators.month_state import monthly_rates_of_state
 from ratelake.operators.rolling import rolling_compound
 from ratelake.operators.rollup import inflation_measures, policy_measures, rollup
 from ratelake.settings import VALUE_TYPE, Settings
@@ -69,6 +71,20 @@ def build_gold(
         by=by,
         value_type=vt,
     )
+    return consolidated(m, settings, gate=gate, frame=frame, by=by, with_processed_at=with_processed_at)
+
+
+def consolidated(
+    m: DataFrame,
+    settings: Settings,
+    *,
+    gate: str | None = None,
+    frame: str | None = None,
+    by: Sequence[str] = (),
+    with_processed_at: bool = True,
+) -> DataFrame:
+    """The consolidated table of monthly rates, whichever way these were made."""
+    vt = settings.value_type
     rolled = rolling_compound(
         m,
         {
@@ -100,3 +116,26 @@ def build_gold(
     if with_processed_at:
         out = out.withColumn("processed_at", F.current_timestamp())
     return out
+
+
+def refreshed_gold(stored: DataFrame, state: DataFrame, settings: Settings, first: str, last: str) -> DataFrame:
+    """Gold after Silver changed in the months ``first`` .. ``last``, equal to a full rebuild.
+
+    A month's row depends on its own rates and on those in its trailing window,
+    so what changes is ``first`` up to ``rolling_months`` - 1 rows (or calendar
+    months) after ``last``. These rows are computed anew, from as many months
+    before as a window reaches back; all others are taken over as they stand.
+    The months are a list bounded by the calendar.
+    """
+    months = sorted(r.year_month for r in state.where("year_month IS NOT NULL").select("year_month").distinct().collect())
+    reach = settings.rolling_months - 1
+    at = bisect.bisect_left(months, first)
+    end = bisect.bisect_right(months, last) + reach  # rows; months without a row only make this reach farther
+    if not months:
+        return stored.limit(0)
+    lower, upper = months[max(0, at - reach)], months[min(len(months), end) - 1]
+    needed = state.where(F.col("year_month").between(lower, upper))
+    rates = monthly_rates_of_state(needed, settings.policy_series, settings.inflation_series, settings.value_type)
+    anew = consolidated(rates, settings).where(F.col("year_month").between(first, upper))
+    kept = stored.where((F.col("year_month") < first) | (F.col("year_month") > upper))
+    return kept.unionByName(anew.select(*stored.columns))

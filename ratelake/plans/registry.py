@@ -511,17 +511,38 @@ SELECT event_id, source_file,
 FROM ev""",
 )
 def q_map_source_to_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ratelake.functions.series import series_attribute
+    """Every row gets its file's series; the patterns are tried once a file."""
+    from ratelake.functions.series import join_series
 
-    s = _event_series()
-    ev = _event_files(spark, sf_dir)
-    return ev.select(
-        "event_id",
-        "source_file",
-        series_attribute("source_file", s, "series_id").cast("int").alias("series_id"),
-        series_attribute("source_file", s, "name").alias("series_name"),
-        series_attribute("source_file", s, "granularity").alias("granularity"),
-    )
+    mapped = join_series(_event_files(spark, sf_dir), _event_series(), ("series_id", "name", "granularity"))
+    return mapped.select("event_id", "source_file", "series_id", F.col("name").alias("series_name"), "granularity")
+
+
+# Published names beside names that only look like them: another index or a number that is no period.
+PERIOD_NAMES = {"view": "selic", "click": "ipca", "signup": "ipca-15", "purchase": "selic-432", "error": "ipca_"}
+
+
+@register(
+    "map_period_names",
+    "WITH f AS (SELECT event_type, 'landing/' || CASE event_type "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PERIOD_NAMES.items())
+    + " END || CASE WHEN event_type = 'error' THEN strftime(ts, '%Y-%m') ELSE '' END || '.json' AS source_file FROM events)"
+    + f"""
+SELECT source_file, CASE event_type WHEN 'view' THEN '{P}' WHEN 'click' THEN '{I}' WHEN 'error' THEN '{I}' END AS series_name,
+       CAST(COUNT(*) AS BIGINT) AS rows
+FROM f WHERE source_file IS NOT NULL GROUP BY 1, 2""",
+)
+def q_map_period_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A period in a file name is a year or month: ``ipca-15`` and ``selic-432`` are no part of a series."""
+    from ratelake.functions.series import with_series
+    from ratelake.settings import DEFAULT_SERIES
+
+    ev, kind = standins.table(spark, sf_dir, "events"), F.col("event_type")
+    name = F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in PERIOD_NAMES.items()])
+    period = F.when(kind == "error", F.date_format("ts", "yyyy-MM")).otherwise(F.lit(""))
+    files = ev.select(F.concat(F.lit("landing/"), name, period, F.lit(".json")).alias("source_file")).where("source_file IS NOT NULL")
+    counted = files.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    return with_series(counted, DEFAULT_SERIES, ("name",)).select("source_file", F.col("name").alias("series_name"), "rows")
 
 
 @register(
@@ -534,14 +555,14 @@ SELECT CAST(COUNT(*) AS BIGINT) AS rows_total,
 FROM ev""",
 )
 def q_unmapped_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ratelake.functions.series import series_attribute
-
-    sid = series_attribute("source_file", _event_series(), "series_id")
-    ev = _event_files(spark, sf_dir)
-    return ev.agg(
-        F.count(F.lit(1)).cast("bigint").alias("rows_total"),
-        F.count_if(sid.isNull()).cast("bigint").alias("unmapped_rows"),
-        F.count_distinct(F.when(sid.isNull(), F.col("source_file"))).cast("bigint").alias("unmapped_files"),
+    from ratelake.functions.series import with_series
+
+    per_file = _event_files(spark, sf_dir).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    lost, n = F.col("series_id").isNull(), F.col("n")
+    return with_series(per_file, _event_series(), ("series_id",)).agg(
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("rows_total"),
+        F.coalesce(F.sum(F.when(lost, n)), F.lit(0)).cast("bigint").alias("unmapped_rows"),
+        F.count(F.when(lost, F.col("source_file"))).cast("bigint").alias("unmapped_files"),
     )
 
 
@@ -663,30 +684,18 @@ FROM (
 ) h""",
 )
 def q_upsert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History rows with a metrics MAP, read back by key (as a history scan)."""
-    from ratelake.operators.upsert import change_counts
+    """The audit of a stored table into which the same source is merged twice, read through its metrics map."""
+    from ratelake.session import materialize, scratch_dir
+    from ratelake.sources.tables import StoredTable
 
-    runs = _upsert_runs(spark, sf_dir)
-    hist = None
-    for version, run in enumerate(runs, start=1):
-        c = change_counts(run)
-        row = c.select(
-            F.lit(version).cast("bigint").alias("version"),
-            F.lit("MERGE").alias("operation"),
-            F.create_map(
-                F.lit("rows_inserted"), F.col("rows_inserted").cast("string"),
-                F.lit("rows_updated"), F.col("rows_updated").cast("string"),
-                F.lit("rows_deleted"), F.col("rows_deleted").cast("string"),
-            ).alias("operation_metrics"),
-        )
-        hist = row if hist is None else hist.unionByName(row)
-    return hist.selectExpr(
-        "version",
-        "operation",
-        "CAST(operation_metrics['rows_inserted'] AS BIGINT) AS rows_inserted",
-        "CAST(operation_metrics['rows_updated'] AS BIGINT) AS rows_updated",
-        "CAST(operation_metrics['rows_deleted'] AS BIGINT) AS rows_deleted",
-    ).orderBy("version")
+    target, source = _upsert_feeds(spark, sf_dir)
+    table = StoredTable(spark, scratch_dir(spark, "upserts"), target.schema)
+    table.overwrite(target)
+    source = materialize(source, "upsert-source")
+    for _ in range(2):
+        table.merge(source, UPSERT_KEYS, "ts")
+    counts = [F.col("metrics")[c].cast("bigint").alias(c) for c in ("rows_inserted", "rows_updated", "rows_deleted")]
+    return table.history().where("operation = 'MERGE'").select("version", "operation", *counts)
 
 
 # --------------------------------------------------------------------------
@@ -847,6 +856,7 @@ BRONZE_RULES_SQL = [
 LANDING_RULES_SQL = [
     ("landing_files", ">=", 1, "SELECT COUNT(DISTINCT series_name || CAST(year(ref_date) AS VARCHAR)) FROM obs", _OUTSIDE),
     ("landing_files_without_rows", "=", 0, "SELECT 0", _OUTSIDE),
+    ("landing_files_changed", "=", 0, "SELECT 0", _OUTSIDE),
 ]
 SILVER_RULES_SQL = [
     ("unique(series_id, ref_date)", "=", 0, "SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT series_id, ref_date FROM silver) d) FROM silver", _EXTRA),
@@ -1388,6 +1398,149 @@ def q_late_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(first, second, lost)], "rows_run1 bigint, rows_run2 bigint, files_without_rows bigint")
 
 
+# --------------------------------------------------------------------------
+# Products of factors of any sign, and windows over one long series
+# --------------------------------------------------------------------------
+@register(
+    "signed_product_rollup",
+    """
+SELECT l_orderkey, CAST(ROUND(product(l_quantity - 25)) AS BIGINT) AS whole, CAST(COUNT(*) AS INTEGER) AS rows
+FROM lineitem GROUP BY l_orderkey""",
+)
+def q_signed_product_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates below, at and above -100 %: each order's lines compounded."""
+    from ratelake.operators.rollup import Measure
+
+    lines = _signed_lines(spark, sf_dir)
+    m = rollup(lines, [Measure("whole", "line", "product"), Measure("rows", "line", "count")], period="l_orderkey", value_col="rate")
+    return m.select("l_orderkey", F.round("whole").cast("bigint").alias("whole"), "rows")
+
+
+def _signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = F.col("l_quantity").cast("double") - 25
+    lines = standins.table(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", F.lit("line").alias("series_name"), f.alias("factor"), ((f - 1) * 100).alias("rate"))
+
+
+@register(
+    "signed_product_window",
+    """
+WITH f AS (SELECT o_custkey, o_orderkey, CAST(FLOOR(o_totalprice) AS BIGINT) % 51 - 25 AS factor FROM orders)
+SELECT o_custkey, o_orderkey, CAST(COUNT(*) OVER w AS INTEGER) AS months_in_window,
+       CASE WHEN COUNT(*) OVER w = 3 THEN CAST(ROUND((product(factor) OVER w - 1) * 100) AS BIGINT) END AS rate_3
+FROM f WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+)
+def q_signed_product_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trailing products of factors from -25 to 25, zero among them, over each customer's orders."""
+    whole = F.floor("o_totalprice").cast("bigint")
+    orders = standins.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", (whole % 51 - 25).alias("factor"))
+    out = rolling_compound(orders, {"rate_3": "factor"}, order_by="o_orderkey", partition_by=["o_custkey"], months=3, signed=True)
+    return out.select("o_custkey", "o_orderkey", "months_in_window", F.round("rate_3").cast("bigint").alias("rate_3"))
+
+
+@register(
+    "rolling12_one_long_series",
+    """
+SELECT o_orderkey, CAST(COUNT(*) OVER w AS INTEGER) AS months_in_window,
+       CAST(ROUND(CASE WHEN COUNT(*) OVER w = 12 THEN (EXP(SUM(LN(1 + CAST(o_totalprice AS DOUBLE) / 100000000)) OVER w) - 1) * 100 END, 6) AS DECIMAL(18,6)) AS rate_12
+FROM orders WINDOW w AS (ORDER BY o_orderkey ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)""",
+)
+def q_rolling12_one_long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as one series: its windows are dealt over blocks, no task gets the whole of it."""
+    from ratelake.operators.rolling import rolling_in_blocks
+
+    f = 1 + F.col("o_totalprice").cast("double") / 100_000_000
+    orders = standins.table(spark, sf_dir, "orders").select("o_orderkey", f.alias("f"))
+    out = rolling_in_blocks(orders, {"rate_12": "f"}, order_by="o_orderkey", block_rows=4096)
+    return out.select("o_orderkey", "months_in_window", F.round("rate_12", 6).cast("decimal(18,6)").alias("rate_12"))
+
+
+@register(
+    "changed_file_ingest",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT series_id, series_name, granularity, ref_date, year_month, value,
+       CAST((SELECT COUNT(DISTINCT series_name) FROM obs WHERE year(ref_date) = 1998) AS BIGINT) AS files_changed,
+       CAST((SELECT COUNT(*) FROM obs WHERE year(ref_date) = 1998) AS BIGINT) AS rows_read_again,
+       CAST(0 AS BIGINT) AS files_still_changed
+FROM silver""",
+)
+def q_changed_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one year are landed with other values, ingested, and then sent
+    again, right, under their old names: Silver must hold the right values."""
+    from ratelake.session import scratch_dir
+    from ratelake.streaming.ingest import incremental_silver, ingest, silver_table
+    from ratelake.streaming.ledger import changed_files, landed_files, read_ledger
+
+    root = scratch_dir(spark, "changed")
+    st = standins.standin_settings(root)
+    obs = _obs(spark, sf_dir)
+    wrong = F.when(F.year("ref_date") == 1998, F.col("value") + 1).otherwise(F.col("value"))
+    standins.write_landing(obs.withColumn("value", wrong), st.landing)
+    ingest(spark, st)
+    incremental_silver(spark, st)
+    aside = f"{root}/aside"
+    standins.write_landing(obs.where(F.year("ref_date") == 1998), aside)
+    standins.resend_files(spark, aside, st.landing)
+    again = ingest(spark, st)
+    incremental_silver(spark, st)
+    left = changed_files(landed_files(spark, st), read_ledger(spark, st)).count()
+    rows = silver_table(spark, st).read().select(*SILVER_ROW_COLS)
+    counted = {"files_changed": again["files_changed"], "rows_read_again": again["rows_ingested"], "files_still_changed": left}
+    return rows.select("*", *[F.lit(v).cast("bigint").alias(k) for k, v in counted.items()])
+
+
+GOLD_ROWS_SQL = gold_oracle()
+
+
+@register("incremental_gold_rows", GOLD_ROWS_SQL)
+def q_incremental_gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold as the runs leave it: the first years, then the later ones, then a
+    late correction of one month in the middle. Each run recomputes the months
+    it touches and those whose window holds them, and takes the others over."""
+    from ratelake.plans.runner import gold_table, run
+
+    wrong = F.when(F.date_format("ref_date", "yyyy-MM") == "1997-05", F.col("value") + 1).otherwise(F.col("value"))
+    st, _ = _fresh_run(spark, sf_dir, "gold-steps", F.lit(False))
+    obs = _obs(spark, sf_dir)
+    early = obs.where(F.year("ref_date") <= 1999).withColumn("value", wrong.cast("decimal(18,8)"))
+    standins.write_landing(early, st.landing)
+    run(spark, st, stop_on_failure=False)
+    standins.write_landing(obs.where(F.year("ref_date") > 1999), st.landing)
+    run(spark, st, stop_on_failure=False)
+    standins.write_landing(obs.where(F.date_format("ref_date", "yyyy-MM") == "1997-05"), f"{st.root}/aside")
+    standins.move_files(spark, f"{st.root}/aside", st.landing)
+    m = run(spark, st, stop_on_failure=False).metrics
+    if not m["gold"]["committed"] or run(spark, st, stop_on_failure=False).metrics["gold"]["committed"]:
+        raise RuntimeError("Gold must be written when Silver changed, and only then")
+    return gold_table(spark, st).read().drop("processed_at")
+
+
+@register(
+    "month_state_recount",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT series_id, series_name, year_month, CAST(COUNT(*) AS BIGINT) AS rows, CAST(COUNT(DISTINCT ref_date) AS BIGINT) AS keys,
+       CAST(SUM(value) AS DECIMAL(38,8)) AS value_sum, CAST(COUNT(*) FILTER (day(ref_date) <> 1) AS BIGINT) AS not_day_1
+FROM silver GROUP BY series_id, series_name, year_month""",
+)
+def q_month_state_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month state kept up by merges of two loads, of which the second corrects and adds."""
+    from ratelake.streaming.ingest import incremental_silver, ingest, silver_table
+
+    obs = _obs(spark, sf_dir)
+    st, _ = _fresh_run(spark, sf_dir, "state", F.lit(False))
+    wrong = F.when(F.year("ref_date") == 1996, F.col("value") * 2).otherwise(F.col("value"))
+    standins.write_landing(obs.where(F.year("ref_date") <= 1998).withColumn("value", wrong.cast("decimal(18,8)")), st.landing)
+    ingest(spark, st)
+    incremental_silver(spark, st)
+    later = obs.where((F.year("ref_date") == 1996) | (F.year("ref_date") > 1998))
+    standins.write_landing(later, st.landing)
+    ingest(spark, st)
+    incremental_silver(spark, st)
+    return silver_table(spark, st).state().select("series_id", "series_name", "year_month", "rows", "keys", "value_sum", "not_day_1")
+
+
 @register(
     "landing_glob",
     _with(OBS_CTE) + f"\nSELECT {FEED_SQL} AS feed, CAST(COUNT(*) AS BIGINT) AS rows FROM obs GROUP BY {FEED_SQL}",

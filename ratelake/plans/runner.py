@@ -13,22 +13,25 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratelake.operators.conform import conform
+from ratelake.operators.month_state import month_state, monthly_rates_of_state
 from ratelake.operators.quality import RESULT_SCHEMA, DataQualityError, gate
-from ratelake.plans.checks import bronze_results, gold_results, silver_results
-from ratelake.plans.gold import build_gold
+from ratelake.plans.checks import bronze_results, fresh_state, gold_results, ledger_results, silver_results, state_results
+from ratelake.plans.gold import build_gold, consolidated, refreshed_gold
 from ratelake.schemas import GOLD, GOLD_TEXT, SILVER_KEY
 from ratelake.session import _context, materialize
 from ratelake.settings import Settings
-from ratelake.sources.tables import StoredTable
+from ratelake.sources.tables import StoredTable, sql_text
 from ratelake.streaming.ingest import SILVER_COMPARE, incremental_silver, ingest, read_bronze, silver_table
+from ratelake.streaming.ledger import read_ledger
 
 LOGGER = logging.getLogger("ratelake.run")
 
 
 def gold_table(spark: SparkSession, s: Settings) -> StoredTable:
-    return StoredTable(spark, s.gold_path, GOLD, (), f"{s.database}.gold" if s.database else None, GOLD_TEXT)
+    return StoredTable(spark, s.gold_path, GOLD, None, f"{s.database}.gold" if s.database else None, GOLD_TEXT, versioned=True)
 
 
 @dataclass
@@ -58,7 +61,7 @@ class RunReport:
 def ensure_layout(spark: SparkSession, settings: Settings) -> None:
     """Create the landing, checkpoint and table folders (idempotent) and the catalog schema, if named."""
     if settings.database:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.database} LOCATION '{settings.root.rstrip('/')}/catalog'")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {settings.database} LOCATION " + sql_text(f"{settings.root.rstrip('/')}/catalog"))
     sc = _context(spark)
     if sc is None:  # Spark Connect: folders are created by the first write
         return
@@ -70,15 +73,20 @@ def ensure_layout(spark: SparkSession, settings: Settings) -> None:
 
 
 def run_bronze(spark: SparkSession, s: Settings, report: RunReport, stop: bool) -> DataFrame:
+    """Ingest and check; returns the file ledger, from which the rules read."""
     report.metrics["bronze"] = ingest(spark, s)
-    bronze = read_bronze(spark, s.bronze_path)
-    found = report.metrics["bronze"]["landing_files"]
-    report.check(bronze_results(bronze, s, landing_files=found), "bronze", stop)
-    return bronze
+    ledger = read_ledger(spark, s)
+    report.check(ledger_results(ledger, s, report.metrics["bronze"]["landing_files"]), "bronze", stop)
+    return ledger
 
 
-def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunReport, stop: bool) -> bool:
-    """Upsert Bronze into Silver and check it; False if what would be stored was refused."""
+def run_silver(spark: SparkSession, s: Settings, ledger: DataFrame, report: RunReport, stop: bool) -> bool:
+    """Upsert Bronze into Silver and check it; False if what would be stored was refused.
+
+    The rules on the stored table read its month state. With
+    ``gate_mode="before_commit"`` they look at rows that are not stored yet, so
+    these are summed up for it.
+    """
     table = silver_table(spark, s)
     before = table.count()
     stored = True
@@ -86,25 +94,61 @@ def run_silver(spark: SparkSession, s: Settings, bronze: DataFrame, report: RunR
         m = incremental_silver(spark, s)
     else:
         # staged, as the upsert reads it more than once
+        bronze = read_bronze(spark, s.bronze_path)
         source = conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type)
         source = materialize(source, "silver-staging")
         first = s.gate_mode == "before_commit"
-        accept = (lambda rows: report.check(silver_results(rows, s, bronze), "silver", stop)) if first else None
+        accept = (lambda rows: report.check(state_results(month_state(rows, s.series), s, ledger), "silver", stop)) if first else None
         m = table.merge(source, SILVER_KEY, "ingested_at", compare=SILVER_COMPARE, check_unique=False, accept=accept)
         stored = m.pop("committed")
     report.metrics["silver"] = {"rows_before": before, "rows_after": m["rows_total"], "rows_new": m["rows_total"] - before, **m}
     if s.gate_mode == "after_commit":
-        report.check(silver_results(table.read(), s, bronze), "silver", stop)
+        report.check(state_results(fresh_state(table, s), s, ledger), "silver", stop)
     return stored
 
 
+def silver_changes(spark: SparkSession, s: Settings) -> tuple[int, str | None, str | None]:
+    """Audit rows of Silver, and the first and last month that merges changed since Gold was published."""
+    m = F.col("metrics")
+    seen = gold_table(spark, s).audit().agg(F.max(m["silver_writes"].cast("bigint"))).first()[0] or 0
+    new = silver_table(spark, s).history().select("version", m["first_period"].alias("first"), m["last_period"].alias("last"))
+    total, first, last = new.agg(
+        F.count(F.lit(1)), F.min(F.when(F.col("version") >= seen, F.col("first"))), F.max(F.when(F.col("version") >= seen, F.col("last")))
+    ).first()
+    return total, first, last
+
+
+def gold_definition(s: Settings) -> str:
+    """What makes Gold another table over the same Silver: rows of another definition are not taken over."""
+    return f"{s.policy_series} {s.inflation_series} {s.value_type} {s.rolling_months} {s.rolling_gate} {s.rolling_frame}"
+
+
 def run_gold(spark: SparkSession, s: Settings, report: RunReport, stop: bool) -> None:
-    """Rebuild Gold from the stored Silver and check it."""
-    table = gold_table(spark, s)
-    # rows leave the month window in order; keep files ordered without a global sort
-    rebuilt = build_gold(silver_table(spark, s).read(), s).sortWithinPartitions("year_month")
+    """Bring Gold up to the stored Silver and check it.
+
+    A table of the same definition is refreshed for the months that changed; if
+    none did, nothing is written.
+    """
+    table, silver = gold_table(spark, s), silver_table(spark, s)
+    writes, first, last = silver_changes(spark, s)
+    written_as = table.audit().agg(F.max_by(F.col("metrics")["definition"], "written_at")).first()[0]
+    same = table.exists() and written_as == gold_definition(s)
     accept = (lambda rows: report.check(gold_results(rows, s), "gold", stop)) if s.gate_mode == "before_commit" else None
-    m = table.overwrite(rebuilt, accept=accept)
+    if s.gold_mode == "rebuild":
+        rebuilt = build_gold(silver.read(), s)
+    elif same:
+        rebuilt = refreshed_gold(table.read(), fresh_state(silver, s), s, first, last) if first else None
+    else:
+        rates = monthly_rates_of_state(fresh_state(silver, s), s.policy_series, s.inflation_series, s.value_type)
+        rebuilt = consolidated(rates, s)
+    if rebuilt is None:
+        m = {"rows_total": table.count(), "committed": False}
+        if accept:
+            accept(table.read())
+    else:
+        # one small file in order: a row a month
+        rebuilt = rebuilt.repartition(1).sortWithinPartitions("year_month")
+        m = table.overwrite(rebuilt, accept=accept, extra={"silver_writes": writes, "definition": gold_definition(s)})
     report.metrics["gold"] = {"rows": m["rows_total"], "committed": m["committed"]}
     if s.gate_mode == "after_commit":
         report.check(gold_results(table.read(), s), "gold", stop)
@@ -114,8 +158,8 @@ def run(spark: SparkSession, settings: Settings, *, stop_on_failure: bool = True
     """The whole layered run over ``settings.root``."""
     report = RunReport()
     ensure_layout(spark, settings)
-    bronze = run_bronze(spark, settings, report, stop_on_failure)
-    if run_silver(spark, settings, bronze, report, stop_on_failure):
+    ledger = run_bronze(spark, settings, report, stop_on_failure)
+    if run_silver(spark, settings, ledger, report, stop_on_failure):
         run_gold(spark, settings, report, stop_on_failure)
     else:
         LOGGER.error("Silver was refused: Gold stays as it is")
@@ -125,7 +169,7 @@ def run(spark: SparkSession, settings: Settings, *, stop_on_failure: bool = True
 
 
 def stored_results(spark: SparkSession, settings: Settings) -> DataFrame:
-    """The check report of the stored tables, without a run."""
+    """The check report of the stored tables, without a run: all rows are counted anew."""
     bronze = read_bronze(spark, settings.bronze_path)
     out = bronze_results(bronze, settings)
     out = out.unionByName(silver_results(silver_table(spark, settings).read(), settings, bronze))

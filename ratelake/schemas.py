@@ -39,7 +39,8 @@ SILVER = T.StructType(
     ]
 )
 SILVER_KEY = ("series_id", "ref_date")
-SILVER_PARTITIONS = ("series_id", "year_month")  # both follow from the key, so a key never changes its partition
+# Folders of Silver: they follow from the key, so a key never changes its folder.
+SILVER_LAYOUT = {"ref_year": "year(ref_date)", "series_bucket": "pmod(series_id, {buckets})"}
 SILVER_TEXT = "One observation per series and day; upserted by (series_id, ref_date), the newest ingest wins."
 
 _RATE = T.DecimalType(18, 8)
@@ -65,5 +66,17 @@ COLUMN_TEXTS = {
     "months_in_window": "rows in the trailing window",
 }
 
+# One row per landing file and ingest batch: what Bronze took from it.
+LEDGER = (
+    "source_file string, file_modified_at timestamp, ingested_at timestamp, rows bigint, no_provenance bigint, "
+    "no_raw_field bigint, rejected bigint, series_id int, series_name string"
+)
+
+# One row per series and month of Silver: what the rules ask for and Gold adds up.
+MONTH_STATE = (
+    "series_id int, series_name string, year_month string, rows bigint, keys bigint, nulls bigint, out_of_domain bigint, "
+    "not_day_1 bigint, not_above_minus_100 bigint, value_sum decimal(38,8), value_count bigint, log_sum double, domain_digest string"
+)
+
 # One row per write of a stored table.
 AUDIT = "written_at timestamp, operation string, metrics map<string,string>"

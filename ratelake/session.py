@@ -80,6 +80,53 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, conf, at, at.getFileSystem(conf)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    _, _, at, fs = _file_system(spark, path)
+    fs.mkdirs(at)
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a few bytes under ``path`` so that readers see the old or the new text, never a part."""
+    jvm, conf, at, fs = _file_system(spark, path)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), conf).rename(fs.makeQualified(aside), fs.makeQualified(at), options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The first 4 KB of a small file; None if there is none."""
+    jvm, _, at, fs = _file_system(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readNBytes(4096)).decode()
+    finally:
+        stream.close()
+
+
+def remove_path(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> None:
+    """Delete a folder, or what is in it but for the names in ``keep``."""
+    _, _, at, fs = _file_system(spark, path)
+    if not keep:
+        fs.delete(at, True)
+        return
+    for status in fs.listStatus(at):
+        if status.getPath().getName() not in keep:
+            fs.delete(status.getPath(), True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder name under the shared root (Spark's writers create it)."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"

@@ -12,9 +12,16 @@ import re
 from dataclasses import dataclass
 
 
+# A period in a file name: one or two years, each with or without a month.
+_PERIOD = r"(19|20)[0-9]{2}([_-]?(0[1-9]|1[0-2]))?"
+
+
 def file_pattern(name: str) -> str:
-    """``name.json``, or ``name``, a delimiter and a period of digits, ``.json``."""
-    return rf"(^|/){re.escape(name)}([_-][0-9][0-9_-]*)?\.json$"
+    """``name.json``, or ``name``, a delimiter and a period (years or months), ``.json``.
+
+    Another number is another index: ``ipca-15.json`` is not a part of ``ipca``.
+    """
+    return rf"(^|/){re.escape(name)}([_-]{_PERIOD}([_-]{_PERIOD})?)?\.json$"
 
 
 @dataclass(frozen=True)
@@ -23,9 +30,10 @@ class SeriesSpec:
 
     ``file_pattern`` is a Java regular expression matched (``rlike``) against
     the full path of the landing file. The default takes the exact name or the
-    name, a delimiter and a period: ``selic.json`` and the backfill file
-    ``selic_2015_2019.json`` are one series, ``selic_meta.json`` and
-    ``ipca15.json`` are neither.
+    name, a delimiter and a period: ``selic.json`` and the backfill files
+    ``selic_2015_2019.json`` and ``selic-202401.json`` are one series,
+    ``selic_meta.json``, ``selic-432.json``, ``ipca15.json`` and
+    ``ipca-15.json`` are none.
     """
 
     series_id: int
@@ -101,6 +109,13 @@ class Settings:
     # Silver: "incremental" streams only new Bronze files through foreachBatch;
     # "batch" re-conforms all of Bronze each run (published behaviour).
     silver_mode: str = "incremental"
+    # Silver folders: one per year of the observation and bucket of the series.
+    # More buckets make smaller rewrites; one is enough for few series.
+    silver_buckets: int = 1
+    # "incremental": Gold recomputes the months that a merge touched and those
+    # whose window holds them, from Silver's month totals; "rebuild": all of it
+    # from Silver each run (published behaviour).
+    gold_mode: str = "incremental"
     # "after_commit": checks run on the stored table (published order);
     # "before_commit": rows are stored only once the checks on the table they
     # would make hold. The rules look at a whole run, so this needs
@@ -115,6 +130,10 @@ class Settings:
     def __post_init__(self):
         if self.silver_mode not in ("incremental", "batch"):
             raise ValueError(f"silver_mode must be 'incremental' or 'batch', not {self.silver_mode!r}")
+        if self.gold_mode not in ("incremental", "rebuild"):
+            raise ValueError(f"gold_mode must be 'incremental' or 'rebuild', not {self.gold_mode!r}")
+        if self.silver_buckets < 1:
+            raise ValueError("silver_buckets must be at least 1")
         if self.gate_mode not in ("after_commit", "before_commit"):
             raise ValueError(f"gate_mode must be 'after_commit' or 'before_commit', not {self.gate_mode!r}")
         if self.gate_mode == "before_commit" and self.silver_mode != "batch":
@@ -134,6 +153,15 @@ class Settings:
     def bronze_path(self) -> str:
         return f"{self.root.rstrip('/')}/tables/bronze"
 
+    @property
+    def resent_path(self) -> str:
+        # Rows of files that changed under their old name, read by batch.
+        return f"{self.bronze_path}_resent"
+
+    @property
+    def ledger_path(self) -> str:
+        return f"{self.bronze_path}_files"
+
     @property
     def silver_path(self) -> str:
         return f"{self.root.rstrip('/')}/tables/silver"

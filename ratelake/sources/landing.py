@@ -18,6 +18,7 @@ whole content, so files are limited to 2 GB there) and ``payload_contract``
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -68,6 +69,13 @@ def read_landing(
     return _with_provenance(_reader(spark.read, glob, multi_line, recursive).load(path))
 
 
+def read_files(spark: SparkSession, paths: Sequence[str], *, multi_line: bool = True) -> DataFrame:
+    """Batch read of some landing files by their (decoded) paths."""
+    # a path is a glob to the reader: its own special characters are escaped
+    plain = [re.sub(r"([\\\[\]{}*?,])", r"\\\1", p) for p in paths]
+    return _with_provenance(_reader(spark.read, "*", multi_line, False).load(plain))
+
+
 def stream_landing(
     spark: SparkSession,
     path: str,

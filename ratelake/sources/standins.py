@@ -172,3 +172,24 @@ def move_files(spark: SparkSession, source: str, folder: str) -> None:
         to = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name.removeprefix(base)}")
         fs.mkdirs(to.getParent())
         fs.rename(jvm.org.apache.hadoop.fs.Path(name), to)
+
+
+def resend_files(spark: SparkSession, source: str, folder: str) -> int:
+    """Put data files in the place of landed ones, under the landed names; how many.
+
+    ``source`` has one file in each of some of ``folder``'s sub-folders, as a
+    publisher that sends a corrected file again under its old name.
+    """
+    jvm, hp, fs = _hadoop(spark, source)
+    done = 0
+    for sub in fs.listStatus(hp):
+        name = sub.getPath().getName()
+        if not sub.isDirectory():
+            continue
+        new = [f.getPath() for f in fs.listStatus(sub.getPath()) if f.getPath().getName().startswith("part-")]
+        old = [f.getPath() for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")) if f.getPath().getName().startswith("part-")]
+        for a, b in zip(new, old, strict=True):
+            fs.delete(b, False)
+            fs.rename(a, b)
+            done += 1
+    return done

@@ -11,6 +11,10 @@ retried after an executor loss does not duplicate rows.
 through ``foreachBatch``. A batch that the table's audit already holds is
 skipped; one that was written but not recorded is merged again, which changes
 nothing.
+
+The file stream never reads a path twice. A file that was sent again under its
+old name is found by its modification time (see ``ledger``) and read by batch
+into a folder beside Bronze, which every reader of Bronze reads along.
 """
 
 from __future__ import annotations
@@ -20,14 +24,15 @@ from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from ratelake.operators.conform import conform
-from ratelake.schemas import BRONZE, SILVER, SILVER_KEY, SILVER_PARTITIONS, SILVER_TEXT
-from ratelake.session import materialize, path_exists
+from ratelake.operators.month_state import month_state
+from ratelake.schemas import BRONZE, MONTH_STATE, SILVER, SILVER_KEY, SILVER_LAYOUT, SILVER_TEXT
+from ratelake.session import make_folder, materialize, path_exists
 from ratelake.settings import Settings
-from ratelake.sources.landing import files_in, stream_landing
+from ratelake.sources.landing import files_in, read_files, stream_landing
 from ratelake.sources.tables import StoredTable
+from ratelake.streaming.ledger import changed_files, landed_files, stream_bronze, update_ledger
 
 LOGGER = logging.getLogger("ratelake.ingest")
 
@@ -38,7 +43,11 @@ SILVER_COMPARE = ("series_name", "granularity", "value")
 
 def silver_table(spark: SparkSession, s: Settings) -> StoredTable:
     name = f"{s.database}.silver" if s.database else None
-    return StoredTable(spark, s.silver_path, SILVER, SILVER_PARTITIONS, name, SILVER_TEXT)
+    layout = {c: e.format(buckets=s.silver_buckets) for c, e in SILVER_LAYOUT.items()}
+    return StoredTable(
+        spark, s.silver_path, SILVER, layout, name, SILVER_TEXT,
+        summary=lambda rows: month_state(rows, s.series, list(layout)), summary_schema=MONTH_STATE,
+    )
 
 
 def bronze_exists(spark: SparkSession, path: str) -> bool:
@@ -46,25 +55,24 @@ def bronze_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BRONZE).parquet(path)
+    """Rows of the landing stream and of the files read again (``<path>_resent``)."""
+    rows, resent = spark.read.schema(BRONZE).parquet(path), f"{path.rstrip('/')}_resent"
+    if not path_exists(spark, resent):
+        return rows
+    return rows.unionByName(spark.read.schema(BRONZE).option("recursiveFileLookup", "true").parquet(resent))
 
 
 def count_rows(spark: SparkSession, path: str) -> int:
     return read_bronze(spark, path).count() if bronze_exists(spark, path) else 0
 
 
-def _drain(query: StreamingQuery) -> int:
-    """Run to the end; rows read, from the progress of every batch."""
-    query.awaitTermination()
-    return sum(p.numInputRows for p in query.recentProgress)
-
-
 def ingest(spark: SparkSession, settings: Settings, *, max_files_per_trigger: int | None = None) -> dict:
     """Append every pending landing file to Bronze; return run counters.
 
-    The total is one count from the file footers, the rows of this run are the
-    difference to the total before it.
+    The totals are counted from the file footers before and after, whatever
+    the number of micro-batches; the rows of this run are their difference.
     """
+    make_folder(spark, settings.resent_path)
     before = count_rows(spark, settings.bronze_path)
     stream = stream_landing(
         spark,
@@ -76,19 +84,39 @@ def ingest(spark: SparkSession, settings: Settings, *, max_files_per_trigger: in
     )
     writer = stream.writeStream.format("parquet").option("path", settings.bronze_path)
     writer = writer.option("checkpointLocation", settings.bronze_checkpoint).outputMode("append")
-    read = _drain(writer.trigger(availableNow=True).start())
-    after = count_rows(spark, settings.bronze_path) if read or not before else before
+    writer.trigger(availableNow=True).start().awaitTermination()
+    found = files_in(spark, settings.landing, settings.file_glob)
+    changed = ingest_changed(spark, settings) if found else 0
+    after = count_rows(spark, settings.bronze_path)
     metrics = {
         "table": settings.bronze_path,
         "rows_before": before,
         "rows_after": after,
         "rows_ingested": after - before,
-        "landing_files": files_in(spark, settings.landing, settings.file_glob),
+        "files_changed": changed,
+        "landing_files": found,
     }
     LOGGER.info("Bronze: %s", metrics)
     return metrics
 
 
+def ingest_changed(spark: SparkSession, settings: Settings) -> int:
+    """Read landing files again that changed under their old name; how many there were.
+
+    Their rows carry the new modification time and this run's time, so they win
+    over the old ones in Silver; Bronze keeps both. A run that died after the
+    rows were written reads them once more, which changes nothing in Silver.
+    """
+    ledger = update_ledger(spark, settings)
+    paths = [r.source_file for r in changed_files(landed_files(spark, settings), ledger).select("source_file").collect()]
+    if paths:
+        rows = read_files(spark, paths, multi_line=settings.multi_line)
+        rows.write.mode("append").parquet(settings.resent_path)
+        update_ledger(spark, settings)
+        LOGGER.info("%d landing files changed and were read again", len(paths))
+    return len(paths)
+
+
 def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str | None = None) -> dict:
     """Stream Bronze -> conform -> upsert into Silver; counters summed over the batches.
 
@@ -115,10 +143,8 @@ def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str
         sums.update({k: v for k, v in got.items() if k in ("rows_inserted", "rows_updated", "rows_changed", "rows_matched_noop")})
         sums["batches"] += 1
 
-    reader = spark.readStream.schema(BRONZE).option("maxFileAge", settings.max_file_age)
-    if settings.max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", settings.max_files_per_trigger)
-    writer = reader.parquet(settings.bronze_path).writeStream.foreachBatch(upsert_batch)
-    _drain(writer.option("checkpointLocation", stream).trigger(availableNow=True).start())
+    make_folder(spark, settings.resent_path)
+    writer = stream_bronze(spark, settings).writeStream.foreachBatch(upsert_batch)
+    writer.option("checkpointLocation", stream).trigger(availableNow=True).start().awaitTermination()
     names = ("batches", "rows_inserted", "rows_updated", "rows_changed", "rows_matched_noop")
     return {**{k: sums[k] for k in names}, "rows_deleted": 0, "rows_total": table.count()}

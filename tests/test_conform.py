@@ -73,14 +73,14 @@ def test_latest_ingest_wins(spark):
 
 def test_ties_resolve_deterministically(spark):
     rows = [
-        ("01/01/2020", "0.05", "/l/selic_1.json", T0, T0),
-        ("01/01/2020", "0.07", "/l/selic_2.json", T0, T0),
-        ("01/01/2020", "0.06", "/l/selic_2.json", T0, T0),
+        ("01/01/2020", "0.05", "/l/selic_2001.json", T0, T0),
+        ("01/01/2020", "0.07", "/l/selic_2002.json", T0, T0),
+        ("01/01/2020", "0.06", "/l/selic_2002.json", T0, T0),
     ]
     for parts in (1, 3):
         b = _bronze(spark, rows).repartition(parts)
         out = conform(b, DEFAULT_SERIES).collect()
-        assert len(out) == 1 and out[0].source_file == "/l/selic_2.json" and out[0].value == Decimal("0.07")
+        assert len(out) == 1 and out[0].source_file == "/l/selic_2002.json" and out[0].value == Decimal("0.07")
 
 
 def test_dedup_plan_limits_before_shuffle(spark):

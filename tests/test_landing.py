@@ -100,14 +100,16 @@ def test_stream_once_per_file(spark, root):
     m2 = ingest(spark, st)
     assert (m1["rows_ingested"], m2["rows_ingested"], m2["rows_after"]) == (n, 0, n)
     assert m1["landing_files"] == 2
-    # the same name overwritten is not re-read; a new name is
+    # the same name overwritten is read again, once; and so is a new name
     sel, _ = series_payload(months=1, days=3, daily="0.06")
     write_json(f"{st.landing}/selic.json", sel)
+    again = ingest(spark, st)
+    assert (again["rows_ingested"], again["files_changed"]) == (3, 1)
     assert ingest(spark, st)["rows_ingested"] == 0
     write_json(f"{st.landing}/selic_2025.json", sel)
     assert ingest(spark, st)["rows_ingested"] == 3
     b = read_bronze(spark, st.bronze_path)
-    assert b.select("ingested_at").distinct().count() == 2
+    assert b.select("ingested_at").distinct().count() == 3
 
 
 def test_multiline_off_breaks_parse_and_gate_catches_it(spark, root):
@@ -122,7 +124,7 @@ def test_layered_run_clean_and_idempotent(spark, root):
     st = settings_for(root)
     n = _land(st)
     r1 = run(spark, st)
-    assert r1.passed and len(r1.results) == 23
+    assert r1.passed and len(r1.results) == 24
     assert r1.metrics["bronze"]["rows_ingested"] == n
     assert r1.metrics["silver"]["rows_inserted"] == n
     assert r1.metrics["gold"]["rows"] == 24

@@ -84,8 +84,8 @@ def test_merge_reads_and_writes_only_touched_partitions(spark, root):
     st = settings_for(root)
     old, new = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 
-    def rows(months, ts, value):
-        return spark.createDataFrame([(11, "selic", "diaria", dt.date(2020, m, 1), f"2020-{m:02d}", value, "f", ts, ts) for m in months], SILVER)
+    def rows(months, ts, value):  # a folder holds a year: one row in each
+        return spark.createDataFrame([(11, "selic", "diaria", dt.date(2010 + m, 1, 1), f"{2010 + m}-01", value, "f", ts, ts) for m in months], SILVER)
 
     def files():
         return {os.path.join(d, f) for d, _, fs in os.walk(st.silver_path) for f in fs if f.startswith("part-")}
@@ -100,14 +100,14 @@ def test_merge_reads_and_writes_only_touched_partitions(spark, root):
     assert (got["rows_matched_noop"], got["rows_updated"]) == (6, 0) and files() == before
     got = table.merge(rows([3, 8], new, Decimal(2)), SILVER_KEY, "ingested_at")
     assert (got["rows_updated"], got["rows_inserted"], got["rows_untouched"]) == (1, 1, 5)
-    changed = {f.split("year_month=")[1][:7] for f in before ^ files()}
-    assert changed == {"2020-03", "2020-08"}
+    changed = {f.split("ref_year=")[1][:4] for f in before ^ files()}
+    assert changed == {"2013", "2018"}
     assert {r.year_month: r.value for r in table.read().collect()} == {
-        f"2020-{m:02d}": Decimal(2 if m in (3, 8) else 1) for m in (1, 2, 3, 4, 5, 6, 8)
+        f"{2010 + m}-01": Decimal(2 if m in (3, 8) else 1) for m in (1, 2, 3, 4, 5, 6, 8)
     }
-    target = table.read().join(rows([3], new, Decimal(2)).select("series_id", "year_month"), ["series_id", "year_month"], "left_semi")
-    p = plan(target)
-    assert re.search(r"PartitionFilters: \[[^\]]*series_id", p) and "year_month" in p
+    by = list(table.layout)
+    p = plan(table._stored().join(table._placed(rows([3], new, Decimal(2))).select(*by).distinct(), by, "left_semi"))
+    assert re.search(r"PartitionFilters: \[[^\]]*ref_year", p)
 
 
 def test_cluster_settings_follow_the_shuffled_bytes():
