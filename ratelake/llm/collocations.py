@@ -17,8 +17,10 @@ save little.
 from __future__ import annotations
 
 import bisect
+import itertools
 import pickle
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ SHARD_WORDS = 1_000_000
 FAN_IN = 256
 
 _ENDS = re.compile(rb"[.,;:!?\x0A-\x0D\x20\x09]")
-_TO_LINES = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
+_TO_STOPS = bytes.maketrans(b",;:!?\n\x0b\x0c\r", b"." * 9)
 
 
 def _runs(rows: np.ndarray) -> np.ndarray:
@@ -50,6 +52,25 @@ def _runs(rows: np.ndarray) -> np.ndarray:
     return new
 
 
+def _sorted_order(rows: np.ndarray, words: int) -> np.ndarray:
+    """Order of sequences of ranks up to ``words``: one sort of 64-bit keys, then of the few that only differ below."""
+    bits = int(words).bit_length()
+    wide = lambda k: rows[:, k].astype(np.uint64)
+    if bits > 21:
+        return np.lexsort((wide(2) << np.uint64(32) | wide(3), wide(0) << np.uint64(32) | wide(1)))
+    below = max(0, 4 * bits - 64)  # bits of the last word that the key has no place for
+    key = (wide(0) << np.uint64(2 * bits) | wide(1) << np.uint64(bits) | wide(2)) << np.uint64(bits - below) | wide(3) >> np.uint64(below)
+    order = np.argsort(key)
+    if below:
+        key = key[order]
+        same = np.concatenate([[False], key[1:] == key[:-1], [False]])
+        tied = np.flatnonzero(same[1:] | same[:-1])
+        if len(tied):
+            some = order[tied]
+            order[tied] = some[np.lexsort((rows[some, 3], key[tied]))]
+    return order
+
+
 def _narrow(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
 
@@ -66,22 +87,26 @@ class Automaton:
         self.words, self.rows, self.weights = words, rows, weights
 
     @classmethod
-    def of(cls, words: list[bytes], rows: np.ndarray, weights: np.ndarray) -> Automaton:
-        """From sequences in any order: sorted, equal ones added up."""
-        high, low = (rows[:, i].astype(np.uint64) << np.uint64(32) | rows[:, i + 1].astype(np.uint64) for i in (0, 2))
-        order = np.lexsort((low, high))
-        del high, low
+    def of(cls, words: list[bytes], rows: np.ndarray, weights: np.ndarray | None = None) -> Automaton:
+        """From sequences in any order: sorted, equal ones added up. No weights: each counts once."""
+        order = _sorted_order(rows, len(words))
         rows = rows[order]
         at = np.flatnonzero(_runs(rows)[:, -1])
-        return cls(words, rows[at], np.add.reduceat(weights[order], at) if len(at) else weights)
+        if weights is None:
+            weights = np.diff(np.append(at, len(rows)))
+        elif len(at):
+            weights = np.add.reduceat(weights[order], at)
+        return cls(words, rows[at], weights)
 
     def part(self, first: int, last: int) -> Automaton:
         """The sequences [first, last), with the words that they use."""
         rows = self.rows[first:last]
-        used, coded = np.unique(rows, return_inverse=True)
-        coded = coded.reshape(rows.shape)
-        none = int(len(used) > 0 and used[0] == 0)  # whether some sequence is short
-        return Automaton([self.words[i - 1] for i in used[none:].tolist()], (coded + (1 - none)).astype(np.int32), self.weights[first:last])
+        used = np.zeros(len(self.words) + 1, bool)
+        used[rows.ravel()] = True
+        used[0] = False
+        coded = np.cumsum(used, dtype=np.int32)
+        coded[0] = 0
+        return Automaton(list(map(self.words.__getitem__, (np.flatnonzero(used) - 1).tolist())), coded[rows], self.weights[first:last])
 
     def key(self, i: int) -> bytes:
         """Sequence ``i`` as bytes that sort as the sequences do: each word closed by a tab, which no word has."""
@@ -99,7 +124,7 @@ class Automaton:
                 above = np.flatnonzero(new[:, k - 1] & (rows[:, k - 1] > 0))
                 fans.append(_narrow(np.diff(np.append(np.searchsorted(arcs, above), len(arcs)))))
         packed = pickle.dumps((b"\n".join(self.words), labels, fans, _narrow(self.weights)), protocol=5)
-        return zstandard.ZstdCompressor(level=3).compress(packed)
+        return zstandard.ZstdCompressor(level=1).compress(packed)
 
     @classmethod
     def load(cls, data: bytes) -> Automaton:
@@ -119,8 +144,8 @@ class Automaton:
     @classmethod
     def union(cls, automata: list[Automaton]) -> Automaton:
         """Accepts what any of them accepts, weights added."""
-        words = sorted({w for a in automata for w in a.words}, key=lambda w: w + b"\t")
-        rank = {w: i for i, w in enumerate(words, 1)}
+        words = [w[:-1] for w in sorted({w + b"\t" for w in set().union(*(a.words for a in automata))})]
+        rank = dict(zip(words, range(1, len(words) + 1)))
         rows, at = np.empty((sum(len(a.rows) for a in automata), MOST_WORDS), np.int32), 0
         for a in automata:
             rows[at : at + len(a.rows)] = np.array([0, *map(rank.__getitem__, a.words)], np.int32)[a.rows]
@@ -152,6 +177,13 @@ class Automaton:
                 yield b" ".join(self.words[w - 1] for w in self.rows[i, : k + 1].tolist()).decode("utf-8", "replace"), k + 1, f
 
 
+def _codes() -> dict[bytes, int]:
+    """Numbers words in order of their first use, from 1; 0 is the end of a piece."""
+    codes: dict[bytes, int] = defaultdict(itertools.count().__next__)
+    codes[b"."]
+    return codes
+
+
 class Shard:
     """Gathers the words of a task by language and turns them into automata."""
 
@@ -167,12 +199,13 @@ class Shard:
         while at < len(text):
             cut = _ENDS.search(text, at + run) if at + run < len(text) else None
             end = cut.start() if cut else len(text)
-            ids, codes = self.ids.setdefault(lang, []), self.codes.setdefault(lang, {})
+            if lang not in self.ids:
+                self.ids[lang], self.codes[lang] = [], _codes()
+            ids, codes = self.ids[lang], self.codes[lang]
             before = len(ids)
-            for i, piece in enumerate(text[at:end].lower().translate(_TO_LINES).split(b"\n")):
-                if i:
-                    ids.append(0)
-                ids.extend([codes.setdefault(w, len(codes) + 1) for w in piece.split()])
+            # a stop is a word by itself, numbered 0; no word holds one
+            stops = text[at:end].lower().translate(_TO_STOPS).replace(b".", b" . ")
+            ids.extend(map(codes.__getitem__, stops.split()))
             at = end
             if at == len(text):
                 ids.append(0)
@@ -183,10 +216,10 @@ class Shard:
     def flush(self) -> Iterator[tuple[str, Automaton]]:
         """All that is held; the last words of an unfinished piece stay, as their sequences aren't known yet."""
         for lang in sorted(self.ids):
-            ids, names = np.array(self.ids[lang], np.int64), list(self.codes[lang])
+            ids, names = np.array(self.ids[lang], np.int64), list(self.codes[lang])[1:]
             tail = ids[-(MOST_WORDS - 1) :]
             open_words = len(tail) - (np.flatnonzero(tail == 0)[-1] + 1 if (tail == 0).any() else 0)
-            order = sorted(range(len(names)), key=lambda i: names[i] + b"\t")
+            order = sorted(range(len(names)), key=[w + b"\t" for w in names].__getitem__)
             rank = np.zeros(len(names) + 1, np.int32)
             rank[np.array(order, np.int64) + 1] = np.arange(1, len(names) + 1)
             v = np.concatenate([rank[ids], np.zeros(MOST_WORDS - 1, np.int32)])
@@ -197,10 +230,10 @@ class Shard:
             rows = rows[: len(ids) - open_words]
             rows = rows[rows[:, 0] > 0]
             kept = [names[i - 1] for i in ids[len(ids) - open_words :].tolist()]
-            self.codes[lang] = {}
-            self.ids[lang] = [self.codes[lang].setdefault(w, len(self.codes[lang]) + 1) for w in kept]
+            self.codes[lang] = _codes()
+            self.ids[lang] = [self.codes[lang][w] for w in kept]
             if len(rows):
-                yield lang, Automaton.of([names[i] for i in order], rows, np.ones(len(rows), np.int64))
+                yield lang, Automaton.of([names[i] for i in order], rows)
         self.ids = {lang: ids for lang, ids in self.ids.items() if ids}
         self.held = sum(map(len, self.ids.values()))
 
