@@ -215,12 +215,12 @@ def near_duplicates(
     that shares a sketch is either aligned or already in one class: first every
     text against two leaders (of its buckets' most often met members the most
     often met and the most alike), then, in buckets that still hold several
-    classes, the members outside the largest class against all of another
-    class. Left out while joining, so that they make no rows, are pairs that
+    classes, all members against the hub of the largest class, and the members
+    outside that class against all of another class. Left out while joining, so that they make no rows, are pairs that
     cannot reach the threshold: by their lengths, by their 256-bit signatures
     (six sigmas), or because they share too few shingles, which is known exactly
-    where both were compared with one leader: a pair shares what the leader has
-    and neither lacks, and what both add to it. So no link found is lost and a group of
+    once both were compared with the hub: a pair shares what the hub has and
+    neither lacks, and what both add to it. So no link found is lost and a group of
     copies costs a star, not all of its pairs. Sketches of ``size`` shingles
     meet with a probability of about threshold ** size each, ``count`` times.
     Texts of at most 1.25 x ``short`` shingles also have 16 sketches of two, as
@@ -284,26 +284,36 @@ def near_duplicates(
     marked = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     sizes = marked.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
     several = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), F.max(F.struct("c", "comp")).alias("top")).where("comps > 1")
-    mixed = marked.drop("met").join(several.select("key", F.col("top.comp").alias("top")), "key").join(nodes.select("node", "bits"), "node")
-    to_lead = best.select("node", "lead").join(compared, (F.col("a") == F.col("lead")) & (F.col("b") == F.col("node")))
-    mixed = mixed.join(to_lead.select("node", "lead", "shared", "added", "missing"), "node", "left")
-    mixed = tables.write(mixed, "mixed-buckets")
-    names = (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("lead", "lx"), ("shared", "sx"), ("added", "ax"), ("missing", "mx"))
-    left = mixed.where(F.col("comp") != F.col("top")).select("key", *[F.col(c).alias(d) for c, d in names])
-    names = (("node", "b"), ("comp", "cb"), ("n", "n"), ("bits", "y"), ("lead", "ly"), ("shared", "sy"), ("added", "ay"), ("missing", "my"))
+    hubs = marked.groupBy("comp").agg(F.max(F.struct("met", "node"))["node"].alias("hub")).withColumnRenamed("comp", "top")
+    several = several.select("key", F.col("top.comp").alias("top")).join(hubs, "top")
+    mixed = tables.write(marked.drop("met").join(several, "key"), "mixed-buckets")
+    # each member of such a bucket against one text, the hub of the bucket's largest class
+    spokes = mixed.where(F.col("node") != F.col("hub")).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    spokes = tables.write(spokes.join(compared.select("a", "b"), ["a", "b"], "left_anti"), "spokes")
+    spokes = tables.write(_compared(spokes, texts, threshold, tables), "spokes-compared")
+    found = spokes.where(F.col("similarity") >= threshold).select("a", "b")
+    apart = compared.union(spokes).select(F.col("a").alias("hub"), F.col("b").alias("node"), "shared", "added", "missing")
+    mixed = mixed.join(nodes.select("node", "bits"), "node").join(apart, ["hub", "node"], "left")
+    itself = F.col("node") == F.col("hub")
+    mixed = mixed.withColumn("shared", F.when(itself, F.col("n")).otherwise(F.col("shared")))
+    mixed = mixed.withColumns({c: F.when(itself, F.array().cast("array<int>")).otherwise(F.col(c)) for c in ("added", "missing")})
+    mixed = tables.write(mixed, "mixed-members")
+    names = (("node", "a"), ("comp", "ca"), ("n", "na"), ("bits", "x"), ("shared", "sx"), ("added", "ax"), ("missing", "mx"))
+    left = mixed.where(F.col("comp") != F.col("top")).select("key", "hub", *[F.col(c).alias(d) for c, d in names])
+    names = (("node", "b"), ("comp", "cb"), ("n", "n"), ("bits", "y"), ("added", "ay"), ("missing", "my"))
     right = mixed.select("key", *[F.col(c).alias(d) for c, d in names], (F.col("comp") == F.col("top")).alias("big"))
     once = (F.col("ca") != F.col("cb")) & (F.col("big") | (F.col("a") < F.col("b")))
     alike = fits & (differing_bits("x", "y") <= most_differing_bits(threshold))
-    done = F.coalesce(F.col("lx") == F.col("b"), F.lit(False)) | F.coalesce(F.col("ly") == F.col("a"), F.lit(False))
-    # two texts share what a common leader has and neither lacks, and what both add to it
+    done = (F.col("a") == F.col("hub")) | (F.col("b") == F.col("hub"))
+    # two texts share what the hub has and neither lacks, and what both add to it
     most = F.col("sx") + F.size("mx") - F.size(F.array_union("mx", "my")) + F.size(F.array_intersect("ax", "ay"))
     enough = most >= F.lit(threshold / (1 + threshold)) * (F.col("na") + F.col("n")) - 1e-6
-    known = (F.col("lx") == F.col("ly")) & F.col("ax").isNotNull() & F.col("ay").isNotNull()  # with them mx and my
+    known = F.col("ax").isNotNull() & F.col("ay").isNotNull()  # with them mx and my
     cross = left.join(right, (left["key"] == right["key"]) & once & alike & ~done & F.when(known, enough).otherwise(F.lit(True)))
     cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     cross = tables.write(cross, "cross-pairs")
     more = _compared(cross, texts, threshold, tables).where(F.col("similarity") >= threshold)
-    more = tables.write(more.select("a", "b"), "cross-links")
+    more = tables.write(found.union(more.select("a", "b")), "cross-links")
     if not more.isEmpty():
         comp = components(links.union(more), tables.write)
 
