@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ratelake.llm.common import materialize, small
 
 MAX_RATIO = 0.02
-MIN_PAGES = 5
+#: A line on one page is no boilerplate, whatever the ratio; from two pages on the ratio decides.
+MIN_PAGES = 2
 
 
 def _lines(col: str):
@@ -64,7 +65,10 @@ def drop_boilerplate(
     out = docs.join(small(found, 10_000), host == F.col("__rl_host"), "left")
     bad = F.coalesce("__rl_bad", F.array().cast("array<bigint>"))
     kept = F.filter("__rl_lines", lambda x: ~F.array_contains(F.col("__rl_b"), F.xxhash64(F.trim(x))) | (F.trim(x) == ""))
-    out = out.withColumn("__rl_b", bad).withColumn("__rl_lines", _lines(text_col))
+    out = out.withColumn("__rl_lines", _lines(text_col))
+    # the page's own bad lines, by hashing: no line is looked for in the host's whole list
+    here = F.array_intersect(F.transform("__rl_lines", lambda x: F.xxhash64(F.trim(x))), bad)
+    out = out.withColumn("__rl_b", F.coalesce(here, F.array().cast("array<bigint>")))
     out = out.withColumn("__rl_kept", F.when(F.size("__rl_b") == 0, F.col("__rl_lines")).otherwise(kept))
     cols = [F.array_join("__rl_kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     if n_lines:

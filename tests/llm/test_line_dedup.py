@@ -38,3 +38,19 @@ def test_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert drop_boilerplate(docs(spark, [(1, "x", "en", "a")]).where("false")).count() == 0
+
+
+def test_the_ratio_decides_on_hosts_of_any_size(spark):
+    rows = [(i, f"top\nown {i}\n" + ("pair" if i < 2 else f"single {i}"), "en", "four") for i in range(4)]
+    rows += [(100 + i, "\n".join([f"own {i}", "two" if i < 2 else f"x {i}", "three" if i < 3 else f"y {i}"]), "en", "hundred") for i in range(100)]
+    got = {r.doc_id: r.text for r in drop_boilerplate(docs(spark, rows)).collect()}
+    assert got == dict(brute(rows, 0.02, 2))
+    assert got[0] == "own 0" and got[3] == "own 3\nsingle 3"  # half of a small host's pages is enough, one page isn't
+    assert "two" in got[100] and "three" not in got[100]  # 2 % exactly is not above 2 %
+
+
+def test_many_bad_lines_and_very_long_pages(spark):
+    common = "\n".join(f"common {i}" for i in range(20_000))
+    rows = [(i, f"{common}\nown {i}", "en", "a") for i in range(3)] + [(9, "x" * 2_000_000, "en", "a"), (10, "\n" * 100_000, "en", "a")]
+    got = {r.doc_id: r.text for r in drop_boilerplate(docs(spark, rows)).collect()}
+    assert got == {0: "own 0", 1: "own 1", 2: "own 2", 9: "x" * 2_000_000, 10: "\n" * 100_000}
