@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import Scratch, materialize, only_caches_of, small
+from ratelake.llm.common import Scratch, free_memory, materialize, only_caches_of, small
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # splitmix64 constants
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -249,6 +249,7 @@ def near_duplicates(
                         keys.append(sketches(x, 2, 16, 1001))
                     out.append((len(seq), np.concatenate(keys), seq.tobytes(), *signature(x).tolist()))
                 yield pd.DataFrame(out, columns=["n", "keys", "seq", "s0", "s1", "s2", "s3"])
+        free_memory()
 
     base = rows.select("doc_id", "node", sketch("text").alias("s"))
     bits = F.struct(*[F.col(f"s.s{i}") for i in range(4)]).alias("bits")
@@ -345,6 +346,7 @@ def _compared(pairs: DataFrame, texts: DataFrame, threshold: float, tables: Scra
             few = max(len(added), len(missing)) <= MOST_APART + len(y) // 2
             apart = (added.view(np.int32), missing.view(np.int32)) if few else (None, None)
             out.append((aligned(x, y, threshold), len(y) - len(added), *apart))
+        free_memory()
         return pd.DataFrame(out, columns=["similarity", "shared", "added", "missing"])
 
     both = pairs.join(wanted.select(F.col("node").alias("a"), F.col("seq").alias("sa")), "a")

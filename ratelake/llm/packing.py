@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import keeps_cache, only_caches_of
+from ratelake.llm.common import free_memory, keeps_cache, only_caches_of
 
 PIECE_SCHEMA = (
     "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -115,7 +115,7 @@ class WordCache:
     ``longest`` characters are not remembered.
     """
 
-    def __init__(self, path: str, limit_bytes: int = 192_000_000, longest: int = 64):
+    def __init__(self, path: str, limit_bytes: int = 128_000_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -285,6 +285,7 @@ def pack_documents(
         flush()
         if done:
             yield frame()
+        free_memory()
 
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import keeps_cache, only_caches_of
+from ratelake.llm.common import free_memory, keeps_cache, only_caches_of
 
 SHAPES, WORDS = 1024, 2048
 ACCEPT = 0.7
@@ -215,5 +215,6 @@ def scorer(spark: SparkSession, model: Model | None):
             for at in range(0, len(texts) if shared.value else 0, 128):
                 out[at : at + 128] = shared.value.score([t or "" for t in texts.iloc[at : at + 128]])
             yield pd.Series(out)
+        free_memory()
 
     return score
