@@ -65,17 +65,19 @@ def _sum(c, where=None) -> Column:
     return F.coalesce(F.sum(c if where is None else F.when(where, c)), F.lit(0))
 
 
-def ledger_results(ledger: DataFrame, settings: Settings, landing_files: int) -> DataFrame:
-    """The Bronze rules from the file ledger, and whether landed files are lost or changed."""
-    lost = changed = F.lit(0)
-    if landing_files:
-        landed = landed_files(ledger.sparkSession, settings)
-        lost, changed = (f(landed, ledger).agg(F.count(F.lit(1))).scalar() for f in (lost_files, changed_files))
-    rules = [
-        given("landing_files", F.lit(landing_files), 1, ">="),
-        given("landing_files_without_rows", lost, 0),
-        given("landing_files_changed", changed, 0),
-    ]
+def ledger_results(ledger: DataFrame, settings: Settings, landing_files: int | None) -> DataFrame:
+    """The Bronze rules from the file ledger, and (with a number of landed files) whether any are lost or changed."""
+    rules = []
+    if landing_files is not None:
+        lost = changed = F.lit(0)
+        if landing_files:
+            landed = landed_files(ledger.sparkSession, settings)
+            lost, changed = (f(landed, ledger).agg(F.count(F.lit(1))).scalar() for f in (lost_files, changed_files))
+        rules = [
+            given("landing_files", F.lit(landing_files), 1, ">="),
+            given("landing_files_without_rows", lost, 0),
+            given("landing_files_changed", changed, 0),
+        ]
     measures = (_sum("rows"), _sum("no_provenance"), F.count_distinct("series_name"), _sum("no_raw_field"))
     rules += [dataclasses.replace(r, measure=m) for r, m in zip(bronze_rules(settings), measures)]
     return evaluate(ledger, rules, "bronze")

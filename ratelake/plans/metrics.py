@@ -1,8 +1,8 @@
 """One-row numbers of the layers, as plain columns.
 
-The Silver numbers come from a two-level aggregation (per series-month, then
-global), so per-month numbers need no second scan; distinct keys are grouped
-by the business key itself.
+They are sums over what the rules read as well: the counts per landing file
+(``streaming.ledger.file_counts``) and the month state, here taken from the
+rows of any Bronze or Silver, so each measure is written once.
 """
 
 from __future__ import annotations
@@ -10,76 +10,44 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelake.functions.series import series_attribute
 from ratelake.operators.conform import rejection_counts
-from ratelake.plans.reports import key_grain
-from ratelake.schemas import SILVER_KEY
+from ratelake.operators.month_state import month_state
 from ratelake.settings import Settings
+from ratelake.streaming.ledger import file_counts
 
 
-def bronze_metrics(bronze: DataFrame, settings: Settings, landing_files: Column) -> DataFrame:
-    """Two-level aggregation: per source file (partial aggregation map-side,
-    so a file holding a third of all rows costs one row per task in the
-    shuffle), then global over the file rows. Distinct files and distinct
-    series are plain counts over the per-file rows: no row expansion."""
-    per_file = bronze.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("source_file").isNull() | F.col("ingested_at").isNull()).alias("missing"),
-        F.count_if(F.col("date_raw").isNull() & F.col("value_raw").isNull()).alias("empty"),
-    )
-    series_name = series_attribute(F.col("source_file"), settings.series, "name")
-    return per_file.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("bronze_rows"),
-        F.coalesce(F.sum("missing"), F.lit(0)).cast("bigint").alias("missing_provenance"),
-        F.count("source_file").cast("bigint").alias("distinct_files"),
-        F.count_distinct(series_name).cast("bigint").alias("distinct_series"),
-        F.coalesce(F.sum("empty"), F.lit(0)).cast("bigint").alias("empty_rows"),
-    ).withColumn("landing_files", landing_files.cast("bigint"))
+def _total(c: str | Column, where: Column | None = None) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(F.sum(c if where is None else F.when(where, c)), F.lit(0)).cast("bigint")
 
 
-def _out_of_domain(settings: Settings) -> Column:
-    cond = F.lit(False)
-    for s in settings.series:
-        lo, hi = s.domain
-        cond = cond | ((F.col("series_name") == s.name) & ((F.col("value") < lo) | (F.col("value") > hi)))
-    return cond
+def bronze_metrics(bronze: DataFrame, settings: Settings, landing_files: Column) -> DataFrame:
+    """Two levels: per source file (partial aggregation map-side, so a file that
+    holds a third of all rows costs one row per task in the shuffle), then over the files."""
+    return file_counts(bronze, settings).agg(
+        _total("rows").alias("bronze_rows"),
+        _total("no_provenance").alias("missing_provenance"),
+        F.count("source_file").alias("distinct_files"),
+        F.count_distinct("series_name").alias("distinct_series"),
+        _total("no_raw_field").alias("empty_rows"),
+    ).withColumn("landing_files", landing_files.cast("bigint"))
 
 
 def silver_metrics(silver: DataFrame, settings: Settings, bronze: DataFrame | None = None) -> DataFrame:
-    infl, pol = settings.inflation_series, settings.policy_series
-    per_month = silver.groupBy("series_id", "series_name", "year_month").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(_out_of_domain(settings)).alias("ood"),
-        F.count_if(
-            (F.col("ref_date") < F.lit(settings.first_date).cast("date"))
-            | (F.col("ref_date") > F.lit(settings.last_date).cast("date"))
-        ).alias("oow"),
-        F.count_if(F.dayofmonth("ref_date") != 1).alias("not_day1"),
-        F.count_if(F.col("value") <= -100).alias("nonpos"),
-        F.count_if(
-            F.col("series_id").isNull()
-            | F.col("series_name").isNull()
-            | F.col("granularity").isNull()
-            | F.col("ref_date").isNull()
-            | F.col("year_month").isNull()
-            | F.col("value").isNull()
-        ).alias("nulls"),
-    )
-    m = per_month.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("silver_rows"),
-        F.coalesce(F.sum("ood"), F.lit(0)).cast("bigint").alias("out_of_domain"),
-        F.coalesce(F.sum("oow"), F.lit(0)).cast("bigint").alias("out_of_window"),
-        F.count_distinct(F.when(F.col("series_name") == infl, F.col("year_month"))).cast("bigint").alias("inflation_months"),
-        F.coalesce(F.sum(F.when(F.col("series_name") == infl, F.col("not_day1"))), F.lit(0))
-        .cast("bigint")
-        .alias("inflation_not_day1"),
-        F.count_if((F.col("series_name") == pol) & (F.col("n") < settings.min_policy_days_per_month))
-        .cast("bigint")
-        .alias("thin_policy_months"),
-        F.coalesce(F.sum("nonpos"), F.lit(0)).cast("bigint").alias("nonpositive_factors"),
-        F.coalesce(F.sum("nulls"), F.lit(0)).cast("bigint").alias("null_required"),
+    month, series = F.col("year_month"), F.col("series_name")
+    infl, pol = series == settings.inflation_series, series == settings.policy_series
+    outside = (month < settings.first_month) | (month > settings.last_month)
+    m = month_state(silver, settings.series).agg(
+        _total("rows").alias("silver_rows"),
+        _total("keys").alias("distinct_keys"),
+        _total("out_of_domain").alias("out_of_domain"),
+        _total("rows", outside).alias("out_of_window"),
+        F.count_distinct(F.when(infl, month)).alias("inflation_months"),
+        _total("not_day_1", infl).alias("inflation_not_day1"),
+        F.count_if(pol & (F.col("rows") < settings.min_policy_days_per_month)).alias("thin_policy_months"),
+        _total("not_above_minus_100").alias("nonpositive_factors"),
+        _total("nulls").alias("null_required"),
     )
-    m = m.withColumn("distinct_keys", key_grain(silver, SILVER_KEY).select("distinct_keys").scalar())
     if bronze is None:
         return m
     counts = rejection_counts(bronze, settings.series, date_format=settings.raw_date_format, value_type=settings.value_type)
@@ -87,23 +55,16 @@ def silver_metrics(silver: DataFrame, settings: Settings, bronze: DataFrame | No
 
 
 def gold_metrics(gold: DataFrame, settings: Settings) -> DataFrame:
-    tol = settings.fisher_tolerance
-    fisher_gap = F.abs(
-        (F.lit(1) + F.col("real_month") / 100) * (F.lit(1) + F.col("inflation_month") / 100)
-        - (F.lit(1) + F.col("policy_month") / 100)
-    )
+    one = lambda c: 1 + F.col(c) / 100
+    gap = F.abs(one("real_month") * one("inflation_month") - one("policy_month"))
+    missing = F.lit(False)
+    for c in ("policy_mean_day", "policy_month", "inflation_month", "real_month"):
+        missing = missing | F.col(c).isNull()
     return gold.agg(
-        F.count(F.lit(1)).cast("bigint").alias("gold_rows"),
-        F.count_distinct("year_month").cast("bigint").alias("distinct_months"),
-        F.count_if(
-            F.col("policy_mean_day").isNull()
-            | F.col("policy_month").isNull()
-            | F.col("inflation_month").isNull()
-            | F.col("real_month").isNull()
-        )
-        .cast("bigint")
-        .alias("missing_metrics"),
-        F.count("real_12m").cast("bigint").alias("filled_rolling"),
-        F.count_if(fisher_gap > F.lit(tol)).cast("bigint").alias("fisher_violations"),
-        F.count_if(F.col("policy_days") < settings.min_policy_days_per_month).cast("bigint").alias("thin_policy_months"),
+        F.count(F.lit(1)).alias("gold_rows"),
+        F.count_distinct("year_month").alias("distinct_months"),
+        F.count_if(missing).alias("missing_metrics"),
+        F.count("real_12m").alias("filled_rolling"),
+        F.count_if(gap > settings.fisher_tolerance).alias("fisher_violations"),
+        F.count_if(F.col("policy_days") < settings.min_policy_days_per_month).alias("thin_policy_months"),
     )

@@ -816,16 +816,15 @@ SELECT CAST(COUNT(*) AS BIGINT) AS gold_rows,
 FROM gold"""
 
 
-def _standin_landing_files(bronze: DataFrame):
-    return bronze.agg(F.count_distinct("source_file")).scalar()
-
-
 @register("bronze_metrics", _with(OBS_CTE, LAYERS_CTE) + BRONZE_METRICS_SQL)
 def q_bronze_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze's numbers beside the number of files that were landed for it."""
     from ratelake.plans.metrics import bronze_metrics
+    from ratelake.sources.landing import count_files, read_landing
 
-    bronze = _bronze(spark, sf_dir)
-    return bronze_metrics(bronze, _settings(spark), _standin_landing_files(bronze))
+    st, _ = _fresh_run(spark, sf_dir, "bronze-metrics")
+    bronze = read_landing(spark, st.landing, st.file_glob, multi_line=st.multi_line)
+    return bronze_metrics(bronze, st, count_files(spark, st.landing, st.file_glob).scalar())
 
 
 @register("silver_metrics", _with(OBS_CTE, LAYERS_CTE) + SILVER_METRICS_SQL)
@@ -900,13 +899,17 @@ RUN_REPORT_SQL = _rules_sql(LANDING_RULES_SQL + BRONZE_RULES_SQL)
 
 
 def _quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules on the rendered layers; those on landed files are left to the physical runs."""
-    from ratelake.plans.checks import bronze_results, gold_results, silver_results
+    """Rules on the rendered layers, as a run checks them: over the counts per file
+    and the month state. Those on landed files are left to the physical runs."""
+    from ratelake.operators.month_state import month_state
+    from ratelake.plans.checks import gold_results, ledger_results, state_results
+    from ratelake.streaming.ledger import file_counts
 
     st, bronze, silver, gold = _standin_layers(spark, sf_dir)
+    ledger = file_counts(bronze, st)
     return (
-        bronze_results(bronze, st, landing=False)
-        .unionByName(silver_results(silver, st, bronze))
+        ledger_results(ledger, st, None)
+        .unionByName(state_results(month_state(silver, st.series), st, ledger))
         .unionByName(gold_results(gold, st))
     )
 
@@ -1490,6 +1493,39 @@ def q_changed_file_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("*", *[F.lit(v).cast("bigint").alias(k) for k, v in counted.items()])
 
 
+@register(
+    "batch_replay",
+    _with(OBS_CTE, LAYERS_CTE)
+    + """
+SELECT series_id, series_name, granularity, ref_date, year_month, value,
+       CAST(1 AS BIGINT) AS writes_first, CAST(1 AS BIGINT) AS writes_replayed, CAST(2 AS BIGINT) AS writes_unrecorded,
+       CAST(0 AS BIGINT) AS rows_changed_by_replays
+FROM silver""",
+)
+def q_batch_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A micro-batch is run again, as after a crash before its commit: once with
+    its write in the audit (skipped) and once without (merged again)."""
+    from ratelake.session import remove_path
+    from ratelake.streaming.ingest import incremental_silver, ingest, silver_table
+
+    st, _ = _fresh_run(spark, sf_dir, "replay")
+    ingest(spark, st)
+    incremental_silver(spark, st)
+    table, writes, changed = silver_table(spark, st), [], 0
+    writes.append(table.audit().count())
+    for lost in ("the commit", "the commit and the audit"):
+        remove_path(spark, f"{st.checkpoints}/silver/commits/0")
+        remove_path(spark, f"{st.checkpoints}/silver/commits/.0.crc")
+        if lost != "the commit":
+            table.audit().where("false").coalesce(1).write.mode("overwrite").parquet(table.audit_path)
+        got = incremental_silver(spark, st)
+        changed += got["rows_inserted"] + got["rows_updated"]
+        writes.append(table.audit().count() + (lost != "the commit"))
+    counted = dict(zip(("writes_first", "writes_replayed", "writes_unrecorded"), writes)) | {"rows_changed_by_replays": changed}
+    rows = table.read().select(*SILVER_ROW_COLS)
+    return rows.select("*", *[F.lit(v).cast("bigint").alias(k) for k, v in counted.items()])
+
+
 GOLD_ROWS_SQL = gold_oracle()
 
 

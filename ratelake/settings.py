@@ -99,6 +99,9 @@ class Settings:
     # A file this much older than the newest one seen would be skipped for ever;
     # the default never skips, as late corrections and backfills keep old times.
     max_file_age: str = "36500d"
+    # Folder to which the stream moves files that it has read (None: they stay in
+    # the landing folder, which each run then lists whole). Outside of landing/.
+    archive: str | None = None
     raw_date_format: str = RAW_DATE_FORMAT
     value_type: str = VALUE_TYPE
     # Gold.

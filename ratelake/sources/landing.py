@@ -85,15 +85,22 @@ def stream_landing(
     recursive: bool = True,
     max_files_per_trigger: int | None = None,
     max_file_age: str = "36500d",
+    archive: str | None = None,
 ) -> DataFrame:
     """Streaming read: each new file is read once per checkpoint.
 
+    With ``archive`` files are moved there once a later batch or run has begun
+    (Spark keeps their whole path below it), so the landing folder that every
+    trigger lists holds new files only.
+
     ``max_file_age`` is explicit, as Spark's default of a week silently drops
     files with an older modification time than that before the newest one.
     """
     r = _reader(spark.readStream, glob, multi_line, recursive).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return _with_provenance(r.load(path))
 
 

@@ -81,12 +81,16 @@ def ingest(spark: SparkSession, settings: Settings, *, max_files_per_trigger: in
         multi_line=settings.multi_line,
         max_files_per_trigger=max_files_per_trigger or settings.max_files_per_trigger,
         max_file_age=settings.max_file_age,
+        archive=settings.archive,
     )
     writer = stream.writeStream.format("parquet").option("path", settings.bronze_path)
     writer = writer.option("checkpointLocation", settings.bronze_checkpoint).outputMode("append")
     writer.trigger(availableNow=True).start().awaitTermination()
-    found = files_in(spark, settings.landing, settings.file_glob)
-    changed = ingest_changed(spark, settings) if found else 0
+    waiting = files_in(spark, settings.landing, settings.file_glob)
+    archived = files_in(spark, settings.archive, settings.file_glob) if settings.archive else 0
+    if archived or waiting:
+        ledger = update_ledger(spark, settings)
+    changed = ingest_changed(spark, settings, ledger) if waiting else 0
     after = count_rows(spark, settings.bronze_path)
     metrics = {
         "table": settings.bronze_path,
@@ -94,20 +98,19 @@ def ingest(spark: SparkSession, settings: Settings, *, max_files_per_trigger: in
         "rows_after": after,
         "rows_ingested": after - before,
         "files_changed": changed,
-        "landing_files": found,
+        "landing_files": waiting + archived,
     }
     LOGGER.info("Bronze: %s", metrics)
     return metrics
 
 
-def ingest_changed(spark: SparkSession, settings: Settings) -> int:
+def ingest_changed(spark: SparkSession, settings: Settings, ledger: DataFrame) -> int:
     """Read landing files again that changed under their old name; how many there were.
 
     Their rows carry the new modification time and this run's time, so they win
     over the old ones in Silver; Bronze keeps both. A run that died after the
     rows were written reads them once more, which changes nothing in Silver.
     """
-    ledger = update_ledger(spark, settings)
     paths = [r.source_file for r in changed_files(landed_files(spark, settings), ledger).select("source_file").collect()]
     if paths:
         rows = read_files(spark, paths, multi_line=settings.multi_line)

@@ -18,7 +18,7 @@ from ratelake.operators.conform import rejected_predicate
 from ratelake.schemas import BRONZE, LEDGER
 from ratelake.session import path_exists
 from ratelake.settings import Settings
-from ratelake.sources.landing import list_files
+from ratelake.sources.landing import files_in, list_files
 
 
 def file_counts(bronze: DataFrame, settings: Settings) -> DataFrame:
@@ -74,4 +74,7 @@ def changed_files(landed: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def landed_files(spark: SparkSession, settings: Settings) -> DataFrame:
+    """Files in the landing folder; with an archive these are the ones not moved yet."""
+    if settings.archive and not files_in(spark, settings.landing, settings.file_glob):
+        return spark.createDataFrame([], "source_file string, file_modified_at timestamp, bytes bigint")
     return list_files(spark, settings.landing, settings.file_glob)
