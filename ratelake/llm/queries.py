@@ -137,6 +137,21 @@ def op10_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages")).drop("url")
 
 
+ORACLES["op10_capture_index"] = r"""
+WITH d AS (
+  SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id,
+         array_to_string(list_transform(string_split(sha1(coalesce(html, '')), ''), lambda c:
+           array_to_string(list_transform([3, 2, 1, 0], lambda b: ((strpos('0123456789abcdef', c) - 1) >> b) & 1), '')), '') AS bits
+  FROM pages)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + list_reduce(list_transform(string_split(substr(bits, 5 * i + 1, 5), ''), lambda c: CAST(c AS INTEGER)), lambda a, b: 2 * a + b), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d
+"""
+
+
 @query
 def op11_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -192,7 +207,8 @@ ORACLES["op13_count_automata"] = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents WHERE text IS NOT NULL),
 listed AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
 grams AS (

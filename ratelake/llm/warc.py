@@ -54,10 +54,27 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+#: Hadoop's names of stores that the archives' reader knows by another name.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(uri: str) -> str:
+    """A folder as the tasks' file system names it.
+
+    ``dbfs:/x`` is the mount ``/dbfs/x``. Stores that are neither here nor known
+    to pyarrow (``viewfs``) fail with its message; ``hdfs`` needs libhdfs on the
+    workers.
+    """
+    scheme, found, rest = uri.partition(":")
+    if scheme == "dbfs":
+        return "file:///dbfs/" + rest.lstrip("/")
+    return f"{ARROW_SCHEMES.get(scheme, scheme)}{found}{rest}"
+
+
 def _filesystem(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(arrow_uri(uri))
 
 
 def record(page_id: str | None, url: str | None, payload: bytes, refers_to: str | None, date: str) -> bytes:

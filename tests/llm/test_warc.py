@@ -73,3 +73,11 @@ def test_record_bytes():
     assert r["payload"] == "é".encode() and r["payload_bytes"] == 2 and r["warc-target-uri"] == "http://a/%0D%0AB: c" and "b" not in r
     r = parse(record("5", None, b"xyz", "9", "2020-01-01T00:00:00Z"))
     assert r["payload"] is None and r["payload_bytes"] == 3 and r["warc-refers-to"] == "<urn:x-page:9>"
+
+
+def test_folders_by_the_names_of_hadoop():
+    from ratelake.llm.warc import arrow_uri
+
+    assert arrow_uri("s3a://bucket/a b/c") == "s3://bucket/a b/c"
+    assert arrow_uri("dbfs:/tmp/x") == "file:///dbfs/tmp/x"
+    assert arrow_uri("file:///tmp/x") == "file:///tmp/x" and arrow_uri("/tmp/x") == "/tmp/x"
