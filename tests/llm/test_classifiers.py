@@ -96,3 +96,48 @@ def test_quality_counts_every_character_of_an_unspaced_text():
     model = quality.Model(np.stack([quality.raw_features(t) for t in good[2:] + bad[2:]]), [1] * 18 + [0] * 18)
     score = model.score([good[0], bad[0], good[1], bad[1]])
     assert min(score[0], score[2]) > 0.7 > 0.3 > max(score[1], score[3])
+
+
+def test_prediction_against_plain_cosines(spark):
+    """Every document's trigrams bound, bundled and compared with every prototype, one by one."""
+    languages = {"aa": "abcde fgh", "bb": "bcxyz wvq", "cc": "mnopq é abc"}
+    rows = [(i, " ".join(w[i % 3 :] + w for w in text.split()) * (1 + i % 4), lang) for lang, text in languages.items() for i in range(6)]
+    learned = langid.train(docs(spark, rows), dim=128, seed=4)
+    space = langid.Space(128, 4)
+
+    def plain(text):
+        x, t = np.zeros(128), " " + " ".join("".join(c.lower() if c.isalpha() else " " for c in text).split()) + " "
+        for a, b, c in zip(t, t[1:], t[2:]) if t.strip() else ():
+            x += np.roll(space.letter(ord(a)).astype(float), 2) * np.roll(space.letter(ord(b)), 1) * space.letter(ord(c))
+        return x
+
+    for lang in languages:
+        assert np.allclose(learned[lang], sum(plain(t) for _, t, own in rows if own == lang))
+    asked = [(i, t) for i, t in enumerate(["abc", "xyz wv", "mno é", "fgh!", "a", "Q q", "abcde mnopq", "12"])]
+    got = {r.doc_id: r for r in langid.identify(spark, docs(spark, asked), learned, dim=128, seed=4).collect()}
+    for i, t in asked:
+        x = plain(t)
+        if not x.any():
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        cos = {lang: x @ p / np.linalg.norm(x) / np.linalg.norm(p) for lang, p in learned.items()}
+        best = max(sorted(cos), key=cos.get)
+        assert got[i].lang_pred == best and abs(got[i].score - max(0, cos[best])) < 1e-5
+
+
+def test_vote_against_plain_cosines(spark):
+    """The nearest of all labelled vectors found and weighted one by one."""
+    sample = [(i, sentence(("q", i % 9), 30) if i % 2 else "###$$ 123 !! " * (1 + i), i % 2) for i in range(40)]
+    model = quality.Model(np.stack([quality.raw_features(t) for _, t, _ in sample]), [x for _, _, x in sample], dims=8, neighbours=7)
+    asked = ["", "a few words", "### 12 !!", sentence(("q", 3), 12), sentence("new", 300), "x" * 500] + [t for _, t, _ in sample[:5]]
+    for block in (3, 1024):
+        got = model.score(asked, block=block)
+        for t, score in zip(asked, got):
+            v = quality._weighted(quality.raw_features(t)[None, :], model.idf)[0] @ model.basis
+            v = v / (np.linalg.norm(v) or 1)
+            near = sorted(((float(v @ w), y) for w, y in zip(model.vectors, model.labels)), reverse=True)
+            weights = [(max(0.0, c) ** 8, y) for c, y in near[:7]]
+            total = sum(w for w, _ in weights)
+            want = sum(w * y for w, y in weights) / total if total > 0 else 0.5
+            ties = abs(near[6][0] - near[7][0]) < 1e-6  # the choice among equal cosines is free
+            assert ties or abs(score - want) < 1e-4
