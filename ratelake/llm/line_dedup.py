@@ -15,6 +15,8 @@ from ratelake.llm.common import materialize, small
 MAX_RATIO = 0.02
 #: A line on one page is no boilerplate, whatever the ratio; from two pages on the ratio decides.
 MIN_PAGES = 2
+#: Hosts and lines (8 bytes each) up to which the boilerplate is broadcast.
+BROADCAST_HOSTS, BROADCAST_LINES = 10_000, 2_000_000
 
 
 def _lines(col: str):
@@ -56,13 +58,16 @@ def drop_boilerplate(
 
     The drop is a map over whole texts: a host's boilerplate is one array, at
     most (lines a page) / ``max_ratio`` long whatever the host's size. It is
-    broadcast if the hosts counted are few, else joined by host.
+    broadcast if the hosts and their lines counted are few, else joined by host.
     """
     host = F.coalesce(F.col(host_col).cast("string"), F.lit(""))
     found = boilerplate(docs.select(host.alias("host"), F.col(text_col).alias("text")), max_ratio, min_pages)
     found = found.groupBy("host").agg(F.collect_list("line").alias("__rl_bad"))
     found = materialize(found.withColumnRenamed("host", "__rl_host"), "boilerplate")
-    out = docs.join(small(found, 10_000), host == F.col("__rl_host"), "left")
+    # a row is a host and its lines: both numbers bound what is broadcast
+    lines = found.agg(F.sum(F.size("__rl_bad"))).first()[0] or 0
+    found = small(found, BROADCAST_HOSTS) if lines <= BROADCAST_LINES else found
+    out = docs.join(found, host == F.col("__rl_host"), "left")
     bad = F.coalesce("__rl_bad", F.array().cast("array<bigint>"))
     kept = F.filter("__rl_lines", lambda x: ~F.array_contains(F.col("__rl_b"), F.xxhash64(F.trim(x))) | (F.trim(x) == ""))
     out = out.withColumn("__rl_lines", _lines(text_col))
