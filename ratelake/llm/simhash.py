@@ -30,6 +30,8 @@ SEED = 42
 BYTES = 8
 #: Longest posting list whose pairs are met; members of longer ones meet in hubs.
 LONGEST_LIST = 64
+#: Fingerprints whose postings one task makes.
+TASK_ROWS = 50_000
 
 
 def word_runs(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
@@ -122,6 +124,8 @@ def links(nodes: DataFrame, bits: int = 4, longest: int = LONGEST_LIST, tables:
         raise ValueError("bits must be 2, 4 or 6")
     tables = tables or Scratch(nodes.sparkSession)
     shared = BYTES - bits
+    # a fingerprint is 8 bytes and makes up to 70 postings: tasks by rows, not by bytes
+    nodes = tables.write(nodes.repartition(max(1, -(-nodes.count() // TASK_ROWS)), "fp"), "simhash-nodes")
     posted = nodes.select("fp", F.explode(postings("fp", shared)).alias("p")).select("fp", "p.*")
     lists = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = tables.write(lists, "simhash-lists")
