@@ -21,7 +21,7 @@ from ratelake.operators.quality import RESULT_SCHEMA, DataQualityError, gate
 from ratelake.plans.checks import bronze_results, fresh_state, gold_results, ledger_results, silver_results, state_results
 from ratelake.plans.gold import build_gold, consolidated, refreshed_gold
 from ratelake.schemas import GOLD, GOLD_TEXT, SILVER_KEY
-from ratelake.session import _context, materialize
+from ratelake.session import _context, written_once
 from ratelake.settings import Settings
 from ratelake.sources.tables import StoredTable, sql_text
 from ratelake.streaming.ingest import SILVER_COMPARE, incremental_silver, ingest, read_bronze, silver_table
@@ -96,10 +96,10 @@ def run_silver(spark: SparkSession, s: Settings, ledger: DataFrame, report: RunR
         # staged, as the upsert reads it more than once
         bronze = read_bronze(spark, s.bronze_path)
         source = conform(bronze, s.series, date_format=s.raw_date_format, value_type=s.value_type)
-        source = materialize(source, "silver-staging")
         first = s.gate_mode == "before_commit"
         accept = (lambda rows: report.check(state_results(month_state(rows, s.series), s, ledger), "silver", stop)) if first else None
-        m = table.merge(source, SILVER_KEY, "ingested_at", compare=SILVER_COMPARE, check_unique=False, accept=accept)
+        with written_once(source, "silver-staging") as source:
+            m = table.merge(source, SILVER_KEY, "ingested_at", compare=SILVER_COMPARE, check_unique=False, accept=accept)
         stored = m.pop("committed")
     report.metrics["silver"] = {"rows_before": before, "rows_after": m["rows_total"], "rows_new": m["rows_total"] - before, **m}
     if s.gate_mode == "after_commit":

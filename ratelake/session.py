@@ -7,6 +7,7 @@ setting is absent (tests, bench).
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -145,6 +146,18 @@ def materialize(df, label: str):
     return spark.read.parquet(path)
 
 
+@contextlib.contextmanager
+def written_once(df, label: str):
+    """``materialize`` for the length of a block: the table goes when the block ends."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.parquet(path)
+    finally:
+        remove_path(spark, path)
+
+
 #: Most shuffle partitions ``cluster_settings`` asks for: beyond it, map outputs
 #: (one index entry per map task and partition) cost more than larger partitions.
 MAX_SHUFFLE_PARTITIONS = 20_000

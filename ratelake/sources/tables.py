@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from ratelake.operators.upsert import CHANGE, VALUES_CHANGED, assert_unique_keys, change_counts, merge_changes
 from ratelake.schemas import AUDIT, COLUMN_TEXTS
-from ratelake.session import materialize, path_exists, put_text, read_text, remove_path
+from ratelake.session import path_exists, put_text, read_text, remove_path, written_once
 
 Accept = Callable[[DataFrame], bool]
 
@@ -172,10 +172,12 @@ class StoredTable:
         the catalog, go over to it once it is complete. The version before it
         is kept for readers that are still at it, older ones go.
         """
-        staged = materialize(df, "rebuild") if accept else df
-        if accept and not accept(staged):
-            return {"committed": False, "rows_total": self.count()}
-        rows = staged.select(*self.schema.names)
+        if accept:
+            with written_once(df, "rebuild") as staged:
+                if not accept(staged):
+                    return {"committed": False, "rows_total": self.count()}
+                return self.overwrite(staged, operation, None, extra)
+        rows = df.select(*self.schema.names)
         if not self.versioned:
             rows.write.mode("overwrite").parquet(self.path)
         else:
@@ -216,7 +218,12 @@ class StoredTable:
         # the folders are a bounded list: they prune the scan
         target = stored.join(self._placed(source).select(*by).distinct(), by, "left_semi") if by else stored
         merged = merge_changes(target.select(*self.schema.names), source, keys, newer_by, compare=compare)
-        merged = materialize(merged, "merged")
+        with written_once(merged, "merged") as merged:
+            return self._commit(merged, stored, before, accept, extra or {})
+
+    def _commit(self, merged: DataFrame, stored: DataFrame, before: int, accept: Accept | None, extra: Mapping[str, object]) -> dict:
+        """Store the written rows of a merge and record it."""
+        by = list(self.layout)
         counts = change_counts(merged.select(*[c for c in (CHANGE, VALUES_CHANGED) if c in merged.columns])).first().asDict()
         counts["rows_total"] = before + counts["rows_inserted"]
         counts["rows_untouched"] = counts["rows_total"] - counts["rows_inserted"] - counts["rows_updated"] - counts["rows_matched_noop"]
@@ -230,7 +237,7 @@ class StoredTable:
             return {**counts, "committed": False, "rows_total": before}
         folders = self._write(rewrite) if any_change else []
         touched = merged.where(F.col(CHANGE).isin("inserted", "updated")) if any_change else None
-        self._record("MERGE", {**counts, **self._span(touched), **(extra or {})})
+        self._record("MERGE", {**counts, **self._span(touched), **extra})
         self._publish(folders)
         return {**counts, "committed": True}
 

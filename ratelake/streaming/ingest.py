@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from ratelake.operators.conform import conform
 from ratelake.operators.month_state import month_state
 from ratelake.schemas import BRONZE, MONTH_STATE, SILVER, SILVER_KEY, SILVER_LAYOUT, SILVER_TEXT
-from ratelake.session import make_folder, materialize, path_exists
+from ratelake.session import make_folder, path_exists, written_once
 from ratelake.settings import Settings
 from ratelake.sources.landing import files_in, read_files, stream_landing
 from ratelake.sources.tables import StoredTable
@@ -137,12 +137,12 @@ def incremental_silver(spark: SparkSession, settings: Settings, checkpoint: str
             LOGGER.info("batch %s is in the audit already; skipped", batch_id)
             return
         source = conform(batch, settings.series, date_format=settings.raw_date_format, value_type=settings.value_type)
-        source = materialize(source, "silver-batch")
-        got = table.merge(
-            source, SILVER_KEY, "ingested_at", compare=SILVER_COMPARE,
-            check_unique=False,  # conform() keeps one row per key
-            extra={"batch_id": batch_id, "stream": stream},
-        )
+        with written_once(source, "silver-batch") as source:
+            got = table.merge(
+                source, SILVER_KEY, "ingested_at", compare=SILVER_COMPARE,
+                check_unique=False,  # conform() keeps one row per key
+                extra={"batch_id": batch_id, "stream": stream},
+            )
         sums.update({k: v for k, v in got.items() if k in ("rows_inserted", "rows_updated", "rows_changed", "rows_matched_noop")})
         sums["batches"] += 1
 

@@ -210,3 +210,16 @@ def test_series_are_mapped_once_a_file(spark):
     assert plan.count("RLIKE") + plan.count("rlike") >= 1 and "HashAggregate" in plan
     top = plan[: plan.index("HashAggregate")]
     assert "BroadcastHashJoin" in top or "SortMergeJoin" in top
+
+
+def test_runs_leave_no_scratch_tables(spark, root):
+    from ratelake.session import shared_root
+
+    shared = shared_root(spark).removeprefix("file:")
+    before = set(os.listdir(shared))
+    for k, options in enumerate(({}, {"silver_mode": "batch"}, {"silver_mode": "batch", "gate_mode": "before_commit"})):
+        st = settings_for(f"{root}/{k}", **options)
+        _land(st)
+        assert run(spark, st).passed and run(spark, st).passed
+    left = {p.rsplit("-", 1)[0] for p in set(os.listdir(shared)) - before}
+    assert not left & {"merged", "silver-batch", "silver-staging", "rebuild"}
