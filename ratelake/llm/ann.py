@@ -93,14 +93,19 @@ def _top_of_block(k: int):
         own = left["query_id"].to_numpy(np.int64)
         q = np.stack(left["query"].to_list()).astype(np.float64)
         out_q, out_v = [], []
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        ends = np.append(first[1:], len(ids))
         for at in range(0, len(q), 512):  # bounds the score matrix
             # rounding makes equal vectors tie; members stand in id order
-            s = np.round(q[at : at + 512] @ v.T, 12)
-            s[own[at : at + 512, None] == ids[None, :]] = -np.inf
-            kth = np.partition(s, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(s), -np.inf)
+            rows = np.round(q[at : at + 512] @ v.T, 12)
+            rows[own[at : at + 512, None] == ids[None, :]] = -np.inf
+            s = np.maximum.reduceat(rows, first, axis=1) if len(first) < len(ids) else rows  # an id counts with its best vector
+            kth = np.partition(s, -k, axis=1)[:, -k] if len(first) > k else np.full(len(s), -np.inf)
             for i in range(len(s)):
                 near = np.flatnonzero((s[i] >= kth[i]) & (s[i] > -np.inf))
                 near = near[np.argsort(-s[i, near], kind="stable")[:k]]
+                if len(first) < len(ids):
+                    near = np.array([first[g] + rows[i, first[g] : ends[g]].argmax() for g in near], np.int64)
                 out_v.append(near)
                 out_q.append(np.full(len(near), at + i))
         qi, vi = np.concatenate(out_q), np.concatenate(out_v)
@@ -167,6 +172,9 @@ def nearest(
     for r in sizes:
         counts[r["tree"], r["leaf"]] = r["n"]
     budget = scan * counts.sum()
+    # an id with several vectors has several postings in a tree: so many give k other ids for certain
+    most = indexed.groupBy("vec_id").count().agg(F.max("count")).first()[0] or 1
+    least = (k + 1) * most
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         f = forest.value
@@ -176,7 +184,7 @@ def nearest(
                 margins = f.margins(np.stack(part["query"].to_list()))
                 yield pd.DataFrame(
                     {"query_id": part["query_id"], "query": part["query"],
-                     "visits": [[{"tree": t, "leaf": x} for t, x in f.search(m, counts, budget, k + 1)] for m in margins]}
+                     "visits": [[{"tree": t, "leaf": x} for t, x in f.search(m, counts, budget, least)] for m in margins]}
                 )
 
     asked = clean(queries).where(F.size("embedding") == dim).dropDuplicates(["vec_id", "embedding"])

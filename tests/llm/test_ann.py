@@ -60,3 +60,18 @@ def test_awkward_rows(spark):
     assert [(r.query_id, r.vec_id, r.score) for r in got] == [(0, 8, 3.0), (0, 6, 1.5)]
     assert nearest(table.where("false"), table, k=3).count() == 0
     assert nearest(table, table.where("false"), k=3).count() == 0
+
+
+def test_an_id_of_many_vectors_leaves_room_for_others(spark):
+    """20 other ids are found whenever there are 20, also where one id fills every leaf near the query."""
+    rng = np.random.default_rng(3)
+    query = rng.standard_normal(8)
+    rows = [(0, [float(x) for x in query])]
+    rows += [(7, [float(x) for x in 3 * query + 0.1 * rng.standard_normal(8)]) for _ in range(400)]
+    rows += [(100 + i, [float(x) for x in rng.standard_normal(8)]) for i in range(300)]
+    table = frame(spark, rows)
+    got = nearest(table, table.where("vec_id = 0"), k=20, depth=3, block=64).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 21)) and len({r.vec_id for r in got}) == 20
+    want = exact(rows, 0, 20)
+    assert got[0].vec_id == 7 and got[0].score == pytest.approx(want[0][1], abs=1e-12)
+    assert len({r.vec_id for r in got} & {i for i, _ in want}) >= 18
