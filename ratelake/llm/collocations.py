@@ -21,7 +21,7 @@ import itertools
 import pickle
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,9 +34,9 @@ from ratelake.llm.common import Scratch, free_memory, small
 
 MOST_WORDS = 4
 #: Sequences in one automaton, and about as many (before they are united) in one prefix range.
-BLOCK_ROWS, RANGE_ROWS = 32_000, 500_000
+BLOCK_ROWS, RANGE_ROWS = 32_000, 300_000
 #: Words after which a task sends its automata on.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 1_500_000
 #: Most shards that are united at once; more are united in several rounds.
 FAN_IN = 256
 
@@ -59,7 +59,10 @@ def _sorted_order(rows: np.ndarray, words: int) -> np.ndarray:
     if bits > 21:
         return np.lexsort((wide(2) << np.uint64(32) | wide(3), wide(0) << np.uint64(32) | wide(1)))
     below = max(0, 4 * bits - 64)  # bits of the last word that the key has no place for
-    key = (wide(0) << np.uint64(2 * bits) | wide(1) << np.uint64(bits) | wide(2)) << np.uint64(bits - below) | wide(3) >> np.uint64(below)
+    key = wide(0)
+    for k, shift in ((1, bits), (2, bits), (3, bits - below)):
+        key <<= np.uint64(shift)
+        key |= wide(k) >> np.uint64(bits - shift)
     order = np.argsort(key)
     if below:
         key = key[order]
@@ -89,7 +92,7 @@ class Automaton:
     @classmethod
     def of(cls, words: list[bytes], rows: np.ndarray, weights: np.ndarray | None = None) -> Automaton:
         """From sequences in any order: sorted, equal ones added up. No weights: each counts once."""
-        order = _sorted_order(rows, len(words))
+        order = _sorted_order(rows, len(words)).astype(np.int32)
         rows = rows[order]
         at = np.flatnonzero(_runs(rows)[:, -1])
         if weights is None:
@@ -142,15 +145,23 @@ class Automaton:
         return cls(words.split(b"\n"), rows, weights.astype(np.int64))
 
     @classmethod
-    def union(cls, automata: list[Automaton]) -> Automaton:
-        """Accepts what any of them accepts, weights added."""
-        words = [w[:-1] for w in sorted({w + b"\t" for w in set().union(*(a.words for a in automata))})]
-        rank = dict(zip(words, range(1, len(words) + 1)))
-        rows, at = np.empty((sum(len(a.rows) for a in automata), MOST_WORDS), np.int32), 0
+    def union(cls, automata: Iterable[Automaton]) -> Automaton:
+        """Accepts what any of them accepts, weights added; they are taken one after the other."""
+        codes: dict[bytes, int] = defaultdict(itertools.count(1).__next__)
+        parts, weights = [], []
         for a in automata:
-            rows[at : at + len(a.rows)] = np.array([0, *map(rank.__getitem__, a.words)], np.int32)[a.rows]
-            at += len(a.rows)
-        return cls.of(words, rows, np.concatenate([a.weights for a in automata]))
+            own = np.fromiter(map(codes.__getitem__, a.words), np.int32, len(a.words))
+            parts.append(np.concatenate([np.zeros(1, np.int32), own])[a.rows])
+            weights.append(a.weights)
+        rows = np.concatenate(parts)
+        parts.clear()
+        words = list(codes)
+        order = sorted(range(len(words)), key=[w + b"\t" for w in words].__getitem__)
+        rank = np.zeros(len(words) + 1, np.int32)
+        rank[np.array(order, np.int64) + 1] = np.arange(1, len(words) + 1)
+        for k in range(MOST_WORDS):
+            rows[:, k] = rank[rows[:, k]]
+        return cls.of([words[i] for i in order], rows, np.concatenate(weights))
 
     def blocks(self, rows: int) -> Iterator[tuple[bytes, bytes, int, bytes]]:
         """(first key, last key, sequences, automaton) of runs of ``rows`` sequences."""
@@ -306,7 +317,7 @@ def united_shards(blocks: DataFrame, shards: int, range_rows: int, block_rows: i
     """
 
     def unite(group: pd.DataFrame) -> pd.DataFrame:
-        whole = Automaton.union([Automaton.load(x) for x in group["automaton"]])
+        whole = Automaton.union(map(Automaton.load, group["automaton"]))
         same = (group["lang"].iloc[0], int(group["shard"].iloc[0]))
         return pd.DataFrame([(*same, *b) for b in whole.blocks(block_rows)], columns=_COLUMNS)
 
@@ -325,7 +336,7 @@ def summed_counts(blocks: DataFrame, bounds: list[tuple[str, bytes]], least: int
 
     def unite(group: pd.DataFrame) -> pd.DataFrame:
         lang = group["lang"].iloc[0]
-        whole = Automaton.union([Automaton.load(x) for x in group["automaton"]])
+        whole = Automaton.union(map(Automaton.load, group["automaton"]))
         rows = [(lang, *p) for p in whole.prefixes(least)]
         rows.append((lang, None, 0, int(whole.weights.sum())))
         del whole
