@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
@@ -36,7 +37,7 @@ MOST_WORDS = 4
 #: Sequences in one automaton, and about as many (before they are united) in one prefix range.
 BLOCK_ROWS, RANGE_ROWS = 32_000, 300_000
 #: Words after which a task sends its automata on.
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 1_000_000
 #: Most shards that are united at once; more are united in several rounds.
 FAN_IN = 256
 
@@ -252,29 +253,36 @@ class Shard:
 def shard_automata(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", shard_words: int = SHARD_WORDS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """lang, shard, first, last (bounds of the sequences), n (sequences), automaton."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = Shard(shard_words), TaskContext.get().partitionId() << 32
 
-        def rows(found: Iterator[tuple[str, Automaton]]) -> Iterator[pd.DataFrame]:
+        def rows(found: Iterator[tuple[str, Automaton]]) -> Iterator[pa.RecordBatch]:
             for lang, whole in found:
                 for block in whole.blocks(block_rows):
-                    yield pd.DataFrame([(lang, number, *block)], columns=_COLUMNS)
+                    yield _record(_BLOCK, [(lang, number, *block)])
             free_memory()
 
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
+            for lang, text in zip(batch.column("lang"), batch.column("text")):  # a text at a time
                 held = shard.held
-                yield from rows(shard.add(lang, text or b""))
+                yield from rows(shard.add(lang.as_py(), text.as_py() or b""))
                 number += shard.held < held  # it was flushed: the next words are another shard
         yield from rows(shard.flush())
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     docs = docs.select(lang.alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    return docs.mapInPandas(run, _SCHEMA)
+    return docs.mapInArrow(run, _SCHEMA)
 
 
 _SCHEMA = "lang string, shard long, first binary, last binary, n long, automaton binary"
 _COLUMNS = [c.split()[0] for c in _SCHEMA.split(", ")]
+_BLOCK = pa.schema(list(zip(_COLUMNS, (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary()))))
+_PIECE = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("range", pa.int32()), ("automaton", pa.binary())])
+
+
+def _record(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def range_bounds(blocks: DataFrame, ranges: int) -> list[tuple[str, bytes]]:
@@ -287,25 +295,26 @@ def range_bounds(blocks: DataFrame, ranges: int) -> list[tuple[str, bytes]]:
 def cut_at(blocks: DataFrame, bounds: list[tuple[str, bytes]]) -> DataFrame:
     """lang, shard, range, automaton: each block in the ranges that it reaches into."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for lang, shard, first, last, data in zip(*(batch[c] for c in ("lang", "shard", "first", "last", "automaton"))):
-                lo = max(0, bisect.bisect_right(bounds, (lang, first)) - 1)
-                hi = max(0, bisect.bisect_right(bounds, (lang, last)) - 1)
+            for lang, shard, first, last, data in zip(*(batch.column(c) for c in ("lang", "shard", "first", "last", "automaton"))):
+                lang, shard, data = lang.as_py(), shard.as_py(), data.as_py()  # a block at a time
+                lo = max(0, bisect.bisect_right(bounds, (lang, first.as_py())) - 1)
+                hi = max(0, bisect.bisect_right(bounds, (lang, last.as_py())) - 1)
                 if lo == hi:
-                    out.append((lang, shard, lo, data))
+                    yield _record(_PIECE, [(lang, shard, lo, data)])
                     continue
-                whole, at = Automaton.load(data), 0
+                whole, at, out = Automaton.load(data), 0, []
                 for r in range(lo, hi + 1):
                     n = len(whole.rows)
                     end = bisect.bisect_left(range(n), bounds[r + 1][1], lo=at, key=whole.key) if r < hi else n
                     if end > at:
                         out.append((lang, shard, r, whole.part(at, end).dump()))
                     at = end
-            yield pd.DataFrame(out, columns=["lang", "shard", "range", "automaton"])
+                yield _record(_PIECE, out)
+        free_memory()
 
-    return blocks.mapInPandas(cut, "lang string, shard long, range int, automaton binary")
+    return blocks.mapInArrow(cut, "lang string, shard long, range int, automaton binary")
 
 
 def united_shards(blocks: DataFrame, shards: int, range_rows: int, block_rows: int, fan_in: int, tables: Scratch) -> DataFrame:
