@@ -25,6 +25,12 @@ def scaled_int(col: str, decimals: int = 2) -> Column:
     return F.expr(f"CAST(CAST({col} AS DECIMAL(18,{decimals})) * {10 ** decimals} AS BIGINT)")
 
 
+def whole_number(value: Column) -> Column:
+    """A DOUBLE rounded to BIGINT; NULL where BIGINT can't hold it (a plain cast ends the query there)."""
+    r = F.round(value)
+    return F.when((r >= -(2.0**63)) & (r < 2.0**63), r.cast("bigint"))
+
+
 def exact_mean_from(sum_sql: str, count_sql: str, decimals: int = 2, shift: int = 0) -> Column:
     """Finish the mean from SQL aggregate expressions of the scaled sum and count."""
     up = OUT_SCALE - decimals - shift

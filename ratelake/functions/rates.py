@@ -6,7 +6,7 @@ aggregatable SUM (map-side combine, mergeable across partitions, usable in
 window frames). ``ln`` of a non-positive factor is NULL in Spark and SUM would
 skip it silently, so callers that care count ``log_factor IS NULL`` as a
 quality violation instead of trusting the product, or take ``product``, which
-counts signs and zeros beside the logarithms and is as mergeable.
+multiplies factors of any sign and is as mergeable.
 """
 
 from __future__ import annotations
@@ -49,12 +49,16 @@ def compound_rate(rate: str | Column) -> Column:
 def product(fac: str | Column, over: Callable[[Column], Column] = lambda c: c) -> Column:
     """Aggregate: product of factors of any sign; NULL factors are left out, none at all gives NULL.
 
-    Magnitudes are added as logarithms, negative factors and zeros are counted:
-    three ordinary aggregates. ``over`` puts each of them over a window.
+    Factors are multiplied, so products of whole numbers are exact up to 2**53.
+    Where their logarithms' magnitudes add up to more than a DOUBLE's range, so
+    that a part of the product might leave it on the way, the logarithms are
+    added and the negative factors counted instead. All are ordinary
+    aggregates. ``over`` puts each of them over a window.
     """
     f = _c(fac).cast("double")
-    logs = F.coalesce(over(F.sum(F.when(f != 0, F.log(F.abs(f))))), F.lit(0.0))
+    log = F.when(f != 0, F.log(F.abs(f)))
     negative = over(F.count(F.when(f < 0, F.lit(1)))) % 2 == 1
-    size = F.exp(logs)
-    out = F.when(over(F.count(F.when(f == 0, F.lit(1)))) > 0, F.lit(0.0)).when(negative, -size).otherwise(size)
+    size = F.exp(over(F.sum(log)))
+    whole = F.when(over(F.sum(F.abs(log))) <= 700, over(F.product(F.when(f != 0, f)))).when(negative, -size).otherwise(size)
+    out = F.when(over(F.count(F.when(f == 0, F.lit(1)))) > 0, F.lit(0.0)).otherwise(whole)
     return F.when(over(F.count(f)) > 0, out)

@@ -1411,12 +1411,13 @@ SELECT l_orderkey, CAST(ROUND(product(l_quantity - 25)) AS BIGINT) AS whole, CAS
 FROM lineitem GROUP BY l_orderkey""",
 )
 def q_signed_product_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rates below, at and above -100 %: each order's lines compounded."""
+    """Rates below, at and above -100 %: each order's lines compounded. A product that BIGINT can't hold is NULL."""
+    from ratelake.functions.numeric import whole_number
     from ratelake.operators.rollup import Measure
 
     lines = _signed_lines(spark, sf_dir)
     m = rollup(lines, [Measure("whole", "line", "product"), Measure("rows", "line", "count")], period="l_orderkey", value_col="rate")
-    return m.select("l_orderkey", F.round("whole").cast("bigint").alias("whole"), "rows")
+    return m.select("l_orderkey", whole_number(F.col("whole")).alias("whole"), "rows")
 
 
 def _signed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,26 @@ def test_product_against_plain_products(spark):
             assert math.isclose(r.p3, (math.prod(known) - 1) * 100, rel_tol=1e-9, abs_tol=1e-9)
 
 
+def test_long_products_are_exact_and_never_end_the_query(spark, root):
+    from ratelake.plans.registry import QUERIES
+
+    rng = random.Random(4)
+    groups = {g: [rng.choice([-24, -17, -7, 3, 11, 23]) for _ in range(rng.randrange(9, 12))] for g in range(200)}
+    groups |= {900: [24] * 40, 901: [-24] * 41, 902: [24] * 300, 903: [24] * 300 + [0], 904: [2] * 63, 905: [-2] * 63, 906: [2] * 62, 907: [1]}
+    rows = [(g, i, float(f + 25)) for g, fs in groups.items() for i, f in enumerate(fs)] + [(908, 0, None)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double").repartition(7).write.parquet(f"{root}/lineitem.parquet")
+    got = {r.l_orderkey: (r.whole, r.rows) for r in QUERIES["signed_product_rollup"](spark, root).collect()}
+    want = {g: (p if -(2**63) <= (p := math.prod(fs)) < 2**63 else None, len(fs)) for g, fs in groups.items()}
+    assert got == want | {908: (None, 1)}
+
+
+def test_products_that_leave_the_range_on_the_way(spark):
+    factors = [1e200] * 3 + [-1e-200] * 3 + [2.0]
+    for own in (factors, factors[::-1]):
+        df = spark.createDataFrame([(f,) for f in own], "f double").coalesce(1)
+        assert math.isclose(df.agg(product("f").alias("p")).first().p, -2.0, rel_tol=1e-9)
+
+
 @pytest.mark.parametrize("frame,by", [("rows", []), ("months", []), ("rows", ["e"]), ("months", ["e"])])
 def test_blocks_give_the_very_same_numbers(spark, frame, by):
     rng = random.Random(2)
