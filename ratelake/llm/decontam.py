@@ -72,32 +72,31 @@ def phrase_matches(index: DataFrame, vocabulary: DataFrame, windows: DataFrame,
     found = terms.where("r = 1 AND f > 0")
     rarest = small(write(found.select("item", F.col("ipos").alias("i1"), "tid").distinct(), "rarest"))
     first = found.select("item_id", "item", "at", "len", F.col("ipos").alias("i1"))
-    second = terms.where("r = 2").select("item", "at", F.col("ipos").alias("i2"), F.col("tid").alias("t2"))
-    pairs = first.join(second, ["item", "at"], "left")
-    pairs = write(pairs.select("item_id", "item", "at", "len", "i1", F.coalesce("i2", F.lit(-1)).alias("i2"), "t2"), "rarest-pairs")
+    # a window of one word has it as its second too, one of two its rarest as the other: each is asked for something
+    second = terms.where("r = least(2, len)").select("item", "at", F.col("ipos").alias("i2"), F.col("tid").alias("t2"))
+    pairs = write(first.join(second, ["item", "at"]), "rarest-pairs")
     next_word = small(write(pairs.select("item", "i1", "i2", "t2").distinct(), "second-words"))
     whole = small(write(pairs.select("item_id", "item", "at", "len", "i1", "i2"), "window-pairs"))
-    rest = small(write(terms.where("r > 2").select("item", F.col("at").alias("w"), "ipos", F.col("tid").alias("t3")), "other-words"))
+    others = terms.where("r > 2 OR (r = 1 AND len <= 2)")
+    rest = small(write(others.select("item", F.col("at").alias("w"), "ipos", F.col("tid").alias("t3")), "other-words"))
 
     postings = index.where("tid > 0")
+    place = ["doc", "h", "tid", "pos"]
     # 1. postings of the rarest word, as the place where the item would start
     starts = postings.join(rarest, "tid").select("doc", "h", "item", "i1", (F.col("pos") - F.col("i1")).alias("diag"))
     # 2. shifted postings of the second rarest
     asked = starts.join(next_word, ["item", "i1"])
     asked = asked.select("doc", "h", "item", "i1", "i2", "diag", F.col("t2").alias("tid"), (F.col("diag") + F.col("i2")).alias("pos"))
-    alone = asked.where("i2 < 0").select("doc", "h", "item", "i1", "i2", "diag")
-    asked = asked.where("i2 >= 0").join(postings, ["doc", "h", "tid", "pos"], "left_semi")
-    agreed = asked.select("doc", "h", "item", "i1", "i2", "diag").union(alone)
+    agreed = asked.join(postings, place, "left_semi")
     candidates = agreed.join(whole, ["item", "i1", "i2"]).where(F.col("diag") + F.col("at") >= 0)
-    candidates = write(candidates.select("doc", "h", "item_id", "item", "at", "len", "diag").distinct(), "phrase-candidates")
-    # 3. shifted postings of all other words
-    wanted = candidates.where("len > 2").join(rest, (candidates["item"] == rest["item"]) & (F.col("at") == F.col("w")))
-    wanted = wanted.select("doc", "h", candidates["item"], "at", "diag", F.col("t3").alias("tid"), (F.col("diag") + F.col("ipos")).alias("pos"))
-    present = wanted.join(postings, ["doc", "h", "tid", "pos"], "left_semi")
-    full = present.groupBy("doc", "h", "item", "at", "diag").agg(F.count(F.lit(1)).alias("n"))
-    long = candidates.where("len > 2").join(full, ["doc", "h", "item", "at", "diag"]).where("n = len - 2")
-    cols = ["doc", "h", "item_id", (F.col("diag") + F.col("at")).alias("start"), "len"]
-    return candidates.where("len <= 2").select(*cols).union(long.select(*cols)).distinct()
+    candidates = candidates.select("doc", "h", "item_id", "item", "at", "len", "diag").distinct()
+    # 3. shifted postings of all other words, in the plan of 2: its shuffle of the postings serves both
+    wanted = candidates.join(rest, (candidates["item"] == rest["item"]) & (F.col("at") == F.col("w")))
+    wanted = wanted.select("doc", "h", "item_id", candidates["item"], "at", "len", "diag", F.col("t3").alias("tid"), (F.col("diag") + F.col("ipos")).alias("pos"))
+    present = wanted.join(postings, place, "left_semi")
+    full = present.groupBy("doc", "h", "item_id", "item", "at", "len", "diag").agg(F.count(F.lit(1)).alias("n"))
+    full = full.where("n = greatest(1, len - 2)")
+    return full.select("doc", "h", "item_id", (F.col("diag") + F.col("at")).alias("start"), "len").distinct()
 
 
 def proximity_matches(index: DataFrame, vocabulary: DataFrame, phrases: DataFrame, span: int) -> DataFrame:

@@ -1,5 +1,7 @@
 import hashlib
+import io
 import re
+from contextlib import redirect_stdout
 
 from llm_helpers import docs, sentence
 from ratelake.llm.decontam import build_index, contamination, phrase_matches, proximity_matches, test_words as item_words
@@ -49,6 +51,35 @@ def test_against_brute_force(spark):
     check(spark, rows, items)
 
 
+def test_short_windows_and_repeated_rows(spark):
+    """Windows of one, two and three words have no or one other word to ask for."""
+    items = [(1, "solo"), (2, "uno due"), (3, "uno uno"), (4, "uno due tre"), (5, "nirgends"), (6, "nirgends due"), (7, "due uno due")]
+    rows = [(1, "solo uno due tre"), (1, "solo uno due tre"), (2, "due uno uno due"), (3, "tre due uno"), (4, "solo solo"), (5, "uno"), (6, "due uno due uno due")]
+    check(spark, rows, items)
+    check(spark, rows, items[4:5])
+
+
+def test_postings_are_shuffled_once(spark):
+    """One shuffle of the postings serves the second and all other words."""
+    text = sentence(1, 30)
+    table = docs(spark, [(i, f"{sentence(100 + i, 20)} {text if i % 3 else text[:90]}") for i in range(40)])
+    vocabulary, windows = item_words(spark.createDataFrame([(1, text)], "item_id long, text string"), 10)
+    index = build_index(table, vocabulary)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = phrase_matches(index, vocabulary, windows)
+        assert {r.doc for r in found.collect()} == set(range(40))
+        plan = io.StringIO()
+        with redirect_stdout(plan):
+            found.explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    tree = plan.getvalue().split("Initial Plan")[0]  # as it ran
+    tree = [line for line in tree.splitlines() if re.match(r"[ :+*|-]*(SortMergeJoin LeftSemi|ReusedExchange) \(", line)]
+    assert sorted(line.strip(" :+*|-").split(" (")[0] for line in tree) == ["ReusedExchange", "SortMergeJoin LeftSemi", "SortMergeJoin LeftSemi"]
+
+
 def test_empty_tables(spark):
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert contamination(docs(spark, [(1, "a b c")]).where("false"), items).count() == 0
