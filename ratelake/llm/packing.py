@@ -105,6 +105,10 @@ def parts_of(texts: pa.Array) -> pa.LargeListArray:
     return pc.split_pattern(pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(plain)), " ")
 
 
+#: Bytes of token ids that a Python worker remembers, and of text that it lays out at a time.
+CACHE_BYTES, SLICE_BYTES = 192_000_000, 4_000_000
+
+
 class WordCache:
     """Token ids of texts, word by word.
 
@@ -115,7 +119,7 @@ class WordCache:
     ``longest`` characters are not remembered.
     """
 
-    def __init__(self, path: str, limit_bytes: int = 192_000_000, longest: int = 64):
+    def __init__(self, path: str, limit_bytes: int = CACHE_BYTES, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -193,12 +197,12 @@ class WordCache:
 
 
 @functools.lru_cache(maxsize=1)
-def word_cache(path: str) -> WordCache:
+def word_cache(path: str, limit_bytes: int) -> WordCache:
     """One cache per Python worker, kept from task to task."""
-    return WordCache(path)
+    return WordCache(path, limit_bytes)
 
 
-def slices(texts: pa.Array, most_bytes: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Runs [first, last) of texts of about ``most_bytes`` together, one text at least."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     first = 0
@@ -217,6 +221,8 @@ def pack_documents(
     end_id: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
+    cache_bytes: int = CACHE_BYTES,
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """Cut documents into pieces and place every piece in a sequence.
 
@@ -237,7 +243,7 @@ def pack_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only_caches_of("packing")
-        words = word_cache(tokenizer)
+        words = word_cache(tokenizer, cache_bytes)
         keeps_cache("packing", word_cache.cache_clear)
         task = TaskContext.get()
         base = (task.partitionId() if task else 0) << 33
@@ -264,7 +270,7 @@ def pack_documents(
 
         for batch in batches:
             texts = batch.column("text")
-            for first, last in slices(texts):
+            for first, last in slices(texts, slice_bytes):
                 ids, ends = words.ids(texts[first:last], end_id)
                 at = 0
                 for doc_id, last_id in zip(batch.column("doc_id")[first:last].to_pylist(), ends.tolist()):

@@ -61,6 +61,26 @@ def test_round_trip(spark):
     assert tokens / (2048 * len(sequences)) > 0.9
 
 
+def test_little_memory_gives_the_same_rows(spark):
+    rows = [(i, sentence(i, 5 + 37 * (i % 40))) for i in range(200)] + [(500, None), (501, ""), (None, "null id"), (503, sentence("long", 9_000))]
+    table = docs(spark, rows)
+    few = pack_documents(table, PATH, cache_bytes=2_000, slice_bytes=500).collect()
+    assert few == pack_documents(table, PATH).collect()
+
+
+def test_pipeline_packs_with_less_memory(spark, monkeypatch):
+    """Executors keep what the four stages before have taken; a worker's cache may not come on top of it in full."""
+    import corpus_pipeline
+    from ratelake.llm import packing
+
+    asked = {}
+    pack = packing.pack_documents
+    monkeypatch.setattr(packing, "pack_documents", lambda *a, **b: asked.update(b) or pack(*a, **b))
+    table = docs(spark, [(i, sentence(i, 60)) for i in range(50)])
+    assert corpus_pipeline.pack(spark, table, "").collect() == pack(table, PATH).collect()
+    assert asked["cache_bytes"] <= packing.CACHE_BYTES // 3 and asked["slice_bytes"] <= packing.SLICE_BYTES // 4
+
+
 def test_empty_table(spark):
     assert pack_documents(docs(spark, [(1, "x")]).where("false"), PATH).count() == 0
 
